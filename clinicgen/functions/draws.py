@@ -1,10 +1,14 @@
-"""Seeded draws as native Column expressions.
+"""Seeded draws as native Spark SQL expressions.
 
 Every random value is a pure function of ``(seed, label, key...)``: the first
 52 bits of a SHA-256 digest, scaled to [0, 1). A row's draws therefore do not
 depend on partitioning, task retries or executor loss, and an independent SQL
 engine computes the same numbers. One digest yields up to four uniforms
 (``slot`` 0..3); Catalyst evaluates a digest shared by several slots once.
+
+The helpers build SQL *text* (arguments are SQL snippets: column names,
+expressions or Python numbers) so a whole projection reaches the JVM in one
+``selectExpr`` call; ``col()`` wraps a snippet as a Column.
 """
 
 from __future__ import annotations
@@ -18,49 +22,58 @@ from pyspark.sql import functions as F
 TWO52 = 4503599627370496.0  # 2**52: a 13-hex-digit prefix scaled to [0, 1)
 TWO_PI = 2.0 * math.pi
 
-KeyLike = Column | str | int
+Sql = str | int | float
+
+
+def col(expr: str) -> Column:
+    return F.expr(expr)
+
 
+def s(x: Sql) -> str:
+    """SQL text of a snippet or Python number (doubles as exact literals)."""
+    if isinstance(x, bool):
+        return "true" if x else "false"
+    if isinstance(x, int):
+        return str(x)
+    if isinstance(x, float):
+        r = repr(x)
+        return f"CAST('{r}' AS DOUBLE)" if ("e" in r or "inf" in r or "nan" in r) else f"{r}D"
+    return f"({x})"
 
-def _key(k: KeyLike) -> Column:
-    if isinstance(k, Column):
-        return k.cast("string")
-    if isinstance(k, str):
-        return F.col(k).cast("string")
-    return F.lit(str(k))
 
+def lit_str(v: str | None) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def str_array(values: Sequence[str | None]) -> str:
+    """A constant array<string> (NULL elements allowed); folded to a literal."""
+    return "array(" + ", ".join(lit_str(v) for v in values) + ")"
 
-def digest(seed: int, label: str, *keys: KeyLike) -> Column:
+
+def digest(seed: int, label: str, *keys: Sql) -> str:
     """Hex SHA-256 of ``seed|label|key1|key2...`` (keys as their string form)."""
-    return F.sha2(F.concat_ws("|", F.lit(str(seed)), F.lit(label), *[_key(k) for k in keys]), 256)
+    ks = ", ".join(f"CAST({s(k)} AS STRING)" for k in keys)
+    return f"sha2(concat_ws('|', '{seed}', {lit_str(label)}, {ks}), 256)"
 
 
-def u(seed: int, label: str, *keys: KeyLike, slot: int = 0) -> Column:
+def u(seed: int, label: str, *keys: Sql, slot: int = 0) -> str:
     """Uniform double in [0, 1) for ``(seed, label, keys)`` (2.4.1)."""
     if not 0 <= slot <= 3:
         raise ValueError("slot must be in 0..3 (four 52-bit draws per digest)")
-    hexpart = F.substring(digest(seed, label, *keys), 1 + 13 * slot, 13)
-    return F.conv(hexpart, 16, 10).cast("bigint") / F.lit(TWO52)
-
-
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    return f"(CAST(conv(substring({digest(seed, label, *keys)}, {1 + 13 * slot}, 13), 16, 10) AS BIGINT) / {s(TWO52)})"
 
 
-def draw_int(uc: Column, lo, hi) -> Column:
+def draw_int(uc: str, lo: Sql, hi: Sql) -> str:
     """Uniform integer in [lo, hi], both inclusive (2.4.2)."""
-    lo, hi = _c(lo), _c(hi)
-    return (lo + F.floor(uc * (hi - lo + 1))).cast("bigint")
-
-
-def str_array(values: Sequence[str | None]) -> Column:
-    """A constant array<string> (NULL elements allowed); folded to a literal."""
-    return F.array(*[F.lit(v).cast("string") for v in values])
+    return f"CAST({s(lo)} + floor({uc} * ({s(hi)} - {s(lo)} + 1)) AS BIGINT)"
 
 
-def draw_element(uc: Column, arr) -> Column:
-    """Uniform element of an array column or a Python list (2.4.3)."""
-    arr = str_array(arr) if isinstance(arr, (list, tuple)) else arr
-    return F.element_at(arr, (F.floor(uc * F.size(arr)) + 1).cast("int"))
+def draw_element(uc: str, arr: Sql | Sequence[str | None]) -> str:
+    """Uniform element of an array expression or a Python list (2.4.3)."""
+    a = str_array(arr) if isinstance(arr, (list, tuple)) else s(arr)
+    return f"element_at({a}, CAST(floor({uc} * size({a})) + 1 AS INT))"
 
 
 def cumulative_bounds(weights: Sequence[tuple[str | None, float]]) -> list[tuple[str | None, float]]:
@@ -75,39 +88,37 @@ def cumulative_bounds(weights: Sequence[tuple[str | None, float]]) -> list[tuple
     return out
 
 
-def weighted_choice(uc: Column, weights: Sequence[tuple[str | None, float]]) -> Column:
+def weighted_choice(uc: str, weights: Sequence[tuple[str | None, float]]) -> str:
     """Category by cumulative weight; a ``None`` category yields NULL (2.4.4).
 
     ``u < bound_i`` picks category i; the last category takes the rest, so
     rounding of the bounds never drops a row.
     """
-    bounds = cumulative_bounds(weights)
-    expr = F.lit(bounds[-1][0]).cast("string")
-    for v, b in reversed(bounds[:-1]):
-        expr = F.when(uc < F.lit(b), F.lit(v).cast("string")).otherwise(expr)
-    return expr
+    b = cumulative_bounds(weights)
+    whens = " ".join(f"WHEN {uc} < {s(x)} THEN {lit_str(v)}" for v, x in b[:-1])
+    return f"CAST(CASE {whens} ELSE {lit_str(b[-1][0])} END AS STRING)"
 
 
-def bernoulli(uc: Column, pct: float) -> Column:
+def bernoulli(uc: str, pct: float) -> str:
     """True with probability ``pct`` percent (2.4.5)."""
-    return uc < F.lit(pct / 100.0)
+    return f"({uc} < {s(pct / 100.0)})"
 
 
-def std_normal(u1: Column, u2: Column) -> Column:
+def std_normal(u1: str, u2: str) -> str:
     """Box-Muller standard normal from two uniforms."""
-    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(TWO_PI) * u2)
+    return f"(sqrt({s(-2.0)} * ln({s(1.0)} - {u1})) * cos({s(TWO_PI)} * {u2}))"
 
 
-def normals4(seed: int, label: str, *keys: KeyLike) -> list[Column]:
+def normals4(seed: int, label: str, *keys: Sql) -> list[str]:
     """Four independent standard normals from one digest (Box-Muller, cos and sin)."""
-    u0, u1, u2, u3 = (u(seed, label, *keys, slot=s) for s in range(4))
-    r1 = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u0))
-    r2 = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u2))
-    return [r1 * F.cos(F.lit(TWO_PI) * u1), r1 * F.sin(F.lit(TWO_PI) * u1),
-            r2 * F.cos(F.lit(TWO_PI) * u3), r2 * F.sin(F.lit(TWO_PI) * u3)]
+    u0, u1, u2, u3 = (u(seed, label, *keys, slot=j) for j in range(4))
+    r1 = f"sqrt({s(-2.0)} * ln({s(1.0)} - {u0}))"
+    r2 = f"sqrt({s(-2.0)} * ln({s(1.0)} - {u2}))"
+    return [f"({r1} * cos({s(TWO_PI)} * {u1}))", f"({r1} * sin({s(TWO_PI)} * {u1}))",
+            f"({r2} * cos({s(TWO_PI)} * {u3}))", f"({r2} * sin({s(TWO_PI)} * {u3}))"]
 
 
-def trunc_normal_int(seed: int, label: str, key: KeyLike, mean: float, sd: float, lo: int, hi: int, tries: int = 24) -> Column:
+def trunc_normal_int(seed: int, label: str, key: Sql, mean: float, sd: float, lo: int, hi: int, tries: int = 24) -> str:
     """``int(N(mean, sd))`` redrawn until in [lo, hi] (2.4.6).
 
     Attempts come four per digest (stage s = digest of ``key|s``); the first
@@ -119,57 +130,55 @@ def trunc_normal_int(seed: int, label: str, key: KeyLike, mean: float, sd: float
     if lo > hi:
         raise ValueError("lo > hi")
     stages = []
-    for s in range(1, (tries + 3) // 4 + 1):
-        cands = F.array(*[(F.lit(float(mean)) + F.lit(float(sd)) * z).cast("bigint") for z in normals4(seed, label, key, s)])
-        stages.append(F.try_element_at(F.filter(cands, lambda x: x.between(lo, hi)), F.lit(1)))
-    fail = F.raise_error(F.lit(f"trunc_normal_int[{label}]: no value in [{lo},{hi}] after {tries} attempts")).cast("bigint")
-    return F.coalesce(*stages, fail)
+    for st in range(1, (tries + 3) // 4 + 1):
+        cands = ", ".join(f"CAST({s(float(mean))} + {s(float(sd))} * {z} AS BIGINT)" for z in normals4(seed, label, key, st))
+        stages.append(f"try_element_at(filter(array({cands}), x -> x BETWEEN {lo} AND {hi}), 1)")
+    fail = f"CAST(raise_error('trunc_normal_int[{label}]: no value in [{lo},{hi}] after {tries} attempts') AS BIGINT)"
+    return f"coalesce({', '.join(stages)}, {fail})"
 
 
-def folded_normal_int(u1: Column, u2: Column, mean, sd: float) -> Column:
+def folded_normal_int(u1: str, u2: str, mean: Sql, sd: float) -> str:
     """``|int(N(mean, sd))|`` (2.4.7)."""
-    return F.abs((_c(mean).cast("double") + F.lit(float(sd)) * std_normal(u1, u2)).cast("bigint"))
+    return f"abs(CAST(CAST({s(mean)} AS DOUBLE) + {s(float(sd))} * {std_normal(u1, u2)} AS BIGINT))"
 
 
-def exp_clipped(uc: Column, mean: float, cap: float) -> Column:
+def exp_clipped(uc: str, mean: float, cap: float) -> str:
     """Exponential with the given mean, clipped above at ``cap`` (2.4.8)."""
-    return F.least(F.lit(-float(mean)) * F.log(F.lit(1.0) - uc), F.lit(float(cap)))
+    return f"least({s(-float(mean))} * ln({s(1.0)} - {uc}), {s(float(cap))})"
 
 
-def exp_clipped_ms(uc: Column, mean: float, cap: float, unit_ms: int) -> Column:
+def exp_clipped_ms(uc: str, mean: float, cap: float, unit_ms: int) -> str:
     """Clipped exponential in whole milliseconds (unit_ms = ms per unit of mean)."""
-    return F.floor(exp_clipped(uc, mean, cap) * F.lit(float(unit_ms))).cast("bigint")
+    return f"CAST(floor({exp_clipped(uc, mean, cap)} * {s(float(unit_ms))}) AS BIGINT)"
 
 
-def draw_date(uc: Column, lo: Column, hi: Column) -> Column:
+def draw_date(uc: str, lo: Sql, hi: Sql) -> str:
     """Uniform date in [lo, hi] (2.4.9)."""
-    return F.date_add(lo, F.floor(uc * (F.datediff(hi, lo) + 1)).cast("int"))
+    return f"date_add({s(lo)}, CAST(floor({uc} * (datediff({s(hi)}, {s(lo)}) + 1)) AS INT))"
 
 
-def draw_timestamp(uc: Column, lo: Column, hi: Column) -> Column:
+def draw_timestamp(uc: str, lo: Sql, hi: Sql) -> str:
     """Uniform timestamp in [lo, hi] at whole-second offsets from ``lo`` (2.4.10)."""
-    secs = F.timestamp_diff("SECOND", lo, hi)
-    return F.timestamp_add("SECOND", F.floor(uc * (secs + 1)).cast("bigint"), lo)
+    return f"timestampadd(SECOND, CAST(floor({uc} * (timestampdiff(SECOND, {s(lo)}, {s(hi)}) + 1)) AS BIGINT), {s(lo)})"
 
 
-def draw_two_distinct(u1: Column, u2: Column, u3: Column, arr, pct_second: float) -> tuple[Column, Column]:
+def draw_two_distinct(u1: str, u2: str, u3: str, arr: Sql | Sequence[str | None], pct_second: float) -> tuple[str, str]:
     """Main element, and with ``pct_second`` % a second one from the rest (2.4.13).
 
     The second is NULL when not drawn or when nothing is left.
     """
-    arr = str_array(arr) if isinstance(arr, (list, tuple)) else arr
-    first = draw_element(u1, arr)
-    rest = F.array_remove(arr, first)
-    second = F.when((F.size(rest) > 0) & bernoulli(u2, pct_second), draw_element(u3, rest))
+    a = str_array(arr) if isinstance(arr, (list, tuple)) else s(arr)
+    first = draw_element(u1, a)
+    rest = f"array_remove({a}, {first})"
+    second = f"CASE WHEN size({rest}) > 0 AND {bernoulli(u2, pct_second)} THEN {draw_element(u3, rest)} END"
     return first, second
 
 
-def random_digits(uc: Column, digits) -> Column:
+def random_digits(uc: str, digits: Sql) -> str:
     """Random number with up to ``digits`` digits, as text without padding (2.4.15)."""
-    return F.floor(uc * F.pow(F.lit(10.0), _c(digits).cast("double"))).cast("bigint").cast("string")
+    return f"CAST(CAST(floor({uc} * pow({s(10.0)}, CAST({s(digits)} AS DOUBLE))) AS BIGINT) AS STRING)"
 
 
-def passport_number(u1: Column, u2: Column) -> Column:
+def passport_number(u1: str, u2: str) -> str:
     """Passport-like id: one capital letter and eight digits (own format)."""
-    letter = F.char((F.lit(65) + F.floor(u1 * 26)).cast("bigint"))
-    return F.concat(letter, F.lpad(F.floor(u2 * F.lit(1e8)).cast("bigint").cast("string"), 8, "0"))
+    return f"concat(char(CAST(65 + floor({u1} * 26) AS BIGINT)), lpad(CAST(CAST(floor({u2} * {s(1e8)}) AS BIGINT) AS STRING), 8, '0'))"

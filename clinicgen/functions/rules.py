@@ -1,100 +1,104 @@
-"""Rule columns of the generated tables, as native expressions."""
+"""Rule columns of the generated tables, as Spark SQL expressions.
+
+Arguments are SQL snippets (column names or expressions); results are SQL
+text for ``selectExpr`` (see ``draws``).
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from clinicgen import config as C
 from clinicgen.functions import draws as D
+from clinicgen.functions.draws import lit_str, s
 
 
-def lit_date(d: dt.date) -> Column:
-    return F.lit(d.isoformat()).cast("date")
+def lit_date(d: dt.date) -> str:
+    return f"DATE'{d.isoformat()}'"
 
 
-def day_start(d: Column) -> Column:
+def day_start(d: str) -> str:
     """Midnight of a date as timestamp_ntz."""
-    return d.cast("timestamp_ntz")
+    return f"CAST({d} AS TIMESTAMP_NTZ)"
 
 
-def at_hour(d: Column, hour: int) -> Column:
-    return F.timestamp_add("HOUR", F.lit(hour), day_start(d))
+def at_hour(d: str, hour: int) -> str:
+    return f"timestampadd(HOUR, {hour}, {day_start(d)})"
 
 
-def day_end(d: Column) -> Column:
+def day_end(d: str) -> str:
     """23:59:59 of a date (whole seconds)."""
-    return F.timestamp_add("SECOND", F.lit(86399), day_start(d))
+    return f"timestampadd(SECOND, 86399, {day_start(d)})"
 
 
-def pseudonymize(x: Column) -> Column:
+def pseudonymize(x: str) -> str:
     """SHA-256 hex of the text form (UTF-8) (2.8.1)."""
-    return F.sha2(x.cast("string"), 256)
+    return f"sha2(CAST({x} AS STRING), 256)"
 
 
-def birth_date(as_of: Column, age: Column, uc: Column) -> Column:
+def birth_date(as_of: str, age: str, uc: str) -> str:
     """Same calendar day ``age`` years before ``as_of``, minus 0..364 days (2.8.2).
 
     ``add_months`` clamps Feb 29 to Feb 28 instead of failing.
     """
-    return F.date_sub(F.add_months(as_of, (age * -12).cast("int")), F.floor(uc * 365).cast("int"))
+    return f"date_sub(add_months({as_of}, CAST(-12 * {s(age)} AS INT)), CAST(floor({uc} * 365) AS INT))"
 
 
-def earliest_hire(as_of: Column, age: Column, min_age: int) -> Column:
+def earliest_hire(as_of: str, age: str, min_age: int) -> str:
     """The day a physician of ``age`` turned ``min_age`` (2.8.3)."""
-    return F.add_months(as_of, ((age - min_age) * -12).cast("int"))
+    return f"add_months({as_of}, CAST(-12 * ({s(age)} - {min_age}) AS INT))"
 
 
-def country_band(city_id: Column) -> Column:
+def country_band(city_id: str) -> str:
     """Country from the city id bands (2.8.5)."""
     (b1, c1), (b2, c2), (_, c3) = C.COUNTRY_BANDS
-    return F.when(city_id <= b1, F.lit(c1)).when(city_id <= b2, F.lit(c2)).otherwise(F.lit(c3))
+    return f"CASE WHEN {s(city_id)} <= {b1} THEN {lit_str(c1)} WHEN {s(city_id)} <= {b2} THEN {lit_str(c2)} ELSE {lit_str(c3)} END"
 
 
-def complexity(site_type: Column) -> Column:
+def complexity(site_type: str) -> str:
     """Complexity level from the site type (2.8.6)."""
-    expr = F.lit(C.COMPLEXITY_DEFAULT)
-    for t, level in reversed(list(C.COMPLEXITY.items())):
-        expr = F.when(site_type == F.lit(t), F.lit(level)).otherwise(expr)
-    return expr
+    whens = " ".join(f"WHEN {s(site_type)} = {lit_str(t)} THEN {lit_str(v)}" for t, v in C.COMPLEXITY.items())
+    return f"CASE {whens} ELSE {lit_str(C.COMPLEXITY_DEFAULT)} END"
 
 
-def doc_type(age: Column, city_id: Column, u_doc: Column, cfg: C.Config) -> Column:
+def doc_type(age: str, city_id: str, u_doc: str, cfg: C.Config) -> str:
     """Minor's id below age 7, else a uniform pick from the country's list (2.8.4)."""
     (b1, _), (b2, _), _ = C.COUNTRY_BANDS
     p = cfg.pac
-    return (F.when(age < C.MINOR_AGE, F.lit(C.MINOR_DOC))
-            .when(city_id <= b1, D.draw_element(u_doc, p["docs_col"]))
-            .when(city_id <= b2, D.draw_element(u_doc, p["docs_ecu"]))
-            .otherwise(D.draw_element(u_doc, p["docs_peru"])))
+    return (f"CASE WHEN {s(age)} < {C.MINOR_AGE} THEN {lit_str(C.MINOR_DOC)} "
+            f"WHEN {s(city_id)} <= {b1} THEN {D.draw_element(u_doc, p['docs_col'])} "
+            f"WHEN {s(city_id)} <= {b2} THEN {D.draw_element(u_doc, p['docs_ecu'])} "
+            f"ELSE {D.draw_element(u_doc, p['docs_peru'])} END")
 
 
-def doc_number(tip_doc: Column, city_id: Column, u_num: Column, u_p1: Column, u_p2: Column, cfg: C.Config) -> Column:
+def doc_number(tip_doc: str, city_id: str, u_num: str, u_p1: str, u_p2: str, cfg: C.Config) -> str:
     """Document number text: 10 digits up to the Ecuador band, else 8; passports override (2.4.15)."""
     (_, _), (b2, _), _ = C.COUNTRY_BANDS
-    digits = F.when(city_id <= b2, F.lit(int(cfg.pac["ext_gral"]))).otherwise(F.lit(int(cfg.pac["ext_peru"])))
-    return F.when(tip_doc == F.lit(C.PASSPORT_DOC), D.passport_number(u_p1, u_p2)).otherwise(D.random_digits(u_num, digits))
+    digits = f"CASE WHEN {s(city_id)} <= {b2} THEN {int(cfg.pac['ext_gral'])} ELSE {int(cfg.pac['ext_peru'])} END"
+    return (f"CASE WHEN {s(tip_doc)} = {lit_str(C.PASSPORT_DOC)} THEN {D.passport_number(u_p1, u_p2)} "
+            f"ELSE {D.random_digits(u_num, digits)} END")
 
 
-def insurer(u_type: Column, u_id: Column, cfg: C.Config) -> tuple[Column, Column]:
-    """Insurer type (nullable) and insurer id, NULL when there is no type (2.8.7)."""
+def insurer(u_type: str, u_id: str, cfg: C.Config, type_col: str = "tip_aseguradora") -> tuple[str, str]:
+    """Insurer type (nullable) and insurer id, NULL when there is no type (2.8.7).
+
+    The id refers to ``type_col`` (the already projected type column).
+    """
     tip = D.draw_element(u_type, cfg.pac["tips_aseguradoras"])
-    id_eps = F.when(tip.isNotNull(), D.draw_int(u_id, 1, len(cfg.insurers)))
+    id_eps = f"CASE WHEN {type_col} IS NOT NULL THEN {D.draw_int(u_id, 1, len(cfg.insurers))} END"
     return tip, id_eps
 
 
-def control_floor(first_visit: Column, hire: Column, gap_days: int) -> Column:
+def control_floor(first_visit: str, hire: str, gap_days: int) -> str:
     """Earliest follow-up date: first visit + gap, not before the hire date (2.8.15)."""
-    return F.greatest(F.date_add(first_visit, gap_days), hire)
+    return f"greatest(date_add({s(first_visit)}, {gap_days}), {s(hire)})"
 
 
-def time_of_day(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+def time_of_day(ts: str) -> str:
+    return f"date_format({ts}, 'HH:mm:ss')"
 
 
-def visit_times(scheduled: Column, as_of: Column, u_wait: Column, u_shift: Column, cfg: C.Config) -> tuple[Column, Column, Column]:
+def visit_times(scheduled: str, as_of: str, u_wait: str, u_shift: str, cfg: C.Config) -> tuple[str, str, str]:
     """Scheduled / arrival / start times of day (2.8.10-13).
 
     Arrival is ``scheduled - w`` minutes with ``w`` uniform in [-t, t] and
@@ -103,18 +107,18 @@ def visit_times(scheduled: Column, as_of: Column, u_wait: Column, u_shift: Colum
     (strings compare like times), so a late arrival past midnight wraps.
     """
     mean, cap = cfg.wait
-    t = F.least(F.floor(F.lit(-mean) * F.log(F.lit(1.0) - u_wait)), F.lit(cap)).cast("bigint")
-    w = D.draw_int(u_shift, -t, t)
+    t = f"CAST(least(floor({s(-float(mean))} * ln({s(1.0)} - {u_wait})), {s(float(cap))}) AS BIGINT)"
+    w = D.draw_int(u_shift, f"-{t}", t)
     sched_t = time_of_day(scheduled)
-    arrival = F.timestamp_add("MINUTE", -w, scheduled)
-    arr_t = F.when(F.to_date(scheduled) > as_of, sched_t).otherwise(time_of_day(arrival))
-    start_t = F.greatest(sched_t, arr_t)
+    arr_t = (f"CASE WHEN to_date({scheduled}) > {as_of} THEN {sched_t} "
+             f"ELSE {time_of_day(f'timestampadd(MINUTE, -{w}, {scheduled})')} END")
+    start_t = f"greatest({sched_t}, {arr_t})"
     return sched_t, arr_t, start_t
 
 
-def visit_status(scheduled: Column, start_t: Column, as_of: Column) -> Column:
+def visit_status(scheduled: str, start_t: str, as_of: str) -> str:
     """Booked if in the future, cancelled if starting at 22:00 or later, else attended (2.8.14)."""
     booked, cancelled, attended = C.APPOINTMENT_STATES
-    return (F.when(F.to_date(scheduled) > as_of, F.lit(booked))
-            .when(F.substring(start_t, 1, 2).cast("int") >= C.CANCEL_HOUR, F.lit(cancelled))
-            .otherwise(F.lit(attended)))
+    return (f"CASE WHEN to_date({scheduled}) > {as_of} THEN {lit_str(booked)} "
+            f"WHEN CAST(substring({start_t}, 1, 2) AS INT) >= {C.CANCEL_HOUR} THEN {lit_str(cancelled)} "
+            f"ELSE {lit_str(attended)} END")

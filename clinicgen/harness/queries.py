@@ -38,8 +38,8 @@ def _cfg(h: Harness) -> C.Config:
     return h.config()
 
 
-def _day_draw(label: str, key: str, cfg: C.Config):
-    return D.draw_date(D.u(SEED, label, F.col(key)), R.lit_date(cfg.founding), R.lit_date(cfg.as_of))
+def _day_draw(label: str, key: str, cfg: C.Config) -> str:
+    return D.draw_date(D.u(SEED, label, key), R.lit_date(cfg.founding), R.lit_date(cfg.as_of))
 
 
 # ----------------------------------------------------------------- sources
@@ -52,7 +52,7 @@ def q_spine(h: Harness) -> DataFrame:
 def q_dim_lookup(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     d = dims(h.spark, cfg)
-    c = h.table("customer").select("c_custkey", D.draw_int(D.u(SEED, "q.city", F.col("c_custkey")), 1, len(cfg.cities)).alias("id_ciudad"))
+    c = h.table("customer").selectExpr("c_custkey", f"{D.draw_int(D.u(SEED, 'q.city', 'c_custkey'), 1, len(cfg.cities))} AS id_ciudad")
     return lookup(c, d["city"], "id_ciudad").select("c_custkey", "id_ciudad", "ciudad", "id_pais")
 
 
@@ -81,8 +81,8 @@ def _site_rows(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     s = h.table("supplier").select("s_suppkey", "s_name", "s_nationkey")
     types = [t for t, _ in cfg.site_types]
-    s = s.withColumn("tip_sede", D.draw_element(D.u(SEED, "q.site", F.col("s_suppkey")), types))
-    return s.withColumn("nivel_complejidad", R.complexity(F.col("tip_sede")))
+    s = s.selectExpr("*", f"{D.draw_element(D.u(SEED, 'q.site', 's_suppkey'), types)} AS tip_sede")
+    return s.selectExpr("*", f"{R.complexity('tip_sede')} AS nivel_complejidad")
 
 
 @query
@@ -104,8 +104,8 @@ def q_sink_csv_roundtrip(h: Harness) -> DataFrame:
 # ---------------------------------------------------- projections / filters
 @query
 def q_capacity_unpivot(h: Harness) -> DataFrame:
-    s = h.table("supplier").select("s_suppkey", *[D.draw_int(D.u(SEED, "q.cap", F.col("s_suppkey"), slot=j), 1, 50).alias(c)
-                                                 for j, c in enumerate(TB.CAP_COLS)])
+    s = h.table("supplier").selectExpr("s_suppkey", *[f"{D.draw_int(D.u(SEED, 'q.cap', 's_suppkey', slot=j), 1, 50)} AS {c}"
+                                                     for j, c in enumerate(TB.CAP_COLS)])
     cfg = _cfg(h)
     pairs = ", ".join(f"'{u}', {c}" for u, c in zip(cfg.units, TB.CAP_COLS))
     return s.selectExpr("s_suppkey", f"stack({len(cfg.units)}, {pairs}) as (tip_unidad, capacidad)")
@@ -137,65 +137,64 @@ def q_filter_stab(h: Harness) -> DataFrame:
 # ------------------------------------------------------------------ draws
 @query
 def q_draw_uniform(h: Harness) -> DataFrame:
-    return h.table("orders").select("o_orderkey", D.u(SEED, "q.uniform", F.col("o_orderkey")).alias("u_val"))
+    return h.table("orders").selectExpr("o_orderkey", f"{D.u(SEED, 'q.uniform', 'o_orderkey')} AS u_val")
 
 
 @query
 def q_draw_int(h: Harness) -> DataFrame:
-    c = F.col("c_custkey")
-    return h.table("customer").select("c_custkey", D.draw_int(D.u(SEED, "q.int", c, slot=0), 1, 168).alias("city"),
-                                      D.draw_int(D.u(SEED, "q.int", c, slot=1), 0, 364).alias("days"))
+    c = "c_custkey"
+    return h.table("customer").selectExpr("c_custkey", f"{D.draw_int(D.u(SEED, 'q.int', c, slot=0), 1, 168)} AS city",
+                                          f"{D.draw_int(D.u(SEED, 'q.int', c, slot=1), 0, 364)} AS days")
 
 
 @query
 def q_draw_element(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    return h.table("customer").select("c_custkey", D.draw_element(D.u(SEED, "q.elem", F.col("c_custkey")), cfg.pac["tips_aseguradoras"]).alias("tip_aseguradora"))
+    return h.table("customer").selectExpr("c_custkey", f"{D.draw_element(D.u(SEED, 'q.elem', 'c_custkey'), cfg.pac['tips_aseguradoras'])} AS tip_aseguradora")
 
 
 @query
 def q_weighted_choice(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    c = F.col("c_custkey")
-    return h.table("customer").select("c_custkey", D.weighted_choice(D.u(SEED, "q.w", c, slot=0), cfg.genders).alias("genero"),
-                                      D.weighted_choice(D.u(SEED, "q.w", c, slot=1), cfg.strata).alias("estrato_socioec"))
+    c = "c_custkey"
+    return h.table("customer").selectExpr("c_custkey", f"{D.weighted_choice(D.u(SEED, 'q.w', c, slot=0), cfg.genders)} AS genero",
+                                          f"{D.weighted_choice(D.u(SEED, 'q.w', c, slot=1), cfg.strata)} AS estrato_socioec")
 
 
 @query
 def q_bernoulli(h: Harness) -> DataFrame:
-    k = F.col("o_orderkey")
-    return h.table("orders").select("o_orderkey", D.bernoulli(D.u(SEED, "q.b", k, slot=0), 85).alias("activo"),
-                                    D.bernoulli(D.u(SEED, "q.b", k, slot=1), 95).alias("pagado"),
-                                    D.bernoulli(D.u(SEED, "q.b", k, slot=2), 20).alias("segundo"))
+    k = "o_orderkey"
+    return h.table("orders").selectExpr("o_orderkey", f"{D.bernoulli(D.u(SEED, 'q.b', k, slot=0), 85)} AS activo",
+                                        f"{D.bernoulli(D.u(SEED, 'q.b', k, slot=1), 95)} AS pagado",
+                                        f"{D.bernoulli(D.u(SEED, 'q.b', k, slot=2), 20)} AS segundo")
 
 
 @query
 def q_draw_trunc_normal(h: Harness) -> DataFrame:
-    c = F.col("c_custkey")
-    return h.table("customer").select("c_custkey", D.trunc_normal_int(SEED, "q.age", c, 45, 15, 0, 116).alias("age_pac"),
-                                      D.trunc_normal_int(SEED, "q.agemed", c, 45, 15, 23, 70).alias("age_med"))
+    c = "c_custkey"
+    return h.table("customer").selectExpr("c_custkey", f"{D.trunc_normal_int(SEED, 'q.age', c, 45, 15, 0, 116)} AS age_pac",
+                                          f"{D.trunc_normal_int(SEED, 'q.agemed', c, 45, 15, 23, 70)} AS age_med")
 
 
 @query
 def q_draw_exp_clipped(h: Harness) -> DataFrame:
-    e = F.col("event_id")
-    return h.table("events").select("event_id", D.exp_clipped_ms(D.u(SEED, "q.exp", e, slot=0), 45, 180, 60_000).alias("wait_ms"),
-                                    D.exp_clipped_ms(D.u(SEED, "q.exp", e, slot=1), 1, 360, 3_600_000).alias("lead_ms"))
+    e = "event_id"
+    return h.table("events").selectExpr("event_id", f"{D.exp_clipped_ms(D.u(SEED, 'q.exp', e, slot=0), 45, 180, 60_000)} AS wait_ms",
+                                        f"{D.exp_clipped_ms(D.u(SEED, 'q.exp', e, slot=1), 1, 360, 3_600_000)} AS lead_ms")
 
 
 @query
 def q_draw_date(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    c = F.col("c_custkey")
+    c = "c_custkey"
     d1 = D.draw_date(D.u(SEED, "q.date", c, slot=0), R.lit_date(cfg.founding), R.lit_date(cfg.as_of))
-    df = h.table("customer").select("c_custkey", d1.alias("d1"))
-    return df.withColumn("d2", D.draw_date(D.u(SEED, "q.date", c, slot=1), F.col("d1"), R.lit_date(cfg.as_of)))
+    df = h.table("customer").selectExpr("c_custkey", f"{d1} AS d1")
+    return df.selectExpr("*", f"{D.draw_date(D.u(SEED, 'q.date', c, slot=1), 'd1', R.lit_date(cfg.as_of))} AS d2")
 
 
 @query
 def q_draw_timestamp(h: Harness) -> DataFrame:
-    o = F.col("o_orderdate")
-    return h.table("orders").select("o_orderkey", D.draw_timestamp(D.u(SEED, "q.ts", F.col("o_orderkey")), o, F.timestamp_add("DAY", F.lit(14), o)).alias("ts"))
+    return h.table("orders").selectExpr("o_orderkey", f"{D.draw_timestamp(D.u(SEED, 'q.ts', 'o_orderkey'), 'o_orderdate', 'timestampadd(DAY, 14, o_orderdate)')} AS ts")
 
 
 @query
@@ -217,16 +216,16 @@ def q_shuffle_multiset(h: Harness) -> DataFrame:
 def _spec_pick(h: Harness, key: str, label: str) -> DataFrame:
     cfg = _cfg(h)
     d = dims(h.spark, cfg)
-    df = h.table("orders").select(key, D.draw_int(D.u(SEED, label, F.col(key)), 1, len(cfg.specialties)).alias("n_esp"))
-    return lookup(df, d["specialty"], "n_esp", "inner")
+    df = h.table("orders").selectExpr(key, f"{D.draw_int(D.u(SEED, label, key), 1, len(cfg.specialties))} AS n_esp")
+    return lookup(df, d["specialty"], "n_esp", "inner")  # chained map lookup as a broadcast join (2.5.9)
 
 
 @query
 def q_draw_two_distinct(h: Harness) -> DataFrame:
     df = _spec_pick(h, "o_orderkey", "q.spec")
-    k = F.col("o_orderkey")
-    d1, d2 = D.draw_two_distinct(D.u(SEED, "q.diag", k, slot=0), D.u(SEED, "q.diag", k, slot=1), D.u(SEED, "q.diag", k, slot=2), F.col("cie10"), 20)
-    return df.select("o_orderkey", "especialidad", d1.alias("diag1"), d2.alias("diag2"))
+    k = "o_orderkey"
+    d1, d2 = D.draw_two_distinct(D.u(SEED, "q.diag", k, slot=0), D.u(SEED, "q.diag", k, slot=1), D.u(SEED, "q.diag", k, slot=2), "cie10", 20)
+    return df.selectExpr("o_orderkey", "especialidad", f"{d1} AS diag1", f"{d2} AS diag2")
 
 
 @query
@@ -238,27 +237,27 @@ def q_price_chain(h: Harness) -> DataFrame:
 def q_nested_choice(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     d = dims(h.spark, cfg)
-    k = F.col("p_partkey")
-    df = h.table("part").select("p_partkey", D.draw_int(D.u(SEED, "q.nest", k, slot=0), 1, len(cfg.specialties)).alias("n_esp"))
+    k = "p_partkey"
+    df = h.table("part").selectExpr("p_partkey", f"{D.draw_int(D.u(SEED, 'q.nest', k, slot=0), 1, len(cfg.specialties))} AS n_esp")
     df = lookup(df, d["specialty"], "n_esp", "inner")
-    return df.select("p_partkey", F.col("especialidad").alias("esp_principal"),
-                     D.draw_element(D.u(SEED, "q.nest", k, slot=1), F.col("subespecialidades")).alias("esp_secundaria"))
+    return df.selectExpr("p_partkey", "especialidad AS esp_principal",
+                         f"{D.draw_element(D.u(SEED, 'q.nest', k, slot=1), 'subespecialidades')} AS esp_secundaria")
 
 
 def _patient_rules(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    c = F.col("c_custkey")
-    df = h.table("customer").select("c_custkey", "c_name",
-                                    D.trunc_normal_int(SEED, "q.age", c, 45, 15, 0, 116).alias("age"),
-                                    D.draw_int(D.u(SEED, "q.pr", c, slot=0), 1, len(cfg.cities)).alias("id_ciudad"))
-    df = df.withColumn("tip_doc", R.doc_type(F.col("age"), F.col("id_ciudad"), D.u(SEED, "q.pr", c, slot=1), cfg))
-    num = R.doc_number(F.col("tip_doc"), F.col("id_ciudad"), D.u(SEED, "q.pr", c, slot=2), D.u(SEED, "q.pr", c, slot=3), D.u(SEED, "q.pr2", c, slot=0), cfg)
-    return df.withColumn("num_doc", num)
+    c = "c_custkey"
+    df = h.table("customer").selectExpr("c_custkey", "c_name",
+                                        f"{D.trunc_normal_int(SEED, 'q.age', c, 45, 15, 0, 116)} AS age",
+                                        f"{D.draw_int(D.u(SEED, 'q.pr', c, slot=0), 1, len(cfg.cities))} AS id_ciudad")
+    df = df.selectExpr("*", f"{R.doc_type('age', 'id_ciudad', D.u(SEED, 'q.pr', c, slot=1), cfg)} AS tip_doc")
+    num = R.doc_number("tip_doc", "id_ciudad", D.u(SEED, "q.pr", c, slot=2), D.u(SEED, "q.pr", c, slot=3), D.u(SEED, "q.pr2", c, slot=0), cfg)
+    return df.selectExpr("*", f"{num} AS num_doc")
 
 
 @query
 def q_doc_number(h: Harness) -> DataFrame:
-    return _patient_rules(h).select("c_custkey", "tip_doc", "num_doc", R.pseudonymize(F.col("num_doc")).alias("num_doc_hash"))
+    return _patient_rules(h).selectExpr("c_custkey", "tip_doc", "num_doc", f"{R.pseudonymize('num_doc')} AS num_doc_hash")
 
 
 @query
@@ -268,45 +267,45 @@ def q_doc_type(h: Harness) -> DataFrame:
 
 @query
 def q_country_band(h: Harness) -> DataFrame:
-    return _patient_rules(h).select("c_custkey", "id_ciudad", R.country_band(F.col("id_ciudad")).alias("id_pais"))
+    return _patient_rules(h).selectExpr("c_custkey", "id_ciudad", f"{R.country_band('id_ciudad')} AS id_pais")
 
 
 @query
 def q_pseudonymize(h: Harness) -> DataFrame:
-    return h.table("customer").select("c_custkey", R.pseudonymize(F.col("c_name")).alias("name_hash"))
+    return h.table("customer").selectExpr("c_custkey", f"{R.pseudonymize('c_name')} AS name_hash")
 
 
 @query
 def q_birth_date(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     df = _patient_rules(h).select("c_custkey", "age")
-    return df.withColumn("fec_nac", R.birth_date(R.lit_date(cfg.as_of), F.col("age"), D.u(SEED, "q.dob", F.col("c_custkey"))))
+    return df.selectExpr("*", f"{R.birth_date(R.lit_date(cfg.as_of), 'age', D.u(SEED, 'q.dob', 'c_custkey'))} AS fec_nac")
 
 
 @query
 def q_hire_date(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    k = F.col("p_partkey")
-    df = h.table("part").select("p_partkey", D.trunc_normal_int(SEED, "q.agemed", k, 45, 15, 23, 70).alias("age"))
-    df = df.withColumn("fec_min", R.earliest_hire(R.lit_date(cfg.as_of), F.col("age"), 23))
-    lo = F.greatest(F.col("fec_min"), R.lit_date(cfg.founding))
-    return df.withColumn("fec_ingreso", D.draw_date(D.u(SEED, "q.hire", k), lo, R.lit_date(cfg.as_of)))
+    k = "p_partkey"
+    df = h.table("part").selectExpr("p_partkey", f"{D.trunc_normal_int(SEED, 'q.agemed', k, 45, 15, 23, 70)} AS age")
+    df = df.selectExpr("*", f"{R.earliest_hire(R.lit_date(cfg.as_of), 'age', 23)} AS fec_min")
+    lo = f"greatest(fec_min, {R.lit_date(cfg.founding)})"
+    return df.selectExpr("*", f"{D.draw_date(D.u(SEED, 'q.hire', k), lo, R.lit_date(cfg.as_of))} AS fec_ingreso")
 
 
 @query
 def q_insurer(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     d = dims(h.spark, cfg)
-    c = F.col("c_custkey")
+    c = "c_custkey"
     tip, id_eps = R.insurer(D.u(SEED, "q.ins", c, slot=0), D.u(SEED, "q.ins", c, slot=1), cfg)
-    df = h.table("customer").select("c_custkey", tip.alias("tip_aseguradora"), id_eps.alias("id_eps"))
+    df = h.table("customer").selectExpr("c_custkey", f"{tip} AS tip_aseguradora").selectExpr("*", f"{id_eps} AS id_eps")
     return lookup(df, d["insurer"], "id_eps").select("c_custkey", "tip_aseguradora", "id_eps", "eps")
 
 
 # ----------------------------------------------------- accept / reject, ids
 def _attempt_rows(h: Harness) -> DataFrame:
     o = h.table("orders").select(F.col("o_orderkey").alias("t"), "o_orderstatus")
-    return o.withColumn("accepted", (F.col("o_orderstatus") != "P") & (D.u(SEED, "q.acc", F.col("t")) < F.lit(0.9)))
+    return o.selectExpr("*", f"o_orderstatus <> 'P' AND {D.u(SEED, 'q.acc', 't')} < 0.9D AS accepted")
 
 
 @query
@@ -333,7 +332,7 @@ def q_phase_union(h: Harness) -> DataFrame:
     a = o.filter(F.col("o_orderpriority") == "1-URGENT")
     a = O.dense_ids(a, "o_orderkey", "id")
     n_a = a.count()
-    b = o.filter((F.col("o_orderpriority") != "1-URGENT") & (D.u(SEED, "q.phase", F.col("o_orderkey")) < F.lit(0.9)))
+    b = o.filter(F.expr(f"o_orderpriority <> '1-URGENT' AND {D.u(SEED, 'q.phase', 'o_orderkey')} < 0.9D"))
     b = O.dense_ids(b, "o_orderkey", "id", start=n_a + 1)
     return (a.select("id", "o_orderkey", F.lit(C.VISIT_KINDS[0]).alias("phase"))
             .unionByName(b.select("id", "o_orderkey", F.lit(C.VISIT_KINDS[1]).alias("phase"))))
@@ -347,12 +346,12 @@ def q_row_count(h: Harness) -> DataFrame:
 # ------------------------------------------------------------------- joins
 def _patients_dates(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    return h.table("customer").select((F.col("c_custkey") + 1).alias("pac_id"), _day_draw("q.first", "c_custkey", cfg).alias("fec_primer_atencion"))
+    return h.table("customer").selectExpr("c_custkey + 1 AS pac_id", f"{_day_draw('q.first', 'c_custkey', cfg)} AS fec_primer_atencion")
 
 
 def _physicians_dates(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    return h.table("part").select((F.col("p_partkey") + 1).alias("med_id"), _day_draw("q.hire2", "p_partkey", cfg).alias("fec_ingreso"))
+    return h.table("part").selectExpr("p_partkey + 1 AS med_id", f"{_day_draw('q.hire2', 'p_partkey', cfg)} AS fec_ingreso")
 
 
 @query
@@ -366,17 +365,16 @@ def q_dispense_join(h: Harness) -> DataFrame:
     li = h.table("lineitem").select("l_orderkey", "l_linenumber")
     o = h.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     df = li.join(o, "l_orderkey")
-    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    od = F.col("o_orderdate")
-    return df.select("l_orderkey", "l_linenumber", "o_custkey",
-                     D.draw_timestamp(D.u(SEED, "q.disp", k), od, F.timestamp_add("DAY", F.lit(14), od)).alias("fec_dispensacion"))
+    k = "l_orderkey * 8 + l_linenumber"
+    return df.selectExpr("l_orderkey", "l_linenumber", "o_custkey",
+                         f"{D.draw_timestamp(D.u(SEED, 'q.disp', k), 'o_orderdate', 'timestampadd(DAY, 14, o_orderdate)')} AS fec_dispensacion")
 
 
 @query
 def q_eligible_pick_le(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     pats = _patients_dates(h)
-    out = E.eligible_pick(pats, "fec_primer_atencion", D.u(SEED, "q.le", F.col("pac_id")), _physicians_dates(h),
+    out = E.eligible_pick(pats, "fec_primer_atencion", D.u(SEED, "q.le", "pac_id"), _physicians_dates(h),
                           "fec_ingreso", "med_id", [], SEED, "q.elig.med", "le", TB._date_bound(cfg))
     return out.select("pac_id", "pool_size", "med_id")
 
@@ -385,7 +383,7 @@ def q_eligible_pick_le(h: Harness) -> DataFrame:
 def q_eligible_pick_ge(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     meds = _physicians_dates(h)
-    out = E.eligible_pick(meds, "fec_ingreso", D.u(SEED, "q.ge", F.col("med_id")), _patients_dates(h),
+    out = E.eligible_pick(meds, "fec_ingreso", D.u(SEED, "q.ge", "med_id"), _patients_dates(h),
                           "fec_primer_atencion", "pac_id", [], SEED, "q.elig.pac", "ge", TB._date_bound(cfg))
     return out.select("med_id", "pool_size", "pac_id")
 
@@ -423,7 +421,7 @@ def q_bed_grid(h: Harness) -> DataFrame:
     n_sites = h.count("nation")
     st = st.withColumn("id_sede", (F.col("site") % n_sites + 1).cast("bigint"))
     act = TM.explode_hours(st, "start", "end", lo, hi, out="hour")
-    act = act.withColumn("unit_pos", D.draw_int(D.u(SEED, "q.unit", F.col("event_id")), 0, len(cfg.units) - 1).cast("int"))
+    act = act.selectExpr("*", f"CAST({D.draw_int(D.u(SEED, 'q.unit', 'event_id'), 0, len(cfg.units) - 1)} AS INT) AS unit_pos")
     counts = act.groupBy("hour", "id_sede", "unit_pos").agg(F.count(F.lit(1)).alias("n_active"))
     grid = TM.dense_grid(h.spark, n, n_sites, cfg.units, hi, id_col="cell_id")
     out = grid.join(counts, ["hour", "id_sede", "unit_pos"], "left")
@@ -443,8 +441,7 @@ def q_budget_alloc(h: Harness) -> DataFrame:
     per = cells.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_cells"))
     cells = cells.join(per, "s_nationkey")
     limit = F.col("n_cells") * 200
-    mean = F.floor(limit / F.col("n_cells")).cast("bigint")
-    cells = cells.withColumn("_draw", A.bed_draw(SEED, "q.beds", F.col("cell"), mean))
+    cells = cells.withColumn("_draw", A.bed_draw(SEED, "q.beds", "cell", "CAST(floor(n_cells * 200 / n_cells) AS BIGINT)"))
     out = A.budget_alloc(cells, "cell", F.col("_draw"), limit, partition=["s_nationkey"])
     return out.select("s_suppkey", "unit_pos", "alloc")
 
@@ -452,9 +449,9 @@ def q_budget_alloc(h: Harness) -> DataFrame:
 @query
 def q_bed_availability(h: Harness) -> DataFrame:
     cells = _supplier_cells(h)
-    cells = cells.withColumn("cap", D.draw_int(D.u(SEED, "q.avail", F.col("cell"), slot=0), 0, 60))
-    cells = cells.withColumn("occ", D.draw_int(D.u(SEED, "q.avail", F.col("cell"), slot=1), F.lit(0), F.col("cap")))
-    out = A.bed_availability(cells, F.col("cap"), F.col("occ"), D.u(SEED, "q.avail", F.col("cell"), slot=2))
+    cells = cells.selectExpr("*", f"{D.draw_int(D.u(SEED, 'q.avail', 'cell', slot=0), 0, 60)} AS cap")
+    cells = cells.selectExpr("*", f"{D.draw_int(D.u(SEED, 'q.avail', 'cell', slot=1), 0, 'cap')} AS occ")
+    out = A.bed_availability(cells, F.col("cap"), F.col("occ"), D.u(SEED, "q.avail", "cell", slot=2))
     return out.select("s_suppkey", "unit_pos", "num_camas_disp", "num_camas_mant", "motivo_indisponibilidad")
 
 
@@ -463,8 +460,7 @@ def q_capacity_fill(h: Harness) -> DataFrame:
     st = h.stays()
     lo, hi = events_grid_bounds(st)
     act = TM.explode_hours(st, "start", "end", lo, hi, out="hour")
-    for j, c in enumerate(TB.CAP_COLS):
-        act = act.withColumn(c, D.draw_int(D.u(SEED, "q.caps", F.col("site"), slot=j), 0, 3))
+    act = act.selectExpr("*", *[f"{D.draw_int(D.u(SEED, 'q.caps', 'site', slot=j), 0, 3)} AS {c}" for j, c in enumerate(TB.CAP_COLS)])
     act = act.withColumn("hour_no", F.timestamp_diff("HOUR", lo, F.col("hour")))
     occ = A.capacity_fill(act, ["site", "hour_no"], "event_id", TB.CAP_COLS, SEED, "q.fill", unit_col="unit_pos", out="occupied")
     return occ.select("site", "hour_no", "unit_pos", "occupied")
@@ -474,12 +470,12 @@ def q_capacity_fill(h: Harness) -> DataFrame:
 def _visits(h: Harness) -> DataFrame:
     cfg = _cfg(h)
     ev = h.table("events").select("event_id", "ts")
-    e = F.col("event_id")
-    day = F.to_date(F.col("ts"))
+    e = "event_id"
+    day = "to_date(ts)"
     lo_h, hi_h = cfg.clinic_hours
-    df = ev.withColumn("prog", D.draw_timestamp(D.u(SEED, "q.visit", e, slot=0), R.at_hour(day, lo_h), R.at_hour(day, hi_h)))
-    sched, arr, start = R.visit_times(F.col("prog"), R.lit_date(EVENTS_AS_OF), D.u(SEED, "q.visit", e, slot=1), D.u(SEED, "q.visit", e, slot=2), cfg)
-    return df.select("event_id", "prog", sched.alias("hra_cita_programada"), arr.alias("hra_llegada_paciente"), start.alias("hra_inicio_atencion"))
+    df = ev.selectExpr("event_id", f"{D.draw_timestamp(D.u(SEED, 'q.visit', e, slot=0), R.at_hour(day, lo_h), R.at_hour(day, hi_h))} AS prog")
+    sched, arr, start = R.visit_times("prog", R.lit_date(EVENTS_AS_OF), D.u(SEED, "q.visit", e, slot=1), D.u(SEED, "q.visit", e, slot=2), cfg)
+    return df.selectExpr("event_id", "prog", f"{sched} AS hra_cita_programada", f"{arr} AS hra_llegada_paciente", f"{start} AS hra_inicio_atencion")
 
 
 @query
@@ -490,7 +486,7 @@ def q_visit_times(h: Harness) -> DataFrame:
 @query
 def q_visit_status(h: Harness) -> DataFrame:
     v = _visits(h)
-    return v.select("event_id", "hra_inicio_atencion", R.visit_status(F.col("prog"), F.col("hra_inicio_atencion"), R.lit_date(EVENTS_AS_OF)).alias("estado_cita"))
+    return v.selectExpr("event_id", "hra_inicio_atencion", f"{R.visit_status('prog', 'hra_inicio_atencion', R.lit_date(EVENTS_AS_OF))} AS estado_cita")
 
 
 # ----------------------------------------------------------------- tables

@@ -64,9 +64,9 @@ def budget_alloc(
     return c.withColumn(out, checked.cast("bigint")).drop("_extra", "_n", "_last", "_limit", "_blk", "_C")
 
 
-def bed_draw(seed: int, label: str, key: Column, mean: Column | int) -> Column:
-    """|int(N(mean, 500))| per cell (2.4.7)."""
-    return D.folded_normal_int(D.u(seed, label, key, slot=0), D.u(seed, label, key, slot=1), mean, C.BED_SD)
+def bed_draw(seed: int, label: str, key: str, mean: str | int) -> Column:
+    """|int(N(mean, 500))| per cell (2.4.7); ``key`` / ``mean`` are SQL snippets."""
+    return D.col(D.folded_normal_int(D.u(seed, label, key, slot=0), D.u(seed, label, key, slot=1), mean, C.BED_SD))
 
 
 # ------------------------------------------------------------ capacity fill
@@ -100,8 +100,7 @@ def capacity_fill(
     g = list(group)
     n_units = len(caps)
     base = stays.select(*g, stay_id, *caps)
-    base = (base.withColumn("_o", D.u(seed, f"{label}.order", F.col(stay_id), *[F.col(k) for k in g]))
-                .withColumn("_v", D.u(seed, f"{label}.pick", F.col(stay_id), *[F.col(k) for k in g])))
+    base = base.selectExpr("*", f"{D.u(seed, f'{label}.order', stay_id, *g)} AS _o", f"{D.u(seed, f'{label}.pick', stay_id, *g)} AS _v")
     sizes = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.first(cp).alias(cp) for cp in caps])
     state = sizes.select(*g, F.lit(0).cast("bigint").alias("_P"), F.col("_n").alias("_nrem"),
                          F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps]).alias("_rem"),
@@ -148,7 +147,7 @@ def capacity_fill(
 
 
 # ---------------------------------------------------------- availability
-def bed_availability(cells: DataFrame, cap: Column, occupied: Column, u_maint: Column) -> DataFrame:
+def bed_availability(cells: DataFrame, cap: Column, occupied: Column, u_maint: str) -> DataFrame:
     """Available, maintenance and reason columns for bed cells (2.7.3).
 
     Available = capacity - occupied (maintenance is drawn afterwards and not
@@ -156,7 +155,7 @@ def bed_availability(cells: DataFrame, cap: Column, occupied: Column, u_maint: C
     """
     disp = (cap - occupied).cast("bigint")
     cells = cells.withColumn("num_camas_disp", disp)
-    maint = D.draw_int(u_maint, F.lit(0), F.floor(F.col("num_camas_disp") * F.lit(C.PCT_MAINTENANCE)).cast("bigint"))
-    cells = cells.withColumn("num_camas_mant", maint)
+    maint = D.draw_int(u_maint, 0, f"CAST(floor(num_camas_disp * {D.s(C.PCT_MAINTENANCE)}) AS BIGINT)")
+    cells = cells.withColumn("num_camas_mant", D.col(maint))
     return cells.withColumn("motivo_indisponibilidad",
                             F.when(F.col("num_camas_mant") > 0, F.lit(C.MAINTENANCE_REASON)).otherwise(F.lit("")))

@@ -55,7 +55,7 @@ def rank_pool(
     if direction not in ("le", "ge"):
         raise ValueError("direction must be 'le' or 'ge'")
     sign = 1 if direction == "le" else -1
-    p = pool.withColumn("_ok", epoch_day(F.col(pool_date)) * F.lit(sign)).withColumn("_tb", D.u(seed, f"{label}.tb", F.col(pool_id)))
+    p = pool.withColumn("_ok", epoch_day(F.col(pool_date)) * F.lit(sign)).withColumn("_tb", D.col(D.u(seed, f"{label}.tb", pool_id)))
     counts = p.groupBy("_ok").agg(F.count(F.lit(1)).alias("_cnt"))
     # blocks inside one date: floor(tb * S_d), S_d = ceil(cnt / block_rows)
     sub = counts.select("_ok", F.greatest(F.lit(1), F.ceil(F.col("_cnt") / F.lit(block_rows))).cast("bigint").alias("_s"))
@@ -67,7 +67,7 @@ def rank_pool(
 def eligible_pick(
     left: DataFrame,
     left_date: str,
-    u_pick: Column,
+    u_pick: Column | str,
     pool: DataFrame,
     pool_date: str,
     pool_id: str,
@@ -87,6 +87,7 @@ def eligible_pick(
     """
     sign = 1 if direction == "le" else -1
     ranked, counts = rank_pool(pool, pool_date, pool_id, seed, label, direction, date_bound, block_rows)
+    u_pick = D.col(u_pick) if isinstance(u_pick, str) else u_pick
     l = left.withColumn("_lk", epoch_day(F.col(left_date)) * F.lit(sign)).withColumn("_pu", u_pick)
     # k(L) = #pool rows with _ok <= L: running count over the union of keys
     keys = l.select(F.col("_lk").alias("_ok")).distinct().withColumn("_cnt", F.lit(0).cast("bigint"))

@@ -116,7 +116,7 @@ def sample_without_replacement(
     ordered by a seeded uniform (ties by key) and the first ``n`` are kept.
     No single-partition sort: the order is ranked block-wise.
     """
-    with_u = df.withColumn("_su", D.u(seed, label, F.col(key)))
+    with_u = df.withColumn("_su", D.col(D.u(seed, label, key)))
     ranked = uniform_rank(with_u, "_su", key, out=out, expected_rows=expected_rows, block_rows=block_rows)
     return ranked.filter(F.col(out) <= F.lit(n)).drop("_su")
 
@@ -153,11 +153,8 @@ def shuffle_multiset(
     total = bounds[-1][1] if bounds else 0
     if total != n:
         raise ValueError(f"multiset has {total} elements, expected {n}")
-    e = F.col("_e")
-    value = F.lit(None).cast("string")
-    for v, hi in reversed(bounds):
-        value = F.when(e < F.lit(hi), F.lit(v)).otherwise(value)
-    elems = spark.range(0, n, 1, max(1, n // block_rows + 1)).withColumnRenamed("id", "_e").withColumn(value_col, value)
-    elems = elems.withColumn("_mu", D.u(seed, label, e))
+    whens = " ".join(f"WHEN id < {hi} THEN {D.lit_str(v)}" for v, hi in bounds)
+    elems = spark.range(0, n, 1, max(1, n // block_rows + 1)).selectExpr(
+        "id AS _e", f"CAST(CASE {whens} END AS STRING) AS {value_col}", f"{D.u(seed, label, 'id')} AS _mu")
     ranked = uniform_rank(elems, "_mu", "_e", out=pos_col, expected_rows=n, block_rows=block_rows)
     return ranked.select(F.col(pos_col).cast("bigint"), F.col(value_col))

@@ -4,11 +4,13 @@ Every builder takes an optional *spine* (a DataFrame of ids): by default a
 ``spark.range`` of the configured length; the harness passes ids derived from
 its tables instead. Draws are keyed on the output row id, so a row's values
 do not depend on partitioning, retries or the order rows are produced in.
+Column expressions are assembled as SQL text and applied with one
+``selectExpr`` per step; configuration lookups are constant arrays / maps.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinicgen import config as C
@@ -18,7 +20,8 @@ from clinicgen.operators import allocate as A
 from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as T
-from clinicgen.sources.dims import dims, lookup
+from clinicgen.session import cut_lineage
+from clinicgen.sources.dims import by_index, spec_lookups
 
 CAP_COLS = ["cap_camas_gen", "cap_camas_uci", "cap_camas_cirugia", "cap_camas_urg"]
 
@@ -37,60 +40,59 @@ def _date_bound(cfg: C.Config) -> int:
 def build_pac_registro(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
     """Patients (2.9.1)."""
     s = cfg.seed
-    d = dims(spark, cfg)
     ids = ids if ids is not None else spine(spark, cfg.length("pac_registro"), "pac_id")
-    pid = F.col("pac_id")
+    k = "pac_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
-    df = ids.select(
-        pid,
-        D.trunc_normal_int(s, "pac.age", pid, C.AGE_MEAN, C.AGE_SD, int(cfg.pac["min_age"]), int(cfg.pac["max_age"])).alias("_age"),
-        D.draw_int(D.u(s, "pac.a", pid, slot=0), 1, len(cfg.cities)).alias("id_ciudad_res"),
-    )
-    city = F.col("id_ciudad_res")
-    tip_doc = R.doc_type(F.col("_age"), city, D.u(s, "pac.a", pid, slot=2), cfg)
-    df = df.withColumn("fec_nac", R.birth_date(as_of, F.col("_age"), D.u(s, "pac.a", pid, slot=1))).withColumn("tip_doc", tip_doc)
-    num = R.doc_number(F.col("tip_doc"), city, D.u(s, "pac.a", pid, slot=3), D.u(s, "pac.b", pid, slot=0), D.u(s, "pac.b", pid, slot=1), cfg)
-    tip_ins, id_eps = R.insurer(D.u(s, "pac.b", pid, slot=3), D.u(s, "pac.c", pid, slot=0), cfg)
-    df = df.select(
+    p = cfg.pac
+    step1 = ids.selectExpr(
+        k,
+        f"{D.trunc_normal_int(s, 'pac.age', k, C.AGE_MEAN, C.AGE_SD, int(p['min_age']), int(p['max_age']))} AS _age",
+        f"{D.draw_int(D.u(s, 'pac.a', k, slot=0), 1, len(cfg.cities))} AS id_ciudad_res")
+    step2 = step1.selectExpr(
         "*",
-        R.pseudonymize(num).alias("num_doc_hash"),
-        D.weighted_choice(D.u(s, "pac.b", pid, slot=2), cfg.genders).alias("genero"),
-        tip_ins.alias("tip_aseguradora"),
-        D.weighted_choice(D.u(s, "pac.c", pid, slot=1), cfg.strata).alias("estrato_socioec"),
-        D.draw_date(D.u(s, "pac.c", pid, slot=2), F.greatest(F.col("fec_nac"), founding), as_of).alias("fec_primer_atencion"),
-        D.bernoulli(D.u(s, "pac.c", pid, slot=3), C.PCT_ACTIVE_PATIENT).alias("activo"),
-    ).withColumn("id_eps", F.when(F.col("tip_aseguradora").isNotNull(), D.draw_int(D.u(s, "pac.c", pid, slot=0), 1, len(cfg.insurers))))
-    df = lookup(df, d["city"].select(F.col("id_ciudad").alias("id_ciudad_res"), F.col("ciudad").alias("ciudad_res")), "id_ciudad_res")
-    df = lookup(df, d["insurer"], "id_eps")
-    return df.select(*cfg.columns("pac_registro"))
+        f"{R.birth_date(as_of, '_age', D.u(s, 'pac.a', k, slot=1))} AS fec_nac",
+        f"{R.doc_type('_age', 'id_ciudad_res', D.u(s, 'pac.a', k, slot=2), cfg)} AS tip_doc",
+        f"{D.draw_element(D.u(s, 'pac.b', k, slot=3), p['tips_aseguradoras'])} AS tip_aseguradora")
+    num = R.doc_number("tip_doc", "id_ciudad_res", D.u(s, "pac.a", k, slot=3), D.u(s, "pac.b", k, slot=0), D.u(s, "pac.b", k, slot=1), cfg)
+    _, id_eps = R.insurer(D.u(s, "pac.b", k, slot=3), D.u(s, "pac.c", k, slot=0), cfg)
+    step3 = step2.selectExpr(
+        k, "tip_doc", f"{R.pseudonymize(num)} AS num_doc_hash", "fec_nac",
+        f"{D.weighted_choice(D.u(s, 'pac.b', k, slot=2), cfg.genders)} AS genero",
+        "id_ciudad_res", f"{by_index(cfg.cities, 'id_ciudad_res')} AS ciudad_res",
+        "tip_aseguradora", f"{id_eps} AS id_eps",
+        f"{D.weighted_choice(D.u(s, 'pac.c', k, slot=1), cfg.strata)} AS estrato_socioec",
+        f"{D.draw_date(D.u(s, 'pac.c', k, slot=2), f'greatest(fec_nac, {founding})', as_of)} AS fec_primer_atencion",
+        f"{D.bernoulli(D.u(s, 'pac.c', k, slot=3), C.PCT_ACTIVE_PATIENT)} AS activo")
+    out = step3.selectExpr("*", f"{by_index(cfg.insurers, 'id_eps')} AS eps")
+    return out.select(*cfg.columns("pac_registro"))
 
 
 # ---------------------------------------------------------------- physicians
 def build_med_planta(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
-    """Physicians (2.9.2)."""
+    """Physicians (2.9.2): specialty, then sub-specialty within it (2.4.14)."""
     s = cfg.seed
-    d = dims(spark, cfg)
     ids = ids if ids is not None else spine(spark, cfg.length("med_planta"), "med_id")
-    mid = F.col("med_id")
+    k = "med_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
     lo_age, hi_age = int(cfg.med["min_age_med"]), int(cfg.med["max_age_med"])
-    df = ids.select(
-        mid,
-        D.draw_int(D.u(s, "med.a", mid, slot=0), 1, len(cfg.specialties)).alias("n_esp"),
-        D.draw_int(D.u(s, "med.a", mid, slot=2), 1, cfg.length("red_sedes")).alias("id_sede"),
-        D.trunc_normal_int(s, "med.age", mid, C.AGE_MEAN, C.AGE_SD, lo_age, hi_age).alias("_age"),
-    )
-    df = lookup(df, d["specialty"].select("n_esp", F.col("especialidad").alias("esp_principal"), "subespecialidades"), "n_esp", "inner")
-    lo = F.greatest(R.earliest_hire(as_of, F.col("_age"), lo_age), founding)
-    df = df.select(
-        "*",
-        D.draw_element(D.u(s, "med.a", mid, slot=1), F.col("subespecialidades")).alias("esp_secundaria"),
-        D.draw_date(D.u(s, "med.a", mid, slot=3), lo, as_of).alias("fec_ingreso"),
-        D.weighted_choice(D.u(s, "med.b", mid, slot=0), cfg.contracts).alias("tip_contrato"),
-        D.weighted_choice(D.u(s, "med.b", mid, slot=1), cfg.shifts).alias("jornada"),
-        D.bernoulli(D.u(s, "med.b", mid, slot=2), C.PCT_ACTIVE_PHYSICIAN).alias("estado_activo"),
-    )
-    return df.select(*cfg.columns("med_planta"))
+    names = [e for e, _ in cfg.specialties]
+    subs = "array(" + ", ".join(D.str_array(x) for _, x in cfg.specialties) + ")"
+    step1 = ids.selectExpr(
+        k,
+        f"{D.draw_int(D.u(s, 'med.a', k, slot=0), 1, len(cfg.specialties))} AS _n_esp",
+        f"{D.draw_int(D.u(s, 'med.a', k, slot=2), 1, cfg.length('red_sedes'))} AS id_sede",
+        f"{D.trunc_normal_int(s, 'med.age', k, C.AGE_MEAN, C.AGE_SD, lo_age, hi_age)} AS _age")
+    lo = f"greatest({R.earliest_hire(as_of, '_age', lo_age)}, {founding})"
+    out = step1.selectExpr(
+        k,
+        f"{by_index(names, '_n_esp')} AS esp_principal",
+        f"{D.draw_element(D.u(s, 'med.a', k, slot=1), f'element_at({subs}, CAST(_n_esp AS INT))')} AS esp_secundaria",
+        "id_sede",
+        f"{D.draw_date(D.u(s, 'med.a', k, slot=3), lo, as_of)} AS fec_ingreso",
+        f"{D.weighted_choice(D.u(s, 'med.b', k, slot=0), cfg.contracts)} AS tip_contrato",
+        f"{D.weighted_choice(D.u(s, 'med.b', k, slot=1), cfg.shifts)} AS jornada",
+        f"{D.bernoulli(D.u(s, 'med.b', k, slot=2), C.PCT_ACTIVE_PHYSICIAN)} AS estado_activo")
+    return out.select(*cfg.columns("med_planta"))
 
 
 # --------------------------------------------------------------------- sites
@@ -100,7 +102,7 @@ def bed_matrix(spark: SparkSession, cfg: C.Config) -> DataFrame:
     cells = n * len(units)
     mean = int(cfg.bed_limit / cells)
     grid = spark.range(0, cells, 1, 1).select(F.col("id").alias("cell"))
-    grid = grid.withColumn("_draw", A.bed_draw(cfg.seed, "site.beds", F.col("cell"), mean))
+    grid = grid.withColumn("_draw", A.bed_draw(cfg.seed, "site.beds", "cell", mean))
     alloc = A.budget_alloc(grid, "cell", F.col("_draw"), cfg.bed_limit)
     alloc = alloc.withColumn("id_sede", (F.floor(F.col("cell") / len(units)) + 1).cast("bigint")).withColumn("pos", F.col("cell") % len(units))
     return alloc.groupBy("id_sede").agg(*[F.max(F.when(F.col("pos") == j, F.col("alloc"))).alias(c) for j, c in enumerate(CAP_COLS[: len(units)])])
@@ -109,62 +111,62 @@ def bed_matrix(spark: SparkSession, cfg: C.Config) -> DataFrame:
 def build_red_sedes(spark: SparkSession, cfg: C.Config) -> DataFrame:
     """Sites (2.9.3): distinct cities, shuffled site types, bed budget."""
     s, n = cfg.seed, cfg.length("red_sedes")
-    d = dims(spark, cfg)
     if n > len(cfg.cities):
         raise ValueError(f"{n} sites need {n} distinct cities; only {len(cfg.cities)} configured")
-    cities = O.sample_without_replacement(d["city"], "id_ciudad", n, s, "site.city", out="id_sede", expected_rows=len(cfg.cities))
+    city_ids = spark.range(1, len(cfg.cities) + 1, 1, 1).select(F.col("id").alias("id_ciudad"))
+    cities = O.sample_without_replacement(city_ids, "id_ciudad", n, s, "site.city", out="id_sede", expected_rows=len(cfg.cities))
     types = O.shuffle_multiset(spark, cfg.site_types, n, s, "site.type", pos_col="id_sede", value_col="tip_sede")
-    df = (cities.select("id_sede", F.col("ciudad").alias("nom_sede"), "id_ciudad", "id_pais")
-                .join(types, "id_sede").join(bed_matrix(spark, cfg), "id_sede"))
-    df = df.withColumn("nivel_complejidad", R.complexity(F.col("tip_sede")))
+    df = cities.join(types, "id_sede").join(bed_matrix(spark, cfg), "id_sede")
+    df = df.selectExpr("*", f"{by_index(cfg.cities, 'id_ciudad')} AS nom_sede", f"{R.country_band('id_ciudad')} AS id_pais",
+                       f"{R.complexity('tip_sede')} AS nivel_complejidad")
     return df.select(*cfg.columns("red_sedes"))
 
 
 # ---------------------------------------------------------------- encounters
-def _fail_if(cond: Column, msg: str) -> Column:
-    return F.when(cond, F.raise_error(F.lit(msg)))
-
-
 def _attempts(spark: SparkSession, m: int, med: DataFrame, n_med: int, seed: int, label: str) -> DataFrame:
     """Attempt spine 0..m-1, each with a uniformly drawn physician."""
-    att = spark.range(0, m, 1, max(1, m // 1_000_000 + 1)).select(F.col("id").alias("t"))
-    att = att.withColumn("med_id", D.draw_int(D.u(seed, label, F.col("t"), slot=0), 1, n_med))
+    att = spark.range(0, m, 1, max(1, m // 1_000_000 + 1)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
     return att.join(med.select("med_id", "fec_ingreso", "id_sede", "esp_principal"), "med_id")
 
 
 def _accept_to_target(build, target: int, m: int, id_col: str, start: int, max_rejects: int | None = None) -> DataFrame:
-    """Grow the attempt spine until ``target`` accepts (or the reject cap) is reached."""
+    """Grow the attempt spine until ``target`` accepts (or the reject cap) is reached.
+
+    The accepted rows are checkpointed once, so counting them does not run
+    the attempt plan a second time.
+    """
     while True:
         att = build(m)
-        out = E.accept_first(att, "accepted", "t", target, id_col, start=start, max_rejects=max_rejects)
-        if max_rejects is not None and E.reject_cut(att, "accepted", "t", max_rejects) is not None:
-            return out
-        got = out.count()
-        if got >= target:
+        capped = max_rejects is not None and E.reject_cut(att, "accepted", "t", max_rejects) is not None
+        out = cut_lineage(E.accept_first(att, "accepted", "t", target, id_col, start=start, max_rejects=max_rejects))
+        if capped or out.count() >= target:
             return out
-        if got == 0 and m > 1_000_000_000:
-            raise RuntimeError("no attempt accepted")
+        if m > 4_000_000_000:
+            raise RuntimeError("attempt spine exhausted before the target")
         m *= 2
 
 
-def _clinical(df: DataFrame, cfg: C.Config, d: dict[str, DataFrame]) -> DataFrame:
+def _raise_if(cond: str, msg: str, value: str) -> str:
+    return f"CASE WHEN {cond} THEN raise_error({D.lit_str(msg)}) ELSE {value} END"
+
+
+def _clinical(df: DataFrame, cfg: C.Config) -> DataFrame:
     """Times, diagnoses, procedure, price and invoice state, keyed on id_encuentro."""
     s = cfg.seed
-    eid = F.col("id_encuentro")
+    k = "id_encuentro"
     wait_mean, wait_cap = cfg.wait
-    df = df.withColumn("fec_inicio_atencion", D.draw_timestamp(D.u(s, "enc.c", eid, slot=0), F.col("_lo"), F.col("_hi")))
-    start = F.col("fec_inicio_atencion")
-    df = df.select(
-        "*",
-        F.timestamp_add("MILLISECOND", -D.exp_clipped_ms(D.u(s, "enc.c", eid, slot=1), wait_mean, wait_cap, 60_000), start).alias("fec_registro"),
-        D.draw_timestamp(D.u(s, "enc.c", eid, slot=2), start, F.timestamp_add("DAY", F.lit(cfg.max_stay_days), start)).alias("fec_egreso"),
-    )
-    spec = d["specialty"].select(F.col("especialidad").alias("esp_atendida"), "cie10", "cod_procedimientos", "vr_facturado")
-    df = lookup(df, spec, "esp_atendida", "inner")
-    d1, d2 = D.draw_two_distinct(D.u(s, "enc.d", eid, slot=0), D.u(s, "enc.d", eid, slot=1), D.u(s, "enc.d", eid, slot=2), F.col("cie10"), C.PCT_SECOND_DIAGNOSIS)
+    look = spec_lookups(cfg, "esp_atendida")
+    df = df.selectExpr("*", f"{D.draw_timestamp(D.u(s, 'enc.c', k, slot=0), '_lo', '_hi')} AS fec_inicio_atencion",
+                       f"{look['cie10']} AS _cie10")
+    d1, d2 = D.draw_two_distinct(D.u(s, "enc.d", k, slot=0), D.u(s, "enc.d", k, slot=1), D.u(s, "enc.d", k, slot=2), "_cie10", C.PCT_SECOND_DIAGNOSIS)
     paid, unpaid = C.INVOICE_STATES
-    return df.select("*", d1.alias("diag_principal_cie10"), d2.alias("diag_sec1_cie10"),
-                     F.when(D.bernoulli(D.u(s, "enc.d", eid, slot=3), C.PCT_PAID), F.lit(paid)).otherwise(F.lit(unpaid)).alias("estado_factura"))
+    return df.selectExpr(
+        "*",
+        f"timestampadd(MILLISECOND, -{D.exp_clipped_ms(D.u(s, 'enc.c', k, slot=1), wait_mean, wait_cap, 60_000)}, fec_inicio_atencion) AS fec_registro",
+        f"{D.draw_timestamp(D.u(s, 'enc.c', k, slot=2), 'fec_inicio_atencion', f'timestampadd(DAY, {cfg.max_stay_days}, fec_inicio_atencion)')} AS fec_egreso",
+        f"{d1} AS diag_principal_cie10", f"{d2} AS diag_sec1_cie10",
+        f"{look['cod_procedimientos']} AS cod_procedimientos", f"{look['vr_facturado']} AS vr_facturado",
+        f"CASE WHEN {D.bernoulli(D.u(s, 'enc.d', k, slot=3), C.PCT_PAID)} THEN {D.lit_str(paid)} ELSE {D.lit_str(unpaid)} END AS estado_factura")
 
 
 def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame,
@@ -179,7 +181,6 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     attempt number).
     """
     s = cfg.seed
-    d = dims(spark, cfg)
     n_pac = n_pac if n_pac is not None else cfg.length("pac_registro")
     n_med = n_med if n_med is not None else cfg.length("med_planta")
     target = cfg.length("hce_encuentros")
@@ -191,29 +192,29 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     med_d = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
 
     a = O.sample_without_replacement(pac_d, "pac_id", n_a, s, "enc.a.pick", out="id_encuentro", expected_rows=n_pac)
-    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "enc.a", F.col("id_encuentro")), med_d, "fec_ingreso", "med_id",
+    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "enc.a", "id_encuentro"), med_d, "fec_ingreso", "med_id",
                         ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    a = a.select("id_encuentro", "pac_id", "med_id", "id_sede", F.col("esp_principal").alias("esp_atendida"),
-                 F.coalesce(R.day_start(F.col("fec_primer_atencion")), _fail_if(F.col("pool_size") == 0, "encounter: patient without an eligible physician")).alias("_lo"),
-                 R.day_end(F.col("fec_primer_atencion")).alias("_hi"), F.lit(first_kind).alias("tip_consulta"))
+    lo = _raise_if("pool_size = 0", "encounter: patient without an eligible physician", R.day_start("fec_primer_atencion"))
+    a = a.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida", f"{lo} AS _lo",
+                     f"{R.day_end('fec_primer_atencion')} AS _hi", f"{D.lit_str(first_kind)} AS tip_consulta")
 
     target_b = max(0, target - n_a)
     gap = cfg.max_stay_days + 1
-    p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(as_of, gap))
+    if target_b > 0:
+        p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(F.expr(as_of), gap))
 
-    def attempts(m: int) -> DataFrame:
-        att = _attempts(spark, m, med_d, n_med, s, "enc.b")
-        att = E.eligible_pick(att, "fec_ingreso", D.u(s, "enc.b", F.col("t"), slot=1), pac_d, "fec_primer_atencion", "pac_id",
-                              ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
-        floor = R.control_floor(F.col("fec_primer_atencion"), F.col("fec_ingreso"), gap)
-        return att.withColumn("_floor", floor).withColumn("accepted", (F.col("pool_size") > 0) & (F.col("_floor") <= as_of))
+        def attempts(m: int) -> DataFrame:
+            att = _attempts(spark, m, med_d, n_med, s, "enc.b")
+            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "enc.b", "t", slot=1), pac_d, "fec_primer_atencion", "pac_id",
+                                  ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
+            floor = R.control_floor("fec_primer_atencion", "fec_ingreso", gap)
+            return att.selectExpr("*", f"{floor} AS _floor").selectExpr("*", f"pool_size > 0 AND _floor <= {as_of} AS accepted")
 
-    if target_b > 0:
         b = _accept_to_target(attempts, target_b, E.attempts_needed(target_b, p), "id_encuentro", n_a + 1)
-        b = b.select("id_encuentro", "pac_id", "med_id", "id_sede", F.col("esp_principal").alias("esp_atendida"),
-                     R.day_start(F.col("_floor")).alias("_lo"), R.day_end(as_of).alias("_hi"), F.lit(control_kind).alias("tip_consulta"))
+        b = b.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida",
+                         f"{R.day_start('_floor')} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_consulta")
         a = a.unionByName(b)
-    return _clinical(a, cfg, d).select(*cfg.columns("hce_encuentros"))
+    return _clinical(a, cfg).select(*cfg.columns("hce_encuentros"))
 
 
 # ----------------------------------------------------------------- hourly beds
@@ -221,30 +222,30 @@ def grid_hours(cfg: C.Config) -> int:
     return int(cfg.length("gcm_camas") / (cfg.length("red_sedes") * len(cfg.units)) + 1)
 
 
-def last_grid_hour(cfg: C.Config) -> Column:
+def last_grid_hour(cfg: C.Config) -> str:
     """Last hour of the grid: 23:00 of ``as_of`` (the job used the current hour)."""
-    return F.timestamp_add("HOUR", F.lit(23), R.day_start(R.lit_date(cfg.as_of)))
+    return R.at_hour(R.lit_date(cfg.as_of), 23)
 
 
 def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: DataFrame, checkpoint_phases: bool = True) -> DataFrame:
     """Hourly bed occupancy per site and unit (2.9.5)."""
     s, units = cfg.seed, cfg.units
     hours, n_sites = grid_hours(cfg), cfg.length("red_sedes")
-    last = last_grid_hour(cfg)
-    first = F.timestamp_add("HOUR", F.lit(-(hours - 1)), last)
-    caps = sedes.select("id_sede", *CAP_COLS[: len(units)])
+    last = F.expr(last_grid_hour(cfg))
+    first = F.expr(f"timestampadd(HOUR, {-(hours - 1)}, {last_grid_hour(cfg)})")
+    caps_cols = CAP_COLS[: len(units)]
+    caps = sedes.select("id_sede", *caps_cols)
     active = T.explode_hours(enc.select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
                              "fec_inicio_atencion", "fec_egreso", first, last, out="hour")
     active = active.join(F.broadcast(caps), "id_sede")  # sites: bounded by the city list
-    occ = A.capacity_fill(active, ["hour", "id_sede"], "id_encuentro", CAP_COLS[: len(units)], s, "bed",
+    occ = A.capacity_fill(active, ["hour", "id_sede"], "id_encuentro", caps_cols, s, "bed",
                           unit_col="unit_pos", out="num_camas_ocupadas", checkpoint_phases=checkpoint_phases)
     grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro")
     cells = grid.join(occ.withColumnRenamed("hour", "fec_hora_registro"), ["fec_hora_registro", "id_sede", "unit_pos"], "left")
     cells = cells.join(F.broadcast(caps), "id_sede")
-    cap = F.element_at(F.array(*[F.col(c) for c in CAP_COLS[: len(units)]]), (F.col("unit_pos") + 1).cast("int"))
-    occupied = F.coalesce(F.col("num_camas_ocupadas"), F.lit(0)).cast("bigint")
-    cells = cells.withColumn("num_camas_ocupadas", occupied)
-    cells = A.bed_availability(cells, cap, F.col("num_camas_ocupadas"), D.u(s, "bed.maint", F.col("id_registro_cama")))
+    cap = F.element_at(F.array(*[F.col(c) for c in caps_cols]), (F.col("unit_pos") + 1).cast("int"))
+    cells = cells.withColumn("num_camas_ocupadas", F.coalesce(F.col("num_camas_ocupadas"), F.lit(0)).cast("bigint"))
+    cells = A.bed_availability(cells, cap, F.col("num_camas_ocupadas"), D.u(s, "bed.maint", "id_registro_cama"))
     return cells.select(*cfg.columns("gcm_camas"))
 
 
@@ -253,19 +254,23 @@ def build_far_dispensacion(spark: SparkSession, cfg: C.Config, enc: DataFrame, n
                            ids: DataFrame | None = None) -> DataFrame:
     """Drug dispensing lines (2.9.6), each tied to a uniformly drawn encounter."""
     s = cfg.seed
-    d = dims(spark, cfg)
     n_enc = n_enc if n_enc is not None else cfg.length("hce_encuentros")
     ids = ids if ids is not None else spine(spark, cfg.length("far_dispensacion"), "id_dispensacion")
-    fid = F.col("id_dispensacion")
-    df = ids.select(fid, D.draw_int(D.u(s, "far.a", fid, slot=0), 1, n_enc).alias("id_encuentro"),
-                    D.draw_int(D.u(s, "far.a", fid, slot=2), 1, len(cfg.drugs)).alias("n_med"),
-                    D.draw_int(D.u(s, "far.a", fid, slot=3), 1, cfg.max_quantity).alias("cantidad"))
+    k = "id_dispensacion"
+    codes = [c for c, _, _ in cfg.drugs]
+    names = [n for _, n, _ in cfg.drugs]
+    prices = "array(" + ", ".join(f"CAST({p} AS BIGINT)" for _, _, p in cfg.drugs) + ")"
+    df = ids.selectExpr(k, f"{D.draw_int(D.u(s, 'far.a', k, slot=0), 1, n_enc)} AS id_encuentro",
+                        f"{D.draw_int(D.u(s, 'far.a', k, slot=2), 1, len(cfg.drugs))} AS _n_med",
+                        f"{D.draw_int(D.u(s, 'far.a', k, slot=3), 1, cfg.max_quantity)} AS cantidad")
     df = df.join(enc.select("id_encuentro", "pac_id", "id_sede", "fec_inicio_atencion", "fec_egreso"), "id_encuentro")
-    df = lookup(df, d["drug"], "n_med", "inner")
     magistral, official = cfg.prescription_types[0], cfg.prescription_types[1]
-    df = df.select("*",
-                   D.draw_timestamp(D.u(s, "far.a", fid, slot=1), F.col("fec_inicio_atencion"), F.col("fec_egreso")).alias("fec_dispensacion"),
-                   F.when(D.bernoulli(D.u(s, "far.b", fid, slot=0), C.PCT_OFFICIAL_PRESCRIPTION), F.lit(official)).otherwise(F.lit(magistral)).alias("tip_prescripcion"))
+    df = df.selectExpr(
+        "*",
+        f"{D.draw_timestamp(D.u(s, 'far.a', k, slot=1), 'fec_inicio_atencion', 'fec_egreso')} AS fec_dispensacion",
+        f"{by_index(codes, '_n_med')} AS cod_medicamento", f"{by_index(names, '_n_med')} AS nombre_medicamento",
+        f"element_at({prices}, CAST(_n_med AS INT)) AS vr_unitario",
+        f"CASE WHEN {D.bernoulli(D.u(s, 'far.b', k, slot=0), C.PCT_OFFICIAL_PRESCRIPTION)} THEN {D.lit_str(official)} ELSE {D.lit_str(magistral)} END AS tip_prescripcion")
     return df.select(*cfg.columns("far_dispensacion"))
 
 
@@ -273,16 +278,17 @@ def build_far_dispensacion(spark: SparkSession, cfg: C.Config, enc: DataFrame, n
 def _schedule(df: DataFrame, cfg: C.Config) -> DataFrame:
     """Booking, times of day and status, keyed on id_cita (2.8.9-14)."""
     s = cfg.seed
-    cid = F.col("id_cita")
+    k = "id_cita"
     as_of = R.lit_date(cfg.as_of)
     lead_mean, lead_cap = cfg.booking_lead
-    df = df.withColumn("fec_cita_programada", D.draw_timestamp(D.u(s, "cit.c", cid, slot=0), F.col("_lo"), F.col("_hi")))
-    prog = F.col("fec_cita_programada")
-    sched_t, arr_t, start_t = R.visit_times(prog, as_of, D.u(s, "cit.c", cid, slot=2), D.u(s, "cit.c", cid, slot=3), cfg)
-    df = df.select("*",
-                   F.timestamp_add("MILLISECOND", -D.exp_clipped_ms(D.u(s, "cit.c", cid, slot=1), lead_mean, lead_cap, 3_600_000), prog).alias("fec_agendamiento"),
-                   sched_t.alias("hra_cita_programada"), arr_t.alias("hra_llegada_paciente"), start_t.alias("hra_inicio_atencion"))
-    return df.withColumn("estado_cita", R.visit_status(prog, F.col("hra_inicio_atencion"), as_of))
+    df = df.selectExpr("*", f"{D.draw_timestamp(D.u(s, 'cit.c', k, slot=0), '_lo', '_hi')} AS fec_cita_programada")
+    sched_t, arr_t, start_t = R.visit_times("fec_cita_programada", as_of, D.u(s, "cit.c", k, slot=2), D.u(s, "cit.c", k, slot=3), cfg)
+    df = df.selectExpr(
+        "*",
+        f"timestampadd(MILLISECOND, -{D.exp_clipped_ms(D.u(s, 'cit.c', k, slot=1), lead_mean, lead_cap, 3_600_000)}, fec_cita_programada) AS fec_agendamiento",
+        f"{sched_t} AS hra_cita_programada", f"{arr_t} AS hra_llegada_paciente")
+    df = df.selectExpr("*", "greatest(hra_cita_programada, hra_llegada_paciente) AS hra_inicio_atencion")
+    return df.selectExpr("*", f"{R.visit_status('fec_cita_programada', 'hra_inicio_atencion', as_of)} AS estado_cita")
 
 
 def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame, enc: DataFrame,
@@ -308,25 +314,25 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     a = pac_d.join(admitted, "pac_id", "left_anti")
     a = O.dense_ids(a, "pac_id", "id_cita")
     n_a = n_pac - int(n_pac * C.FIRST_ADMISSION_SHARE)
-    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", F.col("id_cita")), med_d, "fec_ingreso", "med_id",
+    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", "id_cita"), med_d, "fec_ingreso", "med_id",
                         ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    a = a.select("id_cita", "pac_id", "med_id", "id_sede", F.col("esp_principal").alias("esp_solicitada"),
-                 F.coalesce(R.at_hour(F.col("fec_primer_atencion"), lo_h), _fail_if(F.col("pool_size") == 0, "appointment: patient without an eligible physician")).alias("_lo"),
-                 R.at_hour(F.col("fec_primer_atencion"), hi_h).alias("_hi"), F.lit(first_kind).alias("tip_cita"))
+    lo = _raise_if("pool_size = 0", "appointment: patient without an eligible physician", R.at_hour("fec_primer_atencion", lo_h))
+    a = a.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada", f"{lo} AS _lo",
+                     f"{R.at_hour('fec_primer_atencion', hi_h)} AS _hi", f"{D.lit_str(first_kind)} AS tip_cita")
 
     target_b = max(0, target - n_a)
-    p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(as_of, 1))
+    if target_b > 0:
+        p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(F.expr(as_of), 1))
 
-    def attempts(m: int) -> DataFrame:
-        att = _attempts(spark, m, med_d, n_med, s, "cit.b")
-        att = E.eligible_pick(att, "fec_ingreso", D.u(s, "cit.b", F.col("t"), slot=1), pac_d, "fec_primer_atencion", "pac_id",
-                              ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
-        floor = F.date_add(F.col("fec_primer_atencion"), 1)
-        return att.withColumn("_floor", floor).withColumn("accepted", (F.col("pool_size") > 0) & F.coalesce(F.col("_floor") <= as_of, F.lit(False)))
+        def attempts(m: int) -> DataFrame:
+            att = _attempts(spark, m, med_d, n_med, s, "cit.b")
+            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "cit.b", "t", slot=1), pac_d, "fec_primer_atencion", "pac_id",
+                                  ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
+            return att.selectExpr("*", "date_add(fec_primer_atencion, 1) AS _floor").selectExpr(
+                "*", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
 
-    if target_b > 0:
         b = _accept_to_target(attempts, target_b, E.attempts_needed(target_b, max(p, 1e-9)), "id_cita", n_a + 1, max_rejects)
-        b = b.select("id_cita", "pac_id", "med_id", "id_sede", F.col("esp_principal").alias("esp_solicitada"),
-                     R.at_hour(F.col("_floor"), lo_h).alias("_lo"), R.day_end(as_of).alias("_hi"), F.lit(control_kind).alias("tip_cita"))
+        b = b.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada",
+                         f"{R.at_hour('_floor', lo_h)} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_cita")
         a = a.unionByName(b)
     return _schedule(a, cfg).select(*cfg.columns("age_citas"))

@@ -1,41 +1,21 @@
-"""Configuration maps as dimension DataFrames with explicit schemas.
+"""Configuration maps as dimension tables.
 
-Their size is fixed by the configuration document (tens of rows), which is
-the proven bound that makes ``F.broadcast`` on them safe.
+Dimensions are built JVM-side from ``VALUES`` lists (a local relation: no
+Python workers, no file), with explicit column types. Their size is fixed by
+the configuration document (tens of rows) -- the proven bound that makes
+``F.broadcast`` on them safe. Builders mostly use the equivalent constant
+lookups (``element_at`` on a literal array or map), which need no join at all.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinicgen import config as C
+from clinicgen.functions.draws import lit_str, str_array
 from clinicgen.functions.rules import country_band
 
-CITY = T.StructType([T.StructField("id_ciudad", T.LongType(), False), T.StructField("ciudad", T.StringType(), False)])
-INSURER = T.StructType([T.StructField("id_eps", T.LongType(), False), T.StructField("eps", T.StringType(), False)])
-SPECIALTY = T.StructType([
-    T.StructField("n_esp", T.LongType(), False),
-    T.StructField("especialidad", T.StringType(), False),
-    T.StructField("subespecialidades", T.ArrayType(T.StringType(), True), False),
-    T.StructField("cie10", T.ArrayType(T.StringType(), False), False),
-    T.StructField("cod_procedimientos", T.StringType(), False),
-    T.StructField("vr_facturado", T.LongType(), False),
-])
-DRUG = T.StructType([
-    T.StructField("n_med", T.LongType(), False),
-    T.StructField("cod_medicamento", T.StringType(), False),
-    T.StructField("nombre_medicamento", T.StringType(), False),
-    T.StructField("vr_unitario", T.LongType(), False),
-])
-WEIGHTS = T.StructType([
-    T.StructField("dim", T.StringType(), False), T.StructField("value", T.StringType(), True),
-    T.StructField("lo", T.DoubleType(), False), T.StructField("hi", T.DoubleType(), False),
-])
-SITE_TYPE = T.StructType([T.StructField("tip_sede", T.StringType(), False), T.StructField("n", T.LongType(), False)])
-UNIT = T.StructType([T.StructField("pos", T.IntegerType(), False), T.StructField("tip_unidad", T.StringType(), False)])
-
 
 def _check_keys(cfg: C.Config) -> None:
     for esp, _ in cfg.specialties:
@@ -45,29 +25,58 @@ def _check_keys(cfg: C.Config) -> None:
             raise ValueError(f"procedure of {esp!r} has no price")
 
 
+def values(spark: SparkSession, rows: list[list[str]], cols: list[str]) -> DataFrame:
+    """A local relation from rows of SQL literal snippets."""
+    body = ", ".join("(" + ", ".join(r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(cols)})")
+
+
 def dims(spark: SparkSession, cfg: C.Config) -> dict[str, DataFrame]:
     """city, insurer, specialty, drug, weights, site_type, unit."""
     _check_keys(cfg)
-    city = spark.createDataFrame([(i + 1, n) for i, n in enumerate(cfg.cities)], CITY)
-    city = city.withColumn("id_pais", country_band(F.col("id_ciudad")))
-    insurer = spark.createDataFrame([(i + 1, n) for i, n in enumerate(cfg.insurers)], INSURER)
-    spec = spark.createDataFrame([
-        (i + 1, esp, subs, list(cfg.doc["cie10"][esp]), cfg.doc["procedimientos"][esp], int(cfg.doc["vrs"][cfg.doc["procedimientos"][esp]]))
-        for i, (esp, subs) in enumerate(cfg.specialties)], SPECIALTY)
-    drug = spark.createDataFrame([(i + 1, code, name, price) for i, (code, name, price) in enumerate(cfg.drugs)], DRUG)
-    rows = []
+    city = values(spark, [[f"CAST({i} AS BIGINT)", lit_str(n)] for i, n in enumerate(cfg.cities, 1)], ["id_ciudad", "ciudad"])
+    city = city.selectExpr("*", f"{country_band('id_ciudad')} AS id_pais")
+    insurer = values(spark, [[f"CAST({i} AS BIGINT)", lit_str(n)] for i, n in enumerate(cfg.insurers, 1)], ["id_eps", "eps"])
+    spec = values(spark, [
+        [f"CAST({i} AS BIGINT)", lit_str(esp), str_array(subs), str_array(cfg.doc["cie10"][esp]),
+         lit_str(cfg.doc["procedimientos"][esp]), f"CAST({int(cfg.doc['vrs'][cfg.doc['procedimientos'][esp]])} AS BIGINT)"]
+        for i, (esp, subs) in enumerate(cfg.specialties, 1)],
+        ["n_esp", "especialidad", "subespecialidades", "cie10", "cod_procedimientos", "vr_facturado"])
+    drug = values(spark, [[f"CAST({i} AS BIGINT)", lit_str(c), lit_str(n), f"CAST({p} AS BIGINT)"] for i, (c, n, p) in enumerate(cfg.drugs, 1)],
+                  ["n_med", "cod_medicamento", "nombre_medicamento", "vr_unitario"])
+    wrows = []
     for dim, w in (("genero", cfg.genders), ("estrato", cfg.strata), ("contrato", cfg.contracts), ("jornada", cfg.shifts)):
-        total = sum(x for _, x in w)
-        acc = 0.0
+        total, acc = sum(x for _, x in w), 0.0
         for v, x in w:
-            rows.append((dim, v, acc / total, (acc + x) / total))
+            wrows.append([lit_str(dim), lit_str(v), f"{acc / total!r}D", f"{(acc + x) / total!r}D"])
             acc += x
-    weights = spark.createDataFrame(rows, WEIGHTS)
-    site_type = spark.createDataFrame([(t, n) for t, n in cfg.site_types], SITE_TYPE)
-    unit = spark.createDataFrame([(i, x) for i, x in enumerate(cfg.units)], UNIT)
+    weights = values(spark, wrows, ["dim", "value", "lo", "hi"])
+    site_type = values(spark, [[lit_str(t), f"CAST({n} AS BIGINT)"] for t, n in cfg.site_types], ["tip_sede", "n"])
+    unit = values(spark, [[str(i), lit_str(x)] for i, x in enumerate(cfg.units)], ["pos", "tip_unidad"])
     return {"city": city, "insurer": insurer, "specialty": spec, "drug": drug, "weights": weights, "site_type": site_type, "unit": unit}
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Map lookup against a configuration dimension: a broadcast join (2.5.10)."""
     return df.join(F.broadcast(dim), on=on, how=how)
+
+
+# ---- constant lookups (no join): dense int keys -> literal array, text keys -> literal map
+def by_index(values_: list[str | None], idx: str) -> str:
+    """``values_[idx]`` for a 1-based dense key."""
+    return f"element_at({str_array(values_)}, CAST({idx} AS INT))"
+
+
+def by_key(mapping: dict[str, str], key: str) -> str:
+    """``mapping[key]`` for text keys (NULL when absent)."""
+    pairs = ", ".join(f"{lit_str(k)}, {v}" for k, v in mapping.items())
+    return f"element_at(map({pairs}), {key})"
+
+
+def spec_lookups(cfg: C.Config, name: str) -> dict[str, str]:
+    """Specialty name -> ICD-10 list, procedure code and price, as SQL."""
+    esp = [e for e, _ in cfg.specialties]
+    proc = {e: lit_str(cfg.doc["procedimientos"][e]) for e in esp}
+    price = {e: f"CAST({int(cfg.doc['vrs'][cfg.doc['procedimientos'][e]])} AS BIGINT)" for e in esp}
+    icd = {e: str_array(cfg.doc["cie10"][e]) for e in esp}
+    return {"cie10": by_key(icd, name), "cod_procedimientos": by_key(proc, name), "vr_facturado": by_key(price, name)}
