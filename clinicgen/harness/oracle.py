@@ -514,7 +514,7 @@ def ENC_SQL() -> str:
         f"t1 AS (SELECT ab.*, {DTS(U('enc.c', 'id_encuentro', slot=0), 'lo', 'hi')} AS fec_inicio_atencion FROM ab), "
         f"t2 AS (SELECT t1.*, fec_inicio_atencion - to_milliseconds({EXP_MS(U('enc.c', 'id_encuentro', slot=1), mean, cap, 60000)}) AS fec_registro, "
         f"{DTS(U('enc.c', 'id_encuentro', slot=2), 'fec_inicio_atencion', f'fec_inicio_atencion + INTERVAL {CFG.max_stay_days} DAY')} AS fec_egreso FROM t1), "
-        f"t3 AS (SELECT t2.*, s.cie10, s.cod_procedimientos, s.vr_facturado FROM t2 JOIN ({SPEC_VALUES()}) s ON s.especialidad = t2.esp_atendida), "
+        f"t3 AS (SELECT t2.*, s.cie10, s.cod_procedimientos, s.vr_facturado FROM t2 LEFT JOIN ({SPEC_VALUES()}) s ON s.especialidad = t2.esp_atendida), "
         f"t4 AS (SELECT t3.*, {ELEM(U('enc.d', 'id_encuentro', slot=0), 'cie10')} AS diag_principal_cie10 FROM t3), "
         f"t5 AS (SELECT t4.*, list_filter(cie10, lambda x: x <> diag_principal_cie10) AS rest FROM t4) "
         "SELECT id_encuentro, pac_id, med_id, id_sede, fec_registro, fec_inicio_atencion, fec_egreso, tip_consulta, esp_atendida, diag_principal_cie10, "

@@ -150,6 +150,21 @@ def _raise_if(cond: str, msg: str, value: str) -> str:
     return f"CASE WHEN {cond} THEN raise_error({D.lit_str(msg)}) ELSE {value} END"
 
 
+EMPTY_POOL_POLICIES = ("null", "raise")
+
+
+def _empty_pool(policy: str, msg: str, value: str) -> str:
+    """First-visit rows whose date precedes every hire date have no physician.
+
+    The job would crash there (a random pick from an empty list). ``"null"``
+    keeps the row with NULL physician, site and specialty; ``"raise"`` fails
+    the query instead.
+    """
+    if policy not in EMPTY_POOL_POLICIES:
+        raise ValueError(f"empty_pool must be one of {EMPTY_POOL_POLICIES}")
+    return _raise_if("pool_size = 0", msg, value) if policy == "raise" else value
+
+
 def _clinical(df: DataFrame, cfg: C.Config) -> DataFrame:
     """Times, diagnoses, procedure, price and invoice state, keyed on id_encuentro."""
     s = cfg.seed
@@ -170,7 +185,7 @@ def _clinical(df: DataFrame, cfg: C.Config) -> DataFrame:
 
 
 def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame,
-                         n_pac: int | None = None, n_med: int | None = None) -> DataFrame:
+                         n_pac: int | None = None, n_med: int | None = None, empty_pool: str = "null") -> DataFrame:
     """Inpatient encounters (2.9.4): first admissions then follow-ups.
 
     Phase A: 27% of patients, drawn without replacement; each gets a
@@ -194,7 +209,7 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     a = O.sample_without_replacement(pac_d, "pac_id", n_a, s, "enc.a.pick", out="id_encuentro", expected_rows=n_pac)
     a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "enc.a", "id_encuentro"), med_d, "fec_ingreso", "med_id",
                         ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    lo = _raise_if("pool_size = 0", "encounter: patient without an eligible physician", R.day_start("fec_primer_atencion"))
+    lo = _empty_pool(empty_pool, "encounter: patient without an eligible physician", R.day_start("fec_primer_atencion"))
     a = a.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida", f"{lo} AS _lo",
                      f"{R.day_end('fec_primer_atencion')} AS _hi", f"{D.lit_str(first_kind)} AS tip_consulta")
 
@@ -292,7 +307,8 @@ def _schedule(df: DataFrame, cfg: C.Config) -> DataFrame:
 
 
 def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame, enc: DataFrame,
-                    n_pac: int | None = None, n_med: int | None = None, max_rejects: int | None = None) -> DataFrame:
+                    n_pac: int | None = None, n_med: int | None = None, max_rejects: int | None = None,
+                    empty_pool: str = "null") -> DataFrame:
     """Outpatient appointments (2.9.7).
 
     Phase A: every patient without a first inpatient encounter, in id order.
@@ -316,7 +332,7 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     n_a = n_pac - int(n_pac * C.FIRST_ADMISSION_SHARE)
     a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", "id_cita"), med_d, "fec_ingreso", "med_id",
                         ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    lo = _raise_if("pool_size = 0", "appointment: patient without an eligible physician", R.at_hour("fec_primer_atencion", lo_h))
+    lo = _empty_pool(empty_pool, "appointment: patient without an eligible physician", R.at_hour("fec_primer_atencion", lo_h))
     a = a.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada", f"{lo} AS _lo",
                      f"{R.at_hour('fec_primer_atencion', hi_h)} AS _hi", f"{D.lit_str(first_kind)} AS tip_cita")
 

@@ -63,14 +63,19 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left"
 
 # ---- constant lookups (no join): dense int keys -> literal array, text keys -> literal map
 def by_index(values_: list[str | None], idx: str) -> str:
-    """``values_[idx]`` for a 1-based dense key."""
-    return f"element_at({str_array(values_)}, CAST({idx} AS INT))"
+    """``values_[idx]`` for a 1-based dense key; NULL key gives NULL.
+
+    The explicit NULL branch matters: Spark 4.1.2's generated code for
+    ``element_at`` on a literal array can return the last element for a NULL
+    index coming from a CASE without ELSE.
+    """
+    return f"CASE WHEN {idx} IS NULL THEN NULL ELSE element_at({str_array(values_)}, CAST({idx} AS INT)) END"
 
 
 def by_key(mapping: dict[str, str], key: str) -> str:
     """``mapping[key]`` for text keys (NULL when absent)."""
     pairs = ", ".join(f"{lit_str(k)}, {v}" for k, v in mapping.items())
-    return f"element_at(map({pairs}), {key})"
+    return f"CASE WHEN {key} IS NULL THEN NULL ELSE element_at(map({pairs}), {key}) END"
 
 
 def spec_lookups(cfg: C.Config, name: str) -> dict[str, str]:
