@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,9 @@ EVENTS_AS_OF = dt.date(2024, 1, 15)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# row counts of the read-only input files, keyed by (path, modification time)
+_COUNTS: dict[tuple[str, float], int] = {}
+
 
 def scale_counts(counts: list[tuple[str, int]], n: int) -> dict[str, int]:
     """Scale integer counts to sum to ``n`` (largest remainder, ties in list order)."""
@@ -48,7 +52,17 @@ class Harness:
 
     def count(self, name: str) -> int:
         if name not in self._counts:
-            self._counts[name] = self.table(name).count()
+            path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+            try:
+                key = (path, os.path.getmtime(path))
+            except OSError:  # not a local path: count every time
+                key = None
+            if key is not None and key in _COUNTS:
+                self._counts[name] = _COUNTS[key]
+            else:
+                self._counts[name] = self.table(name).count()
+                if key is not None:
+                    _COUNTS[key] = self._counts[name]
         return self._counts[name]
 
     def config(self) -> Config:

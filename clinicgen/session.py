@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,10 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as parquet in the shared checkpoint folder and read it back.
+
+    One job writes the rows once (an eager ``checkpoint()`` computes its input
+    twice: once to count, once to save); the files survive executor loss and
+    the returned plan is a plain columnar scan with pruning and pushdown.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

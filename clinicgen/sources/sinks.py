@@ -28,8 +28,11 @@ class AvroUnavailable(RuntimeError):
 
 
 def avro_available(spark: SparkSession) -> bool:
+    """True when the ``avro`` data source resolves (the same lookup a write does)."""
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
+        jvm = spark.sparkContext._jvm
+        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
+            "avro", spark._jsparkSession.sessionState().conf())
         return True
     except Exception:
         return False

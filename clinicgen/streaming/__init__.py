@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The generator is one batch job: it has no stream source, sink, watermark or
+stateful stream operator, so nothing here is built. Its one piece of
+per-group sequential state (the bed fill) is a batch operator in
+``clinicgen.operators.allocate``.
+"""
