@@ -21,7 +21,7 @@ from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as TM
 from clinicgen.plans import tables as TB
-from clinicgen.session import scratch_path
+from clinicgen.session import cut_lineage, scratch_path
 from clinicgen.sources import sinks as SK
 from clinicgen.sources.dims import dims, lookup
 
@@ -420,7 +420,7 @@ def q_bed_grid(h: Harness) -> DataFrame:
     st, lo, hi, n = _events_grid(h)
     n_sites = h.count("nation")
     st = st.withColumn("id_sede", (F.col("site") % n_sites + 1).cast("bigint"))
-    act = TM.explode_hours(st, "start", "end", lo, hi, out="hour")
+    act = TM.explode_hours(st, "start", "end", lo, hi, out="hour", spread_by="event_id")
     act = act.selectExpr("*", f"CAST({D.draw_int(D.u(SEED, 'q.unit', 'event_id'), 0, len(cfg.units) - 1)} AS INT) AS unit_pos")
     counts = act.groupBy("hour", "id_sede", "unit_pos").agg(F.count(F.lit(1)).alias("n_active"))
     grid = TM.dense_grid(h.spark, n, n_sites, cfg.units, hi, id_col="cell_id")
@@ -459,7 +459,7 @@ def q_bed_availability(h: Harness) -> DataFrame:
 def q_capacity_fill(h: Harness) -> DataFrame:
     st = h.stays()
     lo, hi = events_grid_bounds(st)
-    act = TM.explode_hours(st, "start", "end", lo, hi, out="hour")
+    act = TM.explode_hours(st, "start", "end", lo, hi, out="hour", spread_by="event_id")
     act = act.selectExpr("*", *[f"{D.draw_int(D.u(SEED, 'q.caps', 'site', slot=j), 0, 3)} AS {c}" for j, c in enumerate(TB.CAP_COLS)])
     act = act.withColumn("hour_no", F.timestamp_diff("HOUR", lo, F.col("hour")))
     occ = A.capacity_fill(act, ["site", "hour_no"], "event_id", TB.CAP_COLS, SEED, "q.fill", unit_col="unit_pos", out="occupied")
@@ -490,13 +490,23 @@ def q_visit_status(h: Harness) -> DataFrame:
 
 
 # ----------------------------------------------------------------- tables
-def _base_tables(h: Harness):
+def _base_tables(h: Harness, materialize: bool = False):
+    """Patients and physicians; ``materialize`` writes them once, as ``build_all``
+    does for tables that feed several later plans."""
     cfg = _cfg(h)
     pac = TB.build_pac_registro(h.spark, cfg, h.patient_ids())
     med = TB.build_med_planta(h.spark, cfg, h.physician_ids())
+    if materialize:
+        pac, med = cut_lineage(pac, "pac_registro"), cut_lineage(med, "med_planta")
     return cfg, pac, med
 
 
+def _encounters(h: Harness):
+    cfg, pac, med = _base_tables(h, materialize=True)
+    enc = cut_lineage(TB.build_hce_encuentros(h.spark, cfg, pac, med), "hce_encuentros")
+    return cfg, pac, med, enc
+
+
 @query
 def q_table_pac_registro(h: Harness) -> DataFrame:
     return _base_tables(h)[1]
@@ -514,26 +524,23 @@ def q_table_red_sedes(h: Harness) -> DataFrame:
 
 @query
 def q_table_hce_encuentros(h: Harness) -> DataFrame:
-    cfg, pac, med = _base_tables(h)
+    cfg, pac, med = _base_tables(h, materialize=True)
     return TB.build_hce_encuentros(h.spark, cfg, pac, med)
 
 
 @query
 def q_table_far_dispensacion(h: Harness) -> DataFrame:
-    cfg, pac, med = _base_tables(h)
-    enc = TB.build_hce_encuentros(h.spark, cfg, pac, med)
+    cfg, _, _, enc = _encounters(h)
     return TB.build_far_dispensacion(h.spark, cfg, enc)
 
 
 @query
 def q_table_age_citas(h: Harness) -> DataFrame:
-    cfg, pac, med = _base_tables(h)
-    enc = TB.build_hce_encuentros(h.spark, cfg, pac, med)
+    cfg, pac, med, enc = _encounters(h)
     return TB.build_age_citas(h.spark, cfg, pac, med, enc)
 
 
 @query
 def q_table_gcm_camas(h: Harness) -> DataFrame:
-    cfg, pac, med = _base_tables(h)
-    enc = TB.build_hce_encuentros(h.spark, cfg, pac, med)
+    cfg, _, _, enc = _encounters(h)
     return TB.build_gcm_camas(h.spark, cfg, TB.build_red_sedes(h.spark, cfg), enc)

@@ -13,7 +13,7 @@ every stay's pick is a pure function of its draw, and the phase ends at the
 first stay that fills a unit -- the smallest position among, per unit, the
 ``room``-th stay picking it (a rank per (group, unit), block-wise). At most
 one phase per unit. Groups whose stays cannot fill any unit (the common case)
-finish in the first phase without any ranking.
+are counted from their picks without any ranking.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from clinicgen import config as C
 from clinicgen.functions import draws as D
+from clinicgen.operators.eligibility import maybe_broadcast
 from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum, rank_in_order
 from clinicgen.session import cut_lineage
 
@@ -89,6 +90,7 @@ def capacity_fill(
     out: str = "occupied",
     block_rows: int = DEFAULT_BLOCK_ROWS,
     checkpoint_phases: bool = True,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Occupied beds per (group, unit) after the sequential fill (2.7.2).
 
@@ -96,50 +98,73 @@ def capacity_fill(
     ``caps`` (unit order). Stays are taken in order of a seeded uniform
     (ties by ``stay_id``); each picks uniformly among units with room. Rows
     come back only for (group, unit) with at least one bed taken.
+    ``group_bound`` is a proven bound on the number of groups (e.g. hours x
+    sites); under ``BROADCAST_MAX_ROWS`` the per-group table is broadcast.
+
+    Work: one aggregate to per-group sizes; groups whose stays cannot fill a
+    unit (size <= smallest positive capacity, the usual case) are counted
+    straight from their picks. Only stays of the other groups are ranked,
+    and each phase's rows are written once to the checkpoint folder.
     """
     g = list(group)
     n_units = len(caps)
+    keep = cut_lineage if checkpoint_phases else (lambda df, name="": df)
     base = stays.select(*g, stay_id, *caps)
-    base = base.selectExpr("*", f"{D.u(seed, f'{label}.order', stay_id, *g)} AS _o", f"{D.u(seed, f'{label}.pick', stay_id, *g)} AS _v")
-    sizes = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.first(cp).alias(cp) for cp in caps])
-    state = sizes.select(*g, F.lit(0).cast("bigint").alias("_P"), F.col("_n").alias("_nrem"),
-                         F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps]).alias("_rem"),
-                         F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("bigint").alias("_S"))
-    # position of each stay within its group, blocks = slices of the uniform
-    pos = base.join(state.select(*g, "_S"), on=g).withColumn("_sb", F.floor(F.col("_o") * F.col("_S")).cast("bigint"))
-    pos = rank_in_order(pos, ["_o", stay_id], ["_sb"], g, out="_pos").select(*g, stay_id, "_pos", "_v")
-    if checkpoint_phases:
-        pos = cut_lineage(pos)
-    state = state.drop("_S")
-
-    results: list[DataFrame] = []
+    base = base.selectExpr(*g, stay_id, f"{D.u(seed, f'{label}.order', stay_id, *g)} AS _o", f"{D.u(seed, f'{label}.pick', stay_id, *g)} AS _v")
+    rem0 = F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps])
+    sizes = (stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.first(cp).alias(cp) for cp in caps])
+                  .select(*g, "_n", rem0.alias("_rem"))
+                  .withColumn("_avail", _avail(F.col("_rem"), n_units))
+                  .filter(F.size("_avail") > 0)  # no room anywhere: every stay is dropped
+                  .withColumn("_tight", F.col("_n") > F.array_min(F.filter(F.col("_rem"), lambda r: r > 0))))
+    sizes = keep(sizes, "fill-groups")  # one row per group
+    groups = lambda df: maybe_broadcast(df, group_bound)
+
+    # groups that cannot fill a unit: every stay keeps its first pick
+    loose = base.join(groups(sizes.filter(~F.col("_tight")).select(*g, "_avail")), on=g)
+    results: list[DataFrame] = [loose.groupBy(*g, _pick(F.col("_v"), F.col("_avail")).alias("_pick")).agg(F.count(F.lit(1)).alias("_cnt"))]
+
+    # the others: position of each stay in its group, blocks = slices of the uniform
+    if checkpoint_phases and sizes.filter(F.col("_tight")).isEmpty():
+        return _sum_counts(results, g, unit_col, out)
+    tight = sizes.filter(F.col("_tight")).select(*g, "_n", "_rem",
+                                                 F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("bigint").alias("_S"))
+    pos = base.join(groups(tight.select(*g, "_S")), on=g).withColumn("_sb", F.floor(F.col("_o") * F.col("_S")).cast("bigint"))
+    pos = keep(rank_in_order(pos, ["_o", stay_id], ["_sb"], g, out="_pos").select(*g, "_pos", "_v"), "fill-pos")
+    state = tight.select(*g, F.lit(0).cast("bigint").alias("_P"), F.col("_n").alias("_nrem"), "_rem")
+
     for _phase in range(n_units):
-        avail = _avail(F.col("_rem"), n_units)
-        st = (state.withColumn("_avail", avail).filter(F.size("_avail") > 0).filter(F.col("_nrem") > 0)
-                   .withColumn("_minrem", F.array_min(F.filter(F.col("_rem"), lambda r: r > 0)))
-                   .withColumn("_tight", F.col("_nrem") > F.col("_minrem")))
-        x = (pos.join(st.select(*g, "_P", "_rem", "_avail", "_tight"), on=g)
+        st = (state.withColumn("_avail", _avail(F.col("_rem"), n_units)).filter(F.size("_avail") > 0).filter(F.col("_nrem") > 0)
+                   .withColumn("_ptight", F.col("_nrem") > F.array_min(F.filter(F.col("_rem"), lambda r: r > 0))))
+        x = (pos.join(groups(st.select(*g, "_P", "_rem", "_avail", "_ptight")), on=g)
                 .filter(F.col("_pos") > F.col("_P"))
                 .withColumn("_pick", _pick(F.col("_v"), F.col("_avail"))))
-        # groups that cannot fill a unit in this phase: every stay keeps its pick
-        results.append(x.filter(~F.col("_tight")).groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
-        xt = x.filter(F.col("_tight")).withColumn("_pb", F.floor(F.col("_pos") / F.lit(block_rows)).cast("bigint"))
+        # groups that cannot fill a unit in this phase: every remaining stay keeps its pick
+        results.append(x.filter(~F.col("_ptight")).groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
+        # the phase ends at the first stay that takes the last bed of a unit:
+        # per (group, unit) the room-th stay picking it, then the smallest such position
+        xt = x.filter(F.col("_ptight")).withColumn("_pb", F.floor(F.col("_pos") / F.lit(block_rows)).cast("bigint"))
         ranked = rank_in_order(xt, ["_pos"], ["_pb"], [*g, "_pick"], out="_k")
         room = F.element_at(F.col("_rem"), (F.col("_pick") + 1).cast("int"))
-        ends = (ranked.filter(F.col("_k") == room).groupBy(*g)
-                      .agg(F.min("_pos").alias("_T")))
-        done = ranked.join(ends, on=g, how="left").withColumn(
-            "_in", F.col("_T").isNull() | (F.col("_pos") <= F.col("_T")))
-        taken = done.filter("_in")
-        results.append(taken.groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
+        ends = ranked.filter(F.col("_k") == room).groupBy(*g).agg(F.min("_pos").alias("_T"))
+        done = (ranked.join(ends, on=g, how="left")
+                      .filter(F.col("_T").isNull() | (F.col("_pos") <= F.col("_T")))
+                      .select(*g, "_pick", "_T"))
+        done = keep(done, "fill-phase")
+        results.append(done.groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
         # groups that continue: a unit filled at position T
         per_unit = [F.sum(F.when(F.col("_pick") == F.lit(j), 1).otherwise(0)).cast("bigint").alias(f"_t{j}") for j in range(n_units)]
-        used = taken.filter(F.col("_T").isNotNull()).groupBy(*g).agg(F.max("_T").alias("_P"), F.count(F.lit(1)).alias("_used"), *per_unit)
+        used = done.filter(F.col("_T").isNotNull()).groupBy(*g).agg(F.max("_T").alias("_P"), F.count(F.lit(1)).alias("_used"), *per_unit)
         state = (used.join(st.select(*g, "_rem", "_nrem"), on=g)
                      .select(*g, "_P", (F.col("_nrem") - F.col("_used")).alias("_nrem"),
                              F.array(*[F.element_at(F.col("_rem"), j + 1) - F.col(f"_t{j}") for j in range(n_units)]).alias("_rem")))
-        if checkpoint_phases:
-            state = cut_lineage(state)
+        state = keep(state, "fill-state")
+        if checkpoint_phases and state.isEmpty():  # every group finished: no more phases
+            break
+    return _sum_counts(results, g, unit_col, out)
+
+
+def _sum_counts(results: list[DataFrame], g: list[str], unit_col: str, out: str) -> DataFrame:
     out_df = results[0]
     for r in results[1:]:
         out_df = out_df.unionByName(r)

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinicgen.session import spread
 
 
 def ceil_hour(ts: Column) -> Column:
@@ -31,15 +32,19 @@ def hour_grid(spark: SparkSession, last_hour: Column | str, hours: int, idx_col:
         F.timestamp_add("HOUR", F.col("id") - F.lit(hours - 1), last).alias(ts_col))
 
 
-def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, grid_end: Column, out: str = "hour") -> DataFrame:
+def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, grid_end: Column, out: str = "hour",
+                  spread_by: str | None = None) -> DataFrame:
     """One row per (stay, grid hour h) with ``start <= h < end`` and h in the grid.
 
     Reversed or empty ranges are filtered out *before* ``sequence`` (which
-    raises on reversed bounds).
+    raises on reversed bounds). ``spread_by`` (a unique stay key) spreads the
+    surviving stays over all task slots before they fan out into hours.
     """
     lo = F.greatest(ceil_hour(F.col(start)), grid_start)
     hi = F.least(F.timestamp_add("HOUR", F.lit(-1), ceil_hour(F.col(end))), grid_end)
     s = stays.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
+    if spread_by is not None:
+        s = spread(s, spread_by)
     return s.withColumn(out, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 HOUR")))).drop("_lo", "_hi")
 
 

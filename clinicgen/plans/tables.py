@@ -20,15 +20,15 @@ from clinicgen.operators import allocate as A
 from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as T
-from clinicgen.session import cut_lineage
+from clinicgen.session import cut_lineage, range_parts, spread
 from clinicgen.sources.dims import by_index, spec_lookups
 
 CAP_COLS = ["cap_camas_gen", "cap_camas_uci", "cap_camas_cirugia", "cap_camas_urg"]
 
 
 def spine(spark: SparkSession, n: int, id_col: str, rows_per_part: int = 1_000_000) -> DataFrame:
-    """Ids 1..n from ``spark.range`` (2.1.4), partitions sized by ``n``."""
-    return spark.range(1, n + 1, 1, max(1, n // rows_per_part + 1)).select(F.col("id").alias(id_col))
+    """Ids 1..n from ``spark.range`` (2.1.4), partitions sized by ``n`` and the cluster."""
+    return spark.range(1, n + 1, 1, range_parts(spark, n, rows_per_part)).select(F.col("id").alias(id_col))
 
 
 def _date_bound(cfg: C.Config) -> int:
@@ -40,7 +40,7 @@ def _date_bound(cfg: C.Config) -> int:
 def build_pac_registro(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
     """Patients (2.9.1)."""
     s = cfg.seed
-    ids = ids if ids is not None else spine(spark, cfg.length("pac_registro"), "pac_id")
+    ids = spread(ids, "pac_id") if ids is not None else spine(spark, cfg.length("pac_registro"), "pac_id")
     k = "pac_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
     p = cfg.pac
@@ -71,7 +71,7 @@ def build_pac_registro(spark: SparkSession, cfg: C.Config, ids: DataFrame | None
 def build_med_planta(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
     """Physicians (2.9.2): specialty, then sub-specialty within it (2.4.14)."""
     s = cfg.seed
-    ids = ids if ids is not None else spine(spark, cfg.length("med_planta"), "med_id")
+    ids = spread(ids, "med_id") if ids is not None else spine(spark, cfg.length("med_planta"), "med_id")
     k = "med_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
     lo_age, hi_age = int(cfg.med["min_age_med"]), int(cfg.med["max_age_med"])
@@ -125,7 +125,7 @@ def build_red_sedes(spark: SparkSession, cfg: C.Config) -> DataFrame:
 # ---------------------------------------------------------------- encounters
 def _attempts(spark: SparkSession, m: int, med: DataFrame, n_med: int, seed: int, label: str) -> DataFrame:
     """Attempt spine 0..m-1, each with a uniformly drawn physician."""
-    att = spark.range(0, m, 1, max(1, m // 1_000_000 + 1)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
+    att = spark.range(0, m, 1, range_parts(spark, m)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
     return att.join(med.select("med_id", "fec_ingreso", "id_sede", "esp_principal"), "med_id")
 
 
@@ -251,10 +251,11 @@ def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: D
     caps_cols = CAP_COLS[: len(units)]
     caps = sedes.select("id_sede", *caps_cols)
     active = T.explode_hours(enc.select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
-                             "fec_inicio_atencion", "fec_egreso", first, last, out="hour")
+                             "fec_inicio_atencion", "fec_egreso", first, last, out="hour", spread_by="id_encuentro")
     active = active.join(F.broadcast(caps), "id_sede")  # sites: bounded by the city list
     occ = A.capacity_fill(active, ["hour", "id_sede"], "id_encuentro", caps_cols, s, "bed",
-                          unit_col="unit_pos", out="num_camas_ocupadas", checkpoint_phases=checkpoint_phases)
+                          unit_col="unit_pos", out="num_camas_ocupadas", checkpoint_phases=checkpoint_phases,
+                          group_bound=hours * n_sites)
     grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro")
     cells = grid.join(occ.withColumnRenamed("hour", "fec_hora_registro"), ["fec_hora_registro", "id_sede", "unit_pos"], "left")
     cells = cells.join(F.broadcast(caps), "id_sede")
@@ -270,7 +271,7 @@ def build_far_dispensacion(spark: SparkSession, cfg: C.Config, enc: DataFrame, n
     """Drug dispensing lines (2.9.6), each tied to a uniformly drawn encounter."""
     s = cfg.seed
     n_enc = n_enc if n_enc is not None else cfg.length("hce_encuentros")
-    ids = ids if ids is not None else spine(spark, cfg.length("far_dispensacion"), "id_dispensacion")
+    ids = spread(ids, "id_dispensacion") if ids is not None else spine(spark, cfg.length("far_dispensacion"), "id_dispensacion")
     k = "id_dispensacion"
     codes = [c for c, _, _ in cfg.drugs]
     names = [n for _, n, _ in cfg.drugs]

@@ -72,3 +72,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for tables written by a query."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}"
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (local[8] -> 8)."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def range_parts(spark: SparkSession, n: int, rows_per_part: int = 1_000_000) -> int:
+    """Partitions for a ``spark.range`` spine of ``n`` rows that feeds heavy
+    per-row expressions: at least one per task slot, at most ``rows_per_part`` rows each."""
+    return max(1, min(max(n, 1), max(parallelism(spark), -(-n // rows_per_part))))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a narrow input by its unique key before fan-out or heavy
+    per-row work (an id file in one split, stays about to be exploded into
+    hours), so every task slot takes a share. Inputs already split at least
+    that wide are returned unchanged: no extra shuffle at scale."""
+    target = parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
