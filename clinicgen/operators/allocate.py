@@ -53,8 +53,12 @@ def budget_alloc(
     per = c.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.max(order_col).alias("_last"), F.max("_lim").alias("_limit"))
     if part:
         c = c.drop("_lim").join(per, on=part, how="inner")
-    else:  # one budget: a one-row table, joined by broadcast on a constant key
-        c = c.drop("_lim").withColumn("_one", F.lit(1)).join(F.broadcast(per.withColumn("_one", F.lit(1))), on="_one").drop("_one")
+    else:  # one budget: its three scalars come back as one row (no constant-key join)
+        row = per.first()
+        if row is None:
+            return cells.withColumn(out, F.lit(None).cast("bigint"))
+        c = c.drop("_lim").withColumn("_n", F.lit(int(row["_n"]))).withColumn("_last", F.lit(row["_last"])).withColumn(
+            "_limit", F.lit(int(row["_limit"])).cast("bigint"))
     c = c.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)).cast("bigint"))
     c = prefix_sum(c, F.col("_extra"), [order_col], ["_blk"], part, out="_C")
     e = F.col("_limit") - F.col("_n")

@@ -120,3 +120,23 @@ def test_avro_sink(spark, tmp_path):
         pytest.skip("spark-avro module not on the classpath: avro round trip not run")
     SK.write_table(df, str(tmp_path / "a"), "avro")
     assert SK.read_table(spark, str(tmp_path / "a"), "avro", df.schema).collect() == df.collect()
+
+
+def test_load_config_through_spark(spark, tmp_path):
+    import json
+
+    from clinicgen.config import DEFAULT_CONFIG, Config, load_config
+    path = tmp_path / "conf.json"
+    path.write_text(json.dumps(DEFAULT_CONFIG, indent=2, ensure_ascii=False))
+    doc = load_config(spark, str(path))
+    cfg = Config(doc)
+    assert doc == DEFAULT_CONFIG
+    assert cfg.seed == 82 and len(cfg.cities) == 168 and len(cfg.insurers) == 18 and len(cfg.specialties) == 20
+    assert (None, 0.05) in cfg.genders  # the "null" key is a NULL category
+    assert sum(n for _, n in cfg.site_types) == cfg.length("red_sedes")
+
+
+def test_table_paths_and_formats():
+    assert SK.table_path("s3a://b/base/", "age_citas") == "s3a://b/base/age_citas/data"
+    assert SK.TABLE_FORMATS == {"pac_registro": "parquet", "med_planta": "avro", "red_sedes": "csv", "hce_encuentros": "parquet",
+                                "gcm_camas": "avro", "far_dispensacion": "avro", "age_citas": "parquet"}
