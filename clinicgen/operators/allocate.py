@@ -116,7 +116,7 @@ def capacity_fill(
     base = stays.select(*g, stay_id, *caps)
     base = base.selectExpr(*g, stay_id, f"{D.u(seed, f'{label}.order', stay_id, *g)} AS _o", f"{D.u(seed, f'{label}.pick', stay_id, *g)} AS _v")
     rem0 = F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps])
-    sizes = (stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.first(cp).alias(cp) for cp in caps])
+    sizes = (stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.max(cp).alias(cp) for cp in caps])
                   .select(*g, "_n", rem0.alias("_rem"))
                   .withColumn("_avail", _avail(F.col("_rem"), n_units))
                   .filter(F.size("_avail") > 0)  # no room anywhere: every stay is dropped
