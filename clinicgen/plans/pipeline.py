@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinicgen import config as C
 from clinicgen.plans import tables as TB
-from clinicgen.session import cut_lineage
+from clinicgen.session import current_cuts, cut_lineage, cuts_since, release_cuts
 from clinicgen.sources import sinks as SK
 
 ORDER = ("pac_registro", "med_planta", "red_sedes", "hce_encuentros", "gcm_camas", "far_dispensacion", "age_citas")
@@ -50,6 +50,14 @@ def write_all(tables: dict[str, DataFrame], base: str, formats: dict[str, str] |
 
 
 def run(spark: SparkSession, cfg: C.Config, base: str | None = None, formats: dict[str, str] | None = None,
-        max_rejects: int | None = None) -> dict[str, str]:
-    """Build and write everything under ``base`` (default: the configured bucket)."""
-    return write_all(build_all(spark, cfg, max_rejects=max_rejects), base or cfg.bucket, formats)
+        max_rejects: int | None = None, keep_intermediate: bool = False) -> dict[str, str]:
+    """Build and write everything under ``base`` (default: the configured bucket).
+
+    The intermediate tables written to the checkpoint folder during the build
+    are deleted once every output is written, unless ``keep_intermediate``.
+    """
+    mark = len(current_cuts())
+    paths = write_all(build_all(spark, cfg, max_rejects=max_rejects), base or cfg.bucket, formats)
+    if not keep_intermediate:
+        release_cuts(spark, cuts_since(mark))
+    return paths

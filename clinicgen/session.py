@@ -65,9 +65,34 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
+    _CUTS.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+# tables written by cut_lineage in this process, oldest first
+_CUTS: list[str] = []
+
+
+def cuts_since(mark: int) -> list[str]:
+    """Paths written by ``cut_lineage`` after ``mark = len(current_cuts())``."""
+    return list(_CUTS[mark:])
+
+
+def current_cuts() -> list[str]:
+    return list(_CUTS)
+
+
+def release_cuts(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables once nothing reads them (Hadoop FileSystem of each path)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+        if p in _CUTS:
+            _CUTS.remove(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for tables written by a query."""
     base = ensure_checkpoint_dir(spark)

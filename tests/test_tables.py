@@ -140,3 +140,20 @@ def test_table_paths_and_formats():
     assert SK.table_path("s3a://b/base/", "age_citas") == "s3a://b/base/age_citas/data"
     assert SK.TABLE_FORMATS == {"pac_registro": "parquet", "med_planta": "avro", "red_sedes": "csv", "hce_encuentros": "parquet",
                                 "gcm_camas": "avro", "far_dispensacion": "avro", "age_citas": "parquet"}
+
+
+def test_run_writes_all_and_releases_intermediates(spark, tmp_path):
+    import os
+
+    from clinicgen.plans.pipeline import run
+    cfg = small_config().with_lengths(pac_registro=300, med_planta=200, hce_encuentros=400, far_dispensacion=300, age_citas=300)
+    formats = {"med_planta": "parquet", "gcm_camas": "parquet", "far_dispensacion": "parquet"}  # no avro module here
+    from clinicgen.session import current_cuts
+    before = set(current_cuts())
+    paths = run(spark, cfg, str(tmp_path), formats=formats)
+    assert sorted(paths) == sorted(SK.TABLE_FORMATS)
+    assert set(current_cuts()) == before
+    for name, p in paths.items():
+        assert os.path.isdir(p), name
+    back = spark.read.parquet(paths["hce_encuentros"])
+    assert back.count() == 400 and back.columns == cfg.columns("hce_encuentros")
