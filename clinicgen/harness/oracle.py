@@ -367,8 +367,8 @@ def FILL(stays_sql: str, g1: str, g2: str, sid: str, caps_sql: str, label: str)
     av = f"list_filter([0, 1, 2, 3], lambda x: {rem}[x + 1] > 0)"
     pick = f"CASE WHEN len({av}) = 0 THEN NULL ELSE {av}[CAST(floor(s.v * len({av})) AS BIGINT) + 1] END"
     dec = lambda j: f"f.r{j} - CASE WHEN ({pick}) = {j} THEN 1 ELSE 0 END"
-    return (f"WITH RECURSIVE st AS (SELECT {g1}, {g2}, {sid}, {U(label + '.pick', sid, g1, g2)} AS v, "
-            f"row_number() OVER (PARTITION BY {g1}, {g2} ORDER BY {U(label + '.order', sid, g1, g2)}, {sid}) AS pos FROM ({stays_sql})), "
+    return (f"WITH RECURSIVE st AS (SELECT {g1}, {g2}, {sid}, {U(label, sid, g1, g2, slot=1)} AS v, "
+            f"row_number() OVER (PARTITION BY {g1}, {g2} ORDER BY {U(label, sid, g1, g2, slot=0)}, {sid}) AS pos FROM ({stays_sql})), "
             f"caps AS ({caps_sql}), "
             f"fill(g1, g2, pos, r0, r1, r2, r3, pick) AS ("
             f"SELECT DISTINCT st.{g1}, st.{g2}, CAST(0 AS BIGINT), greatest(c0, 0), greatest(c1, 0), greatest(c2, 0), greatest(c3, 0), CAST(NULL AS INTEGER) "

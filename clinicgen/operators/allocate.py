@@ -100,7 +100,8 @@ def capacity_fill(
 
     ``stays``: one row per (group, stay) carrying the group's capacities in
     ``caps`` (unit order). Stays are taken in order of a seeded uniform
-    (ties by ``stay_id``); each picks uniformly among units with room. Rows
+    (ties by ``stay_id``); each picks uniformly among units with room. Order
+    and pick are slots 0 and 1 of one digest of ``(label, stay, group)``. Rows
     come back only for (group, unit) with at least one bed taken.
     ``group_bound`` is a proven bound on the number of groups (e.g. hours x
     sites); under ``BROADCAST_MAX_ROWS`` the per-group table is broadcast.
@@ -114,7 +115,7 @@ def capacity_fill(
     n_units = len(caps)
     keep = cut_lineage if checkpoint_phases else (lambda df, name="": df)
     base = stays.select(*g, stay_id, *caps)
-    base = base.selectExpr(*g, stay_id, f"{D.u(seed, f'{label}.order', stay_id, *g)} AS _o", f"{D.u(seed, f'{label}.pick', stay_id, *g)} AS _v")
+    base = base.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
     rem0 = F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps])
     sizes = (stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.max(cp).alias(cp) for cp in caps])
                   .select(*g, "_n", rem0.alias("_rem"))

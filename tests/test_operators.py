@@ -160,7 +160,7 @@ def test_capacity_fill_matches_sequential_loop(spark, block_rows):
     df = spark.createDataFrame(stays, "g long, sid long, c0 long, c1 long, c2 long, c3 long")
     out = A.capacity_fill(df, ["g"], "sid", ["c0", "c1", "c2", "c3"], 11, "t", block_rows=block_rows)
     got = {(r["g"], r["unit_pos"]): r["occupied"] for r in out.collect()}
-    draws = df.selectExpr("g", "sid", f"{D.u(11, 't.order', 'sid', 'g')} AS o", f"{D.u(11, 't.pick', 'sid', 'g')} AS v").collect()
+    draws = df.selectExpr("g", "sid", f"{D.u(11, 't', 'sid', 'g', slot=0)} AS o", f"{D.u(11, 't', 'sid', 'g', slot=1)} AS v").collect()
     want = _fill_loop([(r["g"], r["sid"], r["o"], r["v"]) for r in draws], caps)
     assert got == want
     for (g, j), n in got.items():
