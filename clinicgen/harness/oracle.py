@@ -580,17 +580,17 @@ def GCM_SQL() -> str:
     units = CFG.units
     hours = f"CAST(floor({n_of('events')} / {n * len(units)}) + 1 AS BIGINT)"
     last = f"(CAST({ASOF} AS TIMESTAMP) + INTERVAL 23 HOUR)"
-    stays = ("SELECT hour, id_sede, id_encuentro FROM enc JOIN hours ON fec_inicio_atencion <= hour AND fec_egreso > hour")
-    caps = "SELECT DISTINCT hour, id_sede, " + ", ".join(f"{c} AS c{j}" for j, c in enumerate(CAPS)) + " FROM act JOIN sedes USING (id_sede)"
-    fill = FILL("SELECT * FROM act", "hour", "id_sede", "id_encuentro", caps, "bed")
+    stays = ("SELECT hour_idx, id_sede, id_encuentro FROM enc JOIN hours ON fec_inicio_atencion <= hour AND fec_egreso > hour")
+    caps = "SELECT DISTINCT hour_idx, id_sede, " + ", ".join(f"{c} AS c{j}" for j, c in enumerate(CAPS)) + " FROM act JOIN sedes USING (id_sede)"
+    fill = FILL("SELECT * FROM act", "hour_idx", "id_sede", "id_encuentro", caps, "bed")
     return (
         f"WITH RECURSIVE enc AS ({ENC_SQL()}), sedes AS ({SEDES_SQL()}), "
         f"hours AS (SELECT i AS hour_idx, {last} - to_hours(CAST({hours} - 1 - i AS BIGINT)) AS hour FROM range(0, {hours}) t(i)), "
         f"act AS ({stays}), occ AS ({fill}), "
-        f"grid AS (SELECT hour_idx * {n * len(units)} + (s - 1) * {len(units)} + u + 1 AS id_registro_cama, hour, CAST(s AS BIGINT) AS id_sede, u AS unit_pos "
+        f"grid AS (SELECT hour_idx * {n * len(units)} + (s - 1) * {len(units)} + u + 1 AS id_registro_cama, hour_idx, hour, CAST(s AS BIGINT) AS id_sede, u AS unit_pos "
         f"FROM hours, range(1, {n + 1}) a(s), range(0, {len(units)}) b(u)), "
         f"cells AS (SELECT grid.*, CAST(coalesce(occ.occupied, 0) AS BIGINT) AS occ, "
-        f"[{', '.join('sedes.' + c for c in CAPS)}][grid.unit_pos + 1] AS cap FROM grid LEFT JOIN occ USING (hour, id_sede, unit_pos) JOIN sedes USING (id_sede)), "
+        f"[{', '.join('sedes.' + c for c in CAPS)}][grid.unit_pos + 1] AS cap FROM grid LEFT JOIN occ USING (hour_idx, id_sede, unit_pos) JOIN sedes USING (id_sede)), "
         f"c2 AS (SELECT *, CAST(cap - occ AS BIGINT) AS disp FROM cells), "
         f"c3 AS (SELECT *, {DINT(U('bed.maint', 'id_registro_cama'), 0, f'floor(disp * {dbl(C.PCT_MAINTENANCE)})')} AS mant FROM c2) "
         f"SELECT CAST(id_registro_cama AS BIGINT) AS id_registro_cama, id_sede, {arr(units)}[unit_pos + 1] AS tip_unidad, hour AS fec_hora_registro, "

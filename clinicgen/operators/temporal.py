@@ -57,7 +57,7 @@ def hourly_occupancy(stays: DataFrame, site: str, start: str, end: str, grid_sta
 
 def dense_grid(spark: SparkSession, hours: int, n_sites: int, units: Sequence[str], last_hour: Column,
                hour_col: str = "hour", site_col: str = "id_sede", unit_col: str = "tip_unidad",
-               pos_col: str = "unit_pos", id_col: str = "cell_id") -> DataFrame:
+               pos_col: str = "unit_pos", id_col: str = "cell_id", hour_idx_col: str | None = None) -> DataFrame:
     """Every (hour, site 1..n, unit) cell, decoded from one ``spark.range`` (2.5.8).
 
     Row-major ids (hour, then site, then unit) give the loop's record numbers
@@ -67,9 +67,11 @@ def dense_grid(spark: SparkSession, hours: int, n_sites: int, units: Sequence[st
     total = hours * n_sites * n_units
     i = F.col("id")
     unit_name = F.element_at(F.array(*[F.lit(x) for x in units]), (i % n_units + 1).cast("int"))
+    hour_no = F.floor(i / (n_sites * n_units)).cast("bigint")
+    extra = [hour_no.alias(hour_idx_col)] if hour_idx_col else []
     return spark.range(0, total, 1, max(1, total // 1_000_000 + 1)).select(
         (i + 1).alias(id_col),
-        F.timestamp_add("HOUR", F.floor(i / (n_sites * n_units)).cast("bigint") - F.lit(hours - 1), last_hour).alias(hour_col),
+        F.timestamp_add("HOUR", hour_no - F.lit(hours - 1), last_hour).alias(hour_col),
         ((F.floor(i / n_units) % n_sites) + 1).cast("bigint").alias(site_col),
         (i % n_units).cast("int").alias(pos_col),
-        unit_name.alias(unit_col))
+        unit_name.alias(unit_col), *extra)

@@ -252,12 +252,15 @@ def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: D
     caps = sedes.select("id_sede", *caps_cols)
     active = T.explode_hours(enc.select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
                              "fec_inicio_atencion", "fec_egreso", first, last, out="hour", spread_by="id_encuentro")
+    # groups are keyed by the hour's index in the grid (0 = first hour): an integer, cheap to hash
+    active = active.withColumn("hour_idx", F.timestamp_diff("HOUR", first, F.col("hour"))).drop("hour")
     active = active.join(F.broadcast(caps), "id_sede")  # sites: bounded by the city list
-    occ = A.capacity_fill(active, ["hour", "id_sede"], "id_encuentro", caps_cols, s, "bed",
+    occ = A.capacity_fill(active, ["hour_idx", "id_sede"], "id_encuentro", caps_cols, s, "bed",
                           unit_col="unit_pos", out="num_camas_ocupadas", checkpoint_phases=checkpoint_phases,
                           group_bound=hours * n_sites)
-    grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro")
-    cells = grid.join(occ.withColumnRenamed("hour", "fec_hora_registro"), ["fec_hora_registro", "id_sede", "unit_pos"], "left")
+    grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro",
+                        hour_idx_col="hour_idx")
+    cells = grid.join(occ, ["hour_idx", "id_sede", "unit_pos"], "left")
     cells = cells.join(F.broadcast(caps), "id_sede")
     cap = F.element_at(F.array(*[F.col(c) for c in caps_cols]), (F.col("unit_pos") + 1).cast("int"))
     cells = cells.withColumn("num_camas_ocupadas", F.coalesce(F.col("num_camas_ocupadas"), F.lit(0)).cast("bigint"))
