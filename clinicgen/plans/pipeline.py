@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinicgen import config as C
 from clinicgen.plans import tables as TB
-from clinicgen.session import current_cuts, cut_lineage, cuts_since, release_cuts
+from clinicgen.session import current_cuts, cut_lineage, cuts_since, release_cuts, require_fixed_offset_zone
 from clinicgen.sources import sinks as SK
 
 ORDER = ("pac_registro", "med_planta", "red_sedes", "hce_encuentros", "gcm_camas", "far_dispensacion", "age_citas")
@@ -27,6 +27,7 @@ def build_all(spark: SparkSession, cfg: C.Config, materialize: bool = True, max_
     ``max_rejects`` = ``cfg.max_rejects`` reproduces the job's early stop of
     the appointment loop; the default None builds the full requested count.
     """
+    require_fixed_offset_zone(spark)
     keep = cut_lineage if materialize else (lambda df, name="": df)
     pac = keep(TB.build_pac_registro(spark, cfg), "pac_registro")
     med = keep(TB.build_med_planta(spark, cfg), "med_planta")

@@ -119,3 +119,26 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys)
+
+
+def require_fixed_offset_zone(spark: SparkSession) -> str:
+    """The session time zone, refused when its UTC offset changes during the year.
+
+    Wall-clock (``timestamp_ntz``) arithmetic such as ``timestampdiff`` and
+    ``date_trunc`` goes through the session zone; across a daylight-saving
+    change an hour would be gained or lost and the generated times would
+    depend on where the job runs. Set ``spark.sql.session.timeZone=UTC``.
+    """
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    name = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        zone = ZoneInfo(name)
+    except Exception:  # offsets such as "+05:00" are fixed by construction
+        return name
+    offsets = {dt.datetime(2021, m, 1, tzinfo=zone).utcoffset() for m in range(1, 13)}
+    if len(offsets) > 1:
+        raise ValueError(f"session time zone {name!r} changes its UTC offset during the year; "
+                         "set spark.sql.session.timeZone=UTC for reproducible wall-clock times")
+    return name

@@ -157,3 +157,16 @@ def test_run_writes_all_and_releases_intermediates(spark, tmp_path):
         assert os.path.isdir(p), name
     back = spark.read.parquet(paths["hce_encuentros"])
     assert back.count() == 400 and back.columns == cfg.columns("hce_encuentros")
+
+
+def test_daylight_saving_zone_is_refused(spark):
+    from clinicgen.session import require_fixed_offset_zone
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        with pytest.raises(ValueError, match="UTC offset"):
+            require_fixed_offset_zone(spark)
+        spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+        assert require_fixed_offset_zone(spark) == "America/Bogota"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
