@@ -130,12 +130,21 @@ def capacity_fill(
     results: list[DataFrame] = [loose.groupBy(*g, _pick(F.col("_v"), F.col("_avail")).alias("_pick")).agg(F.count(F.lit(1)).alias("_cnt"))]
 
     # the others: position of each stay in its group, blocks = slices of the uniform
-    if checkpoint_phases and sizes.filter(F.col("_tight")).isEmpty():
-        return _sum_counts(results, g, unit_col, out)
+    # one scalar row from the small group table: are there tight groups, and how large is the largest
+    small = False
+    if checkpoint_phases:
+        row = sizes.filter(F.col("_tight")).agg(F.count(F.lit(1)).alias("k"), F.max("_n").alias("m")).first()
+        if row["k"] == 0:
+            return _sum_counts(results, g, unit_col, out)
+        small = row["m"] <= block_rows  # every group fits one task: rank with plain windows
     tight = sizes.filter(F.col("_tight")).select(*g, "_n", "_rem",
                                                  F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("bigint").alias("_S"))
-    pos = base.join(groups(tight.select(*g, "_S")), on=g).withColumn("_sb", F.floor(F.col("_o") * F.col("_S")).cast("bigint"))
-    pos = keep(rank_in_order(pos, ["_o", stay_id], ["_sb"], g, out="_pos").select(*g, "_pos", "_v"), "fill-pos")
+    if small:
+        pos = rank_in_order(base.join(groups(tight.select(*g)), on=g), ["_o", stay_id], [], g, out="_pos")
+    else:
+        pos = base.join(groups(tight.select(*g, "_S")), on=g).withColumn("_sb", F.floor(F.col("_o") * F.col("_S")).cast("bigint"))
+        pos = rank_in_order(pos, ["_o", stay_id], ["_sb"], g, out="_pos")
+    pos = keep(pos.select(*g, "_pos", "_v"), "fill-pos")
     state = tight.select(*g, F.lit(0).cast("bigint").alias("_P"), F.col("_n").alias("_nrem"), "_rem")
 
     for _phase in range(n_units):
@@ -148,8 +157,12 @@ def capacity_fill(
         results.append(x.filter(~F.col("_ptight")).groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
         # the phase ends at the first stay that takes the last bed of a unit:
         # per (group, unit) the room-th stay picking it, then the smallest such position
-        xt = x.filter(F.col("_ptight")).withColumn("_pb", F.floor(F.col("_pos") / F.lit(block_rows)).cast("bigint"))
-        ranked = rank_in_order(xt, ["_pos"], ["_pb"], [*g, "_pick"], out="_k")
+        xt = x.filter(F.col("_ptight"))
+        if small:
+            ranked = rank_in_order(xt, ["_pos"], [], [*g, "_pick"], out="_k")
+        else:
+            xt = xt.withColumn("_pb", F.floor(F.col("_pos") / F.lit(block_rows)).cast("bigint"))
+            ranked = rank_in_order(xt, ["_pos"], ["_pb"], [*g, "_pick"], out="_k")
         room = F.element_at(F.col("_rem"), (F.col("_pick") + 1).cast("int"))
         ends = ranked.filter(F.col("_k") == room).groupBy(*g).agg(F.min("_pos").alias("_T"))
         done = (ranked.join(ends, on=g, how="left")

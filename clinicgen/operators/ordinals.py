@@ -46,6 +46,15 @@ def prefix_sum(
     """
     part, blk = list(partition), list(blocks)
     tmp = df.withColumn("_pv", value)
+    if not blk:
+        # no blocks: each partition is one block (callers pass this only with a proven
+        # bound on the partition's rows), so the running sum is a plain window
+        if not part:
+            raise ValueError("prefix_sum needs blocks or a partition: a global window would run in one task")
+        run = tmp.withColumn("_in", F.sum("_pv").over(
+            Window.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)))
+        total = F.col("_in") if inclusive else F.col("_in") - F.col("_pv")
+        return run.withColumn(out, total).drop("_pv", "_in")
     totals = tmp.groupBy(*part, *blk).agg(F.sum("_pv").alias("_bt"))
     before = Window.partitionBy(*part).orderBy(*blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, *blk, F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"))
