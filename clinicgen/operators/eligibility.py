@@ -128,13 +128,16 @@ def accept_first(
     start: int = 1,
     max_rejects: int | None = None,
     block_width: int = DEFAULT_BLOCK_ROWS,
+    cut: int | None = None,
 ) -> DataFrame:
     """The first ``target`` accepted attempts in attempt order, with dense ids (2.4.16).
 
     Attempts after the ``max_rejects``-th reject are dropped (the loop would
-    have stopped there), so fewer than ``target`` rows may come back.
+    have stopped there), so fewer than ``target`` rows may come back. A caller
+    that already has the cut (``reject_cut``) passes it as ``cut``.
     """
-    cut = reject_cut(attempts, accepted, order_col, max_rejects)
+    if cut is None:
+        cut = reject_cut(attempts, accepted, order_col, max_rejects)
     acc = attempts.filter(F.col(accepted))
     if cut is not None:
         acc = acc.filter(F.col(order_col) < F.lit(cut))

@@ -137,9 +137,9 @@ def _accept_to_target(build, target: int, m: int, id_col: str, start: int, max_r
     """
     while True:
         att = build(m)
-        capped = max_rejects is not None and E.reject_cut(att, "accepted", "t", max_rejects) is not None
-        out = cut_lineage(E.accept_first(att, "accepted", "t", target, id_col, start=start, max_rejects=max_rejects))
-        if capped or out.count() >= target:
+        cut = E.reject_cut(att, "accepted", "t", max_rejects)
+        out = cut_lineage(E.accept_first(att, "accepted", "t", target, id_col, start=start, cut=cut))
+        if cut is not None or out.count() >= target:
             return out
         if m > 4_000_000_000:
             raise RuntimeError("attempt spine exhausted before the target")
