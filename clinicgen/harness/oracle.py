@@ -312,8 +312,14 @@ O["eligible_pick_ge"] = (f"SELECT med_id, pool_size, pac_id FROM ("
 O["hourly_occupancy"] = (f"WITH stays AS ({STAYS()}), hours AS (SELECT unnest(generate_series({GRID_LO}, {GRID_HI}, INTERVAL 1 HOUR)) AS hour) "
                          "SELECT site, hour, count(*) AS active FROM stays JOIN hours ON start <= hour AND \"end\" > hour GROUP BY site, hour")
 O["anti_first_visit"] = "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')"
-O["hour_grid"] = (f"WITH stays AS ({STAYS()}) SELECT CAST(row_number() OVER (ORDER BY hour) - 1 AS BIGINT) AS hour_idx, hour FROM "
-                  f"(SELECT unnest(generate_series({GRID_LO}, {GRID_HI}, INTERVAL 1 HOUR)) AS hour)")
+def _hour_grid() -> str:
+    """h = int(rows / (sites * units) + 1) hours ending at 23:00 of as_of."""
+    hours = f"CAST(floor({n_of('events')} / ({n_of('nation')} * {len(CFG.units)})) + 1 AS BIGINT)"
+    last = f"(CAST({ASOF} AS TIMESTAMP) + INTERVAL 23 HOUR)"
+    return f"SELECT CAST(i AS BIGINT) AS hour_idx, {last} - to_hours(CAST({hours} - 1 - i AS BIGINT)) AS hour FROM range(0, {hours}) t(i)"
+
+
+O["hour_grid"] = _hour_grid()
 
 
 @oracle("bed_grid")

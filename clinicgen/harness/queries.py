@@ -410,8 +410,9 @@ def _events_grid(h: Harness):
 
 @query
 def q_hour_grid(h: Harness) -> DataFrame:
-    _, _, hi, n = _events_grid(h)
-    return TM.hour_grid(h.spark, hi, n, idx_col="hour_idx", ts_col="hour")
+    # the bed table's grid: int(rows / (sites * units) + 1) hours ending at 23:00 of as_of
+    cfg = _cfg(h)
+    return TM.hour_grid(h.spark, F.expr(TB.last_grid_hour(cfg)), TB.grid_hours(cfg), idx_col="hour_idx", ts_col="hour")
 
 
 @query
