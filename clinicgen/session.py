@@ -116,6 +116,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     hours), so every task slot takes a share. Inputs already split at least
     that wide are returned unchanged: no extra shuffle at scale."""
     target = parallelism(df.sparkSession)
+    # a plan with an exchange is already split by it; asking such a plan for its RDD
+    # would run the upstream shuffle stages under AQE, so only scans are measured
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys)

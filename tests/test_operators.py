@@ -272,3 +272,16 @@ def test_late_arrival_wraps_past_midnight(spark):
     sched, arr, start = R.visit_times("prog", "DATE'2024-01-15'", "0.99999999D", "0.0D", cfg)
     r = df.selectExpr(f"{sched} AS s", f"{arr} AS a", f"{start} AS st").first()
     assert (r["s"], r["a"], r["st"]) == ("23:50:00", "02:50:00", "23:50:00")
+
+
+def test_spread_only_widens_narrow_scans(spark, tmp_path):
+    from clinicgen.session import parallelism, spread
+    path = str(tmp_path / "ids")
+    spark.range(0, 1000, 1, 1).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    assert narrow.rdd.getNumPartitions() == 1
+    wide = spread(narrow, "id")
+    assert wide.rdd.getNumPartitions() == parallelism(spark)
+    assert sorted(r["id"] for r in wide.collect()) == list(range(1000))
+    shuffled = narrow.groupBy((F.col("id") % 3).alias("k")).count()
+    assert spread(shuffled, "k") is shuffled
