@@ -170,3 +170,10 @@ def test_daylight_saving_zone_is_refused(spark):
         assert require_fixed_offset_zone(spark) == "America/Bogota"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_lazy_build_equals_materialized(spark, built):
+    cfg, tables = built
+    lazy = build_all(spark, cfg, materialize=False)
+    for name in ("hce_encuentros", "gcm_camas", "age_citas"):
+        assert _digest(lazy[name]) == _digest(tables[name]), name
