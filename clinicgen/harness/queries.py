@@ -392,7 +392,7 @@ def q_eligible_pick_ge(h: Harness) -> DataFrame:
 def q_hourly_occupancy(h: Harness) -> DataFrame:
     st = h.stays()
     lo, hi = events_grid_bounds(st)
-    return TM.hourly_occupancy(st, "site", "start", "end", lo, hi, out="active", hour_col="hour")
+    return TM.hourly_occupancy(st, "site", "start", "end", lo, hi, out="active", hour_col="hour", spread_by="event_id")
 
 
 @query

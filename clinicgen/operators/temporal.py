@@ -49,9 +49,13 @@ def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, gr
 
 
 def hourly_occupancy(stays: DataFrame, site: str, start: str, end: str, grid_start: Column, grid_end: Column,
-                     out: str = "active", hour_col: str = "hour") -> DataFrame:
-    """Stays active per (site, hour) over the grid; hours with none are absent (2.5.6)."""
-    ex = explode_hours(stays.select(site, start, end), start, end, grid_start, grid_end, hour_col)
+                     out: str = "active", hour_col: str = "hour", spread_by: str | None = None) -> DataFrame:
+    """Stays active per (site, hour) over the grid; hours with none are absent (2.5.6).
+
+    ``spread_by`` (a unique stay key) spreads narrow inputs before the explode.
+    """
+    keys = [spread_by] if spread_by else []
+    ex = explode_hours(stays.select(site, start, end, *keys), start, end, grid_start, grid_end, hour_col, spread_by=spread_by)
     return ex.groupBy(site, hour_col).agg(F.count(F.lit(1)).alias(out))
 
 
