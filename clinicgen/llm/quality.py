@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, text: str
 
     rows = (texts.mapInArrow(run, "doc_id bigint, y double, x binary").dropDuplicates(["doc_id"]).collect())  # max_train rows at most
     rows.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIM + 1)
     y = np.array([float(r["y"] >= 0.5) for r in rows])
     return vectors, fit(x, y)
 
@@ -226,8 +226,8 @@ def score_column(docs: DataFrame, vectors: np.ndarray, net: Network, text: str =
         ids = _Ids()
         v, n = shared.value
         for texts in batches:
-            x = np.array([pooled(t, v, ids) for t in texts], np.float64).reshape(len(texts), -1)
-            yield pd.Series(n.predict(x) if len(texts) else np.zeros(0))
+            x = np.array([pooled(t, v, ids) for t in texts], np.float64).reshape(len(texts), 2 * DIM + 1)
+            yield pd.Series(n.predict(x))
     return score(F.col(text))
 
 

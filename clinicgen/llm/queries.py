@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from clinicgen.llm import decontam, mix, quality, shard, simhash
+from clinicgen.llm import ann, chat, decontam, hpylm, mix, quality, shard, simhash, token_files, warc
 
 QUERIES = {
     "op1_spaced_seed_overlaps": decontam.op1_spaced_seed_overlaps,
     "op2_hypergeometric_shards": shard.op2_hypergeometric_shards,
+    "op3_warc_zst": warc.op3_warc_zst,
     "op4_mix_sources": mix.op4_mix_sources,
+    "op5_pitman_yor_scores": hpylm.op5_pitman_yor_scores,
     "op6_quality_scores": quality.op6_quality_scores,
     "op7_simhash_components": simhash.op7_simhash_components,
+    "op8_prefix_targets": chat.op8_prefix_targets,
+    "op9_kmeans_tree_search": ann.op9_kmeans_tree_search,
+    "op10_arrow_token_files": token_files.op10_arrow_token_files,
 }
 
 ORACLE_SQL = {
+    "op3_warc_zst": warc.OP3_SQL,
     "op4_mix_sources": mix.OP4_SQL,
+    "op8_prefix_targets": chat.OP8_SQL,
 }

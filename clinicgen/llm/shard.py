@@ -113,7 +113,7 @@ def communication_matrix(counts: DataFrame, depth: int, sizes: list[int], seed:
     ``counts`` has (block, n); blocks without rows may be missing. Margins are exact.
     """
     spark = counts.sparkSession
-    nodes = spark.range(1).select(F.lit(0).cast("bigint").alias("block"), F.array(*[F.lit(int(s)).cast("bigint") for s in sizes]).alias("quota"))
+    nodes = spark.range(1).select(F.col("id").alias("block"), F.array(*[F.lit(int(s)).cast("bigint") for s in sizes]).alias("quota"))
     for level in range(1, depth + 1):
         child = F.shiftright("block", depth - level)
         left = (counts.where(child % 2 == 0).groupBy(F.shiftright(child, 1).alias("block")).agg(F.sum("n").alias("left")))
