@@ -22,7 +22,7 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
 def create(path: str) -> Any:
     fs, p = _place(path)
     fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(p)
+    return fs.open_output_stream(p, compression=None)  # the name decides nothing
 
 
 def open_random(path: str) -> Any:
@@ -33,4 +33,4 @@ def open_random(path: str) -> Any:
 
 def open_stream(path: str) -> Any:
     fs, p = _place(path)
-    return fs.open_input_stream(p)
+    return fs.open_input_stream(p, compression=None)
