@@ -21,7 +21,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONFIG: dict = {
     "parametros": {
         "seed": 82,
-        "hr_min_atencion": 4,
         "max_dias_atencion": 14,
         "hr_min_consultas": 7,
         "hr_max_consultas": 22,
@@ -30,13 +29,11 @@ DEFAULT_CONFIG: dict = {
         "max_intentos": 10,
     },
     "info": {
-        "alta_complejidad_limit": 0.9,
         "t_consulta_externa_mean": 45,
         "t_consulta_externa_limit": 180,
         "fecha_fundacion": "1987-03-21",
     },
     "tablas": {
-        "bucket": "file:/tmp/clinicgen-out",
         "pac_registro_len": 100000,
         "med_planta_len": 200000,
         "red_sedes_len": 82,
@@ -200,8 +197,6 @@ DEFAULT_CONFIG: dict = {
     },
     "otros": {
         "max_cant_med": 3,
-        "max_dias_med": 14,
-        "max_frec_med": 3,
         "tips_prescripcion": ["Magistral", "Oficial"],
     },
 }
@@ -234,10 +229,11 @@ def load_config(spark: SparkSession, path: str) -> dict:
     The file is read by Spark (``wholetext``) so it can live on HDFS or an
     object store; a config is one small document, so it is parsed here.
     """
-    rows = spark.read.text(path, wholetext=True).collect()
-    if len(rows) != 1:
-        raise ValueError(f"expected one JSON document at {path}, found {len(rows)} files")
-    return json.loads(rows[0][0])
+    doc = spark.read.text(path, wholetext=True)
+    n = len(doc.inputFiles())  # names only: nothing is read before the count is known to be one
+    if n != 1:
+        raise ValueError(f"expected one JSON document at {path}, found {n} files")
+    return json.loads(doc.first()[0])
 
 
 def _weights(m: dict) -> list[tuple[str | None, float]]:
@@ -291,10 +287,6 @@ class Config:
     def columns(self, table: str) -> list[str]:
         return list(self.doc["tablas"][f"{table}_cols"])
 
-    @property
-    def bucket(self) -> str:
-        return self.doc["tablas"]["bucket"]
-
     # -- dimensions --------------------------------------------------------
     @property
     def pac(self) -> dict:

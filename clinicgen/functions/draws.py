@@ -109,32 +109,40 @@ def std_normal(u1: str, u2: str) -> str:
     return f"(sqrt({s(-2.0)} * ln({s(1.0)} - {u1})) * cos({s(TWO_PI)} * {u2}))"
 
 
-def normals4(seed: int, label: str, *keys: Sql) -> list[str]:
-    """Four independent standard normals from one digest (Box-Muller, cos and sin)."""
-    u0, u1, u2, u3 = (u(seed, label, *keys, slot=j) for j in range(4))
-    r1 = f"sqrt({s(-2.0)} * ln({s(1.0)} - {u0}))"
-    r2 = f"sqrt({s(-2.0)} * ln({s(1.0)} - {u2}))"
-    return [f"({r1} * cos({s(TWO_PI)} * {u1}))", f"({r1} * sin({s(TWO_PI)} * {u1}))",
-            f"({r2} * cos({s(TWO_PI)} * {u3}))", f"({r2} * sin({s(TWO_PI)} * {u3}))"]
-
-
-def trunc_normal_int(seed: int, label: str, key: Sql, mean: float, sd: float, lo: int, hi: int, tries: int = 24) -> str:
-    """``int(N(mean, sd))`` redrawn until in [lo, hi] (2.4.6).
-
-    Attempts come four per digest (stage s = digest of ``key|s``); the first
-    attempt in range wins. Stages are chained with ``coalesce``, which stops
-    at the first non-NULL, so later digests are only computed for the rare
-    rows that need them; exhausting ``tries`` raises instead of guessing.
-    ``int()`` truncates toward zero, as a cast does.
+def _normal_mass(a: float, b: float) -> float:
+    """P(a < Z < b) of a standard normal, from the tail nearer to the interval."""
+    if a > 0:
+        return 0.5 * (math.erfc(a / math.sqrt(2)) - math.erfc(b / math.sqrt(2)))
+    if b < 0:
+        return 0.5 * (math.erfc(-b / math.sqrt(2)) - math.erfc(-a / math.sqrt(2)))
+    return 0.5 * (math.erf(b / math.sqrt(2)) - math.erf(a / math.sqrt(2)))
+
+
+def trunc_normal_bounds(mean: float, sd: float, lo: int, hi: int) -> list[float]:
+    """Cumulative probabilities of lo..hi-1 under "``int(N(mean, sd))`` redrawn until in [lo, hi]".
+
+    ``int()`` truncates toward zero, so 0 stands for the open interval (-1, 1).
     """
     if lo > hi:
         raise ValueError("lo > hi")
-    stages = []
-    for st in range(1, (tries + 3) // 4 + 1):
-        cands = ", ".join(f"CAST({s(float(mean))} + {s(float(sd))} * {z} AS BIGINT)" for z in normals4(seed, label, key, st))
-        stages.append(f"try_element_at(filter(array({cands}), x -> x BETWEEN {lo} AND {hi}), 1)")
-    fail = f"CAST(raise_error('trunc_normal_int[{label}]: no value in [{lo},{hi}] after {tries} attempts') AS BIGINT)"
-    return f"coalesce({', '.join(stages)}, {fail})"
+    ends = [(v if v > 0 else v - 1, v + 1 if v >= 0 else v) for v in range(lo, hi + 1)]
+    mass = [_normal_mass((a - mean) / sd, (b - mean) / sd) for a, b in ends]
+    total = math.fsum(mass)
+    if total <= 0.0:
+        raise ValueError(f"N({mean}, {sd}) has no mass in [{lo}, {hi}] that a double can tell")
+    return [math.fsum(mass[:i]) / total for i in range(1, len(mass))]
+
+
+def trunc_normal_int(seed: int, label: str, key: Sql, mean: float, sd: float, lo: int, hi: int) -> str:
+    """``int(N(mean, sd))`` redrawn until in [lo, hi] (2.4.6), from its exact discrete law.
+
+    One uniform and a lookup in the cumulative probabilities, which are constants of the plan.
+    """
+    bounds = trunc_normal_bounds(mean, sd, lo, hi)
+    if not bounds:
+        return f"CAST({lo} AS BIGINT)"
+    array = "array(" + ", ".join(s(x) for x in bounds) + ")"
+    return f"CAST({lo} + size(filter({array}, b -> b <= {u(seed, label, key)})) AS BIGINT)"
 
 
 def folded_normal_int(u1: str, u2: str, mean: Sql, sd: float) -> str:

@@ -4,31 +4,27 @@ customer -> patients (pac_id = c_custkey + 1), part -> physicians
 (med_id = p_partkey + 1), nation -> sites, orders -> encounters / attempts,
 lineitem -> dispensing lines, events -> stays and appointments
 (site = user_id, start = ts, end = ts + int(value % 5) h + (event_id % 60) min).
-Table lengths come from the tables, so every query's work grows with them.
+Lengths come from the tables a query uses, counted anew each time. ``orders`` (encounters) and
+``events`` (appointments, bed rows) give target counts to builders whose feature is
+to draw up to a target; patients, physicians, sites and dispensing lines are one per row.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinicgen.config import Config
+from clinicgen.session import spread
 
 AS_OF = dt.date(2026, 1, 1)
 # appointments rules are exercised with a reference date inside the events' month
 EVENTS_AS_OF = dt.date(2024, 1, 15)
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-# row counts of the read-only input files, keyed by (path, modification time)
-_COUNTS: dict[tuple[str, float], int] = {}
-
-
 def scale_counts(counts: list[tuple[str, int]], n: int) -> dict[str, int]:
     """Scale integer counts to sum to ``n`` (largest remainder, ties in list order)."""
     total = sum(c for _, c in counts)
@@ -41,50 +37,45 @@ def scale_counts(counts: list[tuple[str, int]], n: int) -> dict[str, int]:
     return out
 
 
+# table of the generator -> harness table whose rows it has
+LENGTHS = {"pac_registro": "customer", "med_planta": "part", "hce_encuentros": "orders",
+           "gcm_camas": "events", "far_dispensacion": "lineitem", "age_citas": "events"}
+
+
 @dataclass
 class Harness:
     spark: SparkSession
     sf_dir: str
-    _counts: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
     def count(self, name: str) -> int:
-        if name not in self._counts:
-            path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
-            try:
-                key = (path, os.path.getmtime(path))
-            except OSError:  # not a local path: count every time
-                key = None
-            if key is not None and key in _COUNTS:
-                self._counts[name] = _COUNTS[key]
-            else:
-                self._counts[name] = self.table(name).count()
-                if key is not None:
-                    _COUNTS[key] = self._counts[name]
-        return self._counts[name]
-
-    def config(self) -> Config:
-        base = Config(as_of=AS_OF)
-        n_sites = self.count("nation")
-        cfg = base.with_lengths(
-            pac_registro=self.count("customer"),
-            med_planta=self.count("part"),
-            hce_encuentros=self.count("orders"),
-            gcm_camas=self.count("events"),
-            far_dispensacion=self.count("lineitem"),
-            age_citas=self.count("events"),
-        )
-        limit = int(base.bed_limit * n_sites / base.length("red_sedes"))
-        return cfg.with_sites(n_sites, scale_counts(base.site_types, n_sites), limit)
+        return self.table(name).count()
+
+    def config(self, *tables: str) -> Config:
+        """The configuration with the lengths of ``tables`` (and, for ``red_sedes``, the sites) taken from the harness tables."""
+        cfg = Config(as_of=AS_OF)
+        sizes = {name: self.count(name) for name in {LENGTHS[t] for t in tables if t in LENGTHS}}
+        cfg = cfg.with_lengths(**{t: sizes[LENGTHS[t]] for t in tables if t in LENGTHS})
+        if "red_sedes" in tables:
+            n = self.count("nation")
+            cfg = cfg.with_sites(n, scale_counts(cfg.site_types, n), int(cfg.bed_limit * n / cfg.length("red_sedes")))
+        return cfg
 
     # -- stand-in spines ---------------------------------------------------
     def patient_ids(self) -> DataFrame:
-        return self.table("customer").select((F.col("c_custkey") + 1).alias("pac_id"))
+        return spread(self.table("customer").select((F.col("c_custkey") + 1).alias("pac_id")), "pac_id")
 
     def physician_ids(self) -> DataFrame:
-        return self.table("part").select((F.col("p_partkey") + 1).alias("med_id"))
+        return spread(self.table("part").select((F.col("p_partkey") + 1).alias("med_id")), "med_id")
+
+    def site_ids(self) -> DataFrame:
+        return self.table("nation").select((F.col("n_nationkey") + 1).alias("id_sede"))
+
+    def dispensing_ids(self) -> DataFrame:
+        ids = self.table("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id_dispensacion"))
+        return spread(ids, "id_dispensacion")
 
     def stays(self) -> DataFrame:
         """events as hospital stays."""

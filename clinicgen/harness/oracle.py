@@ -3,7 +3,7 @@
 Written in the *naive* form -- theta joins and correlated counts instead of
 rank sampling, recursive CTEs instead of closed forms and phases, global
 ``row_number()`` instead of block-wise ranks -- so that only the seeded draw
-``u(label, key)`` is shared with the Spark implementation.
+``u(label, key)`` and the constants of the configuration are shared with the Spark implementation.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 import math
 
 from clinicgen import config as C
-from clinicgen.functions.draws import TWO_PI, cumulative_bounds
-from clinicgen.harness.context import AS_OF, EVENTS_AS_OF, scale_counts
+from clinicgen.harness.context import AS_OF, EVENTS_AS_OF
 
 SEED = 82
+TWO_PI = 2 * math.pi
 CAPS = ["cap_camas_gen", "cap_camas_uci", "cap_camas_cirugia", "cap_camas_urg"]
 
 
@@ -46,9 +46,12 @@ def ELEM(u: str, a: str) -> str:
 
 
 def WEIGHTED(u: str, weights) -> str:
-    b = cumulative_bounds(weights)
-    parts = " ".join(f"WHEN ({u}) < {dbl(x)} THEN {q(v)}" for v, x in b[:-1])
-    return f"CAST(CASE {parts} ELSE {q(b[-1][0])} END AS VARCHAR)"
+    total = float(sum(w for _, w in weights))
+    parts, upto = [], 0.0
+    for v, w in weights[:-1]:
+        upto += float(w)
+        parts.append(f"WHEN ({u}) < {dbl(upto / total)} THEN {q(v)}")
+    return f"CAST(CASE {' '.join(parts)} ELSE {q(weights[-1][0])} END AS VARCHAR)"
 
 
 def BERN(u: str, pct: float) -> str:
@@ -59,17 +62,18 @@ def NORMAL(u1: str, u2: str) -> str:
     return f"(sqrt({dbl(-2.0)} * ln({dbl(1.0)} - {u1})) * cos({dbl(TWO_PI)} * {u2}))"
 
 
-def TRUNC_NORMAL(label: str, key: str, mean, sd, lo, hi, tries: int = 24) -> str:
-    stages = []
-    for s in range(1, (tries + 3) // 4 + 1):
-        u0, u1, u2, u3 = (U(label, key, f"'{s}'", slot=j) for j in range(4))
-        r1 = f"sqrt({dbl(-2.0)} * ln({dbl(1.0)} - {u0}))"
-        r2 = f"sqrt({dbl(-2.0)} * ln({dbl(1.0)} - {u2}))"
-        zs = [f"{r1} * cos({dbl(TWO_PI)} * {u1})", f"{r1} * sin({dbl(TWO_PI)} * {u1})",
-              f"{r2} * cos({dbl(TWO_PI)} * {u3})", f"{r2} * sin({dbl(TWO_PI)} * {u3})"]
-        vals = ", ".join(f"CAST(trunc({dbl(mean)} + {dbl(sd)} * ({z})) AS BIGINT)" for z in zs)
-        stages.append(f"list_filter([{vals}], lambda x: x BETWEEN {lo} AND {hi})[1]")
-    return f"coalesce({', '.join(stages)}, CAST(error('trunc normal exhausted') AS BIGINT))"
+def TRUNC_NORMAL(label: str, key: str, mean, sd, lo, hi) -> str:
+    """Smallest v in [lo, hi] whose cumulative probability exceeds the uniform.
+
+    Truncation toward zero gives v > 0 the interval [v, v + 1), 0 the interval (-1, 1) and v < 0 the
+    interval (v - 1, v]; the cumulative is that of the normal between the ends of the allowed values.
+    """
+    phi = lambda x: 0.5 * (1 + math.erf((x - mean) / (sd * math.sqrt(2))))
+    upper = lambda v: v + 1 if v >= 0 else v
+    base = phi(lo if lo > 0 else lo - 1)
+    span = phi(upper(hi)) - base
+    cuts = "[" + ", ".join(dbl((phi(upper(v)) - base) / span) for v in range(lo, hi)) + "]"
+    return f"CAST({lo} + len(list_filter({cuts}, lambda c: c <= {U(label, key)})) AS BIGINT)"
 
 
 def EXP_MS(u: str, mean, cap, unit_ms) -> str:
@@ -152,7 +156,7 @@ def oracle(name: str):
 
 @oracle("spine")
 def _():
-    return f"SELECT CAST(i AS BIGINT) AS id FROM range(1, {n_of('customer')} + 1) t(i)"
+    return "SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS id, c_custkey FROM customer"
 
 
 @oracle("dim_lookup")
@@ -312,14 +316,8 @@ O["eligible_pick_ge"] = (f"SELECT med_id, pool_size, pac_id FROM ("
 O["hourly_occupancy"] = (f"WITH stays AS ({STAYS()}), hours AS (SELECT unnest(generate_series({GRID_LO}, {GRID_HI}, INTERVAL 1 HOUR)) AS hour) "
                          "SELECT site, hour, count(*) AS active FROM stays JOIN hours ON start <= hour AND \"end\" > hour GROUP BY site, hour")
 O["anti_first_visit"] = "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')"
-def _hour_grid() -> str:
-    """h = int(rows / (sites * units) + 1) hours ending at 23:00 of as_of."""
-    hours = f"CAST(floor({n_of('events')} / ({n_of('nation')} * {len(CFG.units)})) + 1 AS BIGINT)"
-    last = f"(CAST({ASOF} AS TIMESTAMP) + INTERVAL 23 HOUR)"
-    return f"SELECT CAST(i AS BIGINT) AS hour_idx, {last} - to_hours(CAST({hours} - 1 - i AS BIGINT)) AS hour FROM range(0, {hours}) t(i)"
-
-
-O["hour_grid"] = _hour_grid()
+O["hour_grid"] = (f"WITH stays AS ({STAYS()}) SELECT CAST(row_number() OVER (ORDER BY hour) - 1 AS BIGINT) AS hour_idx, hour FROM "
+                  f"(SELECT unnest(generate_series({GRID_LO}, {GRID_HI}, INTERVAL 1 HOUR)) AS hour)")
 
 
 @oracle("bed_grid")
@@ -462,27 +460,26 @@ O["table_med_planta"] = MED_SQL(n_of("nation"))
 
 
 def SEDES_SQL() -> str:
-    """Sites for the harness: n = count(nation), scaled type counts and budget."""
-    # the harness scales site-type counts and the bed budget to count(nation) = 25
-    n = 25
-    types = scale_counts(CFG.site_types, n)
-    limit = int(CFG.bed_limit * n / CFG.length("red_sedes"))
-    cells = n * len(CFG.units)
-    mean = int(limit / cells)
-    tvals = ", ".join(f"({q(t)}, {c})" for t, c in types.items())
-    draw = f"abs(CAST(trunc({dbl(mean)} + {dbl(C.BED_SD)} * {NORMAL(U('site.beds', 'cell', slot=0), U('site.beds', 'cell', slot=1))}) AS BIGINT))"
+    """Sites for the harness: one per nation; type counts and bed budget scaled to them (largest remainder)."""
+    full = CFG.length("red_sedes")
+    kinds = ", ".join(f"({i}, {q(t)}, {c})" for i, (t, c) in enumerate(CFG.site_types))
+    total = sum(c for _, c in CFG.site_types)
+    draw = f"abs(CAST(trunc(CAST(mean AS DOUBLE) + {dbl(C.BED_SD)} * {NORMAL(U('site.beds', 'cell', slot=0), U('site.beds', 'cell', slot=1))}) AS BIGINT))"
     return (
         "WITH RECURSIVE "
+        f"sz AS (SELECT n, CAST(floor({CFG.bed_limit} * n / {dbl(full)}) AS BIGINT) AS lim, n * {len(CFG.units)} AS cells FROM (SELECT count(*) AS n FROM nation)), "
         f"cities AS (SELECT * FROM (SELECT id_ciudad, {CITIES}[id_ciudad] AS nom_sede, row_number() OVER (ORDER BY {U('site.city', 'id_ciudad')}, id_ciudad) AS id_sede "
-        f"FROM (SELECT CAST(i AS BIGINT) AS id_ciudad FROM range(1, {len(CFG.cities) + 1}) t(i))) WHERE id_sede <= {n}), "
-        f"tc AS (SELECT * FROM (VALUES {tvals}) t(tip_sede, n)), "
-        "tb AS (SELECT tip_sede, n, sum(n) OVER (ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS lo FROM tc), "
-        "el AS (SELECT tip_sede, lo + k AS e FROM tb, range(0, n) r(k)), "
+        f"FROM (SELECT CAST(i AS BIGINT) AS id_ciudad FROM range(1, {len(CFG.cities) + 1}) t(i))) WHERE id_sede <= (SELECT n FROM sz)), "
+        f"raw AS (SELECT i, tip_sede, c * n / {dbl(total)} AS x FROM (VALUES {kinds}) t(i, tip_sede, c), sz), "
+        "part AS (SELECT i, tip_sede, CAST(floor(x) AS BIGINT) AS k, row_number() OVER (ORDER BY x - floor(x) DESC, i) AS r FROM raw), "
+        "tc AS (SELECT i, tip_sede, k + CASE WHEN r <= (SELECT n FROM sz) - (SELECT sum(k) FROM part) THEN 1 ELSE 0 END AS n FROM part), "
+        "tb AS (SELECT tip_sede, n, sum(n) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS lo FROM tc), "
+        "el AS (SELECT tip_sede, CAST(lo + k AS BIGINT) AS e FROM tb, range(0, n) r(k)), "
         f"types AS (SELECT tip_sede, row_number() OVER (ORDER BY {U('site.type', 'e')}, e) AS id_sede FROM el), "
-        f"cells AS (SELECT i AS cell, i + 1 AS ci, {draw} AS draw FROM range(0, {cells}) t(i)), "
+        f"cells AS (SELECT cell, cell + 1 AS ci, cells AS n, lim, {draw} AS draw FROM (SELECT i AS cell, cells, lim, lim // cells AS mean FROM sz, range(0, sz.cells) t(i))), "
         "rec(ci, given, cell, alloc) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) "
         "UNION ALL SELECT c.ci, r.given + a.v, c.cell, a.v FROM rec r JOIN cells c ON c.ci = r.ci + 1, "
-        f"LATERAL (SELECT CASE WHEN c.ci = {cells} THEN {limit} - r.given ELSE greatest(1, least(c.draw, {limit} - r.given - ({cells} - c.ci + 1) + 1)) END AS v) a), "
+        "LATERAL (SELECT CASE WHEN c.ci = c.n THEN c.lim - r.given ELSE greatest(1, least(c.draw, c.lim - r.given - (c.n - c.ci + 1) + 1)) END AS v) a), "
         "beds AS (SELECT cell // 4 + 1 AS id_sede, " + ", ".join(f"max(CASE WHEN cell % 4 = {j} THEN alloc END) AS {c}" for j, c in enumerate(CAPS))
         + " FROM rec WHERE alloc IS NOT NULL GROUP BY 1) "
         f"SELECT CAST(id_sede AS BIGINT) AS id_sede, nom_sede, tip_sede, id_ciudad, {COUNTRY('id_ciudad')} AS id_pais, "
@@ -503,14 +500,16 @@ def ENC_SQL() -> str:
                   "med_id", "fec_ingreso", "elig.med", "le", "id_sede, esp_principal")
     pick_b = PICK("SELECT * FROM att1", "t", "fec_ingreso", "enc.b", "SELECT pac_id, fec_primer_atencion FROM pac", "pac_id",
                   "fec_primer_atencion", "elig.pac", "ge", "fec_primer_atencion")
-    # the harness draws attempts until the target; 4x the target is far more than needed here
+    # attempts until the target: three times the expected number, from the exact acceptance rate
     return (
         f"WITH pac AS ({PAC_SQL()}), med AS ({MED_SQL(n_of('nation'))}), "
         f"a0 AS (SELECT * FROM (SELECT pac_id, fec_primer_atencion, CAST(row_number() OVER (ORDER BY {U('enc.a.pick', 'pac_id')}, pac_id) AS BIGINT) AS id_encuentro FROM pac) "
         f"WHERE id_encuentro <= {n_a}), "
         f"a AS (SELECT id_encuentro, pac_id, med_id, id_sede, esp_principal AS esp_atendida, CAST(fec_primer_atencion AS TIMESTAMP) AS lo, "
         f"CAST(fec_primer_atencion AS TIMESTAMP) + INTERVAL 86399 SECOND AS hi, 'Primera vez' AS tip_consulta FROM ({pick_a})), "
-        f"att0 AS (SELECT CAST(i AS BIGINT) AS t FROM range(0, 4 * {n_enc} + 1000) r(i)), "
+        f"rate AS (SELECT avg((SELECT count(*) FILTER (WHERE p.fec_primer_atencion + {gap} <= {ASOF}) / CAST(greatest(count(*), 1) AS DOUBLE) "
+        "FROM pac p WHERE p.fec_primer_atencion >= m.fec_ingreso)) AS p FROM med m), "
+        f"att0 AS (SELECT CAST(i AS BIGINT) AS t FROM rate, range(0, CAST(3 * {n_enc} / rate.p AS BIGINT) + 1000) r(i)), "
         f"att1 AS (SELECT t, med_id, fec_ingreso, id_sede, esp_principal FROM (SELECT t, {DINT(U('enc.b', 't', slot=0), 1, n_of('part'))} AS med_id FROM att0) JOIN med USING (med_id)), "
         f"att2 AS (SELECT *, greatest(fec_primer_atencion + {gap}, fec_ingreso) AS fl FROM ({pick_b.replace(U('enc.b', 't'), U('enc.b', 't', slot=1))})), "
         f"b AS (SELECT * FROM (SELECT {n_a} + CAST(row_number() OVER (ORDER BY t) AS BIGINT) AS id_encuentro, pac_id, med_id, id_sede, esp_principal AS esp_atendida, "
@@ -536,9 +535,9 @@ def FAR_SQL() -> str:
     drugs = ", ".join(f"({i}, {q(c)}, {q(nm)}, CAST({p} AS BIGINT))" for i, (c, nm, p) in enumerate(CFG.drugs, start=1))
     mag, off = CFG.prescription_types[0], CFG.prescription_types[1]
     return (
-        f"WITH enc AS ({ENC_SQL()}), ids AS (SELECT CAST(i AS BIGINT) AS id_dispensacion FROM range(1, {n_of('lineitem')} + 1) t(i)), "
-        f"d AS (SELECT id_dispensacion, {DINT(U('far.a', k, slot=0), 1, n_of('orders'))} AS id_encuentro, {DINT(U('far.a', k, slot=2), 1, len(CFG.drugs))} AS n_med, "
-        f"{DINT(U('far.a', k, slot=3), 1, CFG.max_quantity)} AS cantidad FROM ids), "
+        f"WITH enc AS ({ENC_SQL()}), ids AS (SELECT l_orderkey * 8 + l_linenumber AS id_dispensacion FROM lineitem), ne AS (SELECT count(*) AS n FROM enc), "
+        f"d AS (SELECT id_dispensacion, {DINT(U('far.a', k, slot=0), 1, 'ne.n')} AS id_encuentro, {DINT(U('far.a', k, slot=2), 1, len(CFG.drugs))} AS n_med, "
+        f"{DINT(U('far.a', k, slot=3), 1, CFG.max_quantity)} AS cantidad FROM ids, ne), "
         f"drug AS (SELECT * FROM (VALUES {drugs}) t(n_med, cod_medicamento, nombre_medicamento, vr_unitario)) "
         f"SELECT id_dispensacion, id_encuentro, pac_id, id_sede, {DTS(U('far.a', k, slot=1), 'fec_inicio_atencion', 'fec_egreso')} AS fec_dispensacion, "
         f"cod_medicamento, nombre_medicamento, cantidad, vr_unitario, CASE WHEN {BERN(U('far.b', k, slot=0), C.PCT_OFFICIAL_PRESCRIPTION)} THEN {q(off)} ELSE {q(mag)} END AS tip_prescripcion "
@@ -564,7 +563,9 @@ def CIT_SQL() -> str:
         "WHERE pac_id NOT IN (SELECT pac_id FROM enc WHERE tip_consulta = 'Primera vez')), "
         f"a AS (SELECT id_cita, pac_id, med_id, id_sede, esp_principal AS esp_solicitada, CAST(fec_primer_atencion AS TIMESTAMP) + INTERVAL {lo_h} HOUR AS lo, "
         f"CAST(fec_primer_atencion AS TIMESTAMP) + INTERVAL {hi_h} HOUR AS hi, 'Primera vez' AS tip_cita FROM ({pick_a})), "
-        f"att0 AS (SELECT CAST(i AS BIGINT) AS t FROM range(0, 4 * {n_cit} + 1000) r(i)), "
+        f"rate AS (SELECT avg((SELECT count(*) FILTER (WHERE p.fec_primer_atencion + 1 <= {ASOF}) / CAST(greatest(count(*), 1) AS DOUBLE) "
+        "FROM pac p WHERE p.fec_primer_atencion >= m.fec_ingreso)) AS p FROM med m), "
+        f"att0 AS (SELECT CAST(i AS BIGINT) AS t FROM rate, range(0, CAST(3 * {n_cit} / rate.p AS BIGINT) + 1000) r(i)), "
         f"att1 AS (SELECT t, med_id, fec_ingreso, id_sede, esp_principal FROM (SELECT t, {DINT(U('cit.b', 't', slot=0), 1, n_of('part'))} AS med_id FROM att0) JOIN med USING (med_id)), "
         f"att2 AS (SELECT *, fec_primer_atencion + 1 AS fl FROM ({pick_b.replace(U('cit.b', 't'), U('cit.b', 't', slot=1))})), "
         f"b AS (SELECT * FROM (SELECT {n_a} + CAST(row_number() OVER (ORDER BY t) AS BIGINT) AS id_cita, pac_id, med_id, id_sede, esp_principal AS esp_solicitada, "
@@ -582,9 +583,9 @@ O["table_age_citas"] = CIT_SQL()
 
 
 def GCM_SQL() -> str:
-    n = 25
     units = CFG.units
-    hours = f"CAST(floor({n_of('events')} / {n * len(units)}) + 1 AS BIGINT)"
+    n = n_of("nation")
+    hours = f"CAST(floor({n_of('events')} / ({n} * {len(units)})) + 1 AS BIGINT)"
     last = f"(CAST({ASOF} AS TIMESTAMP) + INTERVAL 23 HOUR)"
     stays = ("SELECT hour_idx, id_sede, id_encuentro FROM enc JOIN hours ON fec_inicio_atencion <= hour AND fec_egreso > hour")
     caps = "SELECT DISTINCT hour_idx, id_sede, " + ", ".join(f"{c} AS c{j}" for j, c in enumerate(CAPS)) + " FROM act JOIN sedes USING (id_sede)"
@@ -593,8 +594,8 @@ def GCM_SQL() -> str:
         f"WITH RECURSIVE enc AS ({ENC_SQL()}), sedes AS ({SEDES_SQL()}), "
         f"hours AS (SELECT i AS hour_idx, {last} - to_hours(CAST({hours} - 1 - i AS BIGINT)) AS hour FROM range(0, {hours}) t(i)), "
         f"act AS ({stays}), occ AS ({fill}), "
-        f"grid AS (SELECT hour_idx * {n * len(units)} + (s - 1) * {len(units)} + u + 1 AS id_registro_cama, hour_idx, hour, CAST(s AS BIGINT) AS id_sede, u AS unit_pos "
-        f"FROM hours, range(1, {n + 1}) a(s), range(0, {len(units)}) b(u)), "
+        f"grid AS (SELECT hour_idx * {n} * {len(units)} + (s - 1) * {len(units)} + u + 1 AS id_registro_cama, hour_idx, hour, CAST(s AS BIGINT) AS id_sede, u AS unit_pos "
+        f"FROM hours, range(1, {n} + 1) a(s), range(0, {len(units)}) b(u)), "
         f"cells AS (SELECT grid.*, CAST(coalesce(occ.occupied, 0) AS BIGINT) AS occ, "
         f"[{', '.join('sedes.' + c for c in CAPS)}][grid.unit_pos + 1] AS cap FROM grid LEFT JOIN occ USING (hour_idx, id_sede, unit_pos) JOIN sedes USING (id_sede)), "
         f"c2 AS (SELECT *, CAST(cap - occ AS BIGINT) AS disp FROM cells), "

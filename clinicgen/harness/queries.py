@@ -21,7 +21,7 @@ from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as TM
 from clinicgen.plans import tables as TB
-from clinicgen.session import cut_lineage, scratch_path
+from clinicgen.session import cut_lineage, unique_path
 from clinicgen.sources import sinks as SK
 from clinicgen.sources.dims import dims, lookup
 
@@ -35,7 +35,7 @@ def query(fn):
 
 
 def _cfg(h: Harness) -> C.Config:
-    return h.config()
+    return h.config()  # constants only: no table is counted
 
 
 def _day_draw(label: str, key: str, cfg: C.Config) -> str:
@@ -45,7 +45,8 @@ def _day_draw(label: str, key: str, cfg: C.Config) -> str:
 # ----------------------------------------------------------------- sources
 @query
 def q_spine(h: Harness) -> DataFrame:
-    return TB.spine(h.spark, h.count("customer"), "id")
+    ids = TB.spine(h.spark, h.count("customer"), "id")
+    return O.dense_ids(h.table("customer").select("c_custkey"), "c_custkey", "id").join(ids, "id").select("id", "c_custkey")
 
 
 @query
@@ -72,7 +73,7 @@ def q_project_reorder(h: Harness) -> DataFrame:
 @query
 def q_sink_parquet_roundtrip(h: Harness) -> DataFrame:
     df = _encounter_projection(h)
-    path = scratch_path(h.spark, "sink_parquet_roundtrip")
+    path = unique_path(h.spark, "sink_parquet_roundtrip")
     SK.write_table(df, path, "parquet")
     return SK.read_table(h.spark, path, "parquet", df.schema)
 
@@ -96,7 +97,7 @@ def q_sink_csv_roundtrip(h: Harness) -> DataFrame:
         "s_suppkey", "s_name", "tip_sede",
         F.when(F.col("nivel_complejidad") == "Baja", F.lit(None)).otherwise(F.col("nivel_complejidad")).alias("nivel"),
         F.when(F.col("s_nationkey") % 2 == 0, F.lit("")).otherwise(F.lit("Mantenimiento")).alias("motivo"))
-    path = scratch_path(h.spark, "sink_csv_roundtrip")
+    path = unique_path(h.spark, "sink_csv_roundtrip")
     SK.write_table(df, path, "csv")
     return SK.read_table(h.spark, path, "csv", df.schema)
 
@@ -206,10 +207,8 @@ def q_sample_wo_replacement(h: Harness) -> DataFrame:
 
 @query
 def q_shuffle_multiset(h: Harness) -> DataFrame:
-    cust = h.table("customer")
-    counts = [(r["c_mktsegment"], int(r["n"])) for r in cust.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).orderBy("c_mktsegment").collect()]
-    n = sum(c for _, c in counts)
-    sh = O.shuffle_multiset(h.spark, counts, n, SEED, "q.multiset", pos_col="pos", value_col="segment")
+    counts = h.table("customer").groupBy(F.col("c_mktsegment").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    sh = O.shuffle_multiset(counts, h.count("customer"), SEED, "q.multiset", pos_col="pos", value_col="segment")
     return sh.select((F.col("pos") - 1).alias("c_custkey"), "segment")
 
 
@@ -323,7 +322,7 @@ def q_reject_cap(h: Harness) -> DataFrame:
 @query
 def q_dense_ids(h: Harness) -> DataFrame:
     acc = _attempt_rows(h).filter("accepted").select("t")
-    return O.dense_ids(acc, "t", "id", block_width=1000)
+    return O.dense_ids(acc, "t", "id")
 
 
 @query
@@ -373,18 +372,16 @@ def q_dispense_join(h: Harness) -> DataFrame:
 @query
 def q_eligible_pick_le(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    pats = _patients_dates(h)
-    out = E.eligible_pick(pats, "fec_primer_atencion", D.u(SEED, "q.le", "pac_id"), _physicians_dates(h),
-                          "fec_ingreso", "med_id", [], SEED, "q.elig.med", "le", TB._date_bound(cfg))
+    pool = E.rank_pool(_physicians_dates(h), "fec_ingreso", "med_id", SEED, "q.elig.med", "le", (cfg.founding, cfg.as_of))
+    out = E.eligible_pick(_patients_dates(h), "fec_primer_atencion", D.u(SEED, "q.le", "pac_id"), pool)
     return out.select("pac_id", "pool_size", "med_id")
 
 
 @query
 def q_eligible_pick_ge(h: Harness) -> DataFrame:
     cfg = _cfg(h)
-    meds = _physicians_dates(h)
-    out = E.eligible_pick(meds, "fec_ingreso", D.u(SEED, "q.ge", "med_id"), _patients_dates(h),
-                          "fec_primer_atencion", "pac_id", [], SEED, "q.elig.pac", "ge", TB._date_bound(cfg))
+    pool = E.rank_pool(_patients_dates(h), "fec_primer_atencion", "pac_id", SEED, "q.elig.pac", "ge", (cfg.founding, cfg.as_of))
+    out = E.eligible_pick(_physicians_dates(h), "fec_ingreso", D.u(SEED, "q.ge", "med_id"), pool)
     return out.select("med_id", "pool_size", "pac_id")
 
 
@@ -410,9 +407,9 @@ def _events_grid(h: Harness):
 
 @query
 def q_hour_grid(h: Harness) -> DataFrame:
-    # the bed table's grid: int(rows / (sites * units) + 1) hours ending at 23:00 of as_of
-    cfg = _cfg(h)
-    return TM.hour_grid(h.spark, F.expr(TB.last_grid_hour(cfg)), TB.grid_hours(cfg), idx_col="hour_idx", ts_col="hour")
+    # every hour from the first stay's start to the last stay's end
+    _, _, hi, n_hours = _events_grid(h)
+    return TM.hour_grid(h.spark, hi, n_hours, idx_col="hour_idx", ts_col="hour")
 
 
 @query
@@ -461,9 +458,9 @@ def q_capacity_fill(h: Harness) -> DataFrame:
     st = h.stays()
     lo, hi = events_grid_bounds(st)
     act = TM.explode_hours(st, "start", "end", lo, hi, out="hour", spread_by="event_id")
-    act = act.selectExpr("*", *[f"{D.draw_int(D.u(SEED, 'q.caps', 'site', slot=j), 0, 3)} AS {c}" for j, c in enumerate(TB.CAP_COLS)])
+    caps = st.select("site").distinct().selectExpr("site", *[f"{D.draw_int(D.u(SEED, 'q.caps', 'site', slot=j), 0, 3)} AS {c}" for j, c in enumerate(TB.CAP_COLS)])
     act = act.withColumn("hour_no", F.timestamp_diff("HOUR", lo, F.col("hour")))
-    occ = A.capacity_fill(act, ["site", "hour_no"], "event_id", TB.CAP_COLS, SEED, "q.fill", unit_col="unit_pos", out="occupied")
+    occ = A.capacity_fill(act, ["site", "hour_no"], "event_id", caps, ["site"], TB.CAP_COLS, SEED, "q.fill", unit_col="unit_pos", out="occupied")
     return occ.select("site", "hour_no", "unit_pos", "occupied")
 
 
@@ -491,57 +488,63 @@ def q_visit_status(h: Harness) -> DataFrame:
 
 
 # ----------------------------------------------------------------- tables
-def _base_tables(h: Harness, materialize: bool = False):
-    """Patients and physicians; ``materialize`` writes them once, as ``build_all``
-    does for tables that feed several later plans."""
-    cfg = _cfg(h)
-    pac = TB.build_pac_registro(h.spark, cfg, h.patient_ids())
-    med = TB.build_med_planta(h.spark, cfg, h.physician_ids())
-    if materialize:
-        pac, med = cut_lineage(pac, "pac_registro"), cut_lineage(med, "med_planta")
-    return cfg, pac, med
+# The harness has few physicians, so some patients precede every hire date: the "null" policy keeps
+# them, and checks V0 would report them.
+def _patients(h: Harness, cfg: C.Config) -> DataFrame:
+    return TB.build_pac_registro(h.spark, cfg, h.patient_ids())
+
+
+def _physicians(h: Harness, cfg: C.Config) -> DataFrame:
+    return TB.build_med_planta(h.spark, cfg, h.physician_ids())
+
+
+def _visit_inputs(h: Harness, *tables: str) -> tuple[C.Config, DataFrame, DataFrame, TB.Pools]:
+    """Patients, physicians and their ranked pools, each written once, as ``build_all`` does."""
+    cfg = h.config("pac_registro", "med_planta", "red_sedes", "hce_encuentros", *tables)
+    pac, med = cut_lineage(_patients(h, cfg), "pac_registro"), cut_lineage(_physicians(h, cfg), "med_planta")
+    return cfg, pac, med, TB.rank_pools(cfg, pac, med)
 
 
-def _encounters(h: Harness):
-    cfg, pac, med = _base_tables(h, materialize=True)
-    enc = cut_lineage(TB.build_hce_encuentros(h.spark, cfg, pac, med), "hce_encuentros")
-    return cfg, pac, med, enc
+def _encounters(h: Harness, *tables: str):
+    cfg, pac, med, pools = _visit_inputs(h, *tables)
+    enc = cut_lineage(TB.build_hce_encuentros(h.spark, cfg, pac, med, empty_pool="null", pools=pools), "hce_encuentros")
+    return cfg, pac, med, enc, pools
 
 
 @query
 def q_table_pac_registro(h: Harness) -> DataFrame:
-    return _base_tables(h)[1]
+    return _patients(h, h.config())
 
 
 @query
 def q_table_med_planta(h: Harness) -> DataFrame:
-    return _base_tables(h)[2]
+    return _physicians(h, h.config("red_sedes"))
 
 
 @query
 def q_table_red_sedes(h: Harness) -> DataFrame:
-    return TB.build_red_sedes(h.spark, _cfg(h))
+    return TB.build_red_sedes(h.spark, h.config("red_sedes"), h.site_ids())
 
 
 @query
 def q_table_hce_encuentros(h: Harness) -> DataFrame:
-    cfg, pac, med = _base_tables(h, materialize=True)
-    return TB.build_hce_encuentros(h.spark, cfg, pac, med)
+    cfg, pac, med, pools = _visit_inputs(h)
+    return TB.build_hce_encuentros(h.spark, cfg, pac, med, empty_pool="null", pools=pools)
 
 
 @query
 def q_table_far_dispensacion(h: Harness) -> DataFrame:
-    cfg, _, _, enc = _encounters(h)
-    return TB.build_far_dispensacion(h.spark, cfg, enc)
+    cfg, _, _, enc, _ = _encounters(h)
+    return TB.build_far_dispensacion(h.spark, cfg, enc, ids=h.dispensing_ids())
 
 
 @query
 def q_table_age_citas(h: Harness) -> DataFrame:
-    cfg, pac, med, enc = _encounters(h)
-    return TB.build_age_citas(h.spark, cfg, pac, med, enc)
+    cfg, pac, med, enc, pools = _encounters(h, "age_citas")
+    return TB.build_age_citas(h.spark, cfg, pac, med, enc, empty_pool="null", pools=pools)
 
 
 @query
 def q_table_gcm_camas(h: Harness) -> DataFrame:
-    cfg, _, _, enc = _encounters(h)
-    return TB.build_gcm_camas(h.spark, cfg, TB.build_red_sedes(h.spark, cfg), enc)
+    cfg, _, _, enc, _ = _encounters(h, "gcm_camas")
+    return TB.build_gcm_camas(h.spark, cfg, TB.build_red_sedes(h.spark, cfg, h.site_ids()), enc)

@@ -7,27 +7,24 @@ a closed form over a running sum of ``max(draw - 1, 0)`` (block-wise, see
 
 ``capacity_fill`` reproduces "stays at one (hour, site), in turn, take a
 uniformly random unit among those with room; once all are full the rest are
-dropped" exactly, without collecting a group. The set of units with room
-only changes when a unit fills, so the fill runs in phases: within a phase
-every stay's pick is a pure function of its draw, and the phase ends at the
-first stay that fills a unit -- the smallest position among, per unit, the
-``room``-th stay picking it (a rank per (group, unit), block-wise). At most
-one phase per unit. Groups whose stays cannot fill any unit (the common case)
-are counted from their picks without any ranking.
+dropped". While any unit has room every stay takes a bed, so only the first
+``sum(capacities)`` stays of a group in their order can matter: a group's work
+is bounded by its beds, however many stays it has. One plan at every size:
+groups with far more stays than beds first lose the slices of the order draw
+behind their last bed, then each group's stays meet as one short array and an
+``aggregate`` walks it in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicgen import config as C
 from clinicgen.functions import draws as D
-from clinicgen.operators.eligibility import maybe_broadcast
-from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum, rank_in_order
-from clinicgen.session import cut_lineage
+from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum
 
 
 # --------------------------------------------------------------------- budget
@@ -75,118 +72,56 @@ def bed_draw(seed: int, label: str, key: str, mean: str | int) -> Column:
 
 
 # ------------------------------------------------------------ capacity fill
-def _avail(rem: Column, n_units: int) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.lit(n_units - 1)), lambda x: F.element_at(rem, (x + 1).cast("int")) > 0)
-
-
-def _pick(v: Column, avail: Column) -> Column:
-    return F.element_at(avail, (F.floor(v * F.size(avail)) + 1).cast("int"))
+def _seat(rem: Column, v: Column) -> Column:
+    """Beds left after one stay with pick draw ``v`` (unchanged when all units are full)."""
+    free = F.filter(F.transform(rem, lambda r, i: F.when(r > 0, i)), lambda i: i.isNotNull())
+    pick = F.transform(F.array(free), lambda a: F.when(F.size(a) > 0, F.element_at(a, (F.floor(v * F.size(a)) + 1).cast("int"))))
+    return F.element_at(F.transform(pick, lambda p: F.transform(rem, lambda r, i: F.when(i == p, r - 1).otherwise(r))), 1)
 
 
 def capacity_fill(
     stays: DataFrame,
     group: Sequence[str],
     stay_id: str,
+    capacities: DataFrame,
+    on: Sequence[str],
     caps: Sequence[str],
     seed: int,
     label: str,
     unit_col: str = "unit_pos",
     out: str = "occupied",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    checkpoint_phases: bool = True,
-    group_bound: int | None = None,
 ) -> DataFrame:
     """Occupied beds per (group, unit) after the sequential fill (2.7.2).
 
-    ``stays``: one row per (group, stay) carrying the group's capacities in
-    ``caps`` (unit order). Stays are taken in order of a seeded uniform
-    (ties by ``stay_id``); each picks uniformly among units with room. Order
-    and pick are slots 0 and 1 of one digest of ``(label, stay, group)``. Rows
-    come back only for (group, unit) with at least one bed taken.
-    ``group_bound`` is a proven bound on the number of groups (e.g. hours x
-    sites); under ``BROADCAST_MAX_ROWS`` the per-group table is broadcast.
-
-    Work: one aggregate to per-group sizes; groups whose stays cannot fill a
-    unit (size <= smallest positive capacity, the usual case) are counted
-    straight from their picks. Only stays of the other groups are ranked,
-    and each phase's rows are written once to the checkpoint folder.
+    ``stays``: one row per (group, stay). ``capacities``: one row per ``on`` (columns of the
+    group) with a capacity per unit in ``caps``; stays of groups without a row find no bed. Stays are
+    taken in order of a seeded uniform (ties by ``stay_id``); each picks uniformly among
+    units with room. Order and pick are slots 0 and 1 of one digest of ``(label, stay, group)``.
+    Rows come back only for (group, unit) with at least one bed taken.
+
+    A task holds ``sum(caps) + block_rows`` stays of a group at most.
     """
     g = list(group)
-    n_units = len(caps)
-    keep = cut_lineage if checkpoint_phases else (lambda df, name="": df)
-    base = stays.select(*g, stay_id, *caps)
-    base = base.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
-    rem0 = F.array(*[F.greatest(F.col(cp).cast("bigint"), F.lit(0)) for cp in caps])
-    sizes = (stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), *[F.max(cp).alias(cp) for cp in caps])
-                  .select(*g, "_n", rem0.alias("_rem"))
-                  .withColumn("_avail", _avail(F.col("_rem"), n_units))
-                  .filter(F.size("_avail") > 0)  # no room anywhere: every stay is dropped
-                  .withColumn("_tight", F.col("_n") > F.array_min(F.filter(F.col("_rem"), lambda r: r > 0))))
-    sizes = keep(sizes, "fill-groups")  # one row per group
-    groups = lambda df: maybe_broadcast(df, group_bound)
-
-    # groups that cannot fill a unit: every stay keeps its first pick
-    loose = base.join(groups(sizes.filter(~F.col("_tight")).select(*g, "_avail")), on=g)
-    results: list[DataFrame] = [loose.groupBy(*g, _pick(F.col("_v"), F.col("_avail")).alias("_pick")).agg(F.count(F.lit(1)).alias("_cnt"))]
-
-    # the others: position of each stay in its group, blocks = slices of the uniform
-    # one scalar row from the small group table: are there tight groups, and how large is the largest
-    small = False
-    if checkpoint_phases:
-        row = sizes.filter(F.col("_tight")).agg(F.count(F.lit(1)).alias("k"), F.max("_n").alias("m")).first()
-        if row["k"] == 0:
-            return _sum_counts(results, g, unit_col, out)
-        small = row["m"] <= block_rows  # every group fits one task: rank with plain windows
-    tight = sizes.filter(F.col("_tight")).select(*g, "_n", "_rem",
-                                                 F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("bigint").alias("_S"))
-    if small:
-        pos = rank_in_order(base.join(groups(tight.select(*g)), on=g), ["_o", stay_id], [], g, out="_pos")
-    else:
-        pos = base.join(groups(tight.select(*g, "_S")), on=g).withColumn("_sb", F.floor(F.col("_o") * F.col("_S")).cast("bigint"))
-        pos = rank_in_order(pos, ["_o", stay_id], ["_sb"], g, out="_pos")
-    pos = keep(pos.select(*g, "_pos", "_v"), "fill-pos")
-    state = tight.select(*g, F.lit(0).cast("bigint").alias("_P"), F.col("_n").alias("_nrem"), "_rem")
-
-    for _phase in range(n_units):
-        st = (state.withColumn("_avail", _avail(F.col("_rem"), n_units)).filter(F.size("_avail") > 0).filter(F.col("_nrem") > 0)
-                   .withColumn("_ptight", F.col("_nrem") > F.array_min(F.filter(F.col("_rem"), lambda r: r > 0))))
-        x = (pos.join(groups(st.select(*g, "_P", "_rem", "_avail", "_ptight")), on=g)
-                .filter(F.col("_pos") > F.col("_P"))
-                .withColumn("_pick", _pick(F.col("_v"), F.col("_avail"))))
-        # groups that cannot fill a unit in this phase: every remaining stay keeps its pick
-        results.append(x.filter(~F.col("_ptight")).groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
-        # the phase ends at the first stay that takes the last bed of a unit:
-        # per (group, unit) the room-th stay picking it, then the smallest such position
-        xt = x.filter(F.col("_ptight"))
-        if small:
-            ranked = rank_in_order(xt, ["_pos"], [], [*g, "_pick"], out="_k")
-        else:
-            xt = xt.withColumn("_pb", F.floor(F.col("_pos") / F.lit(block_rows)).cast("bigint"))
-            ranked = rank_in_order(xt, ["_pos"], ["_pb"], [*g, "_pick"], out="_k")
-        room = F.element_at(F.col("_rem"), (F.col("_pick") + 1).cast("int"))
-        ends = ranked.filter(F.col("_k") == room).groupBy(*g).agg(F.min("_pos").alias("_T"))
-        done = (ranked.join(ends, on=g, how="left")
-                      .filter(F.col("_T").isNull() | (F.col("_pos") <= F.col("_T")))
-                      .select(*g, "_pick", "_T"))
-        done = keep(done, "fill-phase")
-        results.append(done.groupBy(*g, "_pick").agg(F.count(F.lit(1)).alias("_cnt")))
-        # groups that continue: a unit filled at position T
-        per_unit = [F.sum(F.when(F.col("_pick") == F.lit(j), 1).otherwise(0)).cast("bigint").alias(f"_t{j}") for j in range(n_units)]
-        used = done.filter(F.col("_T").isNotNull()).groupBy(*g).agg(F.max("_T").alias("_P"), F.count(F.lit(1)).alias("_used"), *per_unit)
-        state = (used.join(st.select(*g, "_rem", "_nrem"), on=g)
-                     .select(*g, "_P", (F.col("_nrem") - F.col("_used")).alias("_nrem"),
-                             F.array(*[F.element_at(F.col("_rem"), j + 1) - F.col(f"_t{j}") for j in range(n_units)]).alias("_rem")))
-        state = keep(state, "fill-state")
-        if checkpoint_phases and state.isEmpty():  # every group finished: no more phases
-            break
-    return _sum_counts(results, g, unit_col, out)
-
-
-def _sum_counts(results: list[DataFrame], g: list[str], unit_col: str, out: str) -> DataFrame:
-    out_df = results[0]
-    for r in results[1:]:
-        out_df = out_df.unionByName(r)
-    return out_df.groupBy(*g, F.col("_pick").alias(unit_col)).agg(F.sum("_cnt").cast("bigint").alias(out))
+    rem = F.array(*[F.greatest(F.col(c).cast("bigint"), F.lit(0)) for c in caps])
+    beds = capacities.select(*on, rem.alias("_rem")).withColumn("_beds", F.aggregate("_rem", F.lit(0).cast("bigint"), lambda a, r: a + r)).where("_beds > 0")
+    base = stays.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
+
+    # groups with many more stays than beds: keep the slices of the order draw that can reach a bed
+    sizes = stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).join(beds, list(on))
+    crowded = sizes.where(F.col("_n") > F.col("_beds") + block_rows).select(*g, "_beds", F.ceil(F.col("_n") / F.lit(block_rows)).cast("bigint").alias("_S"))
+    cell = F.floor(F.col("_o") * F.col("_S")).cast("bigint")
+    cells = base.join(crowded, g).groupBy(*g, "_beds", "_S", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    last = cells.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).where("_before < _beds").groupBy(*g, "_S").agg(F.max("_cell").alias("_last"))
+    kept = base.join(last, g, "left").where(F.col("_S").isNull() | (cell <= F.col("_last")))
+
+    turns = kept.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("_o", stay_id, "_v"))).alias("_turns"))
+    # stays past the last bed change nothing
+    filled = turns.join(beds, list(on)).withColumn(
+        "_left", F.aggregate(F.slice("_turns", F.lit(1), F.col("_beds").cast("int")), F.col("_rem"), lambda r, t: _seat(r, t["_v"])))
+    taken = filled.select(*g, F.posexplode(F.zip_with("_rem", "_left", lambda a, b: a - b)).alias(unit_col, out))
+    return taken.where(F.col(out) > 0)
 
 
 # ---------------------------------------------------------- availability

@@ -17,12 +17,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinicgen.functions import draws as D
+from clinicgen.session import cut_lineage, spread
 
-DEFAULT_BLOCK_ROWS = 1_000_000
+DEFAULT_BLOCK_ROWS = 131_072  # rows a task ranks: small enough that a few million rows use every slot
 
 
 def _cols(xs) -> list[Column]:
@@ -76,15 +77,21 @@ def n_blocks(rows: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> int:
     return max(1, math.ceil(max(rows, 1) / block_rows))
 
 
-def dense_ids(df: DataFrame, order_col: str, id_col: str, start: int = 1, block_width: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Consecutive ids ``start, start+1, ...`` following an integer column (2.6.4).
+def dense_ids(df: DataFrame, order_col: str, id_col: str, start: int = 1) -> DataFrame:
+    """Consecutive ids ``start, start+1, ...`` following a sortable column (2.6.4).
 
-    Used after rejects: blocks are ranges of ``order_col`` (e.g. attempt
-    numbers), so a block never holds more than ``block_width`` rows.
+    Blocks come from the data: range partitions number their own rows, and one row per
+    partition gives the offsets, so sparse or clustered keys change nothing. The sorted rows
+    are written once (a range partitioning recomputed after a loss could differ).
     """
-    blk = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)).cast("bigint"))
-    out = rank_in_order(blk, [order_col], ["_blk"], out="_rank")
-    return out.withColumn(id_col, (F.col("_rank") + F.lit(start - 1)).cast("bigint")).drop("_blk", "_rank")
+    at = F.monotonically_increasing_id()  # partition number << 33, then the row's place in it
+    placed = cut_lineage(df.orderBy(order_col).withColumn("_at", at), "dense-ids")
+    sizes = placed.groupBy(F.shiftright("_at", 33).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rank = F.col("_off") + F.col("_at").bitwiseAND((1 << 33) - 1) + F.lit(start)
+    return (placed.withColumn("_p", F.shiftright("_at", 33)).join(offsets, "_p")
+            .withColumn(id_col, rank.cast("bigint")).drop("_p", "_at", "_off"))
 
 
 def uniform_rank(
@@ -130,40 +137,36 @@ def sample_without_replacement(
     return ranked.filter(F.col(out) <= F.lit(n)).drop("_su")
 
 
-def multiset_bounds(counts: Sequence[tuple[str, int]]) -> list[tuple[str, int]]:
-    """(value, exclusive upper position) for values laid end to end."""
-    out, acc = [], 0
-    for v, c in counts:
-        if c < 0:
-            raise ValueError("negative count in multiset")
-        acc += int(c)
-        out.append((v, acc))
-    return out
+_RUN_LENGTH = 100_000  # copies unfolded from one row
 
 
 def shuffle_multiset(
-    spark: SparkSession,
-    counts: Sequence[tuple[str, int]],
+    counts: DataFrame,
     n: int,
     seed: int,
     label: str,
     pos_col: str = "pos",
     value_col: str = "value",
+    order_col: str = "value",
     block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """A seeded shuffle of ``value`` repeated ``count`` times, as (pos 1..n, value) (2.4.12).
+    """A seeded shuffle of each ``value`` repeated ``n`` times, as (pos 1..n, value) (2.4.12).
 
-    The multiset must have exactly ``n`` elements. Element ``e`` (0-based, in
-    value order) gets its value from the cumulative bounds and its shuffled
-    position from the rank of its uniform draw; the copies are generated by
-    ``spark.range``, never as one large array.
+    ``counts`` has (value, n), one row per value; the multiset must have exactly ``n`` elements,
+    which a task checks. Elements are numbered in ``order_col`` order and take their shuffled position from
+    the rank of their uniform draw; a value's copies unfold in runs, never as one large array.
     """
-    bounds = multiset_bounds(counts)
-    total = bounds[-1][1] if bounds else 0
-    if total != n:
-        raise ValueError(f"multiset has {total} elements, expected {n}")
-    whens = " ".join(f"WHEN id < {hi} THEN {D.lit_str(v)}" for v, hi in bounds)
-    elems = spark.range(0, n, 1, max(1, n // block_rows + 1)).selectExpr(
-        "id AS _e", f"CAST(CASE {whens} END AS STRING) AS {value_col}", f"{D.u(seed, label, 'id')} AS _mu")
+    order = Window.orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct value
+    laid = counts.select("value", F.col(order_col).alias("_ord"), F.col("n").cast("bigint").alias("n")).withColumn("_hi", F.sum("n").over(order))
+    # the last value in order carries the check of the total
+    last = F.row_number().over(Window.orderBy(F.desc("_ord"))) == 1
+    wrong = F.concat(F.lit("multiset has "), F.col("_hi").cast("string"), F.lit(f" elements, expected {n}"))
+    bad = (F.col("n") < 0) | (last & (F.col("_hi") != F.lit(n)))
+    laid = laid.withColumn("n", F.when(bad, F.raise_error(wrong).cast("bigint")).otherwise(F.col("n"))).where("n > 0")
+    runs = laid.select("value", (F.col("_hi") - F.col("n")).alias("_lo"), "_hi").withColumn(
+        "_s", F.explode(F.expr(f"sequence(_lo, _hi - 1, {_RUN_LENGTH}L)")))
+    runs = spread(runs, "value", "_s")
+    elems = runs.select(F.col("value").alias(value_col), F.explode(F.expr(f"sequence(_s, least(_s + {_RUN_LENGTH - 1}, _hi - 1))")).alias("_e"))
+    elems = elems.withColumn("_mu", D.col(D.u(seed, label, "_e")))
     ranked = uniform_rank(elems, "_mu", "_e", out=pos_col, expected_rows=n, block_rows=block_rows)
     return ranked.select(F.col(pos_col).cast("bigint"), F.col(value_col))

@@ -37,8 +37,8 @@ def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, gr
     """One row per (stay, grid hour h) with ``start <= h < end`` and h in the grid.
 
     Reversed or empty ranges are filtered out *before* ``sequence`` (which
-    raises on reversed bounds). ``spread_by`` (a unique stay key) spreads the
-    surviving stays over all task slots before they fan out into hours.
+    raises on reversed bounds). ``spread_by`` (a unique stay key), for a caller whose input is
+    narrow, spreads the surviving stays over all task slots before they fan out into hours.
     """
     lo = F.greatest(ceil_hour(F.col(start)), grid_start)
     hi = F.least(F.timestamp_add("HOUR", F.lit(-1), ceil_hour(F.col(end))), grid_end)

@@ -1,4 +1,4 @@
-"""Invariants of the generated tables, as Spark queries.
+"""Invariants of the generated tables, as Spark queries.
 
 Each check is a DataFrame of violating rows (an empty result means the rule
 holds); ``check_all`` counts them. Every check is a scan, an aggregate or an
@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinicgen import config as C
+from clinicgen.functions import draws as D
 from clinicgen.functions import rules as R
+from clinicgen.operators import temporal as T
 from clinicgen.plans import tables as TB
+from clinicgen.sources.dims import spec_lookups
 
 
 def _ids_dense(df: DataFrame, id_col: str, n: int | None) -> DataFrame:
@@ -31,11 +34,21 @@ def checks(cfg: C.Config, t: dict[str, DataFrame], appointment_target_exact: boo
     first_kind, control_kind = C.VISIT_KINDS
     out: dict[str, DataFrame] = {}
 
+    # V0 keys are not null and exist: NULL passes every comparison below unseen
+    keys = {"hce_encuentros": ("pac_id", "med_id", "id_sede"), "age_citas": ("pac_id", "med_id", "id_sede"),
+            "med_planta": ("id_sede",), "far_dispensacion": ("id_encuentro", "pac_id", "id_sede"), "gcm_camas": ("id_sede",)}
+    owner = {"pac_id": pac, "med_id": med, "id_sede": sedes, "id_encuentro": enc}
+    for name, cols in keys.items():
+        out[f"V0_keys_not_null_{name}"] = t[name].filter(" OR ".join(f"{c} IS NULL" for c in cols))
+        for c in cols:
+            out[f"V0_{c}_exists_{name}"] = t[name].filter(F.col(c).isNotNull()).join(owner[c].select(c), c, "left_anti")
+
     # V1 row counts and dense ids
     out["V1_pac_ids"] = _ids_dense(pac, "pac_id", cfg.length("pac_registro"))
     out["V1_med_ids"] = _ids_dense(med, "med_id", cfg.length("med_planta"))
     out["V1_sedes_ids"] = _ids_dense(sedes, "id_sede", cfg.length("red_sedes"))
-    out["V1_enc_ids"] = _ids_dense(enc, "id_encuentro", cfg.length("hce_encuentros"))
+    n_first = int(cfg.length("pac_registro") * C.FIRST_ADMISSION_SHARE)
+    out["V1_enc_ids"] = _ids_dense(enc, "id_encuentro", max(n_first, cfg.length("hce_encuentros")))  # all first admissions are kept
     out["V1_far_ids"] = _ids_dense(far, "id_dispensacion", cfg.length("far_dispensacion"))
     out["V1_cit_ids"] = _ids_dense(cit, "id_cita", cfg.length("age_citas") if appointment_target_exact else None)
     hours = TB.grid_hours(cfg)
@@ -44,7 +57,12 @@ def checks(cfg: C.Config, t: dict[str, DataFrame], appointment_target_exact: boo
     # V2-V4 dates
     out["V2_birth"] = pac.filter((F.col("fec_nac") > as_of) | (F.col("fec_nac") < F.add_months(as_of, -12 * (int(cfg.pac["max_age"]) + 1))))
     out["V3_first_visit"] = pac.filter((F.col("fec_primer_atencion") < F.greatest("fec_nac", founding)) | (F.col("fec_primer_atencion") > as_of))
-    out["V4_hire"] = med.filter((F.col("fec_ingreso") < founding) | (F.col("fec_ingreso") > as_of))
+    # a physician's age is a draw of its id: in range, and of age on the hire date
+    lo_age, hi_age = int(cfg.med["min_age_med"]), int(cfg.med["max_age_med"])
+    aged = med.withColumn("_age", D.col(D.trunc_normal_int(cfg.seed, "med.age", "med_id", C.AGE_MEAN, C.AGE_SD, lo_age, hi_age)))
+    out["V2_physician_age"] = aged.filter((F.col("_age") < lo_age) | (F.col("_age") > hi_age))
+    out["V4_hire"] = aged.filter((F.col("fec_ingreso") < founding) | (F.col("fec_ingreso") > as_of)
+                                 | (F.col("fec_ingreso") < F.expr(R.earliest_hire(R.lit_date(cfg.as_of), "_age", lo_age))))
 
     # V5 document type from the country's list; V6 insurer nulls
     p = cfg.pac
@@ -72,16 +90,20 @@ def checks(cfg: C.Config, t: dict[str, DataFrame], appointment_target_exact: boo
     e = enc.join(pac.select("pac_id", "fec_primer_atencion"), "pac_id", "left").join(med.select("med_id", "fec_ingreso"), "med_id", "left")
     first = e.filter(F.col("tip_consulta") == first_kind)
     out["V9_first"] = first.filter((F.to_date("fec_inicio_atencion") != F.col("fec_primer_atencion")) | (F.col("fec_ingreso") > F.col("fec_primer_atencion")))
-    n_first = int(cfg.length("pac_registro") * C.FIRST_ADMISSION_SHARE)
     out["V9_first_count"] = first.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pac_id").alias("nd")).filter(
-        (F.col("n") != min(n_first, cfg.length("hce_encuentros"))) | (F.col("nd") != F.col("n")))
+        (F.col("n") != n_first) | (F.col("nd") != F.col("n")))
     ctrl = e.filter(F.col("tip_consulta") == control_kind)
     out["V10_control"] = ctrl.filter((F.to_date("fec_inicio_atencion") < F.date_add("fec_primer_atencion", cfg.max_stay_days + 1))
                                      | (F.col("fec_ingreso") > F.to_date("fec_inicio_atencion")) | (F.col("fec_ingreso") > F.col("fec_primer_atencion")))
     wait_s = F.timestamp_diff("SECOND", F.col("fec_registro"), F.col("fec_inicio_atencion"))
     stay_s = F.timestamp_diff("SECOND", F.col("fec_inicio_atencion"), F.col("fec_egreso"))
     out["V11_times"] = enc.filter((wait_s < 0) | (wait_s > int(cfg.wait[1] * 60)) | (stay_s < 0) | (stay_s > cfg.max_stay_days * 86400))
-    out["V12_diag"] = enc.filter((F.col("diag_sec1_cie10") == F.col("diag_principal_cie10")))
+    look = {k: F.expr(v) for k, v in spec_lookups(cfg, "esp_atendida").items()}
+    known = enc.filter(F.col("esp_atendida").isNotNull())
+    out["V12_diag"] = known.filter((F.col("diag_sec1_cie10") == F.col("diag_principal_cie10"))
+                                   | ~F.coalesce(F.array_contains(look["cie10"], F.col("diag_principal_cie10")), F.lit(False))
+                                   | (F.col("diag_sec1_cie10").isNotNull() & ~F.coalesce(F.array_contains(look["cie10"], F.col("diag_sec1_cie10")), F.lit(False))))
+    out["V12_price"] = known.filter(~F.col("cod_procedimientos").eqNullSafe(look["cod_procedimientos"]) | ~F.col("vr_facturado").eqNullSafe(look["vr_facturado"]))
 
     # V13 beds per hour
     cap = F.element_at(F.array(*[F.col(c) for c in caps]), F.array_position(F.array(*[F.lit(u) for u in cfg.units]), F.col("tip_unidad")).cast("int"))
@@ -91,6 +113,13 @@ def checks(cfg: C.Config, t: dict[str, DataFrame], appointment_target_exact: boo
                                 | (F.col("num_camas_mant") < 0) | (F.col("num_camas_mant") > F.floor(F.col("num_camas_disp") * C.PCT_MAINTENANCE))
                                 | ((F.col("num_camas_mant") > 0) != (F.col("motivo_indisponibilidad") == C.MAINTENANCE_REASON)))
 
+    # per hour and site: every stay finds a bed until all are taken
+    last = F.expr(TB.last_grid_hour(cfg))
+    first_hour = F.expr(f"timestampadd(HOUR, {-(hours - 1)}, {TB.last_grid_hour(cfg)})")
+    active = T.hourly_occupancy(enc.where("id_sede IS NOT NULL"), "id_sede", "fec_inicio_atencion", "fec_egreso", first_hour, last, out="n")
+    per = g.groupBy("id_sede", F.col("fec_hora_registro").alias("hour")).agg(F.sum("num_camas_ocupadas").alias("taken"), F.sum(cap).alias("beds"))
+    out["V13_sums"] = per.join(active, ["id_sede", "hour"], "left").filter(F.col("taken") != F.least("beds", F.coalesce("n", F.lit(0))))
+
     # V14 dispensing inside its stay, keys copied from the encounter
     fe = far.join(enc.select("id_encuentro", F.col("pac_id").alias("_p"), F.col("id_sede").alias("_s"), "fec_inicio_atencion", "fec_egreso"), "id_encuentro", "left")
     out["V14_dispensing"] = fe.filter(F.col("_p").isNull() | (F.col("pac_id") != F.col("_p")) | ~F.col("id_sede").eqNullSafe(F.col("_s"))

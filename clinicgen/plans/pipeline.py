@@ -1,48 +1,56 @@
 """Full build and write of the seven tables.
 
 ``build_all`` returns one DataFrame per table. Tables that feed several later
-plans (patients, physicians, sites, encounters) are materialised once as
-parquet in the shared checkpoint folder, so the later builders read files
+plans (patients, physicians, sites, encounters, and the ranked pools that visits pick from) are
+written once as parquet in the shared checkpoint folder, so the later builders read files
 instead of re-running the earlier plans, and a lost executor costs only its
-own tasks. ``write_all`` then writes every table to ``{base}/{table}/data`` in
-its format (parquet / avro / csv without header).
+own tasks. ``run`` builds, writes every table to ``{base}/{table}/data`` in
+its format (parquet / avro / csv without header), and removes what it wrote on the way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clinicgen import config as C
 from clinicgen.plans import tables as TB
-from clinicgen.session import current_cuts, cut_lineage, cuts_since, release_cuts, require_fixed_offset_zone
+from clinicgen.session import cut_lineage, require_fixed_offset_zone, scratch_run
 from clinicgen.sources import sinks as SK
 
 ORDER = ("pac_registro", "med_planta", "red_sedes", "hce_encuentros", "gcm_camas", "far_dispensacion", "age_citas")
 
 
 def build_all(spark: SparkSession, cfg: C.Config, materialize: bool = True, max_rejects: int | None = None,
-              empty_pool: str = "null") -> dict[str, DataFrame]:
-    """All seven tables for ``cfg`` (its seed and ``as_of``), keyed by table name.
+              empty_pool: str = "raise", only: Collection[str] = ORDER) -> dict[str, DataFrame]:
+    """The tables named in ``only`` (all seven) for ``cfg`` (its seed and ``as_of``), keyed by table name.
 
     ``max_rejects`` = ``cfg.max_rejects`` reproduces the job's early stop of
-    the appointment loop; the default None builds the full requested count.
+    the appointment loop; the default None builds the full requested count. ``empty_pool``: see ``tables.check_pools``.
     """
     require_fixed_offset_zone(spark)
     keep = cut_lineage if materialize else (lambda df, name="": df)
-    pac = keep(TB.build_pac_registro(spark, cfg), "pac_registro")
-    med = keep(TB.build_med_planta(spark, cfg), "med_planta")
-    sedes = keep(TB.build_red_sedes(spark, cfg), "red_sedes")
-    enc = keep(TB.build_hce_encuentros(spark, cfg, pac, med, empty_pool=empty_pool), "hce_encuentros")
-    out = {
-        "pac_registro": pac,
-        "med_planta": med,
-        "red_sedes": sedes,
-        "hce_encuentros": enc,
-        "gcm_camas": TB.build_gcm_camas(spark, cfg, sedes, enc),
-        "far_dispensacion": TB.build_far_dispensacion(spark, cfg, enc),
-        "age_citas": TB.build_age_citas(spark, cfg, pac, med, enc, max_rejects=max_rejects, empty_pool=empty_pool),
-    }
-    return {t: out[t] for t in ORDER}
+    wants = lambda *names: bool(set(names) & set(only))
+    out: dict[str, DataFrame] = {}
+    visits = wants("hce_encuentros", "gcm_camas", "far_dispensacion", "age_citas")
+    if visits or wants("pac_registro"):
+        out["pac_registro"] = keep(TB.build_pac_registro(spark, cfg), "pac_registro")
+    if visits or wants("med_planta"):
+        out["med_planta"] = keep(TB.build_med_planta(spark, cfg), "med_planta")
+    if wants("red_sedes", "gcm_camas"):
+        out["red_sedes"] = keep(TB.build_red_sedes(spark, cfg), "red_sedes")
+    if visits:
+        pac, med = out["pac_registro"], out["med_planta"]
+        pools = TB.rank_pools(cfg, pac, med, keep=materialize)
+        enc = out["hce_encuentros"] = keep(TB.build_hce_encuentros(spark, cfg, pac, med, empty_pool=empty_pool, pools=pools), "hce_encuentros")
+        if wants("gcm_camas"):
+            out["gcm_camas"] = TB.build_gcm_camas(spark, cfg, out["red_sedes"], enc)
+        if wants("far_dispensacion"):
+            out["far_dispensacion"] = TB.build_far_dispensacion(spark, cfg, enc)
+        if wants("age_citas"):
+            out["age_citas"] = TB.build_age_citas(spark, cfg, pac, med, enc, max_rejects=max_rejects, empty_pool=empty_pool, pools=pools)
+    return {t: out[t] for t in ORDER if t in only}
 
 
 def write_all(tables: dict[str, DataFrame], base: str, formats: dict[str, str] | None = None) -> dict[str, str]:
@@ -50,15 +58,17 @@ def write_all(tables: dict[str, DataFrame], base: str, formats: dict[str, str] |
     return SK.write_all(tables, base, formats)
 
 
-def run(spark: SparkSession, cfg: C.Config, base: str | None = None, formats: dict[str, str] | None = None,
-        max_rejects: int | None = None, keep_intermediate: bool = False) -> dict[str, str]:
-    """Build and write everything under ``base`` (default: the configured bucket).
+def run(spark: SparkSession, cfg: C.Config, base: str, formats: dict[str, str] | None = None, max_rejects: int | None = None,
+        empty_pool: str = "raise", only: Collection[str] = ORDER) -> dict[str, str]:
+    """Build and write under ``base``, a folder that all executors share.
 
-    The intermediate tables written to the checkpoint folder during the build
-    are deleted once every output is written, unless ``keep_intermediate``.
+    Formats are checked first. Intermediate tables lie in a folder of this run, which is deleted at the end, also after an error.
     """
-    mark = len(current_cuts())
-    paths = write_all(build_all(spark, cfg, max_rejects=max_rejects), base or cfg.bucket, formats)
-    if not keep_intermediate:
-        release_cuts(spark, cuts_since(mark))
-    return paths
+    if not base:
+        raise ValueError("base is required: a folder that all executors share")
+    unknown = set(only) - set(ORDER)
+    if unknown:
+        raise ValueError(f"unknown tables: {sorted(unknown)}")
+    SK.check_formats(spark, {{**SK.TABLE_FORMATS, **(formats or {})}[t] for t in only})
+    with scratch_run(spark):
+        return write_all(build_all(spark, cfg, max_rejects=max_rejects, empty_pool=empty_pool, only=only), base, formats)

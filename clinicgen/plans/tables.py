@@ -2,7 +2,7 @@
 
 Every builder takes an optional *spine* (a DataFrame of ids): by default a
 ``spark.range`` of the configured length; the harness passes ids derived from
-its tables instead. Draws are keyed on the output row id, so a row's values
+its tables instead (spread over the task slots, if they come from a narrow file). Draws are keyed on the output row id, so a row's values
 do not depend on partitioning, retries or the order rows are produced in.
 Column expressions are assembled as SQL text and applied with one
 ``selectExpr`` per step; configuration lookups are constant arrays / maps.
@@ -10,6 +10,9 @@ Column expressions are assembled as SQL text and applied with one
 
 from __future__ import annotations
 
+import logging
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,8 @@ from clinicgen.operators import allocate as A
 from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as T
-from clinicgen.session import cut_lineage, range_parts, spread
-from clinicgen.sources.dims import by_index, spec_lookups
+from clinicgen.session import range_parts
+from clinicgen.sources.dims import by_index, spec_lookups, values
 
 CAP_COLS = ["cap_camas_gen", "cap_camas_uci", "cap_camas_cirugia", "cap_camas_urg"]
 
@@ -31,16 +34,26 @@ def spine(spark: SparkSession, n: int, id_col: str, rows_per_part: int = 1_000_0
     return spark.range(1, n + 1, 1, range_parts(spark, n, rows_per_part)).select(F.col("id").alias(id_col))
 
 
-def _date_bound(cfg: C.Config) -> int:
-    # generated dates lie in [founding, as_of]: a proven bound on distinct dates
-    return (cfg.as_of - cfg.founding).days + 1
+class Pools(NamedTuple):
+    """Physicians and patients ranked for picks; encounters and appointments share them."""
+    med: E.RankedPool
+    pac: E.RankedPool
+
+
+def rank_pools(cfg: C.Config, pac: DataFrame, med: DataFrame, keep: bool = True) -> Pools:
+    """Generated dates lie in [founding, as_of]: the calendars' proven range."""
+    span = (cfg.founding, cfg.as_of)
+    physicians = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
+    patients = pac.select("pac_id", "fec_primer_atencion")
+    return Pools(E.rank_pool(physicians, "fec_ingreso", "med_id", cfg.seed, "elig.med", "le", span, keep=keep),
+                 E.rank_pool(patients, "fec_primer_atencion", "pac_id", cfg.seed, "elig.pac", "ge", span, keep=keep))
 
 
 # ------------------------------------------------------------------ patients
 def build_pac_registro(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
     """Patients (2.9.1)."""
     s = cfg.seed
-    ids = spread(ids, "pac_id") if ids is not None else spine(spark, cfg.length("pac_registro"), "pac_id")
+    ids = ids if ids is not None else spine(spark, cfg.length("pac_registro"), "pac_id")
     k = "pac_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
     p = cfg.pac
@@ -71,7 +84,7 @@ def build_pac_registro(spark: SparkSession, cfg: C.Config, ids: DataFrame | None
 def build_med_planta(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
     """Physicians (2.9.2): specialty, then sub-specialty within it (2.4.14)."""
     s = cfg.seed
-    ids = spread(ids, "med_id") if ids is not None else spine(spark, cfg.length("med_planta"), "med_id")
+    ids = ids if ids is not None else spine(spark, cfg.length("med_planta"), "med_id")
     k = "med_id"
     as_of, founding = R.lit_date(cfg.as_of), R.lit_date(cfg.founding)
     lo_age, hi_age = int(cfg.med["min_age_med"]), int(cfg.med["max_age_med"])
@@ -96,27 +109,29 @@ def build_med_planta(spark: SparkSession, cfg: C.Config, ids: DataFrame | None =
 
 
 # --------------------------------------------------------------------- sites
-def bed_matrix(spark: SparkSession, cfg: C.Config) -> DataFrame:
-    """Beds per (site, unit) from the budget split (2.7.1), one row per site."""
+def bed_matrix(cfg: C.Config, ids: DataFrame) -> DataFrame:
+    """Beds per (site, unit) from the budget split (2.7.1), one row per site of ``ids``."""
     n, units = cfg.length("red_sedes"), cfg.units
     cells = n * len(units)
     mean = int(cfg.bed_limit / cells)
-    grid = spark.range(0, cells, 1, 1).select(F.col("id").alias("cell"))
+    grid = ids.select(F.explode(F.expr(f"sequence((id_sede - 1) * {len(units)}, id_sede * {len(units)} - 1)")).alias("cell"))
     grid = grid.withColumn("_draw", A.bed_draw(cfg.seed, "site.beds", "cell", mean))
     alloc = A.budget_alloc(grid, "cell", F.col("_draw"), cfg.bed_limit)
     alloc = alloc.withColumn("id_sede", (F.floor(F.col("cell") / len(units)) + 1).cast("bigint")).withColumn("pos", F.col("cell") % len(units))
     return alloc.groupBy("id_sede").agg(*[F.max(F.when(F.col("pos") == j, F.col("alloc"))).alias(c) for j, c in enumerate(CAP_COLS[: len(units)])])
 
 
-def build_red_sedes(spark: SparkSession, cfg: C.Config) -> DataFrame:
-    """Sites (2.9.3): distinct cities, shuffled site types, bed budget."""
+def build_red_sedes(spark: SparkSession, cfg: C.Config, ids: DataFrame | None = None) -> DataFrame:
+    """Sites (2.9.3): distinct cities, shuffled site types, bed budget. ``ids``: site numbers 1..n, at most one per city."""
     s, n = cfg.seed, cfg.length("red_sedes")
     if n > len(cfg.cities):
         raise ValueError(f"{n} sites need {n} distinct cities; only {len(cfg.cities)} configured")
     city_ids = spark.range(1, len(cfg.cities) + 1, 1, 1).select(F.col("id").alias("id_ciudad"))
     cities = O.sample_without_replacement(city_ids, "id_ciudad", n, s, "site.city", out="id_sede", expected_rows=len(cfg.cities))
-    types = O.shuffle_multiset(spark, cfg.site_types, n, s, "site.type", pos_col="id_sede", value_col="tip_sede")
-    df = cities.join(types, "id_sede").join(bed_matrix(spark, cfg), "id_sede")
+    ids = ids if ids is not None else spine(spark, n, "id_sede")
+    counts = values(spark, [[str(i), D.lit_str(t), f"CAST({c} AS BIGINT)"] for i, (t, c) in enumerate(cfg.site_types)], ["i", "value", "n"])
+    types = O.shuffle_multiset(counts, n, s, "site.type", pos_col="id_sede", value_col="tip_sede", order_col="i")
+    df = ids.join(cities, "id_sede").join(types, "id_sede").join(bed_matrix(cfg, ids), "id_sede")
     df = df.selectExpr("*", f"{by_index(cfg.cities, 'id_ciudad')} AS nom_sede", f"{R.country_band('id_ciudad')} AS id_pais",
                        f"{R.complexity('tip_sede')} AS nivel_complejidad")
     return df.select(*cfg.columns("red_sedes"))
@@ -124,45 +139,32 @@ def build_red_sedes(spark: SparkSession, cfg: C.Config) -> DataFrame:
 
 # ---------------------------------------------------------------- encounters
 def _attempts(spark: SparkSession, m: int, med: DataFrame, n_med: int, seed: int, label: str) -> DataFrame:
-    """Attempt spine 0..m-1, each with a uniformly drawn physician."""
+    """Attempt spine 0..m-1, each with a uniformly drawn physician; only the hire date is needed to accept."""
     att = spark.range(0, m, 1, range_parts(spark, m)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
-    return att.join(med.select("med_id", "fec_ingreso", "id_sede", "esp_principal"), "med_id")
+    return att.join(med.select("med_id", "fec_ingreso"), "med_id")
 
 
-def _accept_to_target(build, target: int, m: int, id_col: str, start: int, max_rejects: int | None = None) -> DataFrame:
-    """Grow the attempt spine until ``target`` accepts (or the reject cap) is reached.
-
-    The accepted rows are checkpointed once, so counting them does not run
-    the attempt plan a second time.
-    """
-    while True:
-        att = build(m)
-        cut = E.reject_cut(att, "accepted", "t", max_rejects)
-        out = cut_lineage(E.accept_first(att, "accepted", "t", target, id_col, start=start, cut=cut))
-        if cut is not None or out.count() >= target:
-            return out
-        if m > 4_000_000_000:
-            raise RuntimeError("attempt spine exhausted before the target")
-        m *= 2
-
+EMPTY_POOL_POLICIES = ("raise", "null")
+_LOG = logging.getLogger("clinicgen")
 
-def _raise_if(cond: str, msg: str, value: str) -> str:
-    return f"CASE WHEN {cond} THEN raise_error({D.lit_str(msg)}) ELSE {value} END"
 
+def check_pools(pac: DataFrame, med: DataFrame, policy: str) -> int:
+    """How many patients come before every hire date, so that no physician can take their first visit.
 
-EMPTY_POOL_POLICIES = ("null", "raise")
-
-
-def _empty_pool(policy: str, msg: str, value: str) -> str:
-    """First-visit rows whose date precedes every hire date have no physician.
-
-    The job would crash there (a random pick from an empty list). ``"null"``
-    keeps the row with NULL physician, site and specialty; ``"raise"`` fails
-    the query instead.
+    The job would crash there (a random pick from an empty list). ``"raise"`` fails the build and names the count;
+    ``"null"`` logs it and keeps their first visits with NULL physician, site and specialty, which
+    ``checks`` reports under V0.
     """
     if policy not in EMPTY_POOL_POLICIES:
         raise ValueError(f"empty_pool must be one of {EMPTY_POOL_POLICIES}")
-    return _raise_if("pool_size = 0", msg, value) if policy == "raise" else value
+    first_hire = med.agg(F.min("fec_ingreso")).first()[0]
+    early = pac if first_hire is None else pac.filter(F.col("fec_primer_atencion") < F.lit(first_hire))
+    n = early.count()
+    if n and policy == "raise":
+        raise ValueError(f"{n} patients without an eligible physician: their first visit precedes every hire date")
+    if n:
+        _LOG.warning("%d patients without an eligible physician: first visits keep NULL physician, site and specialty", n)
+    return n
 
 
 def _clinical(df: DataFrame, cfg: C.Config) -> DataFrame:
@@ -185,11 +187,11 @@ def _clinical(df: DataFrame, cfg: C.Config) -> DataFrame:
 
 
 def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame,
-                         n_pac: int | None = None, n_med: int | None = None, empty_pool: str = "null") -> DataFrame:
+                         n_pac: int | None = None, n_med: int | None = None, empty_pool: str = "raise", pools: Pools | None = None) -> DataFrame:
     """Inpatient encounters (2.9.4): first admissions then follow-ups.
 
     Phase A: 27% of patients, drawn without replacement; each gets a
-    physician hired on or before the first visit (rank sampling).
+    physician hired on or before the first visit (rank sampling). All of them are kept, also beyond the asked count.
     Phase B: attempts draw a physician, then a patient first seen on or
     after the hire date; a follow-up 15 days after the first visit (and not
     before the hire) must fit before ``as_of``. Ids are dense (A, then B by
@@ -200,17 +202,16 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     n_med = n_med if n_med is not None else cfg.length("med_planta")
     target = cfg.length("hce_encuentros")
     n_a = int(n_pac * C.FIRST_ADMISSION_SHARE)
-    bound = _date_bound(cfg)
     as_of = R.lit_date(cfg.as_of)
     first_kind, control_kind = C.VISIT_KINDS
+    check_pools(pac, med, empty_pool)
+    pools = pools or rank_pools(cfg, pac, med)
     pac_d = pac.select("pac_id", "fec_primer_atencion")
     med_d = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
 
     a = O.sample_without_replacement(pac_d, "pac_id", n_a, s, "enc.a.pick", out="id_encuentro", expected_rows=n_pac)
-    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "enc.a", "id_encuentro"), med_d, "fec_ingreso", "med_id",
-                        ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    lo = _empty_pool(empty_pool, "encounter: patient without an eligible physician", R.day_start("fec_primer_atencion"))
-    a = a.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida", f"{lo} AS _lo",
+    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "enc.a", "id_encuentro"), pools.med, ["id_sede", "esp_principal"])
+    a = a.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida", f"{R.day_start('fec_primer_atencion')} AS _lo",
                      f"{R.day_end('fec_primer_atencion')} AS _hi", f"{D.lit_str(first_kind)} AS tip_consulta")
 
     target_b = max(0, target - n_a)
@@ -220,12 +221,12 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
 
         def attempts(m: int) -> DataFrame:
             att = _attempts(spark, m, med_d, n_med, s, "enc.b")
-            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "enc.b", "t", slot=1), pac_d, "fec_primer_atencion", "pac_id",
-                                  ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
+            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "enc.b", "t", slot=1), pools.pac, ["fec_primer_atencion"])
             floor = R.control_floor("fec_primer_atencion", "fec_ingreso", gap)
-            return att.selectExpr("*", f"{floor} AS _floor").selectExpr("*", f"pool_size > 0 AND _floor <= {as_of} AS accepted")
+            return att.selectExpr("t", "med_id", "pac_id", "pool_size", f"{floor} AS _floor").selectExpr(
+                "t", "med_id", "pac_id", "_floor", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
 
-        b = _accept_to_target(attempts, target_b, E.attempts_needed(target_b, p), "id_encuentro", n_a + 1)
+        b = E.accept_to_target(attempts, target_b, p, "id_encuentro", n_a + 1).join(med_d.drop("fec_ingreso"), "med_id")
         b = b.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida",
                          f"{R.day_start('_floor')} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_consulta")
         a = a.unionByName(b)
@@ -242,26 +243,27 @@ def last_grid_hour(cfg: C.Config) -> str:
     return R.at_hour(R.lit_date(cfg.as_of), 23)
 
 
-def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: DataFrame, checkpoint_phases: bool = True) -> DataFrame:
-    """Hourly bed occupancy per site and unit (2.9.5)."""
+def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: DataFrame, narrow: bool = True) -> DataFrame:
+    """Hourly bed occupancy per site and unit (2.9.5).
+
+    Stays without a site take no bed. ``narrow``: few stays reach the grid, so they are spread before they become hours.
+    """
     s, units = cfg.seed, cfg.units
     hours, n_sites = grid_hours(cfg), cfg.length("red_sedes")
     last = F.expr(last_grid_hour(cfg))
     first = F.expr(f"timestampadd(HOUR, {-(hours - 1)}, {last_grid_hour(cfg)})")
     caps_cols = CAP_COLS[: len(units)]
     caps = sedes.select("id_sede", *caps_cols)
-    active = T.explode_hours(enc.select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
-                             "fec_inicio_atencion", "fec_egreso", first, last, out="hour", spread_by="id_encuentro")
+    active = T.explode_hours(enc.where("id_sede IS NOT NULL").select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
+                             "fec_inicio_atencion", "fec_egreso", first, last, out="hour", spread_by="id_encuentro" if narrow else None)
     # groups are keyed by the hour's index in the grid (0 = first hour): an integer, cheap to hash
     active = active.withColumn("hour_idx", F.timestamp_diff("HOUR", first, F.col("hour"))).drop("hour")
-    active = active.join(F.broadcast(caps), "id_sede")  # sites: bounded by the city list
-    occ = A.capacity_fill(active, ["hour_idx", "id_sede"], "id_encuentro", caps_cols, s, "bed",
-                          unit_col="unit_pos", out="num_camas_ocupadas", checkpoint_phases=checkpoint_phases,
-                          group_bound=hours * n_sites)
+    occ = A.capacity_fill(active, ["hour_idx", "id_sede"], "id_encuentro", caps, ["id_sede"], caps_cols, s, "bed",
+                          unit_col="unit_pos", out="num_camas_ocupadas")
     grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro",
                         hour_idx_col="hour_idx")
     cells = grid.join(occ, ["hour_idx", "id_sede", "unit_pos"], "left")
-    cells = cells.join(F.broadcast(caps), "id_sede")
+    cells = cells.join(caps, "id_sede")
     cap = F.element_at(F.array(*[F.col(c) for c in caps_cols]), (F.col("unit_pos") + 1).cast("int"))
     cells = cells.withColumn("num_camas_ocupadas", F.coalesce(F.col("num_camas_ocupadas"), F.lit(0)).cast("bigint"))
     cells = A.bed_availability(cells, cap, F.col("num_camas_ocupadas"), D.u(s, "bed.maint", "id_registro_cama"))
@@ -271,10 +273,12 @@ def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: D
 # ------------------------------------------------------------------ dispensing
 def build_far_dispensacion(spark: SparkSession, cfg: C.Config, enc: DataFrame, n_enc: int | None = None,
                            ids: DataFrame | None = None) -> DataFrame:
-    """Drug dispensing lines (2.9.6), each tied to a uniformly drawn encounter."""
+    """Drug dispensing lines (2.9.6), each tied to a uniformly drawn encounter of those that exist (dense ids)."""
     s = cfg.seed
-    n_enc = n_enc if n_enc is not None else cfg.length("hce_encuentros")
-    ids = spread(ids, "id_dispensacion") if ids is not None else spine(spark, cfg.length("far_dispensacion"), "id_dispensacion")
+    n_enc = n_enc if n_enc is not None else enc.count()
+    if n_enc == 0:
+        raise ValueError("no encounter to dispense to")
+    ids = ids if ids is not None else spine(spark, cfg.length("far_dispensacion"), "id_dispensacion")
     k = "id_dispensacion"
     codes = [c for c, _, _ in cfg.drugs]
     names = [n for _, n, _ in cfg.drugs]
@@ -312,7 +316,7 @@ def _schedule(df: DataFrame, cfg: C.Config) -> DataFrame:
 
 def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: DataFrame, enc: DataFrame,
                     n_pac: int | None = None, n_med: int | None = None, max_rejects: int | None = None,
-                    empty_pool: str = "null") -> DataFrame:
+                    empty_pool: str = "raise", pools: Pools | None = None) -> DataFrame:
     """Outpatient appointments (2.9.7).
 
     Phase A: every patient without a first inpatient encounter, in id order.
@@ -323,10 +327,11 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     n_pac = n_pac if n_pac is not None else cfg.length("pac_registro")
     n_med = n_med if n_med is not None else cfg.length("med_planta")
     target = cfg.length("age_citas")
-    bound = _date_bound(cfg)
     as_of = R.lit_date(cfg.as_of)
     lo_h, hi_h = cfg.clinic_hours
     first_kind, control_kind = C.VISIT_KINDS
+    check_pools(pac, med, empty_pool)
+    pools = pools or rank_pools(cfg, pac, med)
     pac_d = pac.select("pac_id", "fec_primer_atencion")
     med_d = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
 
@@ -334,10 +339,8 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     a = pac_d.join(admitted, "pac_id", "left_anti")
     a = O.dense_ids(a, "pac_id", "id_cita")
     n_a = n_pac - int(n_pac * C.FIRST_ADMISSION_SHARE)
-    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", "id_cita"), med_d, "fec_ingreso", "med_id",
-                        ["id_sede", "esp_principal"], s, "elig.med", "le", bound)
-    lo = _empty_pool(empty_pool, "appointment: patient without an eligible physician", R.at_hour("fec_primer_atencion", lo_h))
-    a = a.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada", f"{lo} AS _lo",
+    a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", "id_cita"), pools.med, ["id_sede", "esp_principal"])
+    a = a.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada", f"{R.at_hour('fec_primer_atencion', lo_h)} AS _lo",
                      f"{R.at_hour('fec_primer_atencion', hi_h)} AS _hi", f"{D.lit_str(first_kind)} AS tip_cita")
 
     target_b = max(0, target - n_a)
@@ -346,12 +349,11 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
 
         def attempts(m: int) -> DataFrame:
             att = _attempts(spark, m, med_d, n_med, s, "cit.b")
-            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "cit.b", "t", slot=1), pac_d, "fec_primer_atencion", "pac_id",
-                                  ["fec_primer_atencion"], s, "elig.pac", "ge", bound)
-            return att.selectExpr("*", "date_add(fec_primer_atencion, 1) AS _floor").selectExpr(
-                "*", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
+            att = E.eligible_pick(att, "fec_ingreso", D.u(s, "cit.b", "t", slot=1), pools.pac, ["fec_primer_atencion"])
+            return att.selectExpr("t", "med_id", "pac_id", "pool_size", "date_add(fec_primer_atencion, 1) AS _floor").selectExpr(
+                "t", "med_id", "pac_id", "_floor", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
 
-        b = _accept_to_target(attempts, target_b, E.attempts_needed(target_b, max(p, 1e-9)), "id_cita", n_a + 1, max_rejects)
+        b = E.accept_to_target(attempts, target_b, p, "id_cita", n_a + 1, max_rejects).join(med_d.drop("fec_ingreso"), "med_id")
         b = b.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada",
                          f"{R.at_hour('_floor', lo_h)} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_cita")
         a = a.unionByName(b)

@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# tables written by a run lie in that run's own folder; outside a run, in the session's
+_RUN: ContextVar[str] = ContextVar("clinicgen_run", default="session")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the current run's folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{_RUN.get()}/{name}"
+
+
+def unique_path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as parquet in the shared checkpoint folder and read it back.
 
@@ -63,40 +79,31 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     twice: once to count, once to save); the files survive executor loss and
     the returned plan is a plain columnar scan with pruning and pushdown.
     """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = unique_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    _CUTS.append(path)
     return df.sparkSession.read.parquet(path)
 
 
-# tables written by cut_lineage in this process, oldest first
-_CUTS: list[str] = []
-
-
-def cuts_since(mark: int) -> list[str]:
-    """Paths written by ``cut_lineage`` after ``mark = len(current_cuts())``."""
-    return list(_CUTS[mark:])
-
-
-def current_cuts() -> list[str]:
-    return list(_CUTS)
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A run whose tables lie in a folder of its own, deleted at the end, also after an error."""
+    token = _RUN.set(f"run-{uuid.uuid4().hex}")
+    path = scratch_path(spark, "").rstrip("/")
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        _delete(spark, path)
 
 
-def release_cuts(spark: SparkSession, paths: list[str]) -> None:
-    """Delete intermediate tables once nothing reads them (Hadoop FileSystem of each path)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-        if p in _CUTS:
-            _CUTS.remove(p)
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the session's own tables (those of registered queries), once nothing reads them."""
+    _delete(spark, scratch_path(spark, "").rstrip("/"))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for tables written by a query."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}"
+def _delete(spark: SparkSession, path: str) -> None:
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -111,18 +118,9 @@ def range_parts(spark: SparkSession, n: int, rows_per_part: int = 1_000_000) ->
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a narrow input by its unique key before fan-out or heavy
-    per-row work (an id file in one split, stays about to be exploded into
-    hours), so every task slot takes a share. Inputs already split at least
-    that wide are returned unchanged: no extra shuffle at scale."""
-    target = parallelism(df.sparkSession)
-    # a plan with an exchange is already split by it; asking such a plan for its RDD
-    # would run the upstream shuffle stages under AQE, so only scans are measured
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
+    """Hash-repartition by a unique key, one partition per task slot: for a caller that knows its
+    input to be narrow (an id file in one split, few stays about to become many hours)."""
+    return df.repartition(parallelism(df.sparkSession), *keys)
 
 
 def require_fixed_offset_zone(spark: SparkSession) -> str:

@@ -32,7 +32,7 @@ def values(spark: SparkSession, rows: list[list[str]], cols: list[str]) -> DataF
 
 
 def dims(spark: SparkSession, cfg: C.Config) -> dict[str, DataFrame]:
-    """city, insurer, specialty, drug, weights, site_type, unit."""
+    """city, insurer, specialty: the dimensions that are joined; the others are constants of the plans."""
     _check_keys(cfg)
     city = values(spark, [[f"CAST({i} AS BIGINT)", lit_str(n)] for i, n in enumerate(cfg.cities, 1)], ["id_ciudad", "ciudad"])
     city = city.selectExpr("*", f"{country_band('id_ciudad')} AS id_pais")
@@ -42,23 +42,16 @@ def dims(spark: SparkSession, cfg: C.Config) -> dict[str, DataFrame]:
          lit_str(cfg.doc["procedimientos"][esp]), f"CAST({int(cfg.doc['vrs'][cfg.doc['procedimientos'][esp]])} AS BIGINT)"]
         for i, (esp, subs) in enumerate(cfg.specialties, 1)],
         ["n_esp", "especialidad", "subespecialidades", "cie10", "cod_procedimientos", "vr_facturado"])
-    drug = values(spark, [[f"CAST({i} AS BIGINT)", lit_str(c), lit_str(n), f"CAST({p} AS BIGINT)"] for i, (c, n, p) in enumerate(cfg.drugs, 1)],
-                  ["n_med", "cod_medicamento", "nombre_medicamento", "vr_unitario"])
-    wrows = []
-    for dim, w in (("genero", cfg.genders), ("estrato", cfg.strata), ("contrato", cfg.contracts), ("jornada", cfg.shifts)):
-        total, acc = sum(x for _, x in w), 0.0
-        for v, x in w:
-            wrows.append([lit_str(dim), lit_str(v), f"{acc / total!r}D", f"{(acc + x) / total!r}D"])
-            acc += x
-    weights = values(spark, wrows, ["dim", "value", "lo", "hi"])
-    site_type = values(spark, [[lit_str(t), f"CAST({n} AS BIGINT)"] for t, n in cfg.site_types], ["tip_sede", "n"])
-    unit = values(spark, [[str(i), lit_str(x)] for i, x in enumerate(cfg.units)], ["pos", "tip_unidad"])
-    return {"city": city, "insurer": insurer, "specialty": spec, "drug": drug, "weights": weights, "site_type": site_type, "unit": unit}
+    return {"city": city, "insurer": insurer, "specialty": spec}
+
+
+DIM_ROWS = 100_000  # a configuration document's maps are far smaller; anything larger is joined without a hint
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Map lookup against a configuration dimension: a broadcast join (2.5.10)."""
-    return df.join(F.broadcast(dim), on=on, how=how)
+    """Map lookup against a dimension (2.5.10): broadcast once its rows are counted to be few."""
+    few = dim.limit(DIM_ROWS + 1).count() <= DIM_ROWS
+    return df.join(F.broadcast(dim) if few else dim, on=on, how=how)
 
 
 # ---- constant lookups (no join): dense int keys -> literal array, text keys -> literal map

@@ -43,10 +43,18 @@ def table_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/{table}/data"
 
 
+def check_formats(spark: SparkSession, formats: set[str]) -> None:
+    """Refuse what cannot be written, before anything is overwritten."""
+    unknown = formats - {"parquet", "avro", "csv"}
+    if unknown:
+        raise ValueError(f"unknown table formats: {sorted(unknown)}")
+    if "avro" in formats and not avro_available(spark):
+        raise AvroUnavailable("avro sink needs the spark-avro module on the classpath (--packages org.apache.spark:spark-avro_2.13)")
+
+
 def write_table(df: DataFrame, path: str, fmt: str) -> None:
     """Overwrite ``path`` with ``df`` in ``fmt`` (parquet | avro | csv)."""
-    if fmt == "avro" and not avro_available(df.sparkSession):
-        raise AvroUnavailable("avro sink needs the spark-avro module on the classpath (--packages org.apache.spark:spark-avro_2.13)")
+    check_formats(df.sparkSession, {fmt})
     w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", "false").csv(path)
@@ -71,6 +79,8 @@ def write_all(tables: dict[str, DataFrame], base: str, formats: dict[str, str] |
     fm = dict(TABLE_FORMATS)
     fm.update(formats or {})
     out = {}
+    for df in list(tables.values())[:1]:
+        check_formats(df.sparkSession, {fm[name] for name in tables})
     for name, df in tables.items():
         path = table_path(base, name)
         write_table(df, path, fm[name])

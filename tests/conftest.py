@@ -14,4 +14,6 @@ def spark(tmp_path_factory):
     from clinicgen.session import local_session
     s = local_session(4, 8, app="clinicgen-tests")
     yield s
+    from clinicgen.session import clear_scratch
+    clear_scratch(s)
     s.stop()

@@ -65,7 +65,7 @@ def test_trunc_normal_range_and_mean(spark):
     vals = [r["v"] for r in rows]
     assert min(vals) >= 23 and max(vals) <= 70
     assert abs(sum(vals) / N - 45.5) < 1.0
-    one = spark.range(50).selectExpr(f"{D.trunc_normal_int(5, 'x', 'id', 44.5, 0.3, 44, 44, tries=40)} AS v").collect()
+    one = spark.range(50).selectExpr(f"{D.trunc_normal_int(5, 'x', 'id', 44.5, 0.3, 44, 44)} AS v").collect()
     assert {r["v"] for r in one} == {44}
 
 
@@ -75,9 +75,17 @@ def test_trunc_normal_truncates_toward_zero(spark):
     assert sum(1 for r in rows if r["v"] == 0) > 0.9 * N
 
 
-def test_trunc_normal_exhaustion_raises(spark):
-    with pytest.raises(Exception, match="no value"):
-        spark.range(20).selectExpr(f"{D.trunc_normal_int(7, 'far', 'id', 0, 1, 50, 60, tries=4)} AS v").collect()
+def test_trunc_normal_rare_range(spark):
+    """Ages 80..90 under N(45, 15): no redraws, so a rare range costs nothing; frequencies follow the discrete law."""
+    vals = [r["v"] for r in _rows(spark, f"{D.trunc_normal_int(7, 'old', 'id', 45, 15, 80, 90)} AS v")]
+    assert set(vals) <= set(range(80, 91))
+    tail = lambda x: 0.5 * math.erfc((x - 45) / 15 / math.sqrt(2))
+    for v in range(80, 91):
+        assert _within(vals.count(v), N, (tail(v) - tail(v + 1)) / (tail(80) - tail(91))), v
+    with pytest.raises(ValueError, match="no mass"):
+        D.trunc_normal_int(7, "far", "id", 0, 1, 50, 60)
+    with pytest.raises(ValueError):
+        D.trunc_normal_int(7, "far", "id", 0, 1, 5, 4)
 
 
 def test_draw_int_and_date_bounds(spark):

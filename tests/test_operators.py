@@ -31,8 +31,9 @@ def test_eligible_pick_brute_force(spark, direction, block_rows):
     left = [(100 + j, _day(d)) for j, d in enumerate([-1, 0, 5, 5, 12, 30, 31, 17, 5])]
     pdf = spark.createDataFrame(pool, "med_id long, fec date")
     ldf = spark.createDataFrame(left, "pac_id long, fec_l date")
-    out = E.eligible_pick(ldf, "fec_l", D.u(3, "pick", "pac_id"), pdf, "fec", "med_id", ["fec"], 3, "el", direction,
-                          date_bound=40, block_rows=block_rows)
+    span = (_day(0), _day(30)) if block_rows > 2 else None  # left dates lie outside it too
+    ranked = E.rank_pool(pdf, "fec", "med_id", 3, "el", direction, span, block_rows)
+    out = E.eligible_pick(ldf, "fec_l", D.u(3, "pick", "pac_id"), ranked, ["fec"])
     got = {r["pac_id"]: (r["pool_size"], r["med_id"], r["fec"]) for r in out.collect()}
     assert set(got) == {p for p, _ in left}
     # brute force: order = (date asc for le / desc for ge, tb, id); pick rank 1 + floor(u k)
@@ -54,19 +55,42 @@ def test_eligible_pick_brute_force(spark, direction, block_rows):
 def test_eligible_pick_pool_of_one(spark):
     pdf = spark.createDataFrame([(1, _day(3))], "med_id long, fec date")
     ldf = spark.createDataFrame([(i, _day(3 + i % 2)) for i in range(50)], "pac_id long, fec_l date")
-    out = E.eligible_pick(ldf, "fec_l", D.u(1, "p", "pac_id"), pdf, "fec", "med_id", [], 1, "x", "le", 10).collect()
+    out = E.eligible_pick(ldf, "fec_l", D.u(1, "p", "pac_id"), E.rank_pool(pdf, "fec", "med_id", 1, "x")).collect()
     assert {(r["pool_size"], r["med_id"]) for r in out} == {(1, 1)}
 
 
 def test_eligible_pick_uniform(spark):
     pdf = spark.createDataFrame([(i, _day(i % 3)) for i in range(1, 11)], "med_id long, fec date")
     ldf = spark.range(20000).select(F.col("id").alias("pac_id"), F.lit(_day(10)).alias("fec_l"))
-    out = E.eligible_pick(ldf, "fec_l", D.u(2, "p", "pac_id"), pdf, "fec", "med_id", [], 2, "u", "le", 20)
+    out = E.eligible_pick(ldf, "fec_l", D.u(2, "p", "pac_id"), E.rank_pool(pdf, "fec", "med_id", 2, "u"))
     counts = {r["med_id"]: r["count"] for r in out.groupBy("med_id").count().collect()}
     assert set(counts) == set(range(1, 11))
     assert all(abs(c - 2000) < 5 * (20000 * 0.1 * 0.9) ** 0.5 for c in counts.values())
 
 
+def test_eligible_pick_spreads_hot_keys(spark):
+    """30% of the left rows share a pool of one, 30% have none: neither meets in one partition."""
+    pdf = spark.createDataFrame([(i, _day(0 if i == 1 else 20)) for i in range(1, 5001)], "med_id long, fec date")
+    ldf = spark.range(20000).selectExpr("id AS pac_id", "date_add(DATE'2020-01-01', CASE id % 10 WHEN 0 THEN -1 WHEN 1 THEN -1 WHEN 2 THEN -1 "
+                                        "WHEN 3 THEN 5 WHEN 4 THEN 5 WHEN 5 THEN 5 ELSE 30 END) AS d")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("-1", "false", "64"), strict=True):
+            spark.conf.set(k, v)
+        out = E.eligible_pick(ldf, "d", D.u(1, "p", "pac_id"), E.rank_pool(pdf, "fec", "med_id", 1, "x")).withColumn("part", F.spark_partition_id())
+        rows = out.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 20000
+    assert sum(r["med_id"] is None for r in rows) == 6000 == sum(r["pool_size"] == 0 for r in rows)
+    assert sum(r["med_id"] == 1 and r["pool_size"] == 1 for r in rows) == 6000
+    per = {}
+    for r in rows:
+        per[r["part"]] = per.get(r["part"], 0) + 1
+    assert max(per.values()) < 0.1 * len(rows)
+
+
 # -------------------------------------------------------- hourly occupancy
 def test_hourly_occupancy_edges(spark):
     ts = lambda h, m=0: dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(hours=h, minutes=m)
@@ -156,9 +180,13 @@ def test_capacity_fill_matches_sequential_loop(spark, block_rows):
     rng = random.Random(7)
     caps = {1: [0, 2, 1, 3], 2: [0, 0, 0, 0], 3: [5, 5, 5, 5], 4: [1, 1, 1, 1], 5: [2, 0, 9, 1]}
     sizes = {1: 20, 2: 4, 3: 7, 4: 4, 5: 30}
-    stays = [(g, sid, *caps[g]) for g, n in sizes.items() for sid in rng.sample(range(1000), n)]
-    df = spark.createDataFrame(stays, "g long, sid long, c0 long, c1 long, c2 long, c3 long")
-    out = A.capacity_fill(df, ["g"], "sid", ["c0", "c1", "c2", "c3"], 11, "t", block_rows=block_rows)
+    sizes[6] = 3  # no capacity row: no bed
+    stays = [(g, sid) for g, n in sizes.items() for sid in rng.sample(range(1000), n)]
+    df = spark.createDataFrame(stays, "g long, sid long")
+    beds = spark.createDataFrame([(g, *c) for g, c in caps.items()], "g long, c0 long, c1 long, c2 long, c3 long")
+    out = A.capacity_fill(df, ["g"], "sid", beds, ["g"], ["c0", "c1", "c2", "c3"], 11, "t", block_rows=block_rows)
+    del sizes[6]
+    caps[6] = [0, 0, 0, 0]
     got = {(r["g"], r["unit_pos"]): r["occupied"] for r in out.collect()}
     draws = df.selectExpr("g", "sid", f"{D.u(11, 't', 'sid', 'g', slot=0)} AS o", f"{D.u(11, 't', 'sid', 'g', slot=1)} AS v").collect()
     want = _fill_loop([(r["g"], r["sid"], r["o"], r["v"]) for r in draws], caps)
@@ -167,6 +195,19 @@ def test_capacity_fill_matches_sequential_loop(spark, block_rows):
         assert n <= caps[g][j]
 
 
+def test_capacity_fill_plan_is_the_same_at_every_size(spark):
+    """A group far larger than a block takes the same plan, and no task gets more of it than its beds and a block."""
+    df = spark.range(30000).selectExpr("id % 2 AS g", "id AS sid").where("g = 0 OR sid < 100")
+    beds = spark.createDataFrame([(0, 40, 1, 0, 9), (1, 3, 3, 3, 3)], "g long, c0 long, c1 long, c2 long, c3 long")
+    plans, outs = [], []
+    for block in (50, 1_000_000):
+        out = A.capacity_fill(df, ["g"], "sid", beds, ["g"], ["c0", "c1", "c2", "c3"], 3, "t", block_rows=block)
+        plans.append([x.split("(")[0].strip(" :+-*") for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines()])
+        outs.append(sorted((r["g"], r["unit_pos"], r["occupied"]) for r in out.collect()))
+    assert [x.split()[0] for x in plans[0]] == [x.split()[0] for x in plans[1]]
+    assert outs[0] == outs[1] == [(0, 0, 40), (0, 1, 1), (0, 3, 9), (1, 0, 3), (1, 1, 3), (1, 2, 3), (1, 3, 3)]
+
+
 def test_bed_availability(spark):
     df = spark.createDataFrame([(i, c, o) for i, (c, o) in enumerate([(5, 5), (9, 0), (10, 0), (40, 3)])], "i long, cap long, occ long")
     out = A.bed_availability(df, F.col("cap"), F.col("occ"), D.u(1, "m", "i")).orderBy("i").collect()
@@ -185,7 +226,7 @@ def _attempts(spark, flags):
 
 def test_accept_first_cases(spark):
     flags = [True, False, True, True, False, True, True, False, True]
-    got = [(r["id"], r["t"]) for r in E.accept_first(_attempts(spark, flags), "accepted", "t", 4, "id", block_width=2).orderBy("id").collect()]
+    got = [(r["id"], r["t"]) for r in E.accept_first(_attempts(spark, flags), "accepted", "t", 4, "id").orderBy("id").collect()]
     assert got == [(1, 0), (2, 2), (3, 3), (4, 5)]
     # target reached exactly at the last accepted attempt
     got = E.accept_first(_attempts(spark, flags), "accepted", "t", 6, "id").count()
@@ -202,6 +243,21 @@ def test_reject_cap(spark):
     assert E.reject_cut(_attempts(spark, [True] * 20), "accepted", "t", 10) is None
 
 
+def test_accept_to_target_ends(spark):
+    build = lambda m: spark.range(m).selectExpr("id AS t", "id % 4 = 0 AS accepted")
+    got = [r["t"] for r in E.accept_to_target(build, 50, 0.25, "id", 1).orderBy("id").collect()]
+    assert got == [4 * i for i in range(50)]
+    assert E.accept_to_target(build, 50, 0.9, "id", 1).count() == 50  # a rate too high: the spine doubles
+    capped = E.accept_to_target(build, 50, 0.25, "id", 1, max_rejects=5).collect()
+    assert [r["t"] for r in capped] == [0, 4]  # the fifth reject is attempt 6
+    never = lambda m: spark.range(m).selectExpr("id AS t", "false AS accepted")
+    with pytest.raises(ValueError, match="acceptance rate is 0"):
+        E.accept_to_target(never, 10, 0.0, "id", 1)
+    assert E.accept_to_target(never, 10, 0.0, "id", 1, max_rejects=10).count() == 0
+    with pytest.raises(RuntimeError, match="no further accept"):
+        E.accept_to_target(never, 10, 0.5, "id", 1)
+
+
 def test_attempts_needed():
     assert E.attempts_needed(0, 0.5) == 0
     with pytest.raises(ValueError):
@@ -213,10 +269,19 @@ def test_attempts_needed():
 def test_dense_ids_many_blocks(spark):
     keys = sorted(random.Random(3).sample(range(10_000), 500))
     df = spark.createDataFrame([(k,) for k in keys], "t long").repartition(5)
-    got = [(r["t"], r["id"]) for r in O.dense_ids(df, "t", "id", start=7, block_width=97).orderBy("t").collect()]
+    got = [(r["t"], r["id"]) for r in O.dense_ids(df, "t", "id", start=7).orderBy("t").collect()]
     assert got == [(k, i + 7) for i, k in enumerate(keys)]
 
 
+def test_dense_ids_sparse_keys(spark):
+    """Keys a million apart: the offsets are a row per partition, not a row per key."""
+    df = spark.range(20000).selectExpr("id * id * 1000003 AS t")
+    out = O.dense_ids(df, "t", "id")
+    assert out.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first() == (1, 20000, 20000)
+    assert out.filter("t <> (id - 1) * (id - 1) * 1000003").count() == 0
+    assert O.dense_ids(df.limit(0), "t", "id").count() == 0
+
+
 def test_sample_without_replacement(spark):
     df = spark.range(1, 301).select(F.col("id").alias("k"))
     out = O.sample_without_replacement(df, "k", 40, 5, "s", block_rows=17).collect()
@@ -226,11 +291,14 @@ def test_sample_without_replacement(spark):
 
 def test_shuffle_multiset(spark):
     counts = [("a", 3), ("b", 0), ("c", 5), ("d", 2)]
-    out = O.shuffle_multiset(spark, counts, 10, 1, "m", block_rows=3).orderBy("pos").collect()
+    df = spark.createDataFrame(counts, "value string, n long")
+    out = O.shuffle_multiset(df, 10, 1, "m", block_rows=3).orderBy("pos").collect()
     assert [r["pos"] for r in out] == list(range(1, 11))
     assert sorted(r["value"] for r in out) == ["a"] * 3 + ["c"] * 5 + ["d"] * 2
-    with pytest.raises(ValueError):
-        O.shuffle_multiset(spark, counts, 11, 1, "m")
+    with pytest.raises(Exception, match="multiset has 10 elements"):
+        O.shuffle_multiset(df, 11, 1, "m").collect()
+    big = spark.createDataFrame([("x", 250_000), ("y", 1)], "value string, n long")
+    assert {r["value"]: r["count"] for r in O.shuffle_multiset(big, 250_001, 1, "m").groupBy("value").count().collect()} == {"x": 250_000, "y": 1}
 
 
 # ---------------------------------------------------------------- rules
@@ -274,14 +342,10 @@ def test_late_arrival_wraps_past_midnight(spark):
     assert (r["s"], r["a"], r["st"]) == ("23:50:00", "02:50:00", "23:50:00")
 
 
-def test_spread_only_widens_narrow_scans(spark, tmp_path):
+def test_spread_is_explicit(spark):
     from clinicgen.session import parallelism, spread
-    path = str(tmp_path / "ids")
-    spark.range(0, 1000, 1, 1).write.parquet(path)
-    narrow = spark.read.parquet(path)
-    assert narrow.rdd.getNumPartitions() == 1
-    wide = spread(narrow, "id")
-    assert wide.rdd.getNumPartitions() == parallelism(spark)
-    assert sorted(r["id"] for r in wide.collect()) == list(range(1000))
-    shuffled = narrow.groupBy((F.col("id") % 3).alias("k")).count()
-    assert spread(shuffled, "k") is shuffled
+    small = spark.range(0, 3, 1, 1).selectExpr("id AS k")
+    for df in (spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, 1).join(F.broadcast(small), F.col("id") % 3 == F.col("k"))):
+        wide = spread(df, "id")  # also after a broadcast join, which leaves one task
+        assert wide.select(F.spark_partition_id().alias("p")).distinct().count() == parallelism(spark)
+        assert sorted(r["id"] for r in wide.collect()) == list(range(1000))

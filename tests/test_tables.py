@@ -16,13 +16,26 @@ from small import small_config
 @pytest.fixture(scope="module")
 def built(spark):
     cfg = small_config()
-    return cfg, build_all(spark, cfg)
+    return cfg, build_all(spark, cfg, empty_pool="null")
 
 
 def test_invariants_hold(built):
     cfg, tables = built
+    pac, med = tables["pac_registro"], tables["med_planta"]
+    early = pac.filter(F.col("fec_primer_atencion") < med.agg(F.min("fec_ingreso")).first()[0]).count()
     bad = {k: v for k, v in check_all(cfg, tables).items() if v}
-    assert bad == {}
+    # nothing but the first visits that no physician could take, and those are all reported (in dispensing, once per line)
+    assert set(bad) <= {"V0_keys_not_null_hce_encuentros", "V0_keys_not_null_age_citas", "V0_keys_not_null_far_dispensacion"}
+    assert bad.get("V0_keys_not_null_hce_encuentros", 0) + bad.get("V0_keys_not_null_age_citas", 0) == early
+
+
+def test_checks_see_bad_keys(built):
+    cfg, tables = built
+    cit = tables["age_citas"]
+    broken = cit.withColumn("med_id", F.when(F.col("id_cita") == 5, None).when(F.col("id_cita") == 6, 10 ** 9).otherwise(F.col("med_id")))
+    before, after = check_all(cfg, tables), check_all(cfg, {**tables, "age_citas": broken})
+    assert after["V0_keys_not_null_age_citas"] == before["V0_keys_not_null_age_citas"] + 1
+    assert after["V0_med_id_exists_age_citas"] == before["V0_med_id_exists_age_citas"] + 1
 
 
 def test_schemas_follow_configured_columns(built):
@@ -46,18 +59,13 @@ def _digest(df):
     return hashlib.sha256("\n".join(rows).encode()).hexdigest()
 
 
-def test_same_seed_same_tables_whatever_the_partitioning(spark):
-    cfg = small_config()
+def test_same_seed_same_tables_whatever_the_partitioning(spark, built):
+    cfg, tables = built
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        out = []
-        for parts in ("3", "11"):
-            spark.conf.set("spark.sql.shuffle.partitions", parts)
-            pac = TB.build_pac_registro(spark, cfg)
-            med = TB.build_med_planta(spark, cfg)
-            enc = TB.build_hce_encuentros(spark, cfg, pac, med)
-            out.append((_digest(pac), _digest(enc)))
-        assert out[0] == out[1]
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        again = build_all(spark, cfg, empty_pool="null")
+        assert {k: _digest(v) for k, v in again.items()} == {k: _digest(v) for k, v in tables.items()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
@@ -71,7 +79,7 @@ def test_as_of_moves_the_data(spark):
 
 def test_appointment_reject_cap(spark, built):
     cfg, tables = built
-    cit = TB.build_age_citas(spark, cfg, tables["pac_registro"], tables["med_planta"], tables["hce_encuentros"], max_rejects=1)
+    cit = TB.build_age_citas(spark, cfg, tables["pac_registro"], tables["med_planta"], tables["hce_encuentros"], max_rejects=1, empty_pool="null")
     n = cit.count()
     n_a = cfg.length("pac_registro") - int(cfg.length("pac_registro") * 0.27)
     assert n_a <= n <= cfg.length("age_citas")
@@ -79,17 +87,31 @@ def test_appointment_reject_cap(spark, built):
     assert tuple(agg) == (1, n, n)
 
 
-def test_empty_pool_policy(spark):
+def test_empty_pool_policy(spark, caplog):
     cfg = small_config()
     pac = TB.build_pac_registro(spark, cfg)
     # every physician hired on as_of: no patient first seen earlier has an eligible one
     med = TB.build_med_planta(spark, cfg).withColumn("fec_ingreso", F.lit(cfg.as_of))
-    enc = TB.build_hce_encuentros(spark, cfg.with_lengths(hce_encuentros=540), pac, med)
-    first = enc.filter("tip_consulta = 'Primera vez'")
-    assert first.count() == 540
-    assert first.filter("med_id IS NULL").count() == first.filter(f"to_date(fec_inicio_atencion) < DATE'{cfg.as_of}'").count()
-    with pytest.raises(Exception, match="without an eligible physician"):
-        TB.build_hce_encuentros(spark, cfg.with_lengths(hce_encuentros=540), pac, med, empty_pool="raise").collect()
+    few = cfg.with_lengths(hce_encuentros=540)
+    enc = TB.build_hce_encuentros(spark, few, pac, med, empty_pool="null")
+    n = pac.filter(F.col("fec_primer_atencion") < F.lit(cfg.as_of)).count()
+    assert f"{n} patients" in caplog.text
+    assert enc.count() == 540
+    assert enc.filter("med_id IS NULL").count() == enc.filter(f"to_date(fec_inicio_atencion) < DATE'{cfg.as_of}'").count()
+    with pytest.raises(ValueError, match=f"{n} patients without an eligible physician"):
+        TB.build_hce_encuentros(spark, few, pac, med)
+    with pytest.raises(ValueError, match="empty_pool"):
+        TB.build_hce_encuentros(spark, few, pac, med, empty_pool="drop")
+
+
+def test_dispensing_reaches_every_encounter(spark):
+    """More first admissions than encounters asked for: all are kept, and any of them can be dispensed to."""
+    cfg = small_config().with_lengths(hce_encuentros=100, far_dispensacion=20_000)
+    pac, med = TB.build_pac_registro(spark, cfg), TB.build_med_planta(spark, cfg)
+    enc = TB.build_hce_encuentros(spark, cfg, pac, med, empty_pool="null")
+    far = TB.build_far_dispensacion(spark, cfg, enc)
+    assert far.agg(F.min("id_encuentro"), F.max("id_encuentro"), F.countDistinct("id_encuentro")).first() == (1, 540, 540)
+    assert far.count() == 20_000
 
 
 def test_write_all_round_trip(spark, built, tmp_path):
@@ -148,11 +170,24 @@ def test_run_writes_all_and_releases_intermediates(spark, tmp_path):
     from clinicgen.plans.pipeline import run
     cfg = small_config().with_lengths(pac_registro=300, med_planta=200, hce_encuentros=400, far_dispensacion=300, age_citas=300)
     formats = {"med_planta": "parquet", "gcm_camas": "parquet", "far_dispensacion": "parquet"}  # no avro module here
-    from clinicgen.session import current_cuts
-    before = set(current_cuts())
-    paths = run(spark, cfg, str(tmp_path), formats=formats)
+    from clinicgen.session import ensure_checkpoint_dir, scratch_run
+    tables = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    before = set(os.listdir(tables))
+    with scratch_run(spark):  # another run in between: each deletes its own tables alone
+        from clinicgen.session import cut_lineage
+        other = cut_lineage(spark.range(5), "other")
+        paths = run(spark, cfg, str(tmp_path), formats=formats, empty_pool="null")
+        assert other.count() == 5
     assert sorted(paths) == sorted(SK.TABLE_FORMATS)
-    assert set(current_cuts()) == before
+    with pytest.raises(ValueError, match="patients without"):
+        run(spark, cfg.with_lengths(med_planta=3), str(tmp_path / "x"), formats=formats)
+    assert set(os.listdir(tables)) == before and not os.path.exists(tmp_path / "x")
+    with pytest.raises(ValueError, match="base"):
+        run(spark, cfg, "")
+    if not SK.avro_available(spark):
+        with pytest.raises(SK.AvroUnavailable):
+            run(spark, cfg, str(tmp_path / "y"))
+        assert not os.path.exists(tmp_path / "y")  # refused before the first write
     for name, p in paths.items():
         assert os.path.isdir(p), name
     back = spark.read.parquet(paths["hce_encuentros"])
@@ -174,6 +209,30 @@ def test_daylight_saving_zone_is_refused(spark):
 
 def test_lazy_build_equals_materialized(spark, built):
     cfg, tables = built
-    lazy = build_all(spark, cfg, materialize=False)
+    lazy = build_all(spark, cfg, materialize=False, empty_pool="null")
     for name in ("hce_encuentros", "gcm_camas", "age_citas"):
         assert _digest(lazy[name]) == _digest(tables[name]), name
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from clinicgen.__main__ import main
+    cfg = small_config().with_lengths(pac_registro=300, med_planta=200, hce_encuentros=400, far_dispensacion=300, age_citas=300)
+    conf = tmp_path / "job.json"
+    conf.write_text(json.dumps(cfg.doc, ensure_ascii=False), encoding="utf-8")
+    paths = main(["--config", str(conf), "--as-of", "2026-01-01", "--base", str(tmp_path / "out"), "--tables", "red_sedes,age_citas",
+                  "--max-rejects", "1000", "--empty-pool", "null"], spark)
+    assert sorted(paths) == ["age_citas", "red_sedes"]
+    assert spark.read.parquet(paths["age_citas"]).columns == cfg.columns("age_citas")
+    assert spark.read.csv(paths["red_sedes"]).count() == cfg.length("red_sedes")
+    with pytest.raises(ValueError, match="unknown tables"):
+        main(["--config", str(conf), "--as-of", "2026-01-01", "--base", str(tmp_path / "out"), "--tables", "nope", "--format", "nope=csv"], spark)
+
+
+def test_load_config_refuses_a_folder(spark, tmp_path):
+    from clinicgen.config import load_config
+    for i in range(2):
+        (tmp_path / f"{i}.json").write_text("{}")
+    with pytest.raises(ValueError, match="found 2 files"):
+        load_config(spark, str(tmp_path))
