@@ -95,7 +95,7 @@ o AS (SELECT *, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / we
 p AS (SELECT *, (SELECT sum(source_size) FROM s)::DOUBLE
              - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
              sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight FROM o),
-l AS (SELECT min(rest / open_weight) AS level FROM p WHERE rest / open_weight <= ratio),
+l AS (SELECT rest / open_weight AS level FROM p WHERE rest / open_weight <= ratio ORDER BY ratio, source NULLS LAST LIMIT 1),
 t AS (SELECT source, source_size, least(cap, weight * greatest((SELECT level FROM l), 0)) AS target FROM o),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
 u AS (SELECT d.*, r.source_size, r.target, r.rate,

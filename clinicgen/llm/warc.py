@@ -222,8 +222,8 @@ OP3_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h, row_number() OVER () AS rid FROM pages),
 r AS (SELECT *, first_value(page_id) OVER w AS first_page, row_number() OVER w AS k
       FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, rid)),
-d AS (SELECT *, list_reduce(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-        1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), (a, x) -> a || x) AS digest FROM r)
+d AS (SELECT *, list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), lambda a, x: a || x) AS digest FROM r)
 SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first_page END AS refers_to FROM d
 """
