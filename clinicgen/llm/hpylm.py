@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from clinicgen.llm.common import cut, read
 
 CONTEXTS = 1 << 16
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 BUCKET_TYPES = 1_500_000
 BLOCKS = 16  # the context totals travel in so many parts
 END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")  # no word holds a space
@@ -61,10 +61,10 @@ def unpack(b: bytes) -> np.ndarray:
 
 
 class _Words(dict):
-    """Word -> 64-bit hash; forgets when it holds a million."""
+    """Word -> 64-bit hash; forgets when it holds 600,000."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 600_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w)
         return h
