@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from clinicgen import config as C
 from clinicgen.functions import draws as D
 from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum
+from clinicgen.session import cut_lineage
+
+BROADCAST_GROUPS = 100_000  # rows of a few numbers each; more groups are joined by shuffle
 
 
 # --------------------------------------------------------------------- budget
@@ -105,16 +108,18 @@ def capacity_fill(
     g = list(group)
     rem = F.array(*[F.greatest(F.col(c).cast("bigint"), F.lit(0)) for c in caps])
     beds = capacities.select(*on, rem.alias("_rem")).withColumn("_beds", F.aggregate("_rem", F.lit(0).cast("bigint"), lambda a, r: a + r)).where("_beds > 0")
-    base = stays.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
+    draws = [f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v"]
 
-    # groups with many more stays than beds: keep the slices of the order draw that can reach a bed
+    # groups with many more stays than beds (at most rows / block_rows of them): keep the slices of the
+    # order draw that can reach a bed. Written first, so that the size of what is broadcast is known.
     sizes = stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).join(beds, list(on))
-    crowded = sizes.where(F.col("_n") > F.col("_beds") + block_rows).select(*g, "_beds", F.ceil(F.col("_n") / F.lit(block_rows)).cast("bigint").alias("_S"))
+    crowded = cut_lineage(sizes.where(F.col("_n") > F.col("_beds") + block_rows).select(*g, "_beds", F.ceil(F.col("_n") / F.lit(block_rows)).cast("bigint").alias("_S")), "crowded")
+    few = (lambda df: F.broadcast(df)) if crowded.count() <= BROADCAST_GROUPS else (lambda df: df)
     cell = F.floor(F.col("_o") * F.col("_S")).cast("bigint")
-    cells = base.join(crowded, g).groupBy(*g, "_beds", "_S", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
+    cells = stays.join(few(crowded), g).selectExpr(*g, "_beds", "_S", draws[0]).groupBy(*g, "_beds", "_S", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     last = cells.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).where("_before < _beds").groupBy(*g, "_S").agg(F.max("_cell").alias("_last"))
-    kept = base.join(last, g, "left").where(F.col("_S").isNull() | (cell <= F.col("_last")))
+    kept = stays.selectExpr(*g, stay_id, *draws).join(few(last), g, "left").where(F.col("_S").isNull() | (cell <= F.col("_last")))
 
     turns = kept.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("_o", stay_id, "_v"))).alias("_turns"))
     # stays past the last bed change nothing
