@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clinicgen.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 
-__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "scratch_path", "unit", "without", "n_tasks"]
+__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "scratch_path", "unit", "without", "spread_files"]
 
 # a token: a run of anything but ASCII white space
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -60,5 +60,8 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in low]
 
 
-def n_tasks(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def spread_files(manifest: DataFrame, col: str) -> DataFrame:
+    """A manifest's rows over many tasks: they are tiny, the files they name are not, so the number is set, not left to row sizes."""
+    spark = manifest.sparkSession
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return manifest.repartition(max(slots, manifest.count() // 8), F.col(col))

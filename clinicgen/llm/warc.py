@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicgen.llm.common import cut, read, scratch_path
+from clinicgen.llm.common import cut, read, scratch_path, spread_files
 from clinicgen.llm.files import create, open_stream
 
 SKIPPABLE = 0x184D2A5D  # fixed value: frame magic of a dictionary in a .warc.zst file
@@ -209,7 +209,7 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kinds)
 
     kinds = pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.string()) for c in schema.split(", ")])
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(run, schema)
+    return spread_files(manifest.select("file"), "file").mapInArrow(run, schema)
 
 
 def op3_warc_zst(spark, sf_dir: str) -> DataFrame:
