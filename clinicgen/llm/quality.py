@@ -5,7 +5,7 @@ entries of +1 or -1 among ``DIM``); its context vector is the sum of the index v
 neighbours over the whole corpus, summed in integers so that the order of tasks does not matter.
 Words are hashed into ``BUCKETS`` rows, which fixes the size of the table (8 MB) that is summed and
 broadcast, whatever the corpus. A document is the mean of the unit context vectors of its
-words and of its shapes, and the logarithm of its length.
+words and of its shapes, the logarithm of its length, and how often it repeats words.
 
 The network (tanh layer, sigmoid output) is fitted by Adam in numpy on at most ``max_train``
 labelled documents (those of least id hash), one fifth of which is held back to fit the temperature
@@ -19,9 +19,11 @@ the rate of label 1 (one half without any); an empty table gives an empty result
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,19 +38,35 @@ _FLUSH = 1 << 20
 _LETTER, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"(.)\1+", re.S)
 
 
+@lru_cache(4096)
+def _shape(w: str) -> str:
+    """Letters by case, digits as 0, other characters themselves; runs are one."""
+    kinds = _LETTER.sub(lambda m: "".join("A" if c.isupper() else "a" for c in m[0]), w)
+    return _RUN.sub(r"\1", re.sub(r"\d", "0", kinds))
+
+
 class _Ids(dict):
-    """Word -> (row of the word, row of its shape); words take the lower half of the table."""
+    """Word -> rows of the word and of its shape in one number; words take the lower half of the table."""
 
-    def __missing__(self, w: str) -> tuple[int, int]:
-        if len(self) >= 500_000:
+    def __missing__(self, w: str) -> int:
+        if len(self) >= 800_000:
             self.clear()
-        bare = "".join(_LETTER.findall(w)).lower() or w
-        shape = _LETTER.sub(lambda m: "".join("A" if c.isupper() else "a" for c in m[0]), w)
-        shape = _RUN.sub(r"\1", re.sub(r"\d", "0", shape))
-        half = BUCKETS // 2
-        ids = self[w] = (zlib.crc32(bare.encode("utf-8", "surrogatepass")) % half, half + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % half)
+        core = w.strip(string.punctuation)
+        if core.isalpha():
+            at = w.index(core)
+            mid = "a" if core.islower() else "A" if core.isupper() else "Aa" if core[0].isupper() and core[1:].islower() else _shape(core)
+            bare, shape = core.lower(), _shape(w[:at]) + mid + _shape(w[at + len(core):])
+        else:
+            bare, shape = "".join(_LETTER.findall(w)).lower() or w, _shape(w)
+        row, shape_row = (zlib.crc32(x.encode("utf-8", "surrogatepass")) % (BUCKETS // 2) for x in (bare, shape))
+        ids = self[w] = row << 16 | BUCKETS // 2 + shape_row
         return ids
 
+    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of the words, rows of their shapes)"""
+        both = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return both >> 16, both & 0xFFFF
+
 
 def index_vectors(seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(positions, signs) of the nonzero entries of every row's index vector."""
@@ -57,14 +75,16 @@ def index_vectors(seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), rng.choice(np.array([-1, 1], np.int8), (BUCKETS, NONZERO))
 
 
-def _add_contexts(table: np.ndarray, seqs: list[np.ndarray], at: np.ndarray, sign: np.ndarray) -> None:
+def _add_contexts(table: np.ndarray, seqs: list[np.ndarray], slot: np.ndarray) -> None:
     """Adds the neighbours' index vectors to the rows of each sequence's members (a -1 stands between documents)."""
-    ids = np.concatenate(seqs)
+    ids = np.concatenate(seqs).astype(np.int64)
     ok = (ids[:-1] >= 0) & (ids[1:] >= 0)
-    left, right = ids[:-1][ok].astype(np.int64), ids[1:][ok].astype(np.int64)
+    left, right = ids[:-1][ok], ids[1:][ok]
     for target, near in ((left, right), (right, left)):
-        for j in range(NONZERO):
-            table += np.bincount(target * DIM + at[near, j], weights=sign[near, j], minlength=BUCKETS * DIM).astype(np.int64)
+        base = target * (2 * DIM)
+        for j in range(NONZERO):  # +1 and -1 are counted apart: integer counts need no weights
+            both = np.bincount(base + slot[j][near], minlength=2 * BUCKETS * DIM).reshape(BUCKETS, 2, DIM)
+            table += (both[:, 0] - both[:, 1]).reshape(-1)
 
 
 def context_table(docs: DataFrame, text: str = "text", seed: int = 3, blocks: int = 64) -> np.ndarray:
@@ -73,6 +93,7 @@ def context_table(docs: DataFrame, text: str = "text", seed: int = 3, blocks: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sign = index_vectors(seed)
+        slot = np.ascontiguousarray((at + DIM * (sign < 0)).T.astype(np.int64))
         ids, table = _Ids(), np.zeros(BUCKETS * DIM, np.int64)
         seqs, n = [], 0
         gap = np.array([-1], np.int32)
@@ -81,14 +102,14 @@ def context_table(docs: DataFrame, text: str = "text", seed: int = 3, blocks: in
                 words = (t or "").split()
                 if not words:
                     continue
-                both = np.array([ids[w] for w in words], np.int32)
-                seqs += [both[:, 0], gap, both[:, 1], gap]
+                row, shape = ids.rows(words)
+                seqs += [row, gap, shape, gap]
                 n += 2 * len(words)
                 if n >= _FLUSH:
-                    _add_contexts(table, seqs, at, sign)
+                    _add_contexts(table, seqs, slot)
                     seqs, n = [], 0
         if seqs:
-            _add_contexts(table, seqs, at, sign)
+            _add_contexts(table, seqs, slot)
         for k in range(blocks):
             part = table[k * rows:(k + 1) * rows]
             if part.any():
@@ -123,17 +144,23 @@ def unit_rows(table: np.ndarray) -> np.ndarray:
     return t.astype(np.float32)
 
 
+FEATURES = 2 * DIM + 3
+
+
 def pooled(text: str | None, vectors: np.ndarray, ids: _Ids) -> np.ndarray:
+    """Mean word vector, mean shape vector, log length, share of words that repeat the one before, share of distinct words."""
     words = (text or "").split()
-    out = np.zeros(2 * DIM + 1, np.float32)
+    out = np.zeros(FEATURES, np.float32)
     if words:
-        both = np.array([ids[w] for w in words], np.int32)
-        for k in (0, 1):
-            s = np.zeros(DIM, np.float64)
-            for i in range(0, len(both), 1 << 16):
-                s += vectors[both[i:i + (1 << 16), k]].sum(axis=0, dtype=np.float64)
-            out[k * DIM:(k + 1) * DIM] = s / len(both)
-        out[-1] = np.log1p(len(words))
+        n = len(words)
+        for k, row in enumerate(ids.rows(words)):
+            total = np.zeros(DIM)
+            for i in range(0, n, 1 << 12):
+                total += vectors[row[i:i + (1 << 12)]].sum(axis=0)
+            out[k * DIM:(k + 1) * DIM] = total / n
+            if not k:
+                out[-2:] = (row[1:] == row[:-1]).mean() if n > 1 else 0, len(np.unique(row)) / n
+        out[-3] = np.log1p(n)
     return out
 
 
@@ -160,7 +187,7 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 
 def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, rate: float = 3e-3, decay: float = 1e-4, seed: int = 1) -> Network:
     rng = np.random.default_rng(seed)
-    d = x.shape[1] if x.size else 2 * DIM + 1
+    d = x.shape[1] if x.size else FEATURES
     if len(y) < 10 or y.min() == y.max():
         p = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
         return Network(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros(1), float(np.log(p / (1 - p))), 1.0)
@@ -213,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, text: str
 
     rows = (texts.mapInArrow(run, "doc_id bigint, y double, x binary").dropDuplicates(["doc_id"]).collect())  # max_train rows at most
     rows.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIM + 1)
+    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), FEATURES)
     y = np.array([float(r["y"] >= 0.5) for r in rows])
     return vectors, fit(x, y)
 
@@ -226,7 +253,7 @@ def score_column(docs: DataFrame, vectors: np.ndarray, net: Network, text: str =
         ids = _Ids()
         v, n = shared.value
         for texts in batches:
-            x = np.array([pooled(t, v, ids) for t in texts], np.float64).reshape(len(texts), 2 * DIM + 1)
+            x = np.array([pooled(t, v, ids) for t in texts], np.float64).reshape(len(texts), FEATURES)
             yield pd.Series(n.predict(x))
     return score(F.col(text))
 

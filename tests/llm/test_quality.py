@@ -43,11 +43,10 @@ def test_context_table_is_the_sum_over_neighbours(lspark, make_docs):
     want = np.zeros((Q.BUCKETS, Q.DIM), np.int64)
     ids = Q._Ids()
     for _, t in rows:
-        both = [ids[w] for w in (t or "").split()]
-        for k in (0, 1):
-            for i, j in zip(both, both[1:], strict=False):
-                np.add.at(want[i[k]], at[j[k]], sign[j[k]])
-                np.add.at(want[j[k]], at[i[k]], sign[i[k]])
+        for row in ids.rows((t or "").split()):
+            for i, j in zip(row, row[1:], strict=False):
+                np.add.at(want[i], at[j], sign[j])
+                np.add.at(want[j], at[i], sign[i])
     assert (Q.context_table(make_docs(rows).repartition(3)) == want).all()
 
 
