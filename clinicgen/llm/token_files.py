@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinicgen.llm.common import cut, read, scratch_path
+from clinicgen.llm.common import cut, read, scratch_path, spread_files
 from clinicgen.llm.files import create, open_random
 
 _UNSAFE = re.compile(r"\s | \s")
-_PIECES = 600_000  # remembered pieces per worker
+_PIECES = 1_000_000  # remembered pieces per worker
+_JOINED = 256  # unknown pieces encoded as one text
 
 
 class Encoder:
@@ -50,36 +51,65 @@ class Encoder:
         self.code = "H" if self.tok.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
+        # a byte-level token's spelling has a character per byte
+        vocab = self.tok.get_vocab()
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)
+        self.opening: dict[str, bytes] = {}  # pieces without a space before them
+        self.spaced: dict[str, bytes] = {}   # words after a space, without it
+
+    def _plain(self, pieces: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of `` word`` for each word, encoded together and parted by byte counts (words hold no space)."""
+        out: list[bytes] = []
+        groups = [words[i:i + _JOINED] for i in range(0, len(words), _JOINED)]
+        texts = [" " + " ".join(g) for g in groups]
+        for group, text, e in zip(groups, texts, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, f"<u{self.width}")
+            upto = np.cumsum(self.bytes_of[ids])
+            raw = text.encode()
+            ends = np.r_[np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)[1:], len(raw)]
+            cuts = np.searchsorted(upto, ends)
+            if upto[-1] == len(raw) and (upto[cuts] == ends).all():
+                flat, at = ids.tobytes(), [0, *((cuts + 1) * self.width).tolist()]
+                out += [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
+            else:  # a token reaches over a word's end: never seen, but then each alone
+                out += self._plain([" " + w for w in group])
+        return out
+
+    def _learn(self, words: set[str], known: dict[str, bytes], lead: str) -> None:
         """Encodes unknown pieces; a last punctuation mark after a letter is a pre-token of its own, so stems are shared."""
-        known = self.known
-        stems = {p: p[:-1] for p in pieces if len(p) > 1 and p[-1] in ",.;:!?" and p[-2].isalpha()}
-        todo = [p for p in ({stems.get(p, p) for p in pieces} | {p[-1] for p in stems}) if p not in known]
-        for p, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            known[p] = array(self.code, e.ids).tobytes()
-        for p, s in stems.items():
-            known[p] = known[s] + known[p[-1]]
+        stems = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ",.;:!?" and w[-2].isalpha()}
+        marks = [m for m in {w[-1] for w in stems} if m not in self.opening]
+        self.opening.update(zip(marks, self._plain(marks), strict=True))
+        todo = [w for w in {stems.get(w, w) for w in words} if w not in known]
+        joint = [w for w in todo if lead and w and not w[-1].isspace()]
+        known.update(zip(joint, self._joined(joint), strict=True))
+        rest = [w for w in todo if not lead or not w or w[-1].isspace()]
+        known.update(zip(rest, self._plain([lead + w for w in rest]), strict=True))
+        for w, s in stems.items():
+            known[w] = known[s] + self.opening[w[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > _PIECES:
-            self.known.clear()
-        known, cut_up = self.known, []
-        for t in texts:
-            if not t:
-                cut_up.append([])
-            elif _UNSAFE.search(t) or any(s in t for s in self.special):
-                cut_up.append(None)
-            else:
-                first, *rest = t.split(" ")
-                cut_up.append([first, *[" " + w for w in rest]])
-        new = set().union(*[p for p in cut_up if p]) - known.keys()
-        if new:
-            self._learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, p)) if p is not None else array(self.code, self.tok.encode(t, add_special_tokens=False).ids).tobytes()
-                for t, p in zip(texts, cut_up, strict=True)]
+        if len(self.opening) + len(self.spaced) > _PIECES:
+            self.opening.clear()
+            self.spaced.clear()
+        cut_up = [None if t and (_UNSAFE.search(t) or any(s in t for s in self.special)) else (t or "").split(" ") for t in texts]
+        openings = {w[0] for w in cut_up if w and w[0]} - self.opening.keys()
+        if openings:
+            self._learn(openings, self.opening, "")
+        for w in cut_up:
+            if w:
+                w[0] = self.opening[w[0]] if w[0] else b""  # the first piece is done; the others follow a space
+        words = set().union(*[w[1:] for w in cut_up if w]) - self.spaced.keys()
+        if words:
+            self._learn(words, self.spaced, " ")
+        get = self.spaced.__getitem__
+        return [w[0] + b"".join(map(get, w[1:])) if w is not None else array(self.code, self.tok.encode(t, add_special_tokens=False).ids).tobytes()
+                for t, w in zip(texts, cut_up, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}  # per worker process, so pieces are learned once for many tasks
@@ -181,7 +211,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     # one small row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("ids_file", "docs_file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    spread = files.repartition(F.col("ids_file"))
+    spread = spread_files(files, "ids_file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
