@@ -62,10 +62,14 @@ def transcripts(turns: DataFrame) -> DataFrame:
             p["start"].alias("loss_start"), p["chars"].alias("loss_chars"))).alias("targets"))
 
 
-def examples(stored: DataFrame) -> DataFrame:
-    """(conv_id, target_turn, text, loss_start, loss_chars): a training example per assistant turn."""
-    return stored.select("conv_id", "transcript", F.explode("targets").alias("t")).select(
-        "conv_id", "t.target_turn", F.substring("transcript", F.lit(1), F.col("t.prefix_chars").cast("int")).alias("text"), "t.loss_start", "t.loss_chars")
+def examples(stored: DataFrame, keep: tuple[str, ...] = (), every: bool = False) -> DataFrame:
+    """(conv_id, target_turn, text, loss_start, loss_chars): a training example per assistant turn.
+
+    ``keep``: further columns of ``stored`` to carry; ``every`` gives conversations without a reply a row of nulls.
+    """
+    explode = F.explode_outer if every else F.explode
+    return stored.select("conv_id", *keep, "transcript", explode("targets").alias("t")).select(
+        "conv_id", *keep, "t.target_turn", F.substring("transcript", F.lit(1), F.col("t.prefix_chars").cast("int")).alias("text"), "t.loss_start", "t.loss_chars")
 
 
 def read_turns(rendered: Column) -> Column:
@@ -85,20 +89,19 @@ def format_conversations(turns: DataFrame, path: str) -> DataFrame:
 def digest(stored: DataFrame) -> DataFrame:
     """One row per conversation, all of it taken from the stored output."""
     sha = lambda parts: F.sha2(F.array_join(parts, ""), 256)
-    loss = unescape(F.substring("text", (F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int")))
-    by_reply = examples(stored).select("conv_id", F.struct("target_turn", loss.alias("loss")).alias("x"), F.length("text").cast("bigint").alias("chars"))
-    replies = by_reply.groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("x"), F.sum("chars").alias("chars"))
-    losses = replies.select(F.col("conv_id").alias("id"), F.col("x.loss").alias("losses"), "chars")
-    none = F.array().cast("array<string>")
     # what follows the last reply is in no example; it counts as formatted once
     tail = F.length("transcript") - F.coalesce(F.array_max(F.transform("targets", lambda t: t["prefix_chars"])), F.lit(0))
-    whole = stored.select("conv_id", read_turns(F.col("transcript")).alias("turns"), tail.alias("tail"))
-    return whole.join(losses, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
-        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
-        sha(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))).alias("turns_sha256"),
-        F.length(F.array_join(F.coalesce("losses", none), "")).cast("bigint").alias("loss_chars"),
-        sha(F.coalesce("losses", none)).alias("loss_sha256"),
-        (F.coalesce("chars", F.lit(0)) + F.col("tail")).cast("bigint").alias("formatted_chars"))
+    whole = stored.withColumn("turns", read_turns(F.col("transcript"))).select(
+        "conv_id", "transcript", "targets", tail.alias("tail"), F.size("turns").cast("bigint").alias("n_turns"),
+        sha(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))).alias("turns_sha256"))
+    own = ("tail", "n_turns", "turns_sha256")
+    loss = unescape(F.substring("text", (F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int")))
+    reply = F.when(F.col("target_turn").isNotNull(), F.struct("target_turn", loss.alias("loss")))
+    per = examples(whole, own, every=True).groupBy("conv_id", *own).agg(
+        F.array_sort(F.collect_list(reply)).alias("x"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"))
+    losses = F.col("x.loss")
+    return per.select("conv_id", "n_turns", "turns_sha256", F.length(F.array_join(losses, "")).cast("bigint").alias("loss_chars"),
+                      sha(losses).alias("loss_sha256"), (F.col("chars") + F.col("tail")).cast("bigint").alias("formatted_chars"))
 
 
 TEST_CONVERSATION = "\\### Assistant: </turn> ok"
