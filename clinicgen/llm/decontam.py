@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +39,27 @@ BITS = 25
 _MUL = np.random.default_rng(5).integers(1, 1 << 63, 1024, dtype=np.uint64) | np.uint64(1)
 
 
-def seeds(span: int, substitutions: int) -> list[np.ndarray]:
-    """The kept positions of every mask over a window of ``span`` tokens."""
-    classes = min(span, substitutions + 2)
-    if classes < substitutions + 2:
-        raise ValueError("span must be at least substitutions + 2")
-    at = np.arange(span)
-    return [at[(at % classes == a) | (at % classes == b)] for a, b in combinations(range(classes), 2)]
+class Plan(NamedTuple):
+    """Masks over windows of ``n`` tokens: position classes, and which classes each mask keeps."""
+    n: int
+    classes: list[list[int]]
+    masks: list[tuple[int, ...]]
+
+    def kept(self) -> list[list[int]]:
+        return [sorted(p for c in m for p in self.classes[c]) for m in self.masks]
+
+
+def spaced(span: int, substitutions: int) -> Plan:
+    """A mask for every two of ``substitutions + 2`` residue classes."""
+    k = substitutions + 2
+    if not k <= span <= len(_MUL):
+        raise ValueError(f"span must lie between substitutions + 2 and {len(_MUL)}")
+    return Plan(span, [list(range(c, span, k)) for c in range(k)], list(combinations(range(k), 2)))
+
+
+def unspaced(n: int) -> Plan:
+    """The one mask that keeps all of a short item."""
+    return Plan(n, [list(range(n))], [(0,)])
 
 
 class _Words(dict):
@@ -62,37 +77,49 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _seed_hash(tokens: np.ndarray, kept: np.ndarray, span: int, tag: int) -> np.ndarray:
-    """Hash under one mask of every window of ``span`` tokens."""
-    n = len(tokens) - span + 1
-    h = np.full(n, np.uint64(tag + 1))
-    for p in kept:
-        h += _mix(tokens[p:p + n] + np.uint64(p)) * _MUL[p]
-    return _mix(h)
+def _seed_hashes(tokens: np.ndarray, plan: Plan) -> list[np.ndarray]:
+    """Per mask, the hash of every window: class sums are shared by the masks."""
+    m = len(tokens) - plan.n + 1
+    sums = []
+    for c in plan.classes:
+        total = np.zeros(m, np.uint64)
+        for p in c:
+            total += tokens[p:p + m] * _MUL[p]
+        sums.append(total)
+    return [_mix(sum((sums[c] for c in mask[1:]), sums[mask[0]]) + np.uint64(i + 1)) for i, mask in enumerate(plan.masks)]
 
 
 def _probe(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    a, b = h >> np.uint64(64 - BITS), (h >> np.uint64(8)) & np.uint64((1 << BITS) - 1)
-    return (((bitmap[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8)) & 1) & ((bitmap[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1)).astype(bool)
+    """Places of the hashes whose two bits are set."""
+    a = h >> np.uint64(64 - BITS)
+    at = np.flatnonzero((bitmap[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8)) & 1)
+    b = (h[at] >> np.uint64(8)) & np.uint64((1 << BITS) - 1)
+    return at[((bitmap[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+
 
+_SLICE = 400_000  # tokens hashed at a time
 
-def _plans(span: int, substitutions: int, short: list[int]) -> list[tuple[int, list[np.ndarray]]]:
-    """(window length, masks): the spaced ones, and one full mask per length of short items."""
-    return [(span, seeds(span, substitutions))] + [(n, [np.arange(n)]) for n in short]
+
+def _hits(bitmap: np.ndarray, tokens: np.ndarray, plan: Plan) -> np.ndarray:
+    """Sorted starts of the windows that have a seed hash in the bitmap."""
+    found = []
+    for s in range(0, len(tokens) - plan.n + 1, _SLICE):
+        found += [s + _probe(bitmap, h) for h in _seed_hashes(tokens[s:s + _SLICE + plan.n - 1], plan)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def item_windows(items: DataFrame, span: int, substitutions: int, min_item: int, text: str, id_col: str) -> DataFrame:
     """(item_id, n, win, h array): windows of the benchmark with their seed hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, masks = _Words(), seeds(span, substitutions)
+        words, plan = _Words(), spaced(span, substitutions)
         for b in batches:
             for item, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 toks = _TOKEN.findall((t or "").lower())
                 if len(toks) < min_item:
                     continue
-                n, ms = (span, masks) if len(toks) >= span else (len(toks), [np.arange(len(toks))])
-                h = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
-                hs = np.stack([_seed_hash(h, m, n, i) for i, m in enumerate(ms)], 1).view(np.int64)
+                own = plan if len(toks) >= span else unspaced(len(toks))
+                n, h = own.n, np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
+                hs = np.stack(_seed_hashes(h, own), 1).view(np.int64)
                 for s in range(0, len(hs), 4096):
                     part = hs[s:s + 4096]
                     yield pa.RecordBatch.from_pydict({
@@ -120,29 +147,40 @@ def training_windows(docs: DataFrame, bitmap: np.ndarray, span: int, substitutio
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, plans, bits = _Words(), _plans(span, substitutions, short), shared.value
-        for b in batches:
+        words, bits = _Words(), shared.value
+        plans = [spaced(span, substitutions), *map(unspaced, short)]
+        out = [*key, "pos", "n", "win"]
+
+        def search(docs: list[tuple[int, list[str]]], b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            tokens = np.concatenate([np.fromiter(map(words.__getitem__, t), np.uint64, len(t)) for _, t in docs])
+            ends = np.cumsum([len(t) for _, t in docs])
             rows, poss, ns, wins = [], [], [], []
-            for r, t in enumerate(b.column(len(key)).to_pylist()):
-                if not t:
-                    continue
-                toks = _TOKEN.findall(t.lower())
-                h = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
-                for n, masks in plans:
-                    if len(toks) < n:
-                        continue
-                    hit = np.zeros(len(toks) - n + 1, bool)
-                    for i, m in enumerate(masks):
-                        hit |= _probe(bits, _seed_hash(h, m, n, i))
-                    for p in np.flatnonzero(hit).tolist():
-                        rows.append(r)
+            for plan in plans:
+                for at in _hits(bits, tokens, plan).tolist():
+                    d = int(np.searchsorted(ends, at, side="right"))
+                    if at + plan.n <= ends[d]:  # a window lies in one text
+                        row, toks = docs[d]
+                        p = at - (ends[d] - len(toks))
+                        rows.append(row)
                         poss.append(p)
-                        ns.append(n)
-                        wins.append(" ".join(toks[p:p + n]))
+                        ns.append(plan.n)
+                        wins.append(" ".join(toks[p:p + plan.n]))
             if rows:
                 at = pa.array(rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(i).take(at) for i in range(len(key))] + [pa.array(poss, pa.int32()), pa.array(ns, pa.int32()), pa.array(wins, pa.string())],
-                                                 [*key, "pos", "n", "win"])
+                yield pa.RecordBatch.from_arrays([b.column(i).take(at) for i in range(len(key))] + [pa.array(poss, pa.int32()), pa.array(ns, pa.int32()), pa.array(wins, pa.string())], out)
+
+        for b in batches:
+            docs, held = [], 0
+            for r, t in enumerate(b.column(len(key)).to_pylist()):
+                toks = _TOKEN.findall(t.lower()) if t else []
+                if toks:
+                    docs.append((r, toks))
+                    held += len(toks)
+                if held >= _SLICE:
+                    yield from search(docs, b)
+                    docs, held = [], 0
+            if docs:
+                yield from search(docs, b)
 
     return src.mapInArrow(run, f"{schema}, pos int, n int, win string")
 
@@ -150,16 +188,16 @@ def training_windows(docs: DataFrame, bitmap: np.ndarray, span: int, substitutio
 def _hashed(windows: DataFrame, span: int, substitutions: int) -> DataFrame:
     """(n, win, h): the seed hashes of distinct windows, a row each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, masks = _Words(), seeds(span, substitutions)
+        words, plan = _Words(), spaced(span, substitutions)
         for b in batches:
             ns, wins, hs = [], [], []
             for n, win in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 toks = win.split(" ")
                 h = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
-                for i, m in enumerate(masks if n == span else [np.arange(n)]):
+                for seed in _seed_hashes(h, plan if n == span else unspaced(n)):
                     ns.append(n)
                     wins.append(win)
-                    hs.append(_seed_hash(h, m, n, i)[0])
+                    hs.append(seed[0])
             yield pa.RecordBatch.from_arrays([pa.array(ns, pa.int32()), pa.array(wins, pa.string()), pa.array(np.array(hs, np.uint64).view(np.int64))], ["n", "win", "h"])
 
     return windows.mapInArrow(run, "n int, win string, h bigint")

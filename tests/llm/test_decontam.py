@@ -2,6 +2,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from clinicgen.llm import decontam as D
@@ -45,9 +46,23 @@ def cases():
 def test_masks_cover_every_placement():
     for span, subs in ((13, 2), (8, 1), (9, 3)):
         for bad in combinations(range(span), subs):
-            assert any(not set(bad) & set(m.tolist()) for m in D.seeds(span, subs))
+            assert any(not set(bad) & set(kept) for kept in D.spaced(span, subs).kept())
     with pytest.raises(ValueError):
-        D.seeds(3, 2)
+        D.spaced(3, 2)
+
+
+def test_slices_change_nothing(monkeypatch):
+    tokens = np.arange(1, 1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    plan = D.spaced(13, 2)
+    want = D._seed_hashes(tokens, plan)
+    bitmap = np.zeros(1 << (D.BITS - 3), np.uint8)
+    for h in (want[2][5], want[0][500], want[5][986]):
+        for bit in (int(h) >> (64 - D.BITS), (int(h) >> 8) & ((1 << D.BITS) - 1)):
+            bitmap[bit >> 3] |= 1 << (bit & 7)
+    for size in (50, 400_000):
+        monkeypatch.setattr(D, "_SLICE", size)
+        assert set(D._hits(bitmap, tokens, plan).tolist()) >= {5, 500, 986}
+        assert len(D._hits(bitmap, tokens, plan)) < 6
 
 
 def test_against_brute_force(lspark, make_docs):
