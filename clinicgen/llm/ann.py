@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clinicgen.llm.common import cut, read
 
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
+BLOCK_ROWS, BLOCK_QUERIES = 32_768, 2048
 
 
 @dataclass
@@ -147,10 +147,11 @@ def _nearest(parts: DataFrame, k: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, sample: int = 20_000, calibrators: int = 256,
-           leaf_rows: int = 400) -> DataFrame:
+           leaves: int = 64, leaf_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``queries`` against ``vectors`` (both (vec_id, v) of ``usable``).
 
-    ``leaf_rows``: rows a leaf aims at; the sample bounds the tree to ``sample / 32`` leaves.
+    The tree aims at ``leaves`` leaves, or at leaves of ``leaf_rows`` rows where that is more, up to ``sample / 32``. Each visit
+    returns at most k rows, so what a query shuffles follows its visits, not the rows it passes.
     """
     spark = vectors.sparkSession
     out = "query_id bigint, rank int, vec_id bigint, score double"
@@ -160,7 +161,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     fit = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()  # at most `sample` rows
     x = np.array(fit["v"].tolist(), np.float64)
     dim = x.shape[1]
-    root, n_leaves = fit_tree(x, max(32, math.ceil(leaf_rows * len(x) / total)))
+    aim = max(leaves, math.ceil(total / leaf_rows))
+    root, n_leaves = fit_tree(x, max(32, math.ceil(2 * len(x) / aim)))  # nodes split down to twice the mean
     tree = spark.sparkContext.broadcast(root)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ def test_recall_and_exact_scores(lspark):
     rng = np.random.default_rng(0)
     centers = rng.normal(size=(30, 24))
     x = (centers[rng.integers(0, 30, 6000)] + rng.normal(size=(6000, 24)) * 0.7).astype(np.float32)
-    got, want = run(table(lspark, range(6000), x.tolist()).repartition(3), leaf_rows=100), brute(range(6000), x, 20)
+    got, want = run(table(lspark, range(6000), x.tolist()).repartition(3)), brute(range(6000), x, 20)
     assert got.keys() == want.keys()
     hits = sum(len({j for j, _ in got[q]} & {j for j, _ in want[q]}) for q in want)
     assert hits / (20 * len(want)) >= 0.9
@@ -51,7 +51,7 @@ def test_hot_copies_ties_and_odd_rows(lspark, monkeypatch):
     x[:400] = x[0]  # two thirds are copies
     rows = x.tolist()
     odd = [(1000, None), (1020, []), (1040, [0.0] * 8), (1060, [math.nan] + [1.0] * 7), (1080, [math.inf] + [1.0] * 7), (1100, [None] + [1.0] * 7), (1120, [1.0] * 3), (None, rows[0]), (20, rows[20])]
-    got = run(table(lspark, [*range(600), *[i for i, _ in odd]], [*rows, *[v for _, v in odd]]), leaf_rows=100)
+    got = run(table(lspark, [*range(600), *[i for i, _ in odd]], [*rows, *[v for _, v in odd]]), leaves=6)
     want = brute(range(600), x, 20)
     assert got.keys() == want.keys()
     for q in range(0, 400, 20):
