@@ -11,10 +11,10 @@ and alike in the parent; it is averaged over Gibbs samples.
 
 On Spark: chunks of texts are counted into distinct (word, context) types, so a pair that fills a third
 of the corpus is one entry per chunk. Types are dealt by word into buckets (a word has at most ``CONTEXTS`` types), where
-customers are reseated one by one: a random customer of every type leaves its table and joins one with probability
-proportional to size - d, or a new one with (theta + d T_u) P(w). All that a bucket needs from others are totals per context and
-of the parent; they are summed after a sampling round and taken as fixed in the next (parallel Gibbs with totals one round
-old). The last round sends every chunk the averaged log probabilities of its own types, and the chunk adds them up by
+seats matter only by the number of a type's tables: a sweep draws that number anew from its law given all else (``Dishes``), at
+once for all customers of the type, and so does the parent. All that a bucket needs from others are totals per context and
+of the parent; they are summed after a sampling round and, but for the bucket's own share, taken as fixed in the next (parallel Gibbs
+with totals one round old). Tables of children and parent are written after a round, and the next goes on from them. The last round sends every chunk the averaged log probabilities of its own types, and the chunk adds them up by
 document. Discounts are estimated from the counts of counts, n1 / (n1 + 2 n2).
 
 Cases: null and empty texts are the end token alone; a null id is held out; repeated rows are scored each; with no
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -162,8 +162,71 @@ def _rate(n1: float, n2: float) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
+def _occupancy(ns: np.ndarray, d: float, width: int) -> Iterator[np.ndarray]:
+    """For each of the ascending ``ns``, log q_n(t) for t = 1 .. min(n, width).
+
+    q_n(t) = S(n, t) / S(n, 1) d**(t-1) (t-1)!, with S the generalized Stirling numbers of discount d, goes from n to n + 1 by
+    (1 - x) q_n(t) + x q_n(t-1), x = d (t-1) / (n-d). The steps are powers of one matrix, so from 4,096 customers on
+    many are taken together, by a series to the third order in x.
+    """
+    q = np.zeros(width, np.longdouble)  # long: few tables are far likelier than many, and the weights may ask for many
+    q[0], n, pull = 1, 1, d * np.arange(1, width, dtype=np.longdouble)
+    reach = 0.1 / (d * width)
+    for goal in ns.tolist():
+        while n < goal:
+            k = min(goal - n, max(1, int(reach * n))) if n >= 4096 else 1
+            m = min(width, n + k)
+            if k == 1:
+                q[1:m] += pull[:m - 1] * (q[:m - 1] - q[1:m]) / (n - d)
+            else:
+                lo, hi = n - d - 0.5, n + k - d - 0.5
+                p1, p2, p3 = math.log(hi / lo), 1 / lo - 1 / hi, (1 / lo ** 2 - 1 / hi ** 2) / 2
+                step, total = q.copy(), q
+                for e in (p1, (p1 ** 2 - p2) / 2, (p1 ** 3 - 3 * p1 * p2 + 2 * p3) / 6):
+                    step = np.r_[0, pull * (step[:-1] - step[1:])]
+                    total = total + e * step
+                q = np.maximum(total, 0)
+            n += k
+        with np.errstate(divide="ignore"):
+            yield np.log(q[:min(n, width)]).astype(np.float64)
+
+
+class Dishes:
+    """Tables of many dishes. Given their customers, only the number of tables counts, and its law is known: with weight
+    new + more k of the table after the k-th, P(t) is proportional to S(n, t) times the weights of the tables 2 to t."""
+
+    def __init__(self, counts: np.ndarray, discount: float, rng: np.random.Generator, tables: np.ndarray | None = None) -> None:
+        self.c, self.d, self.rng = counts.astype(np.int64), discount, rng
+        self.tables = np.minimum(self.c, 1) if tables is None else np.clip(tables, np.minimum(self.c, 1), self.c)
+
+    def draw(self, new: np.ndarray, more: np.ndarray) -> None:
+        """Draws the tables of all dishes, whatever they hold."""
+        many = np.flatnonzero(self.c >= 2)
+        if not len(many):
+            return
+        many = many[np.argsort(self.c[many], kind="stable")]
+        n, a, g = self.c[many], new[many] / self.d, more[many] / self.d
+        rest = np.maximum(1 - g, 1e-3)
+        spread = a / rest
+        top = np.minimum(n, 42 + spread + 10 * np.sqrt(spread / rest)).astype(np.int64)  # tables beyond have no weight left
+        ns, first = np.unique(n, return_index=True)
+        ends = np.r_[first[1:], len(n)]
+        for s, e, log_q in zip(first, ends, _occupancy(ns, self.d, int(top.max())), strict=True):
+            w = int(top[s:e].max())
+            k = np.arange(1, w)
+            rows = max(1, 2_000_000 // w)
+            for i in range(s, e, rows):
+                j = min(e, i + rows)
+                logs = np.zeros((j - i, w))
+                np.cumsum(np.log(a[i:j, None] / k + g[i:j, None]), axis=1, out=logs[:, 1:])
+                logs += log_q[:w]
+                logs -= logs.max(axis=1, keepdims=True)
+                upto = np.cumsum(np.exp(logs), axis=1)
+                self.tables[many[i:j]] = 1 + (upto[:, :-1] <= self.rng.random((j - i, 1)) * upto[:, -1:]).sum(axis=1)
+
+
 class Seating:
-    """Seats of the customers of many dishes, each of which has its tables to itself."""
+    """Seats of the customers of many dishes, each of which has its tables to itself: what ``Dishes`` draws at once, one by one."""
 
     def __init__(self, counts: np.ndarray, discount: float, rng: np.random.Generator) -> None:
         self.c, self.d, self.rng = counts.astype(np.int64), discount, rng
@@ -236,7 +299,9 @@ class _Bucket:
 
 
 class _Sampler:
-    def __init__(self, b: _Bucket, total: Totals | None, buckets: int, theta: float, seed: int) -> None:
+    """Tables of one bucket; ``shared`` follows the bucket's own changes."""
+
+    def __init__(self, b: _Bucket, total: Totals | None, buckets: int, theta: float, seed: int, tables: np.ndarray | None = None, top: np.ndarray | None = None) -> None:
         self.b, self.theta, self.rng = b, theta, np.random.default_rng(seed)
         self.shared = total
         if total is None:  # first round: this bucket's own totals, scaled, stand in for those of all
@@ -245,21 +310,30 @@ class _Sampler:
             known = int((b.word_count > 0).sum())
             self.shared = Totals(n * buckets, np.bincount(b.ctx, weights=b.count, minlength=CONTEXTS) * buckets, known * buckets, one.sum() * buckets,
                                  known * buckets, _rate(*_discount(b.count)), _rate(*_discount(np.bincount(b.word, weights=one, minlength=len(b.words)))))
-        self.seats = Seating(b.count, self.shared.discount, self.rng)
+        self.seats = Dishes(b.count, self.shared.discount, self.rng, tables)
+        self.top = Dishes(self._sent(), self.shared.root_discount, self.rng, top)
+
+    def _sent(self) -> np.ndarray:
+        return np.bincount(self.b.word, weights=self.seats.tables, minlength=len(self.b.words)).astype(np.int64)
 
     def root(self) -> None:
-        """The parent's customers are the children's tables; its own seats are drawn anew from them."""
+        """The parent's customers are the children's tables."""
         g, b = self.shared, self.b
-        self.sent = np.bincount(b.word, weights=self.seats.tables, minlength=len(b.words)).astype(np.int64)
+        self.sent, before = self._sent(), self.top.tables
+        self.top = Dishes(self.sent, g.root_discount, self.rng, before)
+        self.top.draw((self.theta + g.root_discount * np.maximum(g.root_tables - before, 0)) / (g.vocabulary + 1), np.full(len(b.words), g.root_discount / (g.vocabulary + 1)))
+        self.shared = g = g._replace(root_tables=max(g.root_tables + float((self.top.tables - before).sum()), float(self.top.tables.sum())))
         new = (self.theta + g.root_discount * g.root_tables) / (g.vocabulary + 1)
-        self.top = Seating(self.sent, g.root_discount, self.rng)
-        self.top.sweep(np.full(len(b.words), new), 4)
         self.p_word = (self.sent - g.root_discount * self.top.tables + new) / (self.theta + g.root_customers)
 
-    def sweep(self, moves: int) -> None:
-        self.root()
-        g, b = self.shared, self.b
-        self.seats.sweep((self.theta + g.discount * g.tables[b.ctx]) * self.p_word[b.word], moves)
+    def sweep(self, times: int = 1) -> None:
+        for _ in range(times):
+            self.root()
+            g, b, before = self.shared, self.b, self.seats.tables.copy()
+            p = self.p_word[b.word]
+            self.seats.draw((self.theta + g.discount * np.maximum(g.tables[b.ctx] - before, 0)) * p, g.discount * p)
+            change = self.seats.tables - before
+            self.shared = g._replace(tables=g.tables + np.bincount(b.ctx, weights=change, minlength=len(g.tables)), root_customers=g.root_customers + float(change.sum()))
 
     def predictive(self) -> np.ndarray:
         g, b = self.shared, self.b
@@ -267,24 +341,34 @@ class _Sampler:
         return (own + (self.theta + g.discount * g.tables[b.ctx]) * self.p_word[b.word]) / (self.theta + g.customers[b.ctx])
 
 
-def _totals(dealt: DataFrame, total: Totals | None, buckets: int, theta: float, sweeps: int, moves: int, seed: int) -> Totals:
-    """A sampling round: the totals after ``sweeps`` sweeps."""
+def _seats(dealt: DataFrame, seats: DataFrame | None, rebuild: Callable[[int, pd.DataFrame, pd.DataFrame | None], pd.DataFrame], schema: str) -> DataFrame:
+    """``rebuild`` on every bucket with its tables of the round before."""
+    if seats is None:
+        return dealt.groupBy("bucket").applyInPandas(lambda key, rows: rebuild(key[0], rows, None), schema)
+    return dealt.groupBy("bucket").cogroup(seats.groupBy("bucket")).applyInPandas(lambda key, rows, old: rebuild(key[0], rows, old), schema)
+
+
+def _taken(old: pd.DataFrame | None) -> tuple[np.ndarray | None, np.ndarray | None]:
+    return (None, None) if old is None else (unpack(old["tables"].iloc[0]).astype(np.int64), unpack(old["customers"].iloc[0]).astype(np.int64))
+
+
+def _round(dealt: DataFrame, total: Totals | None, seats: DataFrame | None, buckets: int, theta: float, sweeps: int, seed: int) -> tuple[Totals, DataFrame]:
+    """A sampling round: the totals after ``sweeps`` sweeps, and the tables of each bucket's types and of its words in the parent."""
     shared = dealt.sparkSession.sparkContext.broadcast(total)
     span = CONTEXTS // BLOCKS
     schema = "block int, tables binary, customers binary, scalars array<double>"
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(bucket: int, rows: pd.DataFrame, old: pd.DataFrame | None) -> pd.DataFrame:
         b = _Bucket(rows)
-        s = _Sampler(b, shared.value, buckets, theta, seed * 1_000_003 + key[0])
-        for _ in range(sweeps):
-            s.sweep(moves)
+        s = _Sampler(b, shared.value, buckets, theta, seed * 1_000_003 + bucket, *_taken(old))
+        s.sweep(sweeps)
         s.root()
         tables = np.bincount(b.ctx, weights=s.seats.tables, minlength=CONTEXTS).astype(np.int64)
         customers = np.bincount(b.ctx, weights=b.count, minlength=CONTEXTS).astype(np.int64)
         scalars = [float(s.top.tables.sum()), float(s.sent.sum()), float((b.word_count > 0).sum()), *map(float, _discount(b.count)), *map(float, _discount(s.sent))]
         cells = [slice(i * span, (i + 1) * span) for i in range(BLOCKS)]
-        return pd.DataFrame({"block": range(BLOCKS), "tables": [pack(tables[c]) for c in cells], "customers": [pack(customers[c]) for c in cells],
-                             "scalars": [scalars] + [[0.0] * 7] * (BLOCKS - 1)})
+        return pd.DataFrame({"bucket": bucket, "block": [*range(BLOCKS), -1], "tables": [*[pack(tables[c]) for c in cells], pack(s.seats.tables)],
+                             "customers": [*[pack(customers[c]) for c in cells], pack(s.top.tables)], "scalars": [scalars] + [[0.0] * 7] * BLOCKS})
 
     def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t, c, s = np.zeros(span, np.int64), np.zeros(span, np.int64), np.zeros(7)
@@ -293,20 +377,22 @@ def _totals(dealt: DataFrame, total: Totals | None, buckets: int, theta: float,
                 t, c, s = t + unpack(x), c + unpack(y), s + np.array(z)
         yield pd.DataFrame({"block": [key[0]], "tables": [pack(t)], "customers": [pack(c)], "scalars": [s.tolist()]})
 
-    summed = dealt.groupBy("bucket").applyInPandas(run, schema).groupBy("block").applyInPandas(add, schema).collect()  # BLOCKS rows of fixed size
+    done = cut(_seats(dealt, seats, run, f"bucket int, {schema}"), "lm-round")
+    seats = done.where("block = -1").select("bucket", "tables", "customers")
+    summed = done.where("block >= 0").groupBy("block").applyInPandas(add, schema).collect()  # BLOCKS rows of fixed size
     rows = sorted(summed, key=lambda r: r["block"])
     if not rows:
         zero = np.zeros(CONTEXTS)
-        return Totals(zero, zero, 0, 0, 0, 0.5, 0.5)
+        return Totals(zero, zero, 0, 0, 0, 0.5, 0.5), seats
     s = np.sum([r["scalars"] for r in rows], axis=0)
     return Totals(np.concatenate([unpack(bytes(r["tables"])) for r in rows]).astype(np.float64), np.concatenate([unpack(bytes(r["customers"])) for r in rows]).astype(np.float64),
-                  s[0], s[1], int(s[2]), _rate(s[3], s[4]), _rate(s[5], s[6]))
+                  s[0], s[1], int(s[2]), _rate(s[3], s[4]), _rate(s[5], s[6])), seats
 
 
-def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, moves: int = 8, seed: int = 1, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, seed: int = 1, text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    ``rounds`` sampling rounds before the scoring one; in each, ``sweeps`` sweeps of up to ``moves`` reseated customers per type;
+    ``rounds`` sampling rounds before the scoring one; in each, ``sweeps`` sweeps that draw every type's tables anew;
     then ``samples`` further sweeps whose predictive probabilities are averaged.
     """
     counted = cut(chunks(docs, text), "lm-chunks")
@@ -314,24 +400,24 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
     n_train = n_train or 0
     buckets = max(1, math.ceil((n_types or 0) / BUCKET_TYPES))
     total: Totals | None = None
+    seats: DataFrame | None = None
     for r in range(max(1, rounds)):
-        total = _totals(by_bucket(counted, buckets), total, buckets, theta, sweeps, moves, seed + r)
+        total, seats = _round(by_bucket(counted, buckets), total, seats, buckets, theta, sweeps, seed + r)
     shared = docs.sparkSession.sparkContext.broadcast(total)
 
-    def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def answer(bucket: int, rows: pd.DataFrame, old: pd.DataFrame | None) -> pd.DataFrame:
         b = _Bucket(rows)
-        s = _Sampler(b, shared.value, buckets, theta, (seed + rounds) * 1_000_003 + key[0])
-        for _ in range(sweeps):
-            s.sweep(moves)
+        s = _Sampler(b, shared.value, buckets, theta, (seed + rounds) * 1_000_003 + bucket, *_taken(old))
+        s.sweep(sweeps)
         p = np.zeros(len(b.count))
         for _ in range(samples):
-            s.sweep(moves)
+            s.sweep()
             s.root()
             p += s.predictive()
         logs = np.log10(p / samples).astype(np.float32)
         return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "logs": [pack(logs[i]) for i in b.type_of], "known": [pack(b.word_count[i]) for i in b.word_of]})
 
-    answers = by_bucket(counted, buckets).groupBy("bucket").applyInPandas(answer, "chunk bigint, bucket int, logs binary, known binary")
+    answers = _seats(by_bucket(counted, buckets), seats, answer, "chunk bigint, bucket int, logs binary, known binary")
     out = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -110,3 +110,40 @@ def test_no_text(lspark, make_docs):
     assert P.score(make_docs([])).count() == 0
     r = P.score(make_docs([(4, "a b")])).first()
     assert r.n_tokens == 3
+
+
+def stirling(n, d):
+    """S(n, t) for t = 1 .. n by the plain recursion."""
+    row = [1.0]
+    for m in range(1, n):
+        row = [(row[t] * (m - d * (t + 1)) if t < len(row) else 0) + (row[t - 1] if t else 0) for t in range(m + 1)]
+    return np.array(row)
+
+
+def test_tables_follow_their_law_whatever_the_customers():
+    rng = np.random.default_rng(2)
+    for n, d, a, g in ((2, 0.6, 0.8, 0.0), (3, 0.3, 0.5, 0.2), (12, 0.7, 2.0, 0.1), (120, 0.5, 6.0, 0.3)):
+        k = 20_000
+        s = P.Dishes(np.full(k, n), d, rng)
+        s.draw(np.full(k, a), np.full(k, g))
+        law = stirling(n, d) * np.r_[1, np.cumprod(a + g * np.arange(1, n))]
+        law /= law.sum()
+        got = np.bincount(s.tables, minlength=n + 1)[1:] / k
+        assert np.abs(got - law).max() < 5 * math.sqrt(0.25 / k)
+    # one draw per dish is enough however many customers: t - 1 is Poisson(new / d) in the limit
+    k = 4000
+    s = P.Dishes(np.full(k, 30_000_000), 0.8, rng)
+    s.draw(np.full(k, 8.0), np.zeros(k))
+    assert abs(s.tables.mean() - 11) < 5 * math.sqrt(10 / k) and abs(s.tables.var() - 10) < 1.5
+    # many steps taken together give the same as single ones
+    many, one = list(P._occupancy(np.array([9000]), 0.7, 60))[0], list(P._occupancy(np.arange(2, 9001), 0.7, 60))[-1]
+    assert np.abs(many - one).max() < 1e-4
+
+
+def test_tables_of_a_round_are_where_the_next_begins(lspark, make_docs):
+    dealt = P.by_bucket(P.chunks(make_docs(corpus(60))), 2).cache()
+    total, seats = P._round(dealt, None, None, 2, 1.0, 2, 1)
+    first = {r.bucket: (P.unpack(bytes(r.tables)).tolist(), P.unpack(bytes(r.customers)).tolist()) for r in seats.collect()}
+    _, after = P._round(dealt, total, seats, 2, 1.0, 0, 2)  # no sweep: the types' tables stay
+    assert {r.bucket: P.unpack(bytes(r.tables)).tolist() for r in after.collect()} == {b: t for b, (t, _) in first.items()}
+    assert any(max(t) > 1 for t, _ in first.values())
