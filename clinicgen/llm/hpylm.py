@@ -1,7 +1,6 @@
 """Hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
-A restaurant per context (the class of the previous word: its hash in one of ``CONTEXTS`` classes, which fixes the
-size of what all tasks share) has the customers ``count(context, word)``; a table serves one word and sends a customer
+A restaurant per context (the previous word, by its 64-bit hash) has the customers ``count(context, word)``; a table serves one word and sends a customer
 to the parent, the unigram restaurant that all contexts share; its base is uniform over the known words and one unknown.
 Predictive probability of word w after context u, with c customers and t tables:
 
@@ -10,10 +9,11 @@ Predictive probability of word w after context u, with c customers and t tables:
 and alike in the parent; it is averaged over Gibbs samples.
 
 On Spark: chunks of texts are counted into distinct (word, context) types, so a pair that fills a third
-of the corpus is one entry per chunk. Types are dealt by word into buckets (a word has at most ``CONTEXTS`` types), where
+of the corpus is one entry per chunk. Types are dealt by word into buckets, where
 seats matter only by the number of a type's tables: a sweep draws that number anew from its law given all else (``Dishes``), at
 once for all customers of the type, and so does the parent. All that a bucket needs from others are totals per context and
-of the parent; they are summed after a sampling round and, but for the bucket's own share, taken as fixed in the next (parallel Gibbs
+of the parent; each bucket's sums are added up by context in the shared folder after a sampling round, joined back to
+the buckets that know the context and, but for the bucket's own share, taken as fixed in the next (parallel Gibbs
 with totals one round old). Tables of children and parent are written after a round, and the next goes on from them. The last round sends every chunk the averaged log probabilities of its own types, and the chunk adds them up by
 document. Discounts are estimated from the counts of counts, n1 / (n1 + 2 n2).
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -38,10 +38,9 @@ from pyspark.sql import functions as F
 
 from clinicgen.llm.common import cut, read
 
-CONTEXTS = 1 << 16
+CONTEXTS = 1 << 16  # length of the context arrays in tests; contexts themselves have no bound
 CHUNK_TOKENS = 2_000_000
 BUCKET_TYPES = 1_500_000
-BLOCKS = 16  # the context totals travel in so many parts
 END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")  # no word holds a space
 
 
@@ -60,6 +59,14 @@ def unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def _steps(ascending: np.ndarray) -> bytes:
+    return pack(np.diff(ascending.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _from_steps(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b).astype(np.uint64), dtype=np.uint64)
+
+
 class _Words(dict):
     """Word -> 64-bit hash; forgets when it holds 600,000."""
 
@@ -78,15 +85,15 @@ def _chunk_row(chunk: int, pieces: list[tuple[int, int | None, np.ndarray]]) ->
     """One chunk: pieces are (row id, doc id, word hashes led by the word before)."""
     sizes = np.array([len(p[2]) - 1 for p in pieces])
     word = np.concatenate([p[2][1:] for p in pieces])
-    ctx = np.concatenate([p[2][:-1] for p in pieces]) & np.uint64(CONTEXTS - 1)
+    ctx = np.concatenate([p[2][:-1] for p in pieces])
     doc = np.repeat(np.arange(len(pieces), dtype=np.int64), sizes)
     train = np.repeat(np.array([not held_out(p[1]) for p in pieces]), sizes)
-    words, at = np.unique(word, return_inverse=True)
-    key = (at.astype(np.int64) << 16) | ctx.astype(np.int64)
+    words, at = np.unique(np.concatenate([word, ctx]), return_inverse=True)  # a word that is only a context has no types
+    key = (at[:len(word)].astype(np.int64) << 32) | at[len(word):]
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return {"chunk": chunk, "words": pack(words), "per_word": pack(np.bincount(key[first] >> 16, minlength=len(words))), "ctx": pack(key[first] & (CONTEXTS - 1)),
+    return {"chunk": chunk, "words": pack(words), "per_word": pack(np.bincount(key[first] >> 32, minlength=len(words))), "ctx": pack(key[first] & 0xFFFFFFFF),
             "count": pack(np.diff(np.r_[first, len(key)])), "train": pack(np.add.reduceat(train[order].astype(np.int64), first)),
             "docs": pack(doc[order]), "rids": pack(np.array([p[0] for p in pieces], np.int64)),
             "doc_ids": [p[1] for p in pieces], "n_types": len(first), "n_train": int(train.sum())}
@@ -125,7 +132,7 @@ def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def by_bucket(counted: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, chunk, words, per_word, ctx, train): every chunk's types, dealt by word."""
+    """(bucket, chunk, words, per_word, ctxs, ctx, train): every chunk's types, dealt by word; ``ctx`` are places in ``ctxs``, the steps between sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, *blobs in zip(*[c.to_pylist() for c in b.columns], strict=True):
@@ -136,15 +143,16 @@ def by_bucket(counted: DataFrame, buckets: int) -> DataFrame:
                     i, j = ends[k], ends[k + 1]
                     if i < j:
                         s, e = upto[i], upto[j]
+                        near, place = np.unique(ctx[s:e], return_inverse=True)
                         yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "chunk": [chunk], "words": [pack(words[i:j])], "per_word": [pack(per_word[i:j])],
-                                                          "ctx": [pack(ctx[s:e])], "train": [pack(train[s:e])]})
+                                                          "ctxs": [_steps(words[near])], "ctx": [pack(place)], "train": [pack(train[s:e])]})
 
     return counted.select("chunk", "words", "per_word", "ctx", "train").mapInArrow(
-        run, "bucket int, chunk bigint, words binary, per_word binary, ctx binary, train binary")
+        run, "bucket int, chunk bigint, words binary, per_word binary, ctxs binary, ctx binary, train binary")
 
 
 class Totals(NamedTuple):
-    """What buckets share: tables and customers per context, and of the parent."""
+    """What buckets share: tables and customers of the contexts that a bucket knows, and of the parent."""
     tables: np.ndarray
     customers: np.ndarray
     root_tables: float
@@ -284,15 +292,20 @@ class _Bucket:
     """The types of one bucket, merged over the chunks."""
 
     def __init__(self, rows: pd.DataFrame) -> None:
+        rows = rows.sort_values("chunk") if len(rows) > 1 else rows
+        self.chunks = rows["chunk"].tolist()
         words = [unpack(x).astype(np.uint64) for x in rows["words"]]
-        per_word, ctx = [unpack(x).astype(np.int64) for x in rows["per_word"]], [unpack(x).astype(np.int64) for x in rows["ctx"]]
+        per_word, ctx = [unpack(x).astype(np.int64) for x in rows["per_word"]], [unpack(x) for x in rows["ctx"]]
+        if "ctxs" in rows:
+            ctx = [_from_steps(x)[c] for x, c in zip(rows["ctxs"], ctx, strict=True)]
         self.words, at = np.unique(np.concatenate(words), return_inverse=True)
         ends = np.cumsum([len(w) for w in words])
         self.word_of = np.split(at, ends[:-1])  # per chunk
-        key = np.concatenate([(np.repeat(a, n) << 16) | c for a, n, c in zip(self.word_of, per_word, ctx, strict=True)])
+        self.ctxs, place = np.unique(np.concatenate(ctx).astype(np.uint64), return_inverse=True)
+        key = np.concatenate([np.repeat(a, n) for a, n in zip(self.word_of, per_word, strict=True)]) << 32 | place
         types, inv = np.unique(key, return_inverse=True)
         self.type_of = np.split(inv, np.cumsum([len(c) for c in ctx])[:-1])
-        self.word, self.ctx = types >> 16, types & (CONTEXTS - 1)
+        self.word, self.ctx = types >> 32, types & 0xFFFFFFFF
         train = np.concatenate([unpack(x) for x in rows["train"]]).astype(np.float64)
         self.count = np.bincount(inv, weights=train, minlength=len(types)).astype(np.int64)
         self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
@@ -304,14 +317,15 @@ class _Sampler:
     def __init__(self, b: _Bucket, total: Totals | None, buckets: int, theta: float, seed: int, tables: np.ndarray | None = None, top: np.ndarray | None = None) -> None:
         self.b, self.theta, self.rng = b, theta, np.random.default_rng(seed)
         self.shared = total
-        if total is None:  # first round: this bucket's own totals, scaled, stand in for those of all
+        if total is None:  # nothing is shared yet: a table per type, and this bucket's own totals, scaled, stand in for those of all
             one = np.minimum(b.count, 1)
-            n = np.bincount(b.ctx, weights=one, minlength=CONTEXTS)
+            n = np.bincount(b.ctx, weights=one, minlength=len(b.ctxs))
             known = int((b.word_count > 0).sum())
-            self.shared = Totals(n * buckets, np.bincount(b.ctx, weights=b.count, minlength=CONTEXTS) * buckets, known * buckets, one.sum() * buckets,
+            self.shared = Totals(n * buckets, np.bincount(b.ctx, weights=b.count, minlength=len(b.ctxs)) * buckets, known * buckets, one.sum() * buckets,
                                  known * buckets, _rate(*_discount(b.count)), _rate(*_discount(np.bincount(b.word, weights=one, minlength=len(b.words)))))
         self.seats = Dishes(b.count, self.shared.discount, self.rng, tables)
-        self.top = Dishes(self._sent(), self.shared.root_discount, self.rng, top)
+        self.sent = self._sent()
+        self.top = Dishes(self.sent, self.shared.root_discount, self.rng, top)
 
     def _sent(self) -> np.ndarray:
         return np.bincount(self.b.word, weights=self.seats.tables, minlength=len(self.b.words)).astype(np.int64)
@@ -341,52 +355,66 @@ class _Sampler:
         return (own + (self.theta + g.discount * g.tables[b.ctx]) * self.p_word[b.word]) / (self.theta + g.customers[b.ctx])
 
 
-def _seats(dealt: DataFrame, seats: DataFrame | None, rebuild: Callable[[int, pd.DataFrame, pd.DataFrame | None], pd.DataFrame], schema: str) -> DataFrame:
-    """``rebuild`` on every bucket with its tables of the round before."""
-    if seats is None:
-        return dealt.groupBy("bucket").applyInPandas(lambda key, rows: rebuild(key[0], rows, None), schema)
-    return dealt.groupBy("bucket").cogroup(seats.groupBy("bucket")).applyInPandas(lambda key, rows, old: rebuild(key[0], rows, old), schema)
+_STATE = "bucket int, block int, chunk bigint, words binary, per_word binary, ctxs binary, ctx binary, train binary, tables binary, customers binary, scalars array<double>"
 
 
-def _taken(old: pd.DataFrame | None) -> tuple[np.ndarray | None, np.ndarray | None]:
-    return (None, None) if old is None else (unpack(old["tables"].iloc[0]).astype(np.int64), unpack(old["customers"].iloc[0]).astype(np.int64))
+def _state(bucket: int, blocks: int, b: _Bucket, s: _Sampler) -> pd.DataFrame:
+    """What a bucket writes: in block -1 its tables, in the others its share of the contexts' totals."""
+    tables, customers = (np.bincount(b.ctx, weights=x, minlength=len(b.ctxs)).astype(np.int64) for x in (s.seats.tables, b.count))
+    scalars = [float(s.top.tables.sum()), float(s.sent.sum()), float((b.word_count > 0).sum()), *map(float, _discount(b.count)), *map(float, _discount(s.sent))]
+    rows = [{"block": -1, "tables": pack(s.seats.tables), "customers": pack(s.top.tables), "scalars": scalars}]
+    ends = np.searchsorted(((b.ctxs >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32), np.arange(blocks + 1))
+    rows += [{"block": k, "ctxs": _steps(b.ctxs[i:j]), "tables": pack(tables[i:j]), "customers": pack(customers[i:j])} for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)) if i < j]
+    empty = {c.split()[0]: None for c in _STATE.split(", ")} | {"bucket": bucket, "chunk": -1}
+    return pd.DataFrame({c: pd.Series([(empty | r)[c] for r in rows], dtype=None if c in ("bucket", "block", "chunk") else object) for c in empty})
 
 
-def _round(dealt: DataFrame, total: Totals | None, seats: DataFrame | None, buckets: int, theta: float, sweeps: int, seed: int) -> tuple[Totals, DataFrame]:
-    """A sampling round: the totals after ``sweeps`` sweeps, and the tables of each bucket's types and of its words in the parent."""
-    shared = dealt.sparkSession.sparkContext.broadcast(total)
-    span = CONTEXTS // BLOCKS
-    schema = "block int, tables binary, customers binary, scalars array<double>"
-
-    def run(bucket: int, rows: pd.DataFrame, old: pd.DataFrame | None) -> pd.DataFrame:
+def _begin(dealt: DataFrame, buckets: int, theta: float) -> DataFrame:
+    """The state with one table per type; block -1 also holds a bucket's types, merged over the chunks."""
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         b = _Bucket(rows)
-        s = _Sampler(b, shared.value, buckets, theta, seed * 1_000_003 + bucket, *_taken(old))
+        out = _state(key[0], buckets, b, _Sampler(b, None, buckets, theta, 0))
+        types = {"words": pack(b.words), "per_word": pack(np.bincount(b.word, minlength=len(b.words))), "ctxs": _steps(b.ctxs), "ctx": pack(b.ctx), "train": pack(b.count)}
+        for c, x in types.items():
+            out.at[0, c] = x
+        return out
+
+    return cut(dealt.groupBy("bucket").applyInPandas(run, _STATE), "lm-types")
+
+
+def _shares(state: DataFrame) -> tuple[list[float], DataFrame]:
+    """Totals of the parent, and per bucket its tables and, block by block in the order of its contexts, the totals of all buckets."""
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        hashes = [_from_steps(x) for x in rows["ctxs"]]
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
+        at = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+        total = [np.split(np.bincount(at, weights=np.concatenate([unpack(x) for x in rows[c]])).astype(np.int64)[at], ends) for c in ("tables", "customers")]
+        return rows[["bucket", "block"]].assign(tables=[pack(x) for x in total[0]], customers=[pack(x) for x in total[1]])
+
+    own, cells = state.where("block = -1"), state.where("block >= 0").select("bucket", "block", "ctxs", "tables", "customers")
+    scalars = [x or 0.0 for x in own.agg(*[F.sum(F.col("scalars")[i]) for i in range(7)]).first()]
+    summed = cells.groupBy("block").applyInPandas(add, "bucket int, block int, tables binary, customers binary")
+    return scalars, own.select("bucket", "block", "tables", "customers").union(summed)
+
+
+def _sampler(bucket: int, rows: pd.DataFrame, shares: pd.DataFrame, scalars: list[float], buckets: int, theta: float, seed: int) -> tuple[_Bucket, _Sampler]:
+    b, shares = _Bucket(rows), shares.sort_values("block")  # the tables come first
+    tables, customers = ([unpack(x).astype(np.int64) for x in shares[c]] for c in ("tables", "customers"))
+    total = Totals(*(np.concatenate([np.zeros(0), *x[1:]]) for x in (tables, customers)), scalars[0], scalars[1], int(scalars[2]), _rate(*scalars[3:5]), _rate(*scalars[5:7]))
+    return b, _Sampler(b, total, buckets, theta, seed * 1_000_003 + bucket, tables[0], customers[0])
+
+
+def _round(types: DataFrame, state: DataFrame, buckets: int, theta: float, sweeps: int, seed: int) -> DataFrame:
+    """The state after ``sweeps`` sweeps over the merged types."""
+    scalars, shares = _shares(state)
+
+    def run(key: tuple, rows: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        b, s = _sampler(key[0], rows, old, scalars, buckets, theta, seed)
         s.sweep(sweeps)
         s.root()
-        tables = np.bincount(b.ctx, weights=s.seats.tables, minlength=CONTEXTS).astype(np.int64)
-        customers = np.bincount(b.ctx, weights=b.count, minlength=CONTEXTS).astype(np.int64)
-        scalars = [float(s.top.tables.sum()), float(s.sent.sum()), float((b.word_count > 0).sum()), *map(float, _discount(b.count)), *map(float, _discount(s.sent))]
-        cells = [slice(i * span, (i + 1) * span) for i in range(BLOCKS)]
-        return pd.DataFrame({"bucket": bucket, "block": [*range(BLOCKS), -1], "tables": [*[pack(tables[c]) for c in cells], pack(s.seats.tables)],
-                             "customers": [*[pack(customers[c]) for c in cells], pack(s.top.tables)], "scalars": [scalars] + [[0.0] * 7] * BLOCKS})
-
-    def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t, c, s = np.zeros(span, np.int64), np.zeros(span, np.int64), np.zeros(7)
-        for p in parts:
-            for x, y, z in zip(p["tables"], p["customers"], p["scalars"], strict=True):
-                t, c, s = t + unpack(x), c + unpack(y), s + np.array(z)
-        yield pd.DataFrame({"block": [key[0]], "tables": [pack(t)], "customers": [pack(c)], "scalars": [s.tolist()]})
-
-    done = cut(_seats(dealt, seats, run, f"bucket int, {schema}"), "lm-round")
-    seats = done.where("block = -1").select("bucket", "tables", "customers")
-    summed = done.where("block >= 0").groupBy("block").applyInPandas(add, schema).collect()  # BLOCKS rows of fixed size
-    rows = sorted(summed, key=lambda r: r["block"])
-    if not rows:
-        zero = np.zeros(CONTEXTS)
-        return Totals(zero, zero, 0, 0, 0, 0.5, 0.5), seats
-    s = np.sum([r["scalars"] for r in rows], axis=0)
-    return Totals(np.concatenate([unpack(bytes(r["tables"])) for r in rows]).astype(np.float64), np.concatenate([unpack(bytes(r["customers"])) for r in rows]).astype(np.float64),
-                  s[0], s[1], int(s[2]), _rate(s[3], s[4]), _rate(s[5], s[6])), seats
+        return _state(key[0], buckets, b, s)
+
+    return cut(types.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(run, _STATE), "lm-round")
 
 
 def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, seed: int = 1, text: str = "text") -> DataFrame:
@@ -399,15 +427,14 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
     n_types, n_train = counted.agg(F.sum("n_types"), F.sum("n_train")).first()
     n_train = n_train or 0
     buckets = max(1, math.ceil((n_types or 0) / BUCKET_TYPES))
-    total: Totals | None = None
-    seats: DataFrame | None = None
+    state = _begin(by_bucket(counted, buckets), buckets, theta)
+    types = state.where("block = -1").select("bucket", "chunk", "words", "per_word", "ctxs", "ctx", "train")
     for r in range(max(1, rounds)):
-        total, seats = _round(by_bucket(counted, buckets), total, seats, buckets, theta, sweeps, seed + r)
-    shared = docs.sparkSession.sparkContext.broadcast(total)
+        state = _round(types, state, buckets, theta, sweeps, seed + r)
+    scalars, shares = _shares(state)
 
-    def answer(bucket: int, rows: pd.DataFrame, old: pd.DataFrame | None) -> pd.DataFrame:
-        b = _Bucket(rows)
-        s = _Sampler(b, shared.value, buckets, theta, (seed + rounds) * 1_000_003 + bucket, *_taken(old))
+    def answer(key: tuple, rows: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        b, s = _sampler(key[0], rows, old, scalars, buckets, theta, seed + rounds)
         s.sweep(sweeps)
         p = np.zeros(len(b.count))
         for _ in range(samples):
@@ -415,9 +442,9 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
             s.root()
             p += s.predictive()
         logs = np.log10(p / samples).astype(np.float32)
-        return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "logs": [pack(logs[i]) for i in b.type_of], "known": [pack(b.word_count[i]) for i in b.word_of]})
+        return pd.DataFrame({"chunk": b.chunks, "bucket": key[0], "logs": [pack(logs[i]) for i in b.type_of], "known": [pack(b.word_count[i]) for i in b.word_of]})
 
-    answers = _seats(by_bucket(counted, buckets), seats, answer, "chunk bigint, bucket int, logs binary, known binary")
+    answers = by_bucket(counted, buckets).groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(answer, "chunk bigint, bucket int, logs binary, known binary")
     out = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -435,7 +462,7 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
     lists = counted.select("chunk", "per_word", "count", "docs", "rids", F.col("doc_ids"))
     scored = lists.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(add, out)
     whole = scored.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
-    vocabulary = total.vocabulary
+    vocabulary = int(scalars[2])
     return whole.select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
         F.lit(int(n_train)).cast("bigint").alias("train_tokens"),

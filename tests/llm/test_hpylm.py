@@ -141,9 +141,37 @@ def test_tables_follow_their_law_whatever_the_customers():
 
 
 def test_tables_of_a_round_are_where_the_next_begins(lspark, make_docs):
-    dealt = P.by_bucket(P.chunks(make_docs(corpus(60))), 2).cache()
-    total, seats = P._round(dealt, None, None, 2, 1.0, 2, 1)
-    first = {r.bucket: (P.unpack(bytes(r.tables)).tolist(), P.unpack(bytes(r.customers)).tolist()) for r in seats.collect()}
-    _, after = P._round(dealt, total, seats, 2, 1.0, 0, 2)  # no sweep: the types' tables stay
-    assert {r.bucket: P.unpack(bytes(r.tables)).tolist() for r in after.collect()} == {b: t for b, (t, _) in first.items()}
-    assert any(max(t) > 1 for t, _ in first.values())
+    state = P._begin(P.by_bucket(P.chunks(make_docs(corpus(60))), 2), 2, 1.0)
+    types = state.where("block = -1").select("bucket", "chunk", "words", "per_word", "ctxs", "ctx", "train")
+    tables = lambda s: {r.bucket: P.unpack(bytes(r.tables)).tolist() for r in s.where("block = -1").collect()}
+    state = P._round(types, state, 2, 1.0, 2, 1)
+    first = tables(state)
+    assert any(max(t) > 1 for t in first.values())
+    assert tables(P._round(types, state, 2, 1.0, 0, 2)) == first  # no sweep: the types' tables stay
+
+
+def test_every_previous_word_is_a_context(lspark, make_docs):
+    by_class = {}
+    for i in range(5000):  # two words of one class of 65,536
+        w = f"w{i}"
+        u = by_class.setdefault(P.xxhash.xxh64_intdigest(w.encode()) & 0xFFFF, w)
+        if u != w:
+            break
+    rows = [(i, f"{u} red {w} blue") for i in range(300)]
+    held = [d for d in range(1000, 1100) if P.held_out(d)][:2]
+    pairs = [(i, f"{u} red end" if i % 2 else f"{w} blue end") for i in range(300)]
+    got = {r.doc_id: r.score for r in P.score(make_docs([*pairs, (held[0], f"{u} red end"), (held[1], f"{u} blue end")])).collect()}
+    assert got[held[0]] > got[held[1]] + 1  # one restaurant for both would give about the same
+    # totals of a context are those of all buckets
+    state = P._begin(P.by_bucket(P.chunks(make_docs(rows)), 4), 4, 1.0)
+    scalars, shares = P._shares(state)
+    cells = [r for r in state.where("block >= 0").collect()]
+    want = {}
+    for r in cells:
+        for h, c in zip(P._from_steps(bytes(r.ctxs)).tolist(), P.unpack(bytes(r.customers)).tolist(), strict=True):
+            want[h] = want.get(h, 0) + c
+    names = {(r.bucket, r.block): P._from_steps(bytes(r.ctxs)).tolist() for r in cells}
+    n = sum(not P.held_out(d) for d, _ in rows)
+    assert len(want) == 5 and set(want.values()) == {n}
+    for r in shares.where("block >= 0").collect():
+        assert P.unpack(bytes(r.customers)).tolist() == [want[h] for h in names[r.bucket, r.block]]
