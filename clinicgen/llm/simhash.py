@@ -135,13 +135,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each component: that with its least id (one of them where rows share this id; any row where no id is known)."""
+    """One row of each component: that with its least id and, of its rows with this id, the least fingerprint (any where these agree)."""
     found = near_duplicates(docs, shingle, max_bits, text, id_col)
     row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
-    chosen = found.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("id")).distinct()
-    kept = row.where("id is not null").join(chosen, "id", "left_semi").dropDuplicates(["id"]).select("row")
-    nameless = found.where(F.col("component_id").isNull()).select("fp", "root").distinct()
-    lone = (row.where("id is null").withColumn("fp", fingerprint_column("text", shingle)).join(nameless, "fp")
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")).alias("least"))
+    several = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg((F.min("fp") != F.max("fp")).alias("several"))
+    chosen = cut(least.select("root", F.col("least.doc_id").alias("id"), F.col("least.fp").alias("fp")).join(several, "id", "left"), "simhash-kept")
+    known = row.where("id is not null")
+    kept = known.join(chosen.where("not several").select("id"), "id", "left_semi").dropDuplicates(["id"]).select("row")
+    # an id of several texts, or none, does not tell the row: its fingerprint does
+    unsure = (known.join(chosen.where("several").select("id").distinct(), "id", "left_semi").select("row", "id", "text")
+              .union(row.where("id is null").select("row", "id", "text")).withColumn("fp", fingerprint_column("text", shingle)).alias("r"))
+    lone = (unsure.join(chosen.where("several is null or several").alias("c"), F.expr("r.id <=> c.id and r.fp = c.fp"))
             .dropDuplicates(["root"]).select("row"))
     return kept.union(lone).select("row.*")
 

@@ -85,6 +85,14 @@ def test_documents(lspark, make_docs):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*least.values(), None], key=str)
 
 
+def test_an_id_of_several_components_loses_none(lspark, make_docs):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") + str(rng.randint(0, 50)) for _ in range(300)) for _ in range(4))
+    rows = [(1, a), (1, b), (1, a), (2, b), (2, c), (3, c.upper()), (None, d), (4, a), (None, "no id here")]
+    kept = H.deduplicate(make_docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", a), ("1", b), ("2", c), ("None", d), ("None", "no id here")])
+
+
 def test_empty(lspark, make_docs):
     assert H.near_duplicates(make_docs([])).count() == 0
     assert H.deduplicate(make_docs([])).count() == 0
