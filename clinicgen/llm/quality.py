@@ -28,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +46,25 @@ def _shape(w: str) -> str:
     return _RUN.sub(r"\1", re.sub(r"\d", "0", kinds))
 
 
+class _Names(dict):
+    """Word -> 64-bit hash of its letters, so that repeats are counted on the words themselves; forgets when it holds 800,000."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) >= 800_000:
+            self.clear()
+        core = w.strip(string.punctuation)
+        bare = core.lower() if core.isalpha() else "".join(_LETTER.findall(w)).lower() or w
+        h = self[w] = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass"))
+        return h
+
+
 class _Ids(dict):
     """Word -> rows of the word and of its shape in one number; words take the lower half of the table."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.names = _Names()
+
     def __missing__(self, w: str) -> int:
         if len(self) >= 800_000:
             self.clear()
@@ -158,8 +175,8 @@ def pooled(text: str | None, vectors: np.ndarray, ids: _Ids) -> np.ndarray:
             for i in range(0, n, 1 << 12):
                 total += vectors[row[i:i + (1 << 12)]].sum(axis=0)
             out[k * DIM:(k + 1) * DIM] = total / n
-            if not k:
-                out[-2:] = (row[1:] == row[:-1]).mean() if n > 1 else 0, len(np.unique(row)) / n
+        name = np.fromiter(map(ids.names.__getitem__, words), np.uint64, n)
+        out[-2:] = (name[1:] == name[:-1]).mean() if n > 1 else 0, len(np.unique(name)) / n
         out[-3] = np.log1p(n)
     return out
 

@@ -64,3 +64,11 @@ def test_temperature_calibrates():
     y = (rng.random(2000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
     net = Q.fit(x, y)
     assert abs(net.predict(x).mean() - y.mean()) < 0.05 and 0.25 <= net.temperature <= 8
+
+
+def test_repeats_are_counted_on_words():
+    words = [f"w{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(17_000)]
+    vectors = np.zeros((Q.BUCKETS, Q.DIM), np.float32)
+    assert Q.pooled(" ".join(words), vectors, Q._Ids())[-2:].tolist() == [0, 1]  # more words than rows, none repeated
+    got = Q.pooled("Stone, stone! wall STONE", vectors, Q._Ids())[-2:]
+    assert np.allclose(got, [1 / 3, 1 / 2])
