@@ -205,7 +205,7 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, rate: float = 3e-3, decay: float = 1e-4, seed: int = 1) -> Network:
     rng = np.random.default_rng(seed)
     d = x.shape[1] if x.size else FEATURES
-    if len(y) < 10 or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         p = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
         return Network(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros(1), float(np.log(p / (1 - p))), 1.0)
     order = rng.permutation(len(y))
@@ -243,7 +243,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, text: str
     """(word vectors of the whole corpus, network fitted on at most ``max_train`` labelled rows)."""
     vectors = unit_rows(context_table(docs, text))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    present = docs.select("doc_id").distinct()  # the bound counts labels that have a document
     picked = (labels.where(F.col("quality").isNotNull() & _learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("quality").alias("y"))
+              .join(present, "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
     sample = cut(picked, "quality-sample")
     # one row per id and text, so that copies of a labelled row do not outgrow the bound

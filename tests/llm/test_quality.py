@@ -72,3 +72,16 @@ def test_repeats_are_counted_on_words():
     assert Q.pooled(" ".join(words), vectors, Q._Ids())[-2:].tolist() == [0, 1]  # more words than rows, none repeated
     got = Q.pooled("Stone, stone! wall STONE", vectors, Q._Ids())[-2:]
     assert np.allclose(got, [1 / 3, 1 / 2])
+
+
+def test_few_rows_are_learned_from(lspark, make_docs, monkeypatch):
+    x = np.array([[0.0], [1.0]] * 4)
+    y = np.array([0.0, 1.0] * 4)
+    p = Q.fit(x, y).predict(x)
+    assert p[1] > 0.5 > p[0]
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y, fit=Q.fit: seen.append(len(y)) or fit(x, y))
+    rows, labels = corpus(100)
+    lab = lspark.createDataFrame([*labels, *[(i, i % 2, 0) for i in range(1000, 3000)]], "doc_id bigint, quality int, toxic int")
+    Q.train(make_docs(rows), lab, max_train=50)
+    assert seen == [50]  # labels without a document do not use up the bound
