@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinicgen.llm import ann, chat, decontam, hpylm, mix, quality, shard, simhash, token_files, warc
+from clinicgen.llm import ann, chat, decontam, filter_audit, hpylm, mix, quality, shard, simhash, token_files, warc
 
 QUERIES = {
     "op1_spaced_seed_overlaps": decontam.op1_spaced_seed_overlaps,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_prefix_targets": chat.op8_prefix_targets,
     "op9_kmeans_tree_search": ann.op9_kmeans_tree_search,
     "op10_arrow_token_files": token_files.op10_arrow_token_files,
+    "op13_filter_interactions": filter_audit.op13_filter_interactions,
 }
 
 ORACLE_SQL = {
     "op3_warc_zst": warc.OP3_SQL,
     "op4_mix_sources": mix.OP4_SQL,
     "op8_prefix_targets": chat.OP8_SQL,
+    "op13_filter_interactions": filter_audit.OP13_SQL,
 }
