@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinicgen.llm import ann, chat, decontam, filter_audit, hpylm, mix, quality, shard, simhash, token_files, warc
+from clinicgen.llm import align, ann, chat, decontam, filter_audit, hpylm, mix, quality, shard, simhash, token_files, warc
 
 QUERIES = {
     "op1_spaced_seed_overlaps": decontam.op1_spaced_seed_overlaps,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_prefix_targets": chat.op8_prefix_targets,
     "op9_kmeans_tree_search": ann.op9_kmeans_tree_search,
     "op10_arrow_token_files": token_files.op10_arrow_token_files,
+    "op11_token_alignment": align.op11_token_alignment,
     "op13_filter_interactions": filter_audit.op13_filter_interactions,
 }
 
