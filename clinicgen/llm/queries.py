@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinicgen.llm import align, ann, chat, decontam, filter_audit, hpylm, mix, quality, shard, simhash, token_files, warc
+from clinicgen.llm import align, ann, chat, decontam, filter_audit, hpylm, mix, quality, shard, simhash, substrings, token_files, warc
 
 QUERIES = {
     "op1_spaced_seed_overlaps": decontam.op1_spaced_seed_overlaps,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_kmeans_tree_search": ann.op9_kmeans_tree_search,
     "op10_arrow_token_files": token_files.op10_arrow_token_files,
     "op11_token_alignment": align.op11_token_alignment,
+    "op12_substring_dedup": substrings.op12_substring_dedup,
     "op13_filter_interactions": filter_audit.op13_filter_interactions,
 }
 
