@@ -138,9 +138,9 @@ def build_red_sedes(spark: SparkSession, cfg: C.Config, ids: DataFrame | None =
 
 
 # ---------------------------------------------------------------- encounters
-def _attempts(spark: SparkSession, m: int, med: DataFrame, n_med: int, seed: int, label: str) -> DataFrame:
-    """Attempt spine 0..m-1, each with a uniformly drawn physician; only the hire date is needed to accept."""
-    att = spark.range(0, m, 1, range_parts(spark, m)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
+def _attempts(spark: SparkSession, lo: int, hi: int, med: DataFrame, n_med: int, seed: int, label: str) -> DataFrame:
+    """Attempts lo..hi-1, each with a uniformly drawn physician; only the hire date is needed to accept."""
+    att = spark.range(lo, hi, 1, range_parts(spark, hi - lo)).selectExpr("id AS t", f"{D.draw_int(D.u(seed, label, 'id', slot=0), 1, n_med)} AS med_id")
     return att.join(med.select("med_id", "fec_ingreso"), "med_id")
 
 
@@ -219,14 +219,14 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     if target_b > 0:
         p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(F.expr(as_of), gap))
 
-        def attempts(m: int) -> DataFrame:
-            att = _attempts(spark, m, med_d, n_med, s, "enc.b")
+        def attempts(lo: int, hi: int) -> DataFrame:
+            att = _attempts(spark, lo, hi, med_d, n_med, s, "enc.b")
             att = E.eligible_pick(att, "fec_ingreso", D.u(s, "enc.b", "t", slot=1), pools.pac, ["fec_primer_atencion"])
             floor = R.control_floor("fec_primer_atencion", "fec_ingreso", gap)
             return att.selectExpr("t", "med_id", "pac_id", "pool_size", f"{floor} AS _floor").selectExpr(
                 "t", "med_id", "pac_id", "_floor", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
 
-        b = E.accept_to_target(attempts, target_b, p, "id_encuentro", n_a + 1).join(med_d.drop("fec_ingreso"), "med_id")
+        b = E.accept_stream(attempts, target_b, p, "id_encuentro", n_a + 1).join(med_d.drop("fec_ingreso"), "med_id")
         b = b.selectExpr("id_encuentro", "pac_id", "med_id", "id_sede", "esp_principal AS esp_atendida",
                          f"{R.day_start('_floor')} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_consulta")
         a = a.unionByName(b)
@@ -337,7 +337,7 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
 
     admitted = enc.filter(F.col("tip_consulta") == first_kind).select("pac_id")
     a = pac_d.join(admitted, "pac_id", "left_anti")
-    a = O.dense_ids(a, "pac_id", "id_cita")
+    a = O.dense_ids(a, "pac_id", "id_cita", bounds=(1, n_pac))
     n_a = n_pac - int(n_pac * C.FIRST_ADMISSION_SHARE)
     a = E.eligible_pick(a, "fec_primer_atencion", D.u(s, "cit.a", "id_cita"), pools.med, ["id_sede", "esp_principal"])
     a = a.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada", f"{R.at_hour('fec_primer_atencion', lo_h)} AS _lo",
@@ -347,13 +347,13 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     if target_b > 0:
         p = E.acceptance_rate(med_d, "fec_ingreso", pac_d, "fec_primer_atencion", F.date_sub(F.expr(as_of), 1))
 
-        def attempts(m: int) -> DataFrame:
-            att = _attempts(spark, m, med_d, n_med, s, "cit.b")
+        def attempts(lo: int, hi: int) -> DataFrame:
+            att = _attempts(spark, lo, hi, med_d, n_med, s, "cit.b")
             att = E.eligible_pick(att, "fec_ingreso", D.u(s, "cit.b", "t", slot=1), pools.pac, ["fec_primer_atencion"])
             return att.selectExpr("t", "med_id", "pac_id", "pool_size", "date_add(fec_primer_atencion, 1) AS _floor").selectExpr(
                 "t", "med_id", "pac_id", "_floor", f"coalesce(pool_size > 0 AND _floor <= {as_of}, false) AS accepted")
 
-        b = E.accept_to_target(attempts, target_b, p, "id_cita", n_a + 1, max_rejects).join(med_d.drop("fec_ingreso"), "med_id")
+        b = E.accept_stream(attempts, target_b, p, "id_cita", n_a + 1, max_rejects).join(med_d.drop("fec_ingreso"), "med_id")
         b = b.selectExpr("id_cita", "pac_id", "med_id", "id_sede", "esp_principal AS esp_solicitada",
                          f"{R.at_hour('_floor', lo_h)} AS _lo", f"{R.day_end(as_of)} AS _hi", f"{D.lit_str(control_kind)} AS tip_cita")
         a = a.unionByName(b)
