@@ -25,6 +25,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ from clinicgen.llm.hpylm import _from_steps, _steps, pack, unpack
 from clinicgen.llm.token_files import Encoder
 
 BLOCK_PIECES = 2_000_000
-_KNOWN_BYTES = 120_000_000  # remembered alignments per worker, cleared between blocks
+_KNOWN_BYTES = 140_000_000  # remembered alignments per worker, cleared between blocks
 _SLICE = 2_000_000  # entries that a product expands at a time
 _ODD = re.compile(r"\s | \s| $")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -69,6 +70,12 @@ class Csr(NamedTuple):
         return Csr(np.r_[0, np.cumsum(np.bincount(self.col, minlength=self.width))], row[order], self.val[order], len(self.start) - 1)
 
 
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
+
+
 def gustavson(a: Csr, b: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, col, value) of ``a . b`` in slices of a's rows: row i is the sum of b's rows k times a[i, k], collected per row."""
     fan = np.diff(b.start)[a.col]  # entries that each entry of a brings
@@ -155,17 +162,26 @@ class Tokenizers:
         n = self.sp.get_piece_size()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(self.sp.id_to_piece, range(n)))]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.a_name, self.b_name = ([str(i) for i in range(len(t))] for t in (self.a_bytes, self.b_bytes))
-
-    def a(self, pieces: list[str]) -> list[np.ndarray]:
-        joint = [p for p in pieces if p and not re.search(r"\s", p)]
-        known = dict(zip(joint, self.enc._joined(joint), strict=True))
+        # a last mark after a letter: the byte-level pre-tokenizer parts them, and so does the other if no piece holds both
+        crossing = {y for p in map(self.sp.id_to_piece, range(n)) for x, y in zip(p, p[1:], strict=False) if x.isalpha()}
+        self.marks = "".join(m for m in ",.;:!?" if m not in crossing and self.sp.piece_to_id(m) != self.sp.unk_id())
+        self.names = [np.array([b"%c%d" % (sep, i) for i in range(max(len(self.a_bytes), n))]) for sep in b",;|"]
+
+    def a(self, pieces: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lead + piece, one after the other, and how many each has."""
+        known: dict[str, bytes] = {}
+        if lead:
+            joint = [p for p in pieces if p and " " not in p and not p[0].isspace() and not p[-1].isspace()]
+            known.update(zip(joint, self.enc._joined(joint), strict=True))
         rest = [p for p in pieces if p not in known]
-        known.update(zip(rest, self.enc._plain([" " + p for p in rest]), strict=True))
-        return [np.frombuffer(known[p], f"<u{self.enc.width}") for p in pieces]
+        known.update(zip(rest, self.enc._plain([lead + p for p in rest]), strict=True))
+        ids = [known[p] for p in pieces]
+        return np.frombuffer(b"".join(ids), f"<u{self.enc.width}").astype(np.int64), np.array([len(x) for x in ids], np.int64) // self.enc.width
 
-    def b(self, pieces: list[str]) -> list[list[int]]:
-        return self.sp.encode(pieces, num_threads=1)
+    def b(self, pieces: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+        # the library puts a space in front; without one there are only marks, which are pieces
+        ids = self.sp.encode(pieces, num_threads=1) if lead else [[self.sp.piece_to_id(p)] for p in pieces]
+        return np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64)
 
 
 class Known:
@@ -177,47 +193,98 @@ class Known:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.n_a, self.n_b, self.n_groups, self.n_links, self.n_overlaps = (array("q") for _ in range(5))  # n_a -1: not given back byte by byte
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.n_overlaps = self.counts = [array("q") for _ in range(5)]  # n_a -1: not given back byte by byte
         self.name: list[bytes] = []
         self.link_start, self.link_code, self.link_times = array("q", [0]), array("Q"), array("q")
         self.held = 0
 
     def learn(self, pieces: list[str]) -> None:
+        """Aligns new pieces; one that ends in a mark after a letter is put together from its stem and the mark."""
+        marks = self.tok.marks
+        ended = [p for p in pieces if len(p) > 1 and p[-1] in marks and p[-2].isalpha()]
+        # a mark without a space in front is kept under a name that no piece has (pieces don't begin and end with a space)
+        bare = [m for m in sorted({p[-1] for p in ended}) if f" {m} " not in self.index]
+        self._align(bare, "", [f" {m} " for m in bare])
+        stems = dict.fromkeys(p for p in pieces if not (len(p) > 1 and p[-1] in marks and p[-2].isalpha()))
+        stems.update(dict.fromkeys(p[:-1] for p in ended if p[:-1] not in self.index))
+        stem_list = list(stems)
+        for s in range(0, len(stem_list), 20_000):
+            part = stem_list[s:s + 20_000]
+            self._align(part, " ", part)
+        self._compose(ended)
+
+    def _compose(self, ended: list[str]) -> None:
+        at = np.array([self.index[p[:-1]] for p in ended], np.int64)
+        mark = np.array([self.index[f" {p[-1]} "] for p in ended], np.int64)
+        counts = [np.frombuffer(c, np.int64) for c in self.counts]
+        new = [c[at] + c[mark] for c in counts]
+        bad = counts[0][at] < 0
+        new[0][bad] = -1
+        start, code, times = np.frombuffer(self.link_start, np.int64), np.frombuffer(self.link_code, np.uint64), np.frombuffer(self.link_times, np.int64)
+        n_at, n_mark = start[at + 1] - start[at], start[mark + 1] - start[mark]
+        ends = np.cumsum(n_at + n_mark)
+        which = np.empty(2 * len(at), np.int64)
+        which[::2], which[1::2] = at, mark
+        n = start[which + 1] - start[which]
+        src = _runs(start[which], n)
+        code, times, ends = code[src], times[src], self.link_start[-1] + ends
+        names = [b"" if x else self.name[i] + b";" + self.name[m] for i, m, x in zip(at.tolist(), mark.tolist(), bad.tolist(), strict=True)]
+        del start, counts  # their arrays grow now
+        self._add(ended, new, names, ends, code, times)
+
+    def _add(self, pieces: list[str], counts: list[np.ndarray], names: list[bytes], link_ends: np.ndarray, code: np.ndarray, times: np.ndarray) -> None:
+        for own, new in zip(self.counts, counts, strict=True):
+            own.frombytes(new.astype(np.int64).tobytes())
+        self.name += names
+        self.link_start.frombytes(link_ends.astype(np.int64).tobytes())
+        self.link_code.frombytes(code.tobytes())
+        self.link_times.frombytes(times.astype(np.int64).tobytes())
+        base = len(self.index)
+        self.index.update(zip(pieces, range(base, base + len(pieces)), strict=True))
+        self.held += sum(map(len, names)) + 2 * sum(map(len, pieces)) + 280 * len(pieces) + 16 * len(code)
+
+    def _align(self, part: list[str], lead: str, names: list[str]) -> None:
         tok = self.tok
-        for s in range(0, len(pieces), 20_000):
-            part = pieces[s:s + 20_000]
-            a, b = tok.a(part), tok.b(part)
-            raw = [(" " + p).encode() for p in part]
-            same = [b"".join(map(tok.a_bytes.__getitem__, x.tolist())) == r == b"".join(map(tok.b_bytes.__getitem__, y)) for x, y, r in zip(a, b, raw, strict=True)]
-            a = [x if ok else x[:0] for x, ok in zip(a, same, strict=True)]
-            b = [y if ok else [] for y, ok in zip(b, same, strict=True)]
-            n_a, n_b = np.array([len(x) for x in a], np.int64), np.array([len(y) for y in b], np.int64)
-            a_ids = np.concatenate(a).astype(np.int64)
-            b_ids = np.array([i for y in b for i in y], np.int64)
-            at = np.arange(len(part))
-            out = align(a_ids, tok.a_size[a_ids], np.repeat(at, n_a), b_ids, tok.b_size[b_ids], np.repeat(at, n_b), len(part))
-            n_a[~np.array(same)] = -1
-            for own, new in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, out.n_groups), (self.n_links, out.n_links), (self.n_overlaps, out.n_overlaps)):
-                own.frombytes(new.astype(np.int64).tobytes())
-            self.name += self._names(a_ids, out.a_group, b_ids, out.b_group, out.n_groups)
-            per = np.bincount(out.link_piece, minlength=len(part))
-            self.link_start.frombytes((self.link_start[-1] + np.cumsum(per)).astype(np.int64).tobytes())
-            self.link_code.frombytes((out.link_a.astype(np.uint64) << np.uint64(32) | out.link_b.astype(np.uint64)).tobytes())
-            self.link_times.frombytes(out.link_times.astype(np.int64).tobytes())
-            base = len(self.index)
-            self.index.update((p, base + i) for i, p in enumerate(part))
-            self.held += sum(map(len, raw)) * 4 + 300 * len(part) + 16 * len(out.link_a)
-
-    def _names(self, a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, n_groups: np.ndarray) -> list[bytes]:
-        """Per piece `a1,a2|b1;a3|b2`, in order."""
-        total = int(n_groups.sum())
-        a, b = [[] for _ in range(total)], [[] for _ in range(total)]
-        for side, names, ids, groups in ((a, self.tok.a_name, a_ids, a_group), (b, self.tok.b_name, b_ids, b_group)):
-            for i, g in zip(ids.tolist(), groups.tolist(), strict=True):
-                side[g].append(names[i])
-        text = [f"{','.join(x)}|{','.join(y)}" for x, y in zip(a, b, strict=True)]
-        ends = [0, *np.cumsum(n_groups).tolist()]
-        return [";".join(text[i:j]).encode() for i, j in zip(ends, ends[1:], strict=False)]
+        if not part:
+            return
+        (a_ids, n_a), (b_ids, n_b) = tok.a(part, lead), tok.b(part, lead)
+        raw = [(lead + p).encode() for p in part]
+        size = np.array([len(r) for r in raw])
+        whole = b"".join(raw)
+        at = np.arange(len(part))
+        a_at, b_at = np.repeat(at, n_a), np.repeat(at, n_b)
+        fits = [(np.bincount(x_at, weights=x_size[x], minlength=len(part)).astype(np.int64) == size).all() and b"".join(map(x_bytes.__getitem__, x.tolist())) == whole
+                for x, x_at, x_size, x_bytes in ((a_ids, a_at, tok.a_size, tok.a_bytes), (b_ids, b_at, tok.b_size, tok.b_bytes))]
+        same = np.ones(len(part), bool)
+        if not all(fits):  # some piece is not given back: look at each
+            for x, x_at, x_bytes in ((a_ids, a_at, tok.a_bytes), (b_ids, b_at, tok.b_bytes)):
+                held = [b""] * len(part)
+                for i, p in zip(x.tolist(), x_at.tolist(), strict=True):
+                    held[p] += x_bytes[i]
+                same &= np.array([h == r for h, r in zip(held, raw, strict=True)])
+            a_ids, a_at, b_ids, b_at = a_ids[same[a_at]], a_at[same[a_at]], b_ids[same[b_at]], b_at[same[b_at]]
+        out = align(a_ids, tok.a_size[a_ids], a_at, b_ids, tok.b_size[b_ids], b_at, len(part))
+        n_a = np.where(same, np.bincount(a_at, minlength=len(part)), -1)
+        ends = self.link_start[-1] + np.cumsum(np.bincount(out.link_piece, minlength=len(part)))
+        code = out.link_a.astype(np.uint64) << np.uint64(32) | out.link_b.astype(np.uint64)
+        self._add(names, [n_a, np.bincount(b_at, minlength=len(part)), out.n_groups, out.n_links, out.n_overlaps], self._names(a_ids, a_at, b_ids, b_at, out), ends, code, out.link_times)
+
+    def _names(self, a_ids: np.ndarray, a_at: np.ndarray, b_ids: np.ndarray, b_at: np.ndarray, out: Aligned) -> list[bytes]:
+        """Per piece `a1,a2|b1;a3|b2`, in order: every token's decimal id with the sign in front of it, the first sign cut off."""
+        group, side = np.r_[out.a_group, out.b_group], np.repeat([0, 1], [len(a_ids), len(b_ids)])
+        order = np.argsort(group * 2 + side, kind="stable")  # by group, A before B, in order
+        ids, piece = np.r_[a_ids, b_ids][order], np.r_[a_at, b_at][order]
+        key = (group * 2 + side)[order]
+        first = np.r_[True, key[1:] != key[:-1]][:len(key)]
+        sign = np.where(first, np.where(key & 1, 2, 1), 0)
+        spelled = np.empty(len(ids), self.tok.names[0].dtype)
+        for k, table in enumerate(self.tok.names):
+            spelled[sign == k] = table[ids[sign == k]]
+        raw = spelled.view(np.uint8).reshape(len(ids), spelled.itemsize)
+        used = raw != 0
+        upto = np.r_[0, np.cumsum(np.bincount(piece, weights=used.sum(axis=1), minlength=len(out.n_groups)).astype(np.int64))].tolist()
+        flat = raw[used].tobytes()
+        return [flat[i + 1:j] for i, j in zip(upto, upto[1:], strict=False)]
 
 
 _KNOWN: dict[tuple[str, str], Known] = {}  # per worker process
@@ -242,20 +309,25 @@ class _Block:
     def add(self, ids: list[int | None], texts: list[str | None]) -> None:
         k = self.known
         cut_up = [pieces_of(t) if t else [] for t in texts]
-        unknown = set().union(*cut_up) - k.index.keys()
+        index = k.index
+        unknown = [p for p in set().union(*cut_up) if p not in index]
         if unknown:
-            k.learn(list(unknown))
-        counts = [np.frombuffer(x, np.int64) for x in (k.n_a, k.n_b, k.n_groups, k.n_links, k.n_overlaps)]
-        for doc_id, words in zip(ids, cut_up, strict=True):
-            at = list(map(k.index.__getitem__, words))
-            own = np.array(at, np.int64)
-            if len(own) and counts[0][own].min() < 0:
-                at, own = [], own[:0]
-            self.ids.append(doc_id)
-            self.pieces.append(own.astype(np.int32))
-            self.sums.append([int(c[own].sum()) for c in counts])
-            self.digests.append(hashlib.sha256(b";".join(map(k.name.__getitem__, at))).hexdigest() if at else "")
-            self.size += len(own)
+            k.learn(unknown)
+        lists = [list(map(index.__getitem__, words)) for words in cut_up]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        flat = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+        doc = np.repeat(np.arange(len(lists)), sizes)
+        counts = [np.frombuffer(x, np.int64) for x in k.counts]
+        lost = np.bincount(doc, weights=counts[0][flat] < 0, minlength=len(lists)) > 0
+        sums = np.stack([np.bincount(doc, weights=c[flat], minlength=len(lists)).astype(np.int64) for c in counts])
+        sums[:, lost] = 0
+        ends = np.r_[0, np.cumsum(sizes)]
+        for i, (at, gone) in enumerate(zip(lists, lost.tolist(), strict=True)):
+            self.pieces.append(flat[ends[i]:ends[i] if gone else ends[i + 1]].astype(np.int32))
+            self.digests.append(hashlib.sha256(b";".join(map(k.name.__getitem__, at))).hexdigest() if at and not gone else "")
+            self.size += len(self.pieces[-1])
+        self.ids += ids
+        self.sums += sums.T.tolist()
 
     def row(self, block: int) -> dict:
         k = self.known
@@ -268,22 +340,19 @@ class _Block:
         start, codes, times = np.frombuffer(k.link_start, np.int64), np.frombuffer(k.link_code, np.uint64), np.frombuffer(k.link_times, np.int64)
         per_piece = start[pieces + 1] - start[pieces]
         begin = np.r_[0, np.cumsum(per_piece)]
-        src = np.arange(begin[-1]) + np.repeat(start[pieces] - begin[:-1], per_piece)
+        src = _runs(start[pieces], per_piece)
         pairs, link = np.unique(codes[src], return_inverse=True)
-        # documents that hold a pair: distinct pieces of each, then distinct pairs
-        n = np.zeros(len(pairs), np.int64)
-        upto = np.r_[0, np.cumsum(per_doc)]
-        i = 0
-        while i < len(per_doc):  # some documents at a time, so that their pairs fit
-            j = max(i + 1, int(np.searchsorted(upto, upto[i] + 400_000, side="right")) - 1)
-            doc = np.repeat(np.arange(j - i), per_doc[i:j])
-            key = np.unique(doc * np.int64(len(pieces) or 1) + piece[upto[i]:upto[j]])
-            d, p = key // (len(pieces) or 1), key % (len(pieces) or 1)
-            fan = per_piece[p]
-            at = np.arange(fan.sum()) + np.repeat(begin[p] - np.r_[0, np.cumsum(fan)[:-1]] if len(p) else fan, fan)
-            held = np.unique(np.repeat(d, fan) * np.int64(len(pairs) or 1) + link[at])
-            n += np.bincount(held % (len(pairs) or 1), minlength=len(pairs))[:len(pairs)]
-            i = j
+        # documents that hold a pair: a document's pieces, then its links, each leave their place in ``seen``; the last of equal ones finds its own there
+        n, seen_piece, seen = np.zeros(len(pairs), np.int64), np.zeros(len(pieces), np.int64), np.zeros(len(pairs), np.int64)
+        upto = np.r_[0, np.cumsum(per_doc)].tolist()
+        for i, j in zip(upto, upto[1:], strict=False):
+            own, at = piece[i:j], np.arange(j - i)
+            seen_piece[own] = at
+            own = own[seen_piece[own] == at]
+            held = link[_runs(begin[own], per_piece[own])]
+            at = np.arange(len(held))
+            seen[held] = at
+            n[held[seen[held] == at]] += 1
         sums = np.array(self.sums, np.int64).reshape(-1, len(_DOC))
         return {"block": block, "pairs": _steps(pairs), "n_docs": pack(n), "per_piece": pack(per_piece), "link": pack(link), "times": pack(times[src]),
                 "per_doc": pack(per_doc), "piece": pack(piece), "doc_ids": [i or 0 for i in self.ids], "no_id": [i is None for i in self.ids], "digests": self.digests, **{c: sums[:, x].tolist() for x, c in enumerate(_DOC)}}
