@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -9,9 +10,9 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinicgen.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from clinicgen.session import cut_lineage, ensure_checkpoint_dir, scratch_path, unique_path
 
-__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "scratch_path", "unit", "without", "spread_files"]
+__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "release", "scratch_path", "unique_path", "unit", "without", "spread_files"]
 
 # a token: a run of anything but ASCII white space
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -48,6 +49,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name)
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Deletes written tables that nothing reads any more, and lets Spark clear the exchanges of plans that are gone.
+
+    Spark keeps an exchange until the driver's garbage collection finds that no plan holds it; on a driver with little to collect that takes half an hour.
+    """
+    sc = spark.sparkContext
+    for path in paths:
+        hp = sc._jvm.org.apache.hadoop.fs.Path(path)
+        hp.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hp, True)
+    gc.collect()
+    sc._jvm.System.gc()
+
+
 def unit(*parts: Column | str) -> Column:
     """Uniform double in [0, 1) from the MD5 of the parts (52 bits; the same in any engine)."""
     text = F.concat_ws("|", *[(F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("\u0000"))) for p in parts])

@@ -36,9 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicgen.llm.common import cut, read
+from clinicgen.llm.common import read, release, unique_path
 
-CONTEXTS = 1 << 16  # length of the context arrays in tests; contexts themselves have no bound
 CHUNK_TOKENS = 2_000_000
 BUCKET_TYPES = 1_500_000
 END, START = xxhash.xxh64_intdigest(b" end"), xxhash.xxh64_intdigest(b" start")  # no word holds a space
@@ -105,7 +104,7 @@ _CHUNK_SQL = ("chunk bigint, words binary, per_word binary, ctx binary, count bi
               "doc_ids array<bigint>, n_types bigint, n_train bigint")
 
 
-def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
+def chunks(docs: DataFrame, text: str = "text", tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Counted chunks of all texts; a long text may run over several."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -118,10 +117,10 @@ def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
                 h = np.empty(len(toks) + 2, np.uint64)
                 h[0], h[-1] = START, END
                 h[1:-1] = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
-                for s in range(0, len(h) - 1, CHUNK_TOKENS):
-                    pieces.append((base + row, doc_id, h[s:s + CHUNK_TOKENS + 1]))
+                for s in range(0, len(h) - 1, tokens):
+                    pieces.append((base + row, doc_id, h[s:s + tokens + 1]))
                     held += len(pieces[-1][2]) - 1
-                    if held >= CHUNK_TOKENS:
+                    if held >= tokens:
                         yield pa.RecordBatch.from_pylist([_chunk_row(base + n_chunks, pieces)], schema=_CHUNK)
                         pieces, held, n_chunks = [], 0, n_chunks + 1
                 row += 1
@@ -170,30 +169,39 @@ def _rate(n1: float, n2: float) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
+ORDER = 8
+
+
 def _occupancy(ns: np.ndarray, d: float, width: int) -> Iterator[np.ndarray]:
     """For each of the ascending ``ns``, log q_n(t) for t = 1 .. min(n, width).
 
     q_n(t) = S(n, t) / S(n, 1) d**(t-1) (t-1)!, with S the generalized Stirling numbers of discount d, goes from n to n + 1 by
-    (1 - x) q_n(t) + x q_n(t-1), x = d (t-1) / (n-d). The steps are powers of one matrix, so from 4,096 customers on
-    many are taken together, by a series to the third order in x.
+    (1 - x) q_n(t) + x q_n(t-1), x = d (t-1) / (n-d). The steps are powers of one matrix, so from 4,096 customers on many are taken
+    together, by a series in x to the ``ORDER``-th term: as many as make the sum of x at most 1, so that what is left out is below 1 / (ORDER + 1)!.
     """
     q = np.zeros(width, np.longdouble)  # long: few tables are far likelier than many, and the weights may ask for many
     q[0], n, pull = 1, 1, d * np.arange(1, width, dtype=np.longdouble)
-    reach = 0.1 / (d * width)
+    reach = 1 / (d * width)
     for goal in ns.tolist():
         while n < goal:
             k = min(goal - n, max(1, int(reach * n))) if n >= 4096 else 1
             m = min(width, n + k)
-            if k == 1:
-                q[1:m] += pull[:m - 1] * (q[:m - 1] - q[1:m]) / (n - d)
-            else:
-                lo, hi = n - d - 0.5, n + k - d - 0.5
-                p1, p2, p3 = math.log(hi / lo), 1 / lo - 1 / hi, (1 / lo ** 2 - 1 / hi ** 2) / 2
-                step, total = q.copy(), q
-                for e in (p1, (p1 ** 2 - p2) / 2, (p1 ** 3 - 3 * p1 * p2 + 2 * p3) / 6):
-                    step = np.r_[0, pull * (step[:-1] - step[1:])]
-                    total = total + e * step
-                q = np.maximum(total, 0)
+            if k < 8:
+                for _ in range(k):
+                    m = min(width, n + 1)
+                    q[1:m] += pull[:m - 1] * (q[:m - 1] - q[1:m]) / (n - d)
+                    n += 1
+                continue
+            lo, hi = n - d - 0.5, n + k - d - 0.5
+            power = [math.log(hi / lo)] + [(lo ** -i - hi ** -i) / i for i in range(1, ORDER)]  # sums of 1 / (n-d), 1 / (n-d)**2, ... over the steps
+            e = [1.0]  # and of the products of any 1, 2, ... of them, by Newton's identities
+            for i in range(1, ORDER + 1):
+                e.append(sum((-1) ** (j - 1) * e[i - j] * power[j - 1] for j in range(1, i + 1)) / i)
+            step, total = q, q
+            for c in e[1:]:
+                step = np.r_[0, pull * (step[:-1] - step[1:])]
+                total = total + c * step
+            q = np.maximum(total, 0)
             n += k
         with np.errstate(divide="ignore"):
             yield np.log(q[:min(n, width)]).astype(np.float64)
@@ -212,11 +220,19 @@ class Dishes:
         many = np.flatnonzero(self.c >= 2)
         if not len(many):
             return
-        many = many[np.argsort(self.c[many], kind="stable")]
-        n, a, g = self.c[many], new[many] / self.d, more[many] / self.d
+        a, g = new / self.d, more / self.d
         rest = np.maximum(1 - g, 1e-3)
         spread = a / rest
-        top = np.minimum(n, 42 + spread + 10 * np.sqrt(spread / rest)).astype(np.int64)  # tables beyond have no weight left
+        top = np.minimum(self.c, 42 + spread + 10 * np.sqrt(spread / rest)).astype(np.int64)  # tables beyond have no weight left
+        # dishes of like widths together: the cost of a law is its customers times its width, and few dishes are wide
+        kind = np.searchsorted([64, 512, 4096], top[many])
+        for k in range(4):
+            if (kind == k).any():
+                self._draw(many[kind == k], a, g, top)
+
+    def _draw(self, many: np.ndarray, a: np.ndarray, g: np.ndarray, top: np.ndarray) -> None:
+        many = many[np.argsort(self.c[many], kind="stable")]
+        n, a, g, top = self.c[many], a[many], g[many], top[many]
         ns, first = np.unique(n, return_index=True)
         ends = np.r_[first[1:], len(n)]
         for s, e, log_q in zip(first, ends, _occupancy(ns, self.d, int(top.max())), strict=True):
@@ -233,61 +249,6 @@ class Dishes:
                 self.tables[many[i:j]] = 1 + (upto[:, :-1] <= self.rng.random((j - i, 1)) * upto[:, -1:]).sum(axis=1)
 
 
-class Seating:
-    """Seats of the customers of many dishes, each of which has its tables to itself: what ``Dishes`` draws at once, one by one."""
-
-    def __init__(self, counts: np.ndarray, discount: float, rng: np.random.Generator) -> None:
-        self.c, self.d, self.rng = counts.astype(np.int64), discount, rng
-        self.tables = np.minimum(self.c, 1)
-        many = np.flatnonzero(self.c >= 2)
-        self.many = many[np.argsort(-self.c[many], kind="stable")]  # most customers first, so that a move takes a prefix
-        n = self.c[self.many]
-        self.start = np.r_[0, np.cumsum(n)[:-1]] if len(n) else np.zeros(0, np.int64)
-        t = np.maximum(1, np.round(n ** discount / 2)).astype(np.int64)  # a start near the law's growth; moves do the rest
-        local = np.arange(int(n.sum())) - np.repeat(self.start, n)
-        self.seat = np.repeat(self.start, n) + local % np.repeat(t, n)
-        self.size = np.bincount(self.seat, minlength=len(self.seat)).astype(np.int64)
-        self.tables[self.many] = t
-
-    def sweep(self, new: np.ndarray, moves: int) -> None:
-        """Reseats up to ``moves`` random customers per dish; ``new``: weight of a new table per dish."""
-        n = self.c[self.many]
-        for m in range(moves):
-            k = int(np.searchsorted(-n, -m, side="left")) if m >= 2 else len(n)  # dishes with more than m customers
-            if k:
-                self._move(k, new[self.many[:k]])
-
-    def _move(self, k: int, new: np.ndarray) -> None:
-        rng, start, dish = self.rng, self.start[:k], self.many[:k]
-        n = self.c[dish]
-        who = (rng.random(k) * n).astype(np.int64)
-        old = self.seat[start + who]
-        self.size[old] -= 1
-        closed = self.size[old] == 0
-        t = self.tables[dish] - closed
-        fresh = rng.random(k) * (new + (n - 1) - self.d * t) < new
-        goal = np.full(k, -1, np.int64)
-        goal[fresh & closed] = old[fresh & closed]
-        todo = np.flatnonzero(fresh & ~closed)
-        while len(todo):  # a free place among the dish's n
-            at = start[todo] + (rng.random(len(todo)) * n[todo]).astype(np.int64)
-            free = self.size[at] == 0
-            goal[todo[free]] = at[free]
-            todo = todo[~free]
-        todo = np.flatnonzero(~fresh)
-        while len(todo):  # a table by size - d: that of a random other customer, kept with (size - d) / size
-            other = (rng.random(len(todo)) * (n[todo] - 1)).astype(np.int64)
-            other += other >= who[todo]
-            at = self.seat[start[todo] + other]
-            s = self.size[at]
-            ok = rng.random(len(todo)) * s < s - self.d
-            goal[todo[ok]] = at[ok]
-            todo = todo[~ok]
-        self.seat[start + who] = goal
-        self.size[goal] += 1
-        self.tables[dish] = t + fresh
-
-
 class _Bucket:
     """The types of one bucket, merged over the chunks."""
 
@@ -311,6 +272,11 @@ class _Bucket:
         self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
 
 
+    def placed(self) -> list[dict]:
+        """Per chunk, the places of its words and types among the merged ones (both ascend)."""
+        return [{"block": -2, "chunk": c, "words": _steps(w), "ctx": _steps(t)} for c, w, t in zip(self.chunks, self.word_of, self.type_of, strict=True)]
+
+
 class _Sampler:
     """Tables of one bucket; ``shared`` follows the bucket's own changes."""
 
@@ -358,28 +324,29 @@ class _Sampler:
 _STATE = "bucket int, block int, chunk bigint, words binary, per_word binary, ctxs binary, ctx binary, train binary, tables binary, customers binary, scalars array<double>"
 
 
-def _state(bucket: int, blocks: int, b: _Bucket, s: _Sampler) -> pd.DataFrame:
-    """What a bucket writes: in block -1 its tables, in the others its share of the contexts' totals."""
+def _state(bucket: int, blocks: int, b: _Bucket, s: _Sampler, more: list[dict] | None = None) -> pd.DataFrame:
+    """What a bucket writes: in block -1 its tables, in blocks from 0 on its share of the contexts' totals; and ``more`` rows."""
     tables, customers = (np.bincount(b.ctx, weights=x, minlength=len(b.ctxs)).astype(np.int64) for x in (s.seats.tables, b.count))
     scalars = [float(s.top.tables.sum()), float(s.sent.sum()), float((b.word_count > 0).sum()), *map(float, _discount(b.count)), *map(float, _discount(s.sent))]
     rows = [{"block": -1, "tables": pack(s.seats.tables), "customers": pack(s.top.tables), "scalars": scalars}]
     ends = np.searchsorted(((b.ctxs >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32), np.arange(blocks + 1))
     rows += [{"block": k, "ctxs": _steps(b.ctxs[i:j]), "tables": pack(tables[i:j]), "customers": pack(customers[i:j])} for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)) if i < j]
+    rows += more or []
     empty = {c.split()[0]: None for c in _STATE.split(", ")} | {"bucket": bucket, "chunk": -1}
     return pd.DataFrame({c: pd.Series([(empty | r)[c] for r in rows], dtype=None if c in ("bucket", "block", "chunk") else object) for c in empty})
 
 
 def _begin(dealt: DataFrame, buckets: int, theta: float) -> DataFrame:
-    """The state with one table per type; block -1 also holds a bucket's types, merged over the chunks."""
+    """The state with one table per type; block -1 also holds a bucket's types, merged over the chunks, and block -2 a row per chunk with the places of its own."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         b = _Bucket(rows)
-        out = _state(key[0], buckets, b, _Sampler(b, None, buckets, theta, 0))
+        out = _state(key[0], buckets, b, _Sampler(b, None, buckets, theta, 0), b.placed())
         types = {"words": pack(b.words), "per_word": pack(np.bincount(b.word, minlength=len(b.words))), "ctxs": _steps(b.ctxs), "ctx": pack(b.ctx), "train": pack(b.count)}
         for c, x in types.items():
             out.at[0, c] = x
         return out
 
-    return cut(dealt.groupBy("bucket").applyInPandas(run, _STATE), "lm-types")
+    return dealt.groupBy("bucket").applyInPandas(run, _STATE)
 
 
 def _shares(state: DataFrame) -> tuple[list[float], DataFrame]:
@@ -414,37 +381,65 @@ def _round(types: DataFrame, state: DataFrame, buckets: int, theta: float, sweep
         s.root()
         return _state(key[0], buckets, b, s)
 
-    return cut(types.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(run, _STATE), "lm-round")
+    return types.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(run, _STATE)
+
 
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The table, written, and its place."""
+    spark, path = df.sparkSession, unique_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
 
-def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, seed: int = 1, text: str = "text") -> DataFrame:
+
+def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, seed: int = 1, text: str = "text",
+          chunk_tokens: int = CHUNK_TOKENS, bucket_types: int = BUCKET_TYPES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     ``rounds`` sampling rounds before the scoring one; in each, ``sweeps`` sweeps that draw every type's tables anew;
-    then ``samples`` further sweeps whose predictive probabilities are averaged.
+    then ``samples`` further sweeps whose predictive probabilities are averaged. Contexts are dealt once; tables that only led to the next ones are deleted.
     """
-    counted = cut(chunks(docs, text), "lm-chunks")
-    n_types, n_train = counted.agg(F.sum("n_types"), F.sum("n_train")).first()
+    spark = docs.sparkSession
+    # one pass writes two tables: what is dealt, and what a chunk keeps to add up its documents
+    place = unique_path(spark, "lm-chunks")
+    kinds = F.explode(F.array(F.struct(F.lit("types").alias("kind"), *["words", "ctx", "train"], *[F.lit(None).cast(t).alias(c) for c, t in (("count", "binary"), ("docs", "binary"), ("rids", "binary"), ("doc_ids", "array<bigint>"))]),
+                              F.struct(F.lit("lists").alias("kind"), *[F.lit(None).cast("binary").alias(c) for c in ("words", "ctx", "train")], "count", "docs", "rids", "doc_ids"))).alias("k")
+    chunks(docs, text, chunk_tokens).select("chunk", "per_word", "n_types", "n_train", kinds).select("chunk", "per_word", "n_types", "n_train", "k.*").write.partitionBy("kind").parquet(place)
+    # an empty corpus has no file of either kind
+    whole = spark.read.schema("chunk bigint, per_word binary, n_types bigint, n_train bigint, words binary, ctx binary, train binary, count binary, docs binary, rids binary, "
+                              "doc_ids array<bigint>, kind string").parquet(place)
+    lists = whole.where("kind = 'lists'")
+    n_types, n_train = lists.agg(F.sum("n_types"), F.sum("n_train")).first()
     n_train = n_train or 0
-    buckets = max(1, math.ceil((n_types or 0) / BUCKET_TYPES))
-    state = _begin(by_bucket(counted, buckets), buckets, theta)
-    types = state.where("block = -1").select("bucket", "chunk", "words", "per_word", "ctxs", "ctx", "train")
+    buckets = max(1, math.ceil((n_types or 0) / bucket_types))
+    first, first_place = _written(_begin(by_bucket(whole.where("kind = 'types'"), buckets), buckets, theta), "lm-types")
+    release(spark, f"{place}/kind=types")
+    types = first.where("block = -1").select("bucket", "block", "chunk", "words", "per_word", "ctxs", "ctx", "train")
+    placed = first.where("block = -2").select("bucket", "block", "chunk", "words", "per_word", "ctxs", "ctx", "train")
+    state, state_place = first, ""
     for r in range(max(1, rounds)):
-        state = _round(types, state, buckets, theta, sweeps, seed + r)
+        state, new_place = _written(_round(types, state, buckets, theta, sweeps, seed + r), "lm-round")
+        release(spark, *([state_place] if state_place else []))
+        state_place = new_place
     scalars, shares = _shares(state)
 
     def answer(key: tuple, rows: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        b, s = _sampler(key[0], rows, old, scalars, buckets, theta, seed + rounds)
+        own = rows["block"] == -1
+        b, s = _sampler(key[0], rows[own], old, scalars, buckets, theta, seed + rounds)
         s.sweep(sweeps)
         p = np.zeros(len(b.count))
         for _ in range(samples):
             s.sweep()
             s.root()
             p += s.predictive()
-        logs = np.log10(p / samples).astype(np.float32)
-        return pd.DataFrame({"chunk": b.chunks, "bucket": key[0], "logs": [pack(logs[i]) for i in b.type_of], "known": [pack(b.word_count[i]) for i in b.word_of]})
+        logs, of = np.log10(p / samples).astype(np.float32), rows[~own]
+        return pd.DataFrame({"chunk": of["chunk"], "bucket": key[0], "logs": [pack(logs[_from_steps(x).astype(np.int64)]) for x in of["ctx"]],
+                             "known": [pack(b.word_count[_from_steps(x).astype(np.int64)]) for x in of["words"]]})
 
-    answers = by_bucket(counted, buckets).groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(answer, "chunk bigint, bucket int, logs binary, known binary")
+    answers, answers_place = _written(types.union(placed).groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(
+        answer, "chunk bigint, bucket int, logs binary, known binary"), "lm-answers")
+    vocabulary = int(scalars[2])
+    del first, types, placed, state, shares
+    release(spark, first_place, state_place)
     out = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -459,11 +454,9 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
         return pd.DataFrame({"rid": rids.astype(np.int64), "doc_id": ids, "n_tokens": np.bincount(doc, minlength=n), "n_known": sums((known > 0)[word]).astype(np.int64),
                              "base": sums(np.log10(known + 1)[word]), "score": sums(np.repeat(logs, count))})
 
-    lists = counted.select("chunk", "per_word", "count", "docs", "rids", F.col("doc_ids"))
-    scored = lists.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(add, out)
-    whole = scored.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
-    vocabulary = int(scalars[2])
-    return whole.select(
+    scored = lists.select("chunk", "per_word", "count", "docs", "rids", "doc_ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(add, out)
+    scored_rows = scored.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    return scored_rows.select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
         F.lit(int(n_train)).cast("bigint").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * math.log10(n_train + vocabulary + 1)).alias("base_score"), "score")

@@ -58,10 +58,65 @@ def test_chunks_and_buckets_change_no_count(lspark, make_docs, monkeypatch):
     assert sum(len(P.unpack(r.ctx)) for r in dealt) == sum(r.n_types for r in chunked)
 
 
+class Seating:
+    """Seats of the customers of many dishes, moved one by one: what ``Dishes`` draws at once."""
+
+    def __init__(self, counts: np.ndarray, discount: float, rng: np.random.Generator) -> None:
+        self.c, self.d, self.rng = counts.astype(np.int64), discount, rng
+        self.tables = np.minimum(self.c, 1)
+        many = np.flatnonzero(self.c >= 2)
+        self.many = many[np.argsort(-self.c[many], kind="stable")]  # most customers first, so that a move takes a prefix
+        n = self.c[self.many]
+        self.start = np.r_[0, np.cumsum(n)[:-1]] if len(n) else np.zeros(0, np.int64)
+        t = np.maximum(1, np.round(n ** discount / 2)).astype(np.int64)  # a start near the law's growth; moves do the rest
+        local = np.arange(int(n.sum())) - np.repeat(self.start, n)
+        self.seat = np.repeat(self.start, n) + local % np.repeat(t, n)
+        self.size = np.bincount(self.seat, minlength=len(self.seat)).astype(np.int64)
+        self.tables[self.many] = t
+
+    def sweep(self, new: np.ndarray, moves: int) -> None:
+        """Reseats up to ``moves`` random customers per dish; ``new``: weight of a new table per dish."""
+        n = self.c[self.many]
+        for m in range(moves):
+            k = int(np.searchsorted(-n, -m, side="left")) if m >= 2 else len(n)  # dishes with more than m customers
+            if k:
+                self._move(k, new[self.many[:k]])
+
+    def _move(self, k: int, new: np.ndarray) -> None:
+        rng, start, dish = self.rng, self.start[:k], self.many[:k]
+        n = self.c[dish]
+        who = (rng.random(k) * n).astype(np.int64)
+        old = self.seat[start + who]
+        self.size[old] -= 1
+        closed = self.size[old] == 0
+        t = self.tables[dish] - closed
+        fresh = rng.random(k) * (new + (n - 1) - self.d * t) < new
+        goal = np.full(k, -1, np.int64)
+        goal[fresh & closed] = old[fresh & closed]
+        todo = np.flatnonzero(fresh & ~closed)
+        while len(todo):  # a free place among the dish's n
+            at = start[todo] + (rng.random(len(todo)) * n[todo]).astype(np.int64)
+            free = self.size[at] == 0
+            goal[todo[free]] = at[free]
+            todo = todo[~free]
+        todo = np.flatnonzero(~fresh)
+        while len(todo):  # a table by size - d: that of a random other customer, kept with (size - d) / size
+            other = (rng.random(len(todo)) * (n[todo] - 1)).astype(np.int64)
+            other += other >= who[todo]
+            at = self.seat[start[todo] + other]
+            s = self.size[at]
+            ok = rng.random(len(todo)) * s < s - self.d
+            goal[todo[ok]] = at[ok]
+            todo = todo[~ok]
+        self.seat[start + who] = goal
+        self.size[goal] += 1
+        self.tables[dish] = t + fresh
+
+
 def test_seating_stays_valid_and_mixes():
     rng = np.random.default_rng(0)
     c = np.array([1, 2, 2, 3, 10, 500, 1, 40])
-    s = P.Seating(c, 0.6, rng)
+    s = Seating(c, 0.6, rng)
     seen = []
     for _ in range(400):
         s.sweep(np.full(len(c), 0.8), 8)
@@ -89,7 +144,7 @@ def test_predictive_sums_to_one():
     s = P._Sampler(b, None, 1, 1.0, 3)
     for _ in range(5):
         s.sweep(8)
-    t = np.bincount(b.ctx, weights=s.seats.tables, minlength=P.CONTEXTS)
+    t = np.bincount(b.ctx, weights=s.seats.tables, minlength=6)
     s.shared = s.shared._replace(tables=t, root_customers=float(t.sum()), root_tables=0.0)
     s.root()
     s.shared = s.shared._replace(root_tables=float(s.top.tables.sum()))
@@ -140,11 +195,59 @@ def test_tables_follow_their_law_whatever_the_customers():
     assert np.abs(many - one).max() < 1e-4
 
 
+def test_wide_laws_with_many_customers():
+    """A frequent word after a frequent word: the law by long steps is that of single steps, at a small part of the time."""
+    import time
+
+    rng = np.random.default_rng(4)
+    for d, n, width in ((0.9, 6000, 700), (0.5, 9000, 300)):
+        fast = list(P._occupancy(np.array([n]), d, width))[0]
+        one = list(P._occupancy(np.arange(2, n + 1), d, width))[-1]
+        assert np.abs(fast - one)[one > -600].max() < 1e-3
+    begin = time.process_time()
+    s = P.Dishes(np.r_[np.full(3000, 3), 100_000, 90_000], 0.9, rng)
+    s.draw(np.r_[np.full(3000, 1.0), 1800.0, 2.0], np.full(3002, 0.03))
+    assert time.process_time() - begin < 20 and 1000 < s.tables[3000] < 3000 and 1 <= s.tables[3001] < 40
+
+
+def test_several_buckets_and_chunks_score_alike(lspark, make_docs):
+    """Three or more of each: the same digests as one bucket and chunk, and scores that differ no more than two seeds of it do."""
+    rows = corpus()
+    docs = make_docs(rows).repartition(3)
+    one = {(r.doc_id, r.n_tokens): r for r in P.score(docs).collect()}
+    chunked = P.chunks(docs, tokens=1500).collect()
+    assert len(chunked) > 3
+    dealt = P.by_bucket(P.chunks(docs, tokens=1500), 4)
+    assert {r.bucket for r in dealt.select("bucket").distinct().collect()} == {0, 1, 2, 3}
+    many = {(r.doc_id, r.n_tokens): r for r in P.score(docs, chunk_tokens=1500, bucket_types=max(1, sum(r.n_types for r in chunked) // 4)).collect()}
+    assert one.keys() == many.keys()
+    for k, r in one.items():
+        m = many[k]
+        assert (r.held_out, r.n_known, r.train_tokens) == (m.held_out, m.n_known, m.train_tokens) and abs(r.base_score - m.base_score) < 1e-6 * abs(r.base_score)
+    held = [k for k, r in one.items() if r.held_out]
+    a, b = (sum(x[k].score for k in held) for x in (one, many))
+    assert abs(a - b) < 0.02 * abs(a)
+
+
+def test_tables_that_nothing_reads_are_deleted(lspark, make_docs):
+    import os
+
+    from clinicgen.llm.common import scratch_path
+
+    folder = scratch_path(lspark, "").removeprefix("file:")
+    before = {n for n in os.listdir(folder) if n.startswith("lm-")}
+    P.score(make_docs(corpus(40)), rounds=3).collect()
+    left = sorted(n.split("-")[1] for n in set(os.listdir(folder)) - before if n.startswith("lm-"))
+    assert left == ["answers", "chunks"]
+    chunks = next(n for n in set(os.listdir(folder)) - before if n.startswith("lm-chunks"))
+    assert [n for n in os.listdir(f"{folder}/{chunks}") if n.startswith("kind")] == ["kind=lists"]
+
+
 def test_tables_of_a_round_are_where_the_next_begins(lspark, make_docs):
-    state = P._begin(P.by_bucket(P.chunks(make_docs(corpus(60))), 2), 2, 1.0)
+    state = P._written(P._begin(P.by_bucket(P.chunks(make_docs(corpus(60))), 2), 2, 1.0), "begin")[0]
     types = state.where("block = -1").select("bucket", "chunk", "words", "per_word", "ctxs", "ctx", "train")
     tables = lambda s: {r.bucket: P.unpack(bytes(r.tables)).tolist() for r in s.where("block = -1").collect()}
-    state = P._round(types, state, 2, 1.0, 2, 1)
+    state = P._written(P._round(types, state, 2, 1.0, 2, 1), "round")[0]
     first = tables(state)
     assert any(max(t) > 1 for t in first.values())
     assert tables(P._round(types, state, 2, 1.0, 0, 2)) == first  # no sweep: the types' tables stay
