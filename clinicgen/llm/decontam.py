@@ -1,28 +1,30 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A training text is contaminated by a benchmark item when some window of ``span`` consecutive
-tokens of the one equals a window of the other in all but at most ``substitutions`` places;
-items shorter than ``span`` must occur whole, unchanged. Tokens are lower-cased ``\\w+`` runs.
+tokens of the one equals a window of the other in all but at most ``substitutions`` places. An item of n < ``span`` tokens
+is one window; as many substitutions are allowed as n has of ``span`` (rounded down). Items below ``min_item`` tokens are too common inside
+texts and must be the whole text. Tokens are lower-cased ``\\w+`` runs.
 
 Seeds: the window's positions fall into ``substitutions + 2`` residue classes; a mask keeps two
 classes and ignores the others, and there is a mask for every two. Substitutions lie in at most
 ``substitutions`` classes, so two classes are untouched and their mask hashes alike on
 both sides: no qualifying window is missed. Joined hits are verified position by position.
 
-Test hashes set two bits each in a bitmap of constant size (2**25 bits), which is all that is
+Test hashes set four bits each in a bitmap of at least ``BITS_A_HASH`` bits a hash, which is all that is
 broadcast; training windows with a hash in the bitmap go to the join, each distinct window
-once, so a passage that a third of the documents share is joined once. As the benchmark
-grows the bitmap only screens less; the join behind it is exact.
+once, so a passage that a third of the documents share is joined once. The bitmap has 2**``MOST_BITS`` bits at most: the hashes of
+a benchmark that needs more are dealt to several bitmaps, and the texts are read once for each.
 
-Cases: null and empty texts are clean; null or empty items, and items below ``min_item`` tokens,
-match nothing (a one-word item would condemn every text); equal items all are reported; repeated rows are
-rows of their own; empty tables give empty results.
+Cases: null and empty texts are clean; null or empty items match nothing; equal items all are reported; repeated rows are
+rows of their own; empty tables give empty results; key columns may have any name.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import cache, reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from clinicgen.llm.common import cut, read
 
 _TOKEN = re.compile(r"\w+")
-BITS = 25
+BITS_A_HASH, LEAST_BITS, MOST_BITS = 24, 20, 30  # powers of two for the last two: 128 KB to 128 MB
+PROBES = 4
 _MUL = np.random.default_rng(5).integers(1, 1 << 63, 1024, dtype=np.uint64) | np.uint64(1)
 
 
@@ -62,6 +65,17 @@ def unspaced(n: int) -> Plan:
     return Plan(n, [list(range(n))], [(0,)])
 
 
+def short_plan(n: int, span: int, substitutions: int) -> tuple[Plan, int]:
+    """Masks for an item of n < ``span`` tokens, and the substitutions that it may have."""
+    allowed = substitutions * n // span
+    return (spaced(n, allowed) if allowed else unspaced(n)), allowed
+
+
+def plan_of(n: int, span: int, substitutions: int) -> Plan:
+    """Masks of windows of ``n`` tokens; ``-n`` stands for whole texts of n tokens."""
+    return spaced(span, substitutions) if n == span else unspaced(-n) if n < 0 else short_plan(n, span, substitutions)[0]
+
+
 class _Words(dict):
     """Token -> 64-bit hash; forgets when it holds a million."""
 
@@ -89,66 +103,87 @@ def _seed_hashes(tokens: np.ndarray, plan: Plan) -> list[np.ndarray]:
     return [_mix(sum((sums[c] for c in mask[1:]), sums[mask[0]]) + np.uint64(i + 1)) for i, mask in enumerate(plan.masks)]
 
 
-def _probe(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places of the hashes whose two bits are set."""
-    a = h >> np.uint64(64 - BITS)
-    at = np.flatnonzero((bitmap[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8)) & 1)
-    b = (h[at] >> np.uint64(8)) & np.uint64((1 << BITS) - 1)
-    return at[((bitmap[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+class Screen(NamedTuple):
+    """A bitmap of ``PROBES`` bits a hash, for the hashes that are ``part`` modulo ``parts``."""
+    bits: int
+    bitmap: np.ndarray
+    part: int = 0
+    parts: int = 1
+
+    def place(self, h: np.ndarray, i: int) -> np.ndarray:
+        """The i-th bit of each hash: its first bits, and steps of later ones."""
+        mask = np.uint64((1 << self.bits) - 1)
+        return ((h >> np.uint64(64 - self.bits)) + np.uint64(i) * ((h >> np.uint64(8)) & mask)) & mask
+
+    def probe(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes of this part whose bits are all set."""
+        at = np.arange(len(h)) if self.parts == 1 else np.flatnonzero(h % np.uint64(self.parts) == self.part)
+        for i in range(PROBES):
+            x = self.place(h[at] if i or self.parts > 1 else h, i)
+            at = at[((self.bitmap[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+        return at
 
 
 _SLICE = 400_000  # tokens hashed at a time
 
 
-def _hits(bitmap: np.ndarray, tokens: np.ndarray, plan: Plan) -> np.ndarray:
+def _hits(screen: Screen, tokens: np.ndarray, plan: Plan) -> np.ndarray:
     """Sorted starts of the windows that have a seed hash in the bitmap."""
     found = []
     for s in range(0, len(tokens) - plan.n + 1, _SLICE):
-        found += [s + _probe(bitmap, h) for h in _seed_hashes(tokens[s:s + _SLICE + plan.n - 1], plan)]
+        found += [s + screen.probe(h) for h in _seed_hashes(tokens[s:s + _SLICE + plan.n - 1], plan)]
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def item_windows(items: DataFrame, span: int, substitutions: int, min_item: int, text: str, id_col: str) -> DataFrame:
-    """(item_id, n, win, h array): windows of the benchmark with their seed hashes."""
+    """(item_id, n, win, h array): windows of the benchmark with their seed hashes; n is negative for items that must be the whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, plan = _Words(), spaced(span, substitutions)
+        words = _Words()
         for b in batches:
             for item, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 toks = _TOKEN.findall((t or "").lower())
-                if len(toks) < min_item:
+                if not toks:
                     continue
-                own = plan if len(toks) >= span else unspaced(len(toks))
+                kind = span if len(toks) >= span else len(toks) if len(toks) >= min_item else -len(toks)
+                own = plan_of(kind, span, substitutions)
                 n, h = own.n, np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
                 hs = np.stack(_seed_hashes(h, own), 1).view(np.int64)
                 for s in range(0, len(hs), 4096):
                     part = hs[s:s + 4096]
                     yield pa.RecordBatch.from_pydict({
-                        "item_id": pa.array([item] * len(part), pa.int64()), "n": pa.array([n] * len(part), pa.int32()),
+                        "item_id": pa.array([item] * len(part), pa.int64()), "n": pa.array([kind] * len(part), pa.int32()),
                         "win": [" ".join(toks[i:i + n]) for i in range(s, s + len(part))], "h": pa.array(list(part), pa.list_(pa.int64()))})
 
     return items.select(F.col(id_col).cast("bigint"), F.col(text)).mapInArrow(run, "item_id bigint, n int, win string, h array<bigint>")
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """Two bits per hash in 2**25, gathered as fixed blocks of 32,768 bits (4 MB in all, whatever the benchmark's size)."""
-    cell = F.explode(F.array(F.shiftrightunsigned("h", 64 - BITS), F.shiftrightunsigned("h", 8).bitwiseAND((1 << BITS) - 1))).alias("bit")
-    blocks = (hashes.select(cell).groupBy(F.shiftright("bit", 15).alias("block"))
-              .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")))
-    out = np.zeros(1 << (BITS - 3), np.uint8)
-    for block, bits in blocks.collect():
-        out[block * 4096:(block + 1) * 4096] = np.frombuffer(bits, np.uint8)
-    return out
-
-
-def training_windows(docs: DataFrame, bitmap: np.ndarray, span: int, substitutions: int, short: list[int], key: list[str], text: str) -> DataFrame:
-    """(key columns, pos, n, win): windows of the training texts with a seed hash in the bitmap."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def screens(hashes: DataFrame) -> Iterator[Screen]:
+    """Bitmaps for the counted hashes, one after the other; gathered as blocks of 32,768 bits."""
+    n = hashes.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(n, 1) * BITS_A_HASH))))
+    parts = max(1, math.ceil(n * BITS_A_HASH / (1 << bits)))
+    mask = (1 << bits) - 1
+    first, step = F.shiftrightunsigned("h", 64 - bits), F.shiftrightunsigned("h", 8).bitwiseAND(mask)
+    cell = F.explode(F.array(*[(first + i * step).bitwiseAND(mask) for i in range(PROBES)])).alias("bit")
+    for part in range(parts):
+        own = hashes if parts == 1 else hashes.where((F.pmod(F.shiftrightunsigned("h", 1), F.lit(parts)) * 2 + F.col("h").bitwiseAND(1)) % parts == part)  # of the unsigned hash
+        blocks = own.select(cell).groupBy(F.shiftright("bit", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits"))
+        out = np.zeros(1 << (bits - 3), np.uint8)
+        for block, held in blocks.toLocalIterator():
+            out[block * 4096:(block + 1) * 4096] = np.frombuffer(held, np.uint8)
+        yield Screen(bits, out, part, parts)
+
+
+def training_windows(docs: DataFrame, screen: Screen, span: int, substitutions: int, short: list[int], key: list[str], text: str) -> DataFrame:
+    """(key columns, pos, n, win): windows of the training texts with a seed hash in the bitmap; ``short``: the window kinds below ``span``."""
+    shared = docs.sparkSession.sparkContext.broadcast(screen)
     src = docs.select(*key, F.col(text).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bits = _Words(), shared.value
-        plans = [spaced(span, substitutions), *map(unspaced, short)]
+        plans = [plan_of(n, span, substitutions) for n in [span, *short] if n > 0]
+        whole = {-n for n in short if n < 0}
         out = [*key, "pos", "n", "win"]
 
         def search(docs: list[tuple[int, list[str]]], b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -165,6 +200,12 @@ def training_windows(docs: DataFrame, bitmap: np.ndarray, span: int, substitutio
                         poss.append(p)
                         ns.append(plan.n)
                         wins.append(" ".join(toks[p:p + plan.n]))
+            for row, toks in docs:
+                if len(toks) in whole and len(_hits(bits, np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks)), unspaced(len(toks)))):
+                    rows.append(row)
+                    poss.append(0)
+                    ns.append(-len(toks))
+                    wins.append(" ".join(toks))
             if rows:
                 at = pa.array(rows, pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column(i).take(at) for i in range(len(key))] + [pa.array(poss, pa.int32()), pa.array(ns, pa.int32()), pa.array(wins, pa.string())], out)
@@ -188,13 +229,13 @@ def training_windows(docs: DataFrame, bitmap: np.ndarray, span: int, substitutio
 def _hashed(windows: DataFrame, span: int, substitutions: int) -> DataFrame:
     """(n, win, h): the seed hashes of distinct windows, a row each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, plan = _Words(), spaced(span, substitutions)
+        words, plans = _Words(), cache(lambda n: plan_of(n, span, substitutions))
         for b in batches:
             ns, wins, hs = [], [], []
             for n, win in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 toks = win.split(" ")
                 h = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
-                for seed in _seed_hashes(h, plan if n == span else unspaced(n)):
+                for seed in _seed_hashes(h, plans(n)):
                     ns.append(n)
                     wins.append(win)
                     hs.append(seed[0])
@@ -209,20 +250,23 @@ def overlaps(docs: DataFrame, items: DataFrame, key: list[str], span: int = 13,
 
     ``windows``: how many windows of the text match; ``matched``: most equal tokens in one window.
     """
+    row = docs.select(F.struct(*[F.col(f"`{k}`") for k in key]).alias("key"), F.col(f"`{text}`").alias("text"))  # key columns may be called as ours
     bench = cut(item_windows(items, span, substitutions, min_item, item_text, item_id), "decon-items")
-    hashes = bench.select("n", "win", F.explode("h").alias("h")).distinct()
-    short = sorted(r[0] for r in bench.where(F.col("n") < span).select("n").distinct().collect())  # below span values
-    hits = cut(training_windows(docs, _bitmap(hashes.select("h")), span, substitutions, short, key, text), "decon-hits")
+    hashes = cut(bench.select("n", "win", F.explode("h").alias("h")).distinct(), "decon-hashes")
+    short = sorted(r[0] for r in bench.where(F.col("n") < span).select("n").distinct().collect())  # below span + min_item values
+    hits = reduce(DataFrame.unionAll, [cut(training_windows(row, s, span, substitutions, short, ["key"], "text"), "decon-hits") for s in screens(hashes.select("h").distinct())])
     met = (_hashed(hits.select("n", "win").distinct(), span, substitutions).alias("d")
            .join(hashes.alias("i"), F.expr("d.h = i.h and d.n = i.n"))
            .select("d.n", F.col("d.win").alias("win"), F.col("i.win").alias("item_win")).distinct())
     equal = F.aggregate(F.zip_with(F.split("win", " "), F.split("item_win", " "), lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-    same = met.withColumn("matched", equal).where(F.col("matched") >= F.when(F.col("n") == span, span - substitutions).otherwise(F.col("n")))
+    least = F.when(F.col("n") < 0, -F.col("n")).otherwise(F.col("n") - F.when(F.col("n") == span, substitutions).otherwise(F.floor(F.col("n") * substitutions / span)))
+    same = met.withColumn("matched", equal).where(F.col("matched") >= least)
     # item windows -> items, best match of a window first, so that shared passages meet few rows
     found = (same.join(bench.select(F.col("win").alias("item_win"), "n", "item_id").distinct(), ["item_win", "n"])
              .groupBy("win", "n", "item_id").agg(F.max("matched").alias("matched")))
-    return (hits.join(found, ["win", "n"]).groupBy(*key, "item_id")
-            .agg(F.countDistinct("pos").alias("windows"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.max("matched").alias("matched")))
+    pairs = hits.join(found, ["win", "n"]).groupBy("key", "item_id").agg(
+        F.countDistinct("pos").alias("windows"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.max("matched").alias("matched"))
+    return pairs.select("key.*", "item_id", "windows", "first_pos", "last_pos", "matched")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:
