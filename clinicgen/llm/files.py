@@ -13,10 +13,21 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 
 
+_SAME = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}  # Hadoop's names of stores that pyarrow knows under another
+
+
+def uri(path: str) -> str:
+    """The path as pyarrow spells it."""
+    scheme, mark, rest = path.partition("://")
+    if mark:
+        return f"{_SAME.get(scheme, scheme)}://{rest}"
+    return re.sub(r"^file:/+", "file:///", path)
+
+
 def _place(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in path and not path.startswith("file:"):
         return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return pafs.FileSystem.from_uri(uri(path))
 
 
 def create(path: str) -> Any:
