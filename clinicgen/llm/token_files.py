@@ -18,7 +18,6 @@ their text, repeated rows are documents of their own; an empty table writes no f
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from array import array
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 from clinicgen.llm.common import cut, read, scratch_path, spread_files
 from clinicgen.llm.files import create, open_random
 
-_UNSAFE = re.compile(r"\s | \s")
 _PIECES = 1_000_000  # remembered pieces per worker
 _JOINED = 256  # unknown pieces encoded as one text
 
@@ -56,8 +54,8 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token)
-        self.opening: dict[str, bytes] = {}  # pieces without a space before them
-        self.spaced: dict[str, bytes] = {}   # words after a space, without it
+        self.opening: dict[str, bytes | None] = {}  # pieces without a space before them
+        self.spaced: dict[str, bytes | None] = {}   # words after a space, without it
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -80,36 +78,53 @@ class Encoder:
                 out += self._plain([" " + w for w in group])
         return out
 
-    def _learn(self, words: set[str], known: dict[str, bytes], lead: str) -> None:
-        """Encodes unknown pieces; a last punctuation mark after a letter is a pre-token of its own, so stems are shared."""
-        stems = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ",.;:!?" and w[-2].isalpha()}
-        marks = [m for m in {w[-1] for w in stems} if m not in self.opening]
-        self.opening.update(zip(marks, self._plain(marks), strict=True))
-        todo = [w for w in {stems.get(w, w) for w in words} if w not in known]
-        joint = [w for w in todo if lead and w and not w[-1].isspace()]
+    def _learn(self, words: list[str], known: dict[str, bytes | None], lead: str) -> None:
+        """Encodes unknown pieces; a last punctuation mark after a letter is a pre-token of its own, so stems are shared.
+
+        Pieces that begin or end with white space, or are empty, may join their neighbours: they become None, which sends their texts to the library whole.
+        """
+        ended, joint, rest = [], [], []
+        for w in words:
+            if not w or w[0].isspace() or w[-1].isspace():
+                known[w] = None
+            elif w[-1] in ",.;:!?" and len(w) > 1 and w[-2].isalpha():
+                ended.append(w)
+            elif lead:
+                joint.append(w)
+            else:
+                rest.append(w)
+        stems = {w[:-1] for w in ended}.difference(joint, rest)
+        (joint if lead else rest).extend(w for w in stems if w not in known)
+        rest_ids = self._plain([lead + w for w in rest])
+        known.update(zip(rest, rest_ids, strict=True))
         known.update(zip(joint, self._joined(joint), strict=True))
-        rest = [w for w in todo if not lead or not w or w[-1].isspace()]
-        known.update(zip(rest, self._plain([lead + w for w in rest]), strict=True))
-        for w, s in stems.items():
-            known[w] = known[s] + self.opening[w[-1]]
+        marks = [m for m in sorted({w[-1] for w in ended}) if m not in self.opening]
+        self.opening.update(zip(marks, self._plain(marks), strict=True))
+        for w in ended:
+            known[w] = known[w[:-1]] + self.opening[w[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.opening) + len(self.spaced) > _PIECES:
             self.opening.clear()
             self.spaced.clear()
-        cut_up = [None if t and (_UNSAFE.search(t) or any(s in t for s in self.special)) else (t or "").split(" ") for t in texts]
-        openings = {w[0] for w in cut_up if w and w[0]} - self.opening.keys()
+        cut_up = [(t or "").split(" ") for t in texts]
+        first = [w.pop(0) for w in cut_up]  # the others follow a space
+        openings = [w for w in set(first) if w and w not in self.opening]  # (a difference of sets would walk all that is known)
         if openings:
             self._learn(openings, self.opening, "")
-        for w in cut_up:
-            if w:
-                w[0] = self.opening[w[0]] if w[0] else b""  # the first piece is done; the others follow a space
-        words = set().union(*[w[1:] for w in cut_up if w]) - self.spaced.keys()
+        words = [w for w in set().union(*cut_up) if w not in self.spaced]
         if words:
             self._learn(words, self.spaced, " ")
-        get = self.spaced.__getitem__
-        return [w[0] + b"".join(map(get, w[1:])) if w is not None else array(self.code, self.tok.encode(t, add_special_tokens=False).ids).tobytes()
-                for t, w in zip(texts, cut_up, strict=True)]
+        out, get = [], self.spaced.__getitem__
+        for t, w, words in zip(texts, first, cut_up, strict=True):
+            if t and not any(s in t for s in self.special):
+                try:
+                    out.append((self.opening[w] if w else b"") + b"".join(map(get, words)))
+                    continue
+                except TypeError:  # a piece is None
+                    pass
+            out.append(array(self.code, self.tok.encode(t, add_special_tokens=False).ids).tobytes() if t else b"")
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}  # per worker process, so pieces are learned once for many tasks
