@@ -4,10 +4,17 @@ Formats follow the job's choice per table size (csv few rows, avro medium,
 parquet large). Avro needs the external ``spark-avro`` module; when it is not
 on the classpath writing avro fails loudly -- there is no silent fallback to
 another format. Callers may pass an explicit ``formats`` override.
+
+Files are sized by the data, not by the number of tasks that made it: before a write Spark merges and splits partitions by
+their measured size (an adaptive rebalance), so that a file holds the rows of about ``FILE_BYTES`` of shuffled data. Compressed parquet comes to
+between a quarter and all of that, and a table below it is one file.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,6 +30,9 @@ TABLE_FORMATS = {
 }
 
 
+FILE_BYTES = 256 << 20
+
+
 class AvroUnavailable(RuntimeError):
     pass
 
@@ -52,14 +62,29 @@ def check_formats(spark: SparkSession, formats: set[str]) -> None:
         raise AvroUnavailable("avro sink needs the spark-avro module on the classpath (--packages org.apache.spark:spark-avro_2.13)")
 
 
-def write_table(df: DataFrame, path: str, fmt: str) -> None:
-    """Overwrite ``path`` with ``df`` in ``fmt`` (parquet | avro | csv)."""
+@contextmanager
+def _sized_files(spark: SparkSession, file_bytes: int) -> Iterator[None]:
+    """Partitions are merged and split toward ``file_bytes``, also where that leaves slots without work."""
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes), "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def write_table(df: DataFrame, path: str, fmt: str, file_bytes: int = FILE_BYTES) -> None:
+    """Overwrite ``path`` with ``df`` in ``fmt`` (parquet | avro | csv), in files of about ``file_bytes`` of shuffled data."""
     check_formats(df.sparkSession, {fmt})
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.option("header", "false").csv(path)
-    else:
-        w.format(fmt).save(path)
+    with _sized_files(df.sparkSession, file_bytes):
+        w = df.hint("rebalance").write.mode("overwrite")
+        if fmt == "csv":
+            w.option("header", "false").csv(path)
+        else:
+            w.format(fmt).save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
