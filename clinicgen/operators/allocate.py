@@ -9,10 +9,9 @@ a closed form over a running sum of ``max(draw - 1, 0)`` (block-wise, see
 uniformly random unit among those with room; once all are full the rest are
 dropped". While any unit has room every stay takes a bed, so only the first
 ``sum(capacities)`` stays of a group in their order can matter: a group's work
-is bounded by its beds, however many stays it has. One plan at every size:
-groups with far more stays than beds first lose the slices of the order draw
-behind their last bed, then each group's stays meet as one short array and an
-``aggregate`` walks it in order.
+is bounded by its beds, however many stays it has. One plan at every size, with one
+look at the stays: a rank filter that Spark applies within each task before the exchange, then each group's
+first stays meet as one short array and an ``aggregate`` walks it in order.
 """
 
 from __future__ import annotations
@@ -25,9 +24,7 @@ from pyspark.sql import functions as F
 from clinicgen import config as C
 from clinicgen.functions import draws as D
 from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum
-from clinicgen.session import cut_lineage
-
-BROADCAST_GROUPS = 100_000  # rows of a few numbers each; more groups are joined by shuffle
+from clinicgen.session import allow_group_limit
 
 
 # --------------------------------------------------------------------- budget
@@ -93,7 +90,6 @@ def capacity_fill(
     label: str,
     unit_col: str = "unit_pos",
     out: str = "occupied",
-    block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
     """Occupied beds per (group, unit) after the sequential fill (2.7.2).
 
@@ -103,25 +99,17 @@ def capacity_fill(
     units with room. Order and pick are slots 0 and 1 of one digest of ``(label, stay, group)``.
     Rows come back only for (group, unit) with at least one bed taken.
 
-    A task holds ``sum(caps) + block_rows`` stays of a group at most.
+    Every task cuts its part of a group down to the largest number of beds before the exchange (a group limit on the order),
+    so a group with a third of all stays sends that many per task.
     """
     g = list(group)
     rem = F.array(*[F.greatest(F.col(c).cast("bigint"), F.lit(0)) for c in caps])
     beds = capacities.select(*on, rem.alias("_rem")).withColumn("_beds", F.aggregate("_rem", F.lit(0).cast("bigint"), lambda a, r: a + r)).where("_beds > 0")
-    draws = [f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v"]
-
-    # groups with many more stays than beds (at most rows / block_rows of them): keep the slices of the
-    # order draw that can reach a bed. Written first, so that the size of what is broadcast is known.
-    sizes = stays.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).join(beds, list(on))
-    crowded = cut_lineage(sizes.where(F.col("_n") > F.col("_beds") + block_rows).select(*g, "_beds", F.ceil(F.col("_n") / F.lit(block_rows)).cast("bigint").alias("_S")), "crowded")
-    few = (lambda df: F.broadcast(df)) if crowded.count() <= BROADCAST_GROUPS else (lambda df: df)
-    cell = F.floor(F.col("_o") * F.col("_S")).cast("bigint")
-    cells = stays.join(few(crowded), g).selectExpr(*g, "_beds", "_S", draws[0]).groupBy(*g, "_beds", "_S", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    last = cells.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).where("_before < _beds").groupBy(*g, "_S").agg(F.max("_cell").alias("_last"))
-    kept = stays.selectExpr(*g, stay_id, *draws).join(few(last), g, "left").where(F.col("_S").isNull() | (cell <= F.col("_last")))
-
-    turns = kept.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("_o", stay_id, "_v"))).alias("_turns"))
+    most = beds.agg(F.max("_beds")).first()[0] or 0
+    allow_group_limit(stays.sparkSession, most)
+    drawn = stays.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
+    turn = F.row_number().over(Window.partitionBy(*g).orderBy("_o", stay_id))
+    turns = drawn.withColumn("_turn", turn).where(F.col("_turn") <= F.lit(most)).groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("_turn", "_v"))).alias("_turns"))
     # stays past the last bed change nothing
     filled = turns.join(beds, list(on)).withColumn(
         "_left", F.aggregate(F.slice("_turns", F.lit(1), F.col("_beds").cast("int")), F.col("_rem"), lambda r, t: _seat(r, t["_v"])))

@@ -1,19 +1,18 @@
 """Hour grid and interval (stabbing) joins.
 
-"Which stays cover hour h" (``start <= h < end``) is answered by exploding each
-stay into the grid hours it covers and grouping on (site, hour): an equi-key
-aggregate with map-side partial counts instead of a theta join of stays x
-hours. Each stay yields at most (stay length in hours + 1) rows, clipped to
-the grid, so the explosion is bounded by the longest stay, not by the data.
+"How many stays cover hour h" (``start <= h < end``) is answered by boundary events: two rows per stay, added up by
+(site, hour) and summed along the grid. Where the stays themselves are needed (the capacity fill), each is exploded into the
+grid hours it covers: at most (stay length in hours + 1) rows, clipped to the grid. Neither is a theta join of stays x hours.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clinicgen.operators.ordinals import prefix_sum
 from clinicgen.session import spread
 
 
@@ -49,14 +48,22 @@ def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, gr
 
 
 def hourly_occupancy(stays: DataFrame, site: str, start: str, end: str, grid_start: Column, grid_end: Column,
-                     out: str = "active", hour_col: str = "hour", spread_by: str | None = None) -> DataFrame:
+                     out: str = "active", hour_col: str = "hour") -> DataFrame:
     """Stays active per (site, hour) over the grid; hours with none are absent (2.5.6).
 
-    ``spread_by`` (a unique stay key) spreads narrow inputs before the explode.
+    A stay is two boundary events, +1 at its first grid hour and -1 after its last, however long it is. Events are added up by
+    (site, hour) before they are shuffled; their running sum per site, which has a row per grid hour at most, holds until the next event.
     """
-    keys = [spread_by] if spread_by else []
-    ex = explode_hours(stays.select(site, start, end, *keys), start, end, grid_start, grid_end, hour_col, spread_by=spread_by)
-    return ex.groupBy(site, hour_col).agg(F.count(F.lit(1)).alias(out))
+    hours = lambda ts: F.timestamp_diff("HOUR", grid_start, ts)
+    lo, hi = F.greatest(hours(ceil_hour(F.col(start))), F.lit(0)), F.least(hours(ceil_hour(F.col(end))), hours(grid_end) + 1)
+    inside = stays.select(F.col(site), lo.alias("_lo"), hi.alias("_hi")).where("_lo < _hi")
+    events = inside.select(site, F.explode(F.array(F.struct(F.col("_lo").alias("_h"), F.lit(1).cast("bigint").alias("_d")),
+                                                   F.struct(F.col("_hi").alias("_h"), F.lit(-1).cast("bigint").alias("_d")))).alias("_e")).select(site, "_e.*")
+    changes = events.groupBy(site, "_h").agg(F.sum("_d").alias("_d"))
+    running = prefix_sum(changes, F.col("_d"), ["_h"], (), [site], out=out)
+    steps = running.withColumn("_next", F.lead("_h").over(Window.partitionBy(site).orderBy("_h"))).where(F.col(out) > 0)  # the last one of a site leaves 0
+    return steps.select(F.col(site), F.explode(F.sequence(F.col("_h"), F.col("_next") - 1)).alias("_h"), F.col(out)).select(
+        site, F.timestamp_add("HOUR", F.col("_h"), grid_start).alias(hour_col), out)
 
 
 def dense_grid(spark: SparkSession, hours: int, n_sites: int, units: Sequence[str], last_hour: Column,
