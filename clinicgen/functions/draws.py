@@ -133,16 +133,33 @@ def trunc_normal_bounds(mean: float, sd: float, lo: int, hi: int) -> list[float]
     return [math.fsum(mass[:i]) / total for i in range(1, len(mass))]
 
 
+GUIDE = 512  # equal slices of the uniform
+
+
+def guide_table(bounds: list[float], size: int = GUIDE) -> tuple[list[int], list[int]]:
+    """Per slice [i/size, (i+1)/size) of the uniform, how many bounds lie at or below its start, and how many inside it."""
+    below = [sum(b <= i / size for b in bounds) for i in range(size + 1)]
+    return below[:-1], [hi - lo for lo, hi in zip(below, below[1:], strict=False)]
+
+
 def trunc_normal_int(seed: int, label: str, key: Sql, mean: float, sd: float, lo: int, hi: int) -> str:
     """``int(N(mean, sd))`` redrawn until in [lo, hi] (2.4.6), from its exact discrete law.
 
-    One uniform and a lookup in the cumulative probabilities, which are constants of the plan.
+    One uniform is inverted by a guide table: its slice gives the first value that is possible and one comparison with the next bound decides, in slices
+    that hold at most one. Slices with more (in the tails) search all bounds. All tables are constants of the plan.
     """
     bounds = trunc_normal_bounds(mean, sd, lo, hi)
     if not bounds:
         return f"CAST({lo} AS BIGINT)"
     array = "array(" + ", ".join(s(x) for x in bounds) + ")"
-    return f"CAST({lo} + size(filter({array}, b -> b <= {u(seed, label, key)})) AS BIGINT)"
+    below, inside = guide_table(bounds)
+    draw, n = u(seed, label, key), len(bounds)
+    # per slice: lo + bounds below, and the bound to compare with (2 where none is left: a uniform is below 1); NULL asks for the search
+    first = "array(" + ", ".join(str(lo + k) if m < 2 else "NULL" for k, m in zip(below, inside, strict=True)) + ")"
+    following = "array(" + ", ".join(s(bounds[k]) if k < n else s(2.0) for k in below) + ")"
+    at = f"CAST(floor({draw} * {s(float(GUIDE))}) AS INT)"
+    return (f"CAST(coalesce({first}[{at}] + CASE WHEN {following}[{at}] <= {draw} THEN 1 ELSE 0 END, "
+            f"{lo} + size(filter({array}, b -> b <= {draw}))) AS BIGINT)")
 
 
 def folded_normal_int(u1: str, u2: str, mean: Sql, sd: float) -> str:

@@ -109,3 +109,19 @@ def test_draws_do_not_depend_on_partitioning(spark):
     a = spark.range(0, 5000, 1, 1).selectExpr("id", e).orderBy("id").collect()
     b = spark.range(0, 5000, 1, 13).repartition(7).selectExpr("id", e).orderBy("id").collect()
     assert a == b
+
+
+def test_trunc_normal_guide_table_inverts_the_law(spark):
+    """The guide table gives the value that a search of all bounds gives, for uniforms on and beside every bound."""
+    import bisect
+    for mean, sd, lo, hi in ((45, 15, 0, 116), (45, 15, 23, 70), (44.5, 0.3, 40, 50), (0.0, 0.5, 0, 116), (45, 15, 80, 90), (5, 400, 0, 1000)):
+        bounds = D.trunc_normal_bounds(mean, sd, lo, hi)
+        below, inside = D.guide_table(bounds)
+        assert len(below) == D.GUIDE and sum(inside) == sum(b <= 1 for b in bounds) - below[0]
+        for u in [x for b in bounds for x in (math.nextafter(b, 0), b, math.nextafter(b, 2))] + [i / D.GUIDE for i in range(D.GUIDE)] + [math.nextafter(1, 0)]:
+            if u < 1:
+                i, want = int(u * D.GUIDE), bisect.bisect_right(bounds, u)
+                if inside[i] < 2:
+                    assert below[i] + (below[i] < len(bounds) and bounds[below[i]] <= u) == want
+        rows = spark.range(20_000).selectExpr(f"{D.trunc_normal_int(9, 'g', 'id', mean, sd, lo, hi)} AS v", f"{D.u(9, 'g', 'id')} AS u").collect()
+        assert all(r["v"] == lo + bisect.bisect_right(bounds, r["u"]) for r in rows)
