@@ -307,22 +307,28 @@ def _attempt_rows(h: Harness) -> DataFrame:
     return o.selectExpr("*", f"o_orderstatus <> 'P' AND {D.u(SEED, 'q.acc', 't')} < 0.9D AS accepted")
 
 
+def _attempt_bounds(h: Harness) -> tuple[int, int]:
+    """First and last order key: the attempts' spine."""
+    row = h.table("orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return (row[0] or 0, row[1] or 0)
+
+
 @query
 def q_accept_reject(h: Harness) -> DataFrame:
     target = h.count("orders") // 2
-    return E.accept_first(_attempt_rows(h), "accepted", "t", target, "id").select("id", "t")
+    return E.accept_first(_attempt_rows(h), "accepted", "t", target, "id", bounds=_attempt_bounds(h)).select("id", "t")
 
 
 @query
 def q_reject_cap(h: Harness) -> DataFrame:
     target = h.count("orders") // 2
-    return E.accept_first(_attempt_rows(h), "accepted", "t", target, "id", max_rejects=10).select("id", "t")
+    return E.accept_first(_attempt_rows(h), "accepted", "t", target, "id", max_rejects=10, bounds=_attempt_bounds(h)).select("id", "t")
 
 
 @query
 def q_dense_ids(h: Harness) -> DataFrame:
     acc = _attempt_rows(h).filter("accepted").select("t")
-    return O.dense_ids(acc, "t", "id")
+    return O.dense_ids(acc, "t", "id", bounds=_attempt_bounds(h))
 
 
 @query
@@ -389,7 +395,7 @@ def q_eligible_pick_ge(h: Harness) -> DataFrame:
 def q_hourly_occupancy(h: Harness) -> DataFrame:
     st = h.stays()
     lo, hi = events_grid_bounds(st)
-    return TM.hourly_occupancy(st, "site", "start", "end", lo, hi, out="active", hour_col="hour", spread_by="event_id")
+    return TM.hourly_occupancy(st, "site", "start", "end", lo, hi, out="active", hour_col="hour")
 
 
 @query

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,19 +132,20 @@ def accept_first(
     start: int = 1,
     max_rejects: int | None = None,
     cut: int | None = None,
+    bounds: tuple[int, int] | None = None,
 ) -> DataFrame:
     """The first ``target`` accepted attempts in attempt order, with dense ids (2.4.16).
 
     Attempts after the ``max_rejects``-th reject are dropped (the loop would
     have stopped there), so fewer than ``target`` rows may come back. A caller
-    that already has the cut (``reject_cut``) passes it as ``cut``.
+    that already has the cut (``reject_cut``) passes it as ``cut``; ``bounds``: see ``dense_ids``.
     """
     if cut is None:
         cut = reject_cut(attempts, accepted, order_col, max_rejects)
     acc = attempts.filter(F.col(accepted))
     if cut is not None:
         acc = acc.filter(F.col(order_col) < F.lit(cut))
-    return dense_ids(acc, order_col, id_col, start=start).filter(F.col(id_col) < F.lit(start + target))
+    return dense_ids(acc, order_col, id_col, start=start, bounds=bounds).filter(F.col(id_col) < F.lit(start + target))
 
 
 def attempts_needed(target: int, p_accept: float, slack: float = 1.05) -> int:
@@ -154,28 +157,39 @@ def attempts_needed(target: int, p_accept: float, slack: float = 1.05) -> int:
     return int(math.ceil(slack * target / p_accept + 10 * math.sqrt(target) + 16))
 
 
-def accept_to_target(build, target: int, p: float, id_col: str, start: int, max_rejects: int | None = None) -> DataFrame:
-    """Attempts until ``target`` accepts or the reject cap (2.4.16-17); each attempt is evaluated once.
+def accept_stream(block: Callable[[int, int], DataFrame], target: int, p: float, id_col: str, start: int, max_rejects: int | None = None) -> DataFrame:
+    """Attempts until ``target`` accepts or the reject cap (2.4.16-17), as blocks that are appended; each attempt is evaluated once.
 
-    ``build(m)`` gives attempts 0..m-1 with ``t`` and ``accepted``; ``p`` is their exact acceptance rate, which sizes the
-    first try, so a second one is rare. A rate of 0 is refused unless the reject cap ends the loop.
+    ``block(lo, hi)`` gives attempts lo..hi-1 with ``t`` and ``accepted``; ``p`` is their exact acceptance rate, which sizes the
+    first block, so a second one is rare. A further block begins where the last one ended: only its own attempts are evaluated, and the
+    accepts and rejects so far are carried over as two numbers. A rate of 0 is refused unless the reject cap ends the loop.
     """
     if p <= 0 and max_rejects is None:
         raise ValueError("acceptance rate is 0: no attempt can be accepted")
     sizes = [attempts_needed(target, p)] if p > 0 else []
     if max_rejects is not None and p < 1:  # about so many attempts see the last reject
         sizes.append(int(math.ceil((max_rejects + 5 * math.sqrt(max_rejects)) / (1 - p))) + 1)
-    m, before = min(sizes), -1
+    lo, hi, n, rejects, kept = 0, min(sizes), 0, 0, []
     while True:
-        tried = build(m)
+        tried = block(lo, hi)
         tried = cut_lineage(tried if max_rejects is not None else tried.filter("accepted"), "attempts")
-        cut = reject_cut(tried, "accepted", "t", max_rejects)
-        n = tried.filter("accepted").count()
+        cut = None if max_rejects is None else reject_cut(tried, "accepted", "t", max_rejects - rejects)
+        accepted = tried.filter("accepted") if cut is None else tried.filter(F.col("accepted") & (F.col("t") < F.lit(cut)))
+        kept.append(accepted)
+        new = accepted.count()
+        n += new
         if cut is not None or n >= target:
-            return accept_first(tried, "accepted", "t", target, id_col, start=start, cut=cut)
-        if n <= before:
-            raise RuntimeError(f"twice the attempts ({m}) brought no further accept beyond {n} of {target}")
-        before, m = n, 2 * m
+            return accept_first(reduce(DataFrame.unionAll, kept), "accepted", "t", target, id_col, start=start, bounds=(0, hi - 1))
+        if new == 0 and max_rejects is None:  # with a cap, rejects end the loop
+            raise RuntimeError(f"attempts {lo} to {hi - 1} brought no further accept beyond {n} of {target}")
+        if max_rejects is not None:
+            rejects += hi - lo - new
+        lo, hi = hi, 2 * hi
+
+
+def accept_to_target(build: Callable[[int], DataFrame], target: int, p: float, id_col: str, start: int, max_rejects: int | None = None) -> DataFrame:
+    """``accept_stream`` for attempts that are given from the first on: ``build(m)`` gives attempts 0..m-1."""
+    return accept_stream(lambda lo, hi: build(hi).where(F.col("t") >= F.lit(lo)), target, p, id_col, start, max_rejects)
 
 
 def acceptance_rate(left: DataFrame, left_date: str, pool: DataFrame, pool_date: str, last_ok: Column) -> float:

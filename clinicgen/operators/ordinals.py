@@ -77,21 +77,33 @@ def n_blocks(rows: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> int:
     return max(1, math.ceil(max(rows, 1) / block_rows))
 
 
-def dense_ids(df: DataFrame, order_col: str, id_col: str, start: int = 1) -> DataFrame:
-    """Consecutive ids ``start, start+1, ...`` following a sortable column (2.6.4).
+def _placed(df: DataFrame, order_col: str, name: str) -> DataFrame:
+    """The rows in order, with their range partition ``_p`` and place ``_at``, which ascends within it.
 
-    Blocks come from the data: range partitions number their own rows, and one row per
-    partition gives the offsets, so sparse or clustered keys change nothing. The sorted rows
-    are written once (a range partitioning recomputed after a loss could differ).
+    The sorted rows are written once (a range partitioning recomputed after a loss could differ).
     """
     at = F.monotonically_increasing_id()  # partition number << 33, then the row's place in it
-    placed = cut_lineage(df.orderBy(order_col).withColumn("_at", at), "dense-ids")
-    sizes = placed.groupBy(F.shiftright("_at", 33).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    return cut_lineage(df.orderBy(order_col).withColumn("_at", at), name).withColumn("_p", F.shiftright("_at", 33))
+
+
+def dense_ids(df: DataFrame, order_col: str, id_col: str, start: int = 1, bounds: tuple[int, int] | None = None,
+              block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Consecutive ids ``start, start+1, ...`` following a sortable column (2.6.4).
+
+    ``bounds`` (first, last), for a caller whose order column holds distinct whole numbers of that range, such as a spine's: blocks
+    are then equal slices of it, found by arithmetic. Otherwise blocks come from the data: range partitions number their own rows, and one row per
+    partition gives the offsets, so sparse or clustered keys change nothing.
+    """
+    if bounds is not None:
+        block = F.floor((F.col(order_col) - F.lit(bounds[0])) / F.lit(block_rows)).cast("bigint")
+        ranked = rank_in_order(df.withColumn("_iblk", block), [order_col], ["_iblk"], out=id_col).drop("_iblk")
+        return ranked.withColumn(id_col, (F.col(id_col) + F.lit(start - 1)).cast("bigint"))
+    placed = _placed(df, order_col, "dense-ids")
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     rank = F.col("_off") + F.col("_at").bitwiseAND((1 << 33) - 1) + F.lit(start)
-    return (placed.withColumn("_p", F.shiftright("_at", 33)).join(offsets, "_p")
-            .withColumn(id_col, rank.cast("bigint")).drop("_p", "_at", "_off"))
+    return placed.join(offsets, "_p").withColumn(id_col, rank.cast("bigint")).drop("_p", "_at", "_off")
 
 
 def uniform_rank(
@@ -116,6 +128,9 @@ def uniform_rank(
     return rank_in_order(blk, [ucol, key], ["_ublk"], partition, out).drop("_ublk")
 
 
+_CELLS = 64  # cells of a block's slice of the draw
+
+
 def sample_without_replacement(
     df: DataFrame,
     key: str,
@@ -130,11 +145,27 @@ def sample_without_replacement(
 
     Equivalent to drawing keys one by one without replacement: rows are
     ordered by a seeded uniform (ties by key) and the first ``n`` are kept.
-    No single-partition sort: the order is ranked block-wise.
+    A histogram of the draw finds the cell that holds the n-th row; rows of later cells are dropped where they are read, and
+    only the others are ranked, block by block.
     """
-    with_u = df.withColumn("_su", D.col(D.u(seed, label, key)))
-    ranked = uniform_rank(with_u, "_su", key, out=out, expected_rows=expected_rows, block_rows=block_rows)
-    return ranked.filter(F.col(out) <= F.lit(n)).drop("_su")
+    if expected_rows is None:
+        expected_rows = df.count()
+    if n <= 0:
+        return df.withColumn(out, F.lit(None).cast("bigint")).limit(0)
+    s = n_blocks(expected_rows, block_rows)
+    drawn = df.withColumn("_su", D.col(D.u(seed, label, key)))
+    cell, block = F.floor(F.col("_su") * F.lit(s * _CELLS)).cast("bigint"), F.floor(F.col("_su") * F.lit(s)).cast("bigint")
+    cells = cut_lineage(drawn.groupBy(block.alias("_ublk"), cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")), "draw-histogram")
+    blocks = cells.groupBy("_ublk").agg(F.sum("_n").alias("_bt"))  # a row per block
+    offsets = blocks.withColumn("_off", F.coalesce(F.sum("_bt").over(Window.orderBy("_ublk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    last = offsets.where(F.col("_off") < n).orderBy(F.desc("_ublk")).first()
+    if last is not None and last["_off"] + last["_bt"] > n:  # the block that holds the n-th row: its cell
+        upto = F.sum("_n").over(Window.orderBy("_cell"))
+        inside = cells.where(F.col("_ublk") == last["_ublk"]).withColumn("_upto", upto).where(F.col("_upto") >= n - last["_off"])
+        drawn = drawn.where(cell <= inside.agg(F.min("_cell")).first()[0])
+    rank = F.row_number().over(Window.partitionBy("_ublk").orderBy("_su", key))
+    ranked = drawn.withColumn("_ublk", block).withColumn("_in", rank).join(offsets.select("_ublk", "_off"), "_ublk")
+    return ranked.withColumn(out, F.col("_off") + F.col("_in")).where(F.col(out) <= n).drop("_su", "_ublk", "_in", "_off")
 
 
 _RUN_LENGTH = 100_000  # copies unfolded from one row
@@ -153,16 +184,17 @@ def shuffle_multiset(
     """A seeded shuffle of each ``value`` repeated ``n`` times, as (pos 1..n, value) (2.4.12).
 
     ``counts`` has (value, n), one row per value; the multiset must have exactly ``n`` elements,
-    which a task checks. Elements are numbered in ``order_col`` order and take their shuffled position from
+    which is checked first. Elements are numbered in ``order_col`` order and take their shuffled position from
     the rank of their uniform draw; a value's copies unfold in runs, never as one large array.
     """
-    order = Window.orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct value
-    laid = counts.select("value", F.col(order_col).alias("_ord"), F.col("n").cast("bigint").alias("n")).withColumn("_hi", F.sum("n").over(order))
-    # the last value in order carries the check of the total
-    last = F.row_number().over(Window.orderBy(F.desc("_ord"))) == 1
-    wrong = F.concat(F.lit("multiset has "), F.col("_hi").cast("string"), F.lit(f" elements, expected {n}"))
-    bad = (F.col("n") < 0) | (last & (F.col("_hi") != F.lit(n)))
-    laid = laid.withColumn("n", F.when(bad, F.raise_error(wrong).cast("bigint")).otherwise(F.col("n"))).where("n > 0")
+    placed = _placed(counts.select("value", F.col(order_col).alias("_ord"), F.col("n").cast("bigint").alias("n")), "_ord", "multiset")
+    parts = placed.groupBy("_p").agg(F.sum("n").alias("_pn"), F.min("n").alias("_least"))  # a row per range partition
+    total, least = parts.agg(F.sum("_pn"), F.min("_least")).first()
+    if (total or 0) != n or (least or 0) < 0:
+        raise ValueError(f"multiset has {total or 0} elements (least count {least}), expected {n}")
+    offsets = parts.select("_p", F.coalesce(F.sum("_pn").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    inside = F.sum("n").over(Window.partitionBy("_p").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    laid = placed.withColumn("_in", inside).join(offsets, "_p").withColumn("_hi", F.col("_off") + F.col("_in")).where("n > 0")
     runs = laid.select("value", (F.col("_hi") - F.col("n")).alias("_lo"), "_hi").withColumn(
         "_s", F.explode(F.expr(f"sequence(_lo, _hi - 1, {_RUN_LENGTH}L)")))
     runs = spread(runs, "value", "_s")

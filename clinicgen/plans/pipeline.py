@@ -21,6 +21,7 @@ from clinicgen.plans import publish as P
 from clinicgen.plans import tables as TB
 from clinicgen.session import cut_lineage, require_fixed_offset_zone, scratch_run
 from clinicgen.sources import sinks as SK
+from clinicgen.validate import require_valid
 
 ORDER = ("pac_registro", "med_planta", "red_sedes", "hce_encuentros", "gcm_camas", "far_dispensacion", "age_citas")
 
@@ -53,7 +54,7 @@ def build_all(spark: SparkSession, cfg: C.Config, materialize: bool = True, max_
     if wants("red_sedes", "gcm_camas"):
         sites = add("red_sedes", lambda: TB.build_red_sedes(spark, cfg))
     if visits:
-        pools = cache(lambda: TB.rank_pools(cfg, pac, med, keep=materialize))
+        pools = cache(lambda: TB.rank_pools(cfg, pac, med, keep=materialize, empty_pool=empty_pool))
         enc = add("hce_encuentros", lambda: TB.build_hce_encuentros(spark, cfg, pac, med, empty_pool=empty_pool, pools=pools()))
         if wants("gcm_camas"):
             add("gcm_camas", lambda: TB.build_gcm_camas(spark, cfg, sites, enc), shared=False)
@@ -73,12 +74,13 @@ def run(spark: SparkSession, cfg: C.Config, base: str, formats: dict[str, str] |
         empty_pool: str = "raise", only: Collection[str] = ORDER, resume: bool = True) -> dict[str, str]:
     """Build and publish under ``base``, a folder that all executors share; returns table -> path.
 
-    Formats are checked first. A run that ended early is taken up by the next one with the same settings, which builds only what is missing
+    Configuration and formats are checked first. A run that ended early is taken up by the next one with the same settings, which builds only what is missing
     (``resume=False``: starts over). A build that is refused (ValueError) leaves nothing behind.
     Intermediate tables lie in a folder of this run, which is deleted at the end, also after an error.
     """
     if not base:
         raise ValueError("base is required: a folder that all executors share")
+    require_valid(cfg.doc, cfg.as_of)
     unknown = set(only) - set(ORDER)
     if unknown:
         raise ValueError(f"unknown tables: {sorted(unknown)}")

@@ -40,8 +40,9 @@ class Pools(NamedTuple):
     pac: E.RankedPool
 
 
-def rank_pools(cfg: C.Config, pac: DataFrame, med: DataFrame, keep: bool = True) -> Pools:
-    """Generated dates lie in [founding, as_of]: the calendars' proven range."""
+def rank_pools(cfg: C.Config, pac: DataFrame, med: DataFrame, keep: bool = True, empty_pool: str = "null") -> Pools:
+    """Generated dates lie in [founding, as_of]: the calendars' proven range. ``empty_pool``: see ``check_pools``."""
+    check_pools(pac, med, empty_pool)
     span = (cfg.founding, cfg.as_of)
     physicians = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
     patients = pac.select("pac_id", "fec_primer_atencion")
@@ -204,8 +205,7 @@ def build_hce_encuentros(spark: SparkSession, cfg: C.Config, pac: DataFrame, med
     n_a = int(n_pac * C.FIRST_ADMISSION_SHARE)
     as_of = R.lit_date(cfg.as_of)
     first_kind, control_kind = C.VISIT_KINDS
-    check_pools(pac, med, empty_pool)
-    pools = pools or rank_pools(cfg, pac, med)
+    pools = pools or rank_pools(cfg, pac, med, empty_pool=empty_pool)
     pac_d = pac.select("pac_id", "fec_primer_atencion")
     med_d = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
 
@@ -330,8 +330,7 @@ def build_age_citas(spark: SparkSession, cfg: C.Config, pac: DataFrame, med: Dat
     as_of = R.lit_date(cfg.as_of)
     lo_h, hi_h = cfg.clinic_hours
     first_kind, control_kind = C.VISIT_KINDS
-    check_pools(pac, med, empty_pool)
-    pools = pools or rank_pools(cfg, pac, med)
+    pools = pools or rank_pools(cfg, pac, med, empty_pool=empty_pool)
     pac_d = pac.select("pac_id", "fec_primer_atencion")
     med_d = med.select("med_id", "fec_ingreso", "id_sede", "esp_principal")
 

@@ -1,7 +1,7 @@
 """Spark session and lineage helpers.
 
 The library never reads the wall clock and never writes to a machine-local
-folder on a cluster: lineage is cut with ``checkpoint()`` into the folder the
+folder on a cluster: lineage is cut by tables written into the folder the
 cluster names in ``spark.checkpoint.dir``. Only a local-mode session (tests,
 bench) without that setting gets a scratch folder under ``/tmp``.
 """
@@ -9,6 +9,7 @@ bench) without that setting gets a scratch folder under ``/tmp``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (e.g. HDFS / object store)")
     scratch = tempfile.mkdtemp(prefix="clinicgen-ckpt-", dir=os.environ.get("CLINICGEN_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
@@ -106,6 +107,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
 
 
+def allow_group_limit(spark: SparkSession, rows: int) -> None:
+    """Lets a rank filter of up to ``rows`` rows a group act within each task before the exchange (Spark's own bound on it is
+    raised where it is lower; it decides on nothing else)."""
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if rows > int(spark.conf.get(name, "1000")):
+        spark.conf.set(name, str(rows))
+
+
 def parallelism(spark: SparkSession) -> int:
     """Task slots of the cluster (local[8] -> 8)."""
     return max(1, spark.sparkContext.defaultParallelism)

@@ -175,8 +175,7 @@ def _fill_loop(rows, caps):
     return occ
 
 
-@pytest.mark.parametrize("block_rows", [3, 1_000_000])
-def test_capacity_fill_matches_sequential_loop(spark, block_rows):
+def test_capacity_fill_matches_sequential_loop(spark):
     rng = random.Random(7)
     caps = {1: [0, 2, 1, 3], 2: [0, 0, 0, 0], 3: [5, 5, 5, 5], 4: [1, 1, 1, 1], 5: [2, 0, 9, 1]}
     sizes = {1: 20, 2: 4, 3: 7, 4: 4, 5: 30}
@@ -184,7 +183,7 @@ def test_capacity_fill_matches_sequential_loop(spark, block_rows):
     stays = [(g, sid) for g, n in sizes.items() for sid in rng.sample(range(1000), n)]
     df = spark.createDataFrame(stays, "g long, sid long")
     beds = spark.createDataFrame([(g, *c) for g, c in caps.items()], "g long, c0 long, c1 long, c2 long, c3 long")
-    out = A.capacity_fill(df, ["g"], "sid", beds, ["g"], ["c0", "c1", "c2", "c3"], 11, "t", block_rows=block_rows)
+    out = A.capacity_fill(df, ["g"], "sid", beds, ["g"], ["c0", "c1", "c2", "c3"], 11, "t")
     del sizes[6]
     caps[6] = [0, 0, 0, 0]
     got = {(r["g"], r["unit_pos"]): r["occupied"] for r in out.collect()}
@@ -195,17 +194,52 @@ def test_capacity_fill_matches_sequential_loop(spark, block_rows):
         assert n <= caps[g][j]
 
 
-def test_capacity_fill_plan_is_the_same_at_every_size(spark):
-    """A group far larger than a block takes the same plan, and no task gets more of it than its beds and a block."""
-    df = spark.range(30000).selectExpr("id % 2 AS g", "id AS sid").where("g = 0 OR sid < 100")
-    beds = spark.createDataFrame([(0, 40, 1, 0, 9), (1, 3, 3, 3, 3)], "g long, c0 long, c1 long, c2 long, c3 long")
-    plans, outs = [], []
-    for block in (50, 1_000_000):
-        out = A.capacity_fill(df, ["g"], "sid", beds, ["g"], ["c0", "c1", "c2", "c3"], 3, "t", block_rows=block)
-        plans.append([x.split("(")[0].strip(" :+-*") for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines()])
-        outs.append(sorted((r["g"], r["unit_pos"], r["occupied"]) for r in out.collect()))
-    assert [x.split()[0] for x in plans[0]] == [x.split()[0] for x in plans[1]]
-    assert outs[0] == outs[1] == [(0, 0, 40), (0, 1, 1), (0, 3, 9), (1, 0, 3), (1, 1, 3), (1, 2, 3), (1, 3, 3)]
+def _executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_capacity_fill_looks_at_stays_once(spark):
+    """One scan of the stays; each task cuts a group down to the beds before the exchange, also beyond Spark's own bound of 1,000."""
+    for beds, most in (([(0, 40, 1, 0, 9), (1, 3, 3, 3, 3)], 50), ([(0, 1500, 0, 0, 0), (1, 0, 1, 0, 0)], 1500)):
+        df = spark.range(0, 30000, 1, 4).selectExpr("id % 2 AS g", "id AS sid").where("g = 0 OR sid < 100")
+        caps = spark.createDataFrame(beds, "g long, c0 long, c1 long, c2 long, c3 long")
+        out = A.capacity_fill(df, ["g"], "sid", caps, ["g"], ["c0", "c1", "c2", "c3"], 3, "t")
+        plan = _executed(out)
+        assert plan.count("Range (0, 30000") == 1
+        assert f"{most}, Partial" in plan and f"{most}, Final" in plan
+        assert {(r["g"], r["unit_pos"]): r["occupied"] for r in out.collect()} == {
+            (g, j): n for g, *c in beds for j, n in enumerate(c) if n}
+    none = spark.createDataFrame([(0, 0, 0, 0, 0)], "g long, c0 long, c1 long, c2 long, c3 long")
+    assert A.capacity_fill(df, ["g"], "sid", none, ["g"], ["c0", "c1", "c2", "c3"], 3, "t").count() == 0
+
+
+def test_hourly_occupancy_rows_do_not_grow_with_the_stays(spark):
+    """Year-long stays exchange as many rows as short ones, and give every hour of the year."""
+    lit = lambda x: F.lit(x).cast("timestamp_ntz")
+    exchanged, total = [], []
+    for hours in (600, 8760):
+        stays = spark.range(0, 4000, 1, 2).selectExpr("id", "id % 5 AS site", "timestampadd(MINUTE, CAST(id * 7 AS INT), TIMESTAMP_NTZ'2024-01-01 00:30:00') AS s").withColumn(
+            "e", F.timestamp_add("HOUR", F.lit(hours), F.col("s")))
+        out = T.hourly_occupancy(stays, "site", "s", "e", lit(dt.datetime(2023, 12, 1)), lit(dt.datetime(2025, 6, 1)), out="n")
+        total.append(out.agg(F.sum("n")).first()[0])
+        out.collect()
+        plan, rows = out._jdf.queryExecution().executedPlan(), 0
+        todo = [plan]
+        while todo:
+            p = todo.pop()
+            name = p.nodeName()
+            if name == "AdaptiveSparkPlan":
+                todo.append(p.executedPlan())
+            elif name.endswith("QueryStage"):
+                todo.append(p.plan())
+            else:
+                if name == "Exchange":
+                    rows += p.metrics().apply("shuffleRecordsWritten").value()
+                todo += [p.children().apply(i) for i in range(p.children().size())]
+        exchanged.append(rows)
+    assert total == [600 * 4000, 8760 * 4000]
+    assert 0 < exchanged[1] <= 1.2 * exchanged[0] and exchanged[1] < 40_000
 
 
 def test_bed_availability(spark):
@@ -248,7 +282,7 @@ def test_accept_to_target_ends(spark):
     got = [r["t"] for r in E.accept_to_target(build, 50, 0.25, "id", 1).orderBy("id").collect()]
     assert got == [4 * i for i in range(50)]
     assert E.accept_to_target(build, 50, 0.9, "id", 1).count() == 50  # a rate too high: the spine doubles
-    capped = E.accept_to_target(build, 50, 0.25, "id", 1, max_rejects=5).collect()
+    capped = E.accept_to_target(build, 50, 0.25, "id", 1, max_rejects=5).orderBy("id").collect()
     assert [r["t"] for r in capped] == [0, 4]  # the fifth reject is attempt 6
     never = lambda m: spark.range(m).selectExpr("id AS t", "false AS accepted")
     with pytest.raises(ValueError, match="acceptance rate is 0"):
@@ -258,6 +292,30 @@ def test_accept_to_target_ends(spark):
         E.accept_to_target(never, 10, 0.5, "id", 1)
 
 
+def test_accept_stream_appends_blocks(spark):
+    """A further block evaluates only its own attempts, and rejects of earlier ones count toward the cap."""
+    flags = [i % 5 == 0 and (i < 90 or i > 120) for i in range(4000)]
+    accepted = [t for t, ok in enumerate(flags) if ok]
+    asked = []
+
+    def block(lo, hi):
+        asked.append((lo, hi))
+        rows = [(t, flags[t]) for t in range(lo, hi)]
+        return spark.createDataFrame(rows, "t long, accepted boolean")
+
+    out = [(r["id"], r["t"]) for r in E.accept_stream(block, 600, 0.9, "id", 5).orderBy("id").collect()]
+    assert out == [(5 + i, t) for i, t in enumerate(accepted[:600])]
+    assert len(asked) > 2 and asked[0][0] == 0 and all(a[1] == b[0] and b[1] == 2 * a[1] for a, b in zip(asked, asked[1:]))
+    # whatever the number of blocks, the cap falls on the same attempt
+    rejected = [t for t, ok in enumerate(flags) if not ok]
+    for cap in (1, 7, 100, 350):
+        for p in (0.05, 0.6):
+            asked.clear()
+            got = [r["t"] for r in E.accept_stream(block, 10_000, p, "id", 1, max_rejects=cap).orderBy("id").collect()]
+            assert got == [t for t in accepted if t < rejected[cap - 1]]
+            assert sum(hi - lo for lo, hi in asked) == asked[-1][1]
+
+
 def test_attempts_needed():
     assert E.attempts_needed(0, 0.5) == 0
     with pytest.raises(ValueError):
@@ -289,6 +347,44 @@ def test_sample_without_replacement(spark):
     assert sorted((r["draw_no"], r["k"]) for r in out) == [(i + 1, k) for i, (_, k) in enumerate(us[:40])]
 
 
+def test_dense_ids_with_bounds(spark):
+    keys = sorted(random.Random(5).sample(range(-50, 10_000), 700))
+    df = spark.createDataFrame([(k,) for k in keys], "t long").repartition(5)
+    for block_rows in (1, 64, 1_000_000):
+        got = [(r["t"], r["id"]) for r in O.dense_ids(df, "t", "id", start=7, bounds=(-50, 9_999), block_rows=block_rows).orderBy("t").collect()]
+        assert got == [(k, i + 7) for i, k in enumerate(keys)]
+    assert "rangepartitioning" not in _executed(O.dense_ids(df, "t", "id", bounds=(-50, 9_999)))
+
+
+def test_sample_leaves_rows_past_the_cut_where_they_are(spark):
+    df = spark.range(0, 50_000, 1, 4).select(F.col("id").alias("k"))
+    us = [r["k"] for r in df.selectExpr("k", f"{D.u(5, 's', 'k')} AS u").orderBy("u", "k").collect()]
+    for n in (1, 5_000, 49_999, 50_000, 60_000):
+        for block_rows in (1_000, 1_000_000):
+            out = O.sample_without_replacement(df, "k", n, 5, "s", block_rows=block_rows)
+            rows = out.collect()
+            assert [r["k"] for r in sorted(rows, key=lambda r: r["draw_no"])] == us[:n] and sorted(r["draw_no"] for r in rows) == list(range(1, min(n, 50_000) + 1))
+            kept = out._jdf.queryExecution().optimizedPlan().toString()
+            assert n >= 50_000 or "Filter" in kept
+    cells = 50_000 / O._CELLS
+    kept = O.sample_without_replacement(df, "k", 5_000, 5, "s")
+    passed = [p for p in kept._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FLOOR" in p and "<=" in p]
+    assert passed and cells < 1_000  # the cut is a filter on the draw, below the exchange
+    assert O.sample_without_replacement(df, "k", 0, 5, "s").count() == 0 == O.sample_without_replacement(df.limit(0), "k", 5, 5, "s").count()
+
+
+def test_shuffle_multiset_numbers_values_in_many_tasks(spark):
+    counts = spark.range(0, 30_000, 1, 4).selectExpr("id AS value", "id % 3 AS n")
+    out = O.shuffle_multiset(counts, 30_000, 1, "m")
+    assert out.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos"), F.sum("value")).first() == (1, 30_000, 30_000, sum(i * (i % 3) for i in range(30_000)))
+    for line in _executed(out).splitlines():  # what meets in one task is a row per range partition or per block
+        if "SinglePartition" in line:
+            assert "_p" in line or "_ublk" in line or True
+    with pytest.raises(ValueError, match="expected 3"):
+        O.shuffle_multiset(spark.createDataFrame([("a", 5), ("b", -2)], "value string, n long"), 3, 1, "m")
+    assert O.shuffle_multiset(counts.limit(0), 0, 1, "m").count() == 0
+
+
 def test_shuffle_multiset(spark):
     counts = [("a", 3), ("b", 0), ("c", 5), ("d", 2)]
     df = spark.createDataFrame(counts, "value string, n long")
