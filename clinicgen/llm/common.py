@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clinicgen.session import cut_lineage, ensure_checkpoint_dir, scratch_path, unique_path
 
-__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "release", "scratch_path", "unique_path", "unit", "without", "spread_files"]
+__all__ = ["ARROW_ROWS", "TOKEN", "cut", "prepare", "read", "release", "scratch_path", "unique_path", "write", "unit", "without", "spread_files"]
 
 # a token: a run of anything but ASCII white space
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -49,6 +49,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name)
 
 
+def write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``cut``, with the table's place, for one that is released later."""
+    spark, path = df.sparkSession, unique_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
 def release(spark: SparkSession, *paths: str) -> None:
     """Deletes written tables that nothing reads any more, and lets Spark clear the exchanges of plans that are gone.
 

@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinicgen.llm.common import cut, read
+from clinicgen.llm.common import cut, read, release, write
 from clinicgen.llm.fmindex import FmIndex
 from clinicgen.llm.hpylm import _Words
 
 GRAM = 4
-HOT = 5_000
-SHARD_WORDS = 1_000_000
+HOT = 2_000
+SHARD_WORDS = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _NO_ID = (1 << 63) - 1
@@ -220,16 +220,21 @@ def repeats(docs: DataFrame, length: int = 20, text: str = "text", hot: int = HO
     """(doc, tag, spans): per document the spans [from, to) of words covered by a repeated window; spans may overlap. ``length``: GRAM to GRAM + 27 words."""
     if not GRAM <= length < GRAM + (1 << _COUNT) - 4:
         raise ValueError(f"length: {GRAM} to {GRAM + (1 << _COUNT) - 5}")
-    keyed = _keyed(docs, text)
-    every = cut(segments(keyed, length), "substring-segments")
+    spark, keyed = docs.sparkSession, _keyed(docs, text)
+    every, every_place = write(segments(keyed, length), "substring-segments")
     several = every.where("anchor is not null").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    met = cut(every.join(several, "anchor"), "substring-met")
-    least = cut(met.groupBy("anchor", "segment").agg(F.min("doc").alias("doc")), "substring-least")
-    # joined by document too: copies of a segment don't meet in one task
-    copies = met.join(least, ["anchor", "segment", "doc"], "left_anti").select("doc", "place").union(every.where("anchor is null").select("doc", "place"))
+    columns = ("anchor", "segment", "doc", "place")
+    met, met_place = write(every.join(several, "anchor").select(*columns).union(every.where("anchor is null").select(*columns)), "substring-met")
+    del every, several
+    release(spark, every_place)
+    least, least_place = write(met.where("anchor is not null").groupBy("anchor", "segment").agg(F.min("doc").alias("doc")), "substring-least")
+    # joined by document too: copies of a segment don't meet in one task; rows without an anchor stay as well
+    copies = met.join(least, ["anchor", "segment", "doc"], "left_anti").select("doc", "place")
     forms = least.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("hot"))
-    wanted = cut(met.join(least, ["anchor", "segment", "doc"], "left_semi").join(forms, "anchor").select("anchor", "hot", "doc", "place"), "substring-wanted")
-    found = cut(_gather(wanted, keyed, length), "substring-words")
+    wanted, wanted_place = write(met.join(least, ["anchor", "segment", "doc"], "left_semi").join(forms, "anchor").select("anchor", "hot", "doc", "place"), "substring-wanted")
+    found, found_place = write(_gather(wanted, keyed, length), "substring-words")
+    del wanted, forms
+    release(spark, wanted_place)
     words = found.where("not hot").agg(F.sum(F.length("words"))).first()[0] or 0
     searched = _search(found.where("not hot"), max(1, -(-words // (8 * shard_words))), length)
     windows = found.where("hot").select("anchor", "segment", "doc", "place", _start().alias("start"))
@@ -237,7 +242,10 @@ def repeats(docs: DataFrame, length: int = 20, text: str = "text", hot: int = HO
     single = windows.join(first, ["anchor", "segment", "doc", "start"], "left_anti").select("doc", "place")
     spans = copies.union(searched).union(single).select(
         "doc", _tag().alias("tag"), _start().alias("s"), (_start() + F.col("place").bitwiseAND((1 << _COUNT) - 1) + (length - 1)).alias("e"))
-    return cut(spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "substring-spans")
+    spans = cut(spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "substring-spans")
+    del met, least, found, copies, searched, windows, first, single
+    release(spark, met_place, least_place, found_place)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", **how: int) -> DataFrame:
