@@ -4,7 +4,8 @@ The tree is fitted on a sample of at most ``sample`` vectors (those of least id
 row is indexed: it descends to the leaf of its nearest centroids. A query walks the tree with
 a priority queue over centroid inner products and visits leaves in that order. How many
 is calibrated: for a bounded set of calibration queries the exact neighbours are found against all rows
-in blocks, and the number of leaves is widened until their recall reaches the target.
+in blocks, and the number of leaves is widened until the mean recall reaches its target and that of each of them a floor. It is a number of its own
+for queries in leaves of each of four sizes, as in one mean those of dense regions would hide the others. A query goes on past it until its leaves hold more than k rows.
 
 Query and row meet in blocks of a leaf: a leaf's rows and its queries are salted by their counts,
 so a leaf that holds a third of all rows is many blocks. Blocks return their best, with scores of
@@ -12,8 +13,7 @@ the original vectors in double precision, computed alike for equal vectors.
 
 Cases: vectors that are null, empty, zero, of another length than most, or hold a null or
 non-finite component take no part, nor do rows with a null id; of rows that share an id the least vector
-counts; ties go to the smaller id; fewer candidates than k are all returned if their leaves are
-visited (with one leaf they always are); an empty table gives an empty result; extra columns are ignored.
+counts; ties go to the smaller id; fewer candidates than k are all returned; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,13 +88,14 @@ def assign(root: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_bins(root: Node, q: np.ndarray, visits: int) -> list[int]:
-    """The first ``visits`` leaves in best-bin-first order."""
-    heap, n, out = [(0.0, 0, root)], 0, []
-    while heap and len(out) < visits:
+def best_bins(root: Node, q: np.ndarray, visits: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+    """The first ``visits`` leaves in best-bin-first order, and further ones until they hold ``least`` rows (``held``: rows per leaf)."""
+    heap, n, rows, out = [(0.0, 0, root)], 0, 0, []
+    while heap and (len(out) < visits or (held is not None and rows < least)):
         _, _, node = heapq.heappop(heap)
         if not node.children:
             out.append(node.leaf)
+            rows += int(held[node.leaf]) if held is not None else 0
             continue
         for child, s in zip(node.children, np.stack([c.centroid for c in node.children]) @ q, strict=True):
             n += 1
@@ -146,7 +147,7 @@ def _nearest(parts: DataFrame, k: int) -> DataFrame:
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, sample: int = 20_000, calibrators: int = 256,
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, floor: float = 0.9, sample: int = 20_000, calibrators: int = 256,
            leaves: int = 64, leaf_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``queries`` against ``vectors`` (both (vec_id, v) of ``usable``).
 
@@ -171,12 +172,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(leaf)], ["vec_id", "v", "leaf"])
 
     rows = cut(vectors.select("vec_id", "v").mapInArrow(index, "vec_id bigint, v array<double>, leaf int"), "ann-index")
-    visits = _calibrate(rows, queries, root, n_leaves, dim, k, recall, calibrators)
+    held = np.zeros(n_leaves, np.int64)
+    for r in rows.groupBy("leaf").count().collect():  # a row per leaf
+        held[r["leaf"]] = r["count"]
+    edges, visits = _calibrate(rows, queries, root, held, dim, k, recall, floor, calibrators)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             q = _matrix(b.column(1), dim)
-            bins = [best_bins(tree.value, x, visits) for x in q]
+            own = [int(visits[np.searchsorted(edges, held[best_bins(tree.value, x, 1)[0]])]) for x in q]
+            bins = [best_bins(tree.value, x, n, held, k + 1) for x, n in zip(q, own, strict=True)]
             at = pa.array(np.repeat(np.arange(len(q)), [len(x) for x in bins]), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array([x for y in bins for x in y], pa.int32())], ["vec_id", "v", "leaf"])
 
@@ -222,18 +227,31 @@ def exact(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
     return _nearest(rows.mapInArrow(run, "query_id bigint, vec_id bigint, leaf int, score double"), k)
 
 
-def _calibrate(rows: DataFrame, queries: DataFrame, root: Node, n_leaves: int, dim: int, k: int, recall: float, calibrators: int) -> int:
-    """Leaves to visit: widened until the calibration queries' recall reaches the target."""
+_SIZES = 4
+
+
+def _calibrate(rows: DataFrame, queries: DataFrame, root: Node, held: np.ndarray, dim: int, k: int, recall: float, floor: float, calibrators: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves to visit, by the rows in a query's first leaf (up to each edge, and above): widened until the calibration queries' mean recall
+    reaches ``recall`` and that of each of them ``floor``."""
+    none, n_leaves = np.zeros(0, np.int64), len(held)
     picked = queries.select("vec_id", "v").orderBy(F.xxhash64(F.lit(5), "vec_id"), "vec_id").limit(calibrators).toPandas()
     if picked.empty or n_leaves == 1:
-        return n_leaves
+        return none, np.array([n_leaves])
     ids, q = picked["vec_id"].to_numpy(np.int64), np.array(picked["v"].tolist(), np.float64).reshape(-1, dim)
-    order = {int(i): {leaf: r for r, leaf in enumerate(best_bins(root, x, n_leaves))} for i, x in zip(ids, q, strict=True)}
-    found = exact(rows, ids, q, k).select("query_id", "leaf").collect()  # calibrators x k rows
-    ranks = np.sort([order[r["query_id"]][r["leaf"]] for r in found])
-    if not len(ranks):
-        return n_leaves
-    return int(ranks[min(len(ranks) - 1, math.ceil(recall * len(ranks)) - 1)]) + 1
+    walk = {int(i): best_bins(root, x, n_leaves) for i, x in zip(ids, q, strict=True)}
+    ranks: dict[int, list[int]] = {}
+    for r in exact(rows, ids, q, k).select("query_id", "leaf").collect():  # calibrators x k rows
+        ranks.setdefault(r["query_id"], []).append(walk[r["query_id"]].index(r["leaf"]))
+    if not ranks:
+        return none, np.array([n_leaves])
+    size = {i: int(held[walk[i][0]]) for i in ranks}
+    edges = np.unique(np.quantile(list(size.values()), np.arange(1, _SIZES) / _SIZES, method="lower").astype(np.int64))
+    reached = lambda x, share: sorted(x)[max(0, math.ceil(share * len(x)) - 1)]
+    visits = []
+    for j in range(len(edges) + 1):
+        group = [x for i, x in ranks.items() if np.searchsorted(edges, size[i]) == j] or list(ranks.values())
+        visits.append(1 + max(reached([r for x in group for r in x], recall), *[reached(x, floor) for x in group]))
+    return edges, np.array(visits)
 
 
 def op9_kmeans_tree_search(spark, sf_dir: str) -> DataFrame:
