@@ -79,9 +79,9 @@ def mix_documents(docs: DataFrame, key: tuple[str, ...] = ("doc_id",), text: str
 
 
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
-    from clinicgen.llm.common import read
+    from clinicgen.llm.common import cut, read
 
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))
+    docs = cut(read(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size")), "mix-sizes")  # texts are looked at once
     return repetitions(docs, ["doc_id"]).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
