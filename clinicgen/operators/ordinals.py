@@ -158,11 +158,10 @@ def sample_without_replacement(
     cells = cut_lineage(drawn.groupBy(block.alias("_ublk"), cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")), "draw-histogram")
     blocks = cells.groupBy("_ublk").agg(F.sum("_n").alias("_bt"))  # a row per block
     offsets = blocks.withColumn("_off", F.coalesce(F.sum("_bt").over(Window.orderBy("_ublk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    last = offsets.where(F.col("_off") < n).orderBy(F.desc("_ublk")).first()
-    if last is not None and last["_off"] + last["_bt"] > n:  # the block that holds the n-th row: its cell
-        upto = F.sum("_n").over(Window.orderBy("_cell"))
-        inside = cells.where(F.col("_ublk") == last["_ublk"]).withColumn("_upto", upto).where(F.col("_upto") >= n - last["_off"])
-        drawn = drawn.where(cell <= inside.agg(F.min("_cell")).first()[0])
+    upto = F.col("_off") + F.sum("_n").over(Window.partitionBy("_ublk").orderBy("_cell"))
+    cut = cells.join(offsets.select("_ublk", "_off"), "_ublk").withColumn("_upto", upto).where(F.col("_upto") >= n).agg(F.min("_cell")).first()[0]
+    if cut is not None:  # the cell that holds the n-th row
+        drawn = drawn.where(cell <= cut)
     rank = F.row_number().over(Window.partitionBy("_ublk").orderBy("_su", key))
     ranked = drawn.withColumn("_ublk", block).withColumn("_in", rank).join(offsets.select("_ublk", "_off"), "_ublk")
     return ranked.withColumn(out, F.col("_off") + F.col("_in")).where(F.col(out) <= n).drop("_su", "_ublk", "_in", "_off")
