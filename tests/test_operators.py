@@ -52,6 +52,27 @@ def test_eligible_pick_brute_force(spark, direction, block_rows):
             assert (fec <= d) if direction == "le" else (fec >= d)
 
 
+def test_plans_beyond_the_broadcast_bounds_agree(spark, monkeypatch):
+    """Long calendars and dimensions are joined by shuffle; the rows are the same."""
+    from clinicgen.sources import dims as DM
+
+    pdf = spark.range(1, 300).selectExpr("id AS med_id", "date_add(DATE'2020-01-01', CAST(id % 40 AS INT)) AS fec")
+    ldf = spark.range(500).selectExpr("id AS pac_id", "date_add(DATE'2020-01-01', CAST(id % 60 - 10 AS INT)) AS d")
+    dim = spark.range(20).selectExpr("id AS k", "id * 3 AS v")
+
+    def both():
+        picked = E.eligible_pick(ldf, "d", D.u(1, "p", "pac_id"), E.rank_pool(pdf, "fec", "med_id", 1, "x"))
+        looked = DM.lookup(ldf.selectExpr("pac_id", "pac_id % 25 AS k"), dim, "k")
+        plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (picked, looked)]
+        return [sorted(map(str, x.collect())) for x in (picked, looked)], ["strategy=broadcast" in p for p in plans]
+
+    small, hinted = both()
+    monkeypatch.setattr(E, "CALENDAR_BROADCAST_DAYS", 0)
+    monkeypatch.setattr(DM, "DIM_ROWS", 5)
+    large, left = both()
+    assert small == large and hinted == [True, True] and left == [False, False]
+
+
 def test_eligible_pick_pool_of_one(spark):
     pdf = spark.createDataFrame([(1, _day(3))], "med_id long, fec date")
     ldf = spark.createDataFrame([(i, _day(3 + i % 2)) for i in range(50)], "pac_id long, fec_l date")
