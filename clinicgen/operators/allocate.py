@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from clinicgen import config as C
 from clinicgen.functions import draws as D
 from clinicgen.operators.ordinals import DEFAULT_BLOCK_ROWS, prefix_sum
-from clinicgen.session import allow_group_limit
+from clinicgen.session import allow_group_limit, cut_lineage
 
 
 # --------------------------------------------------------------------- budget
@@ -105,6 +105,7 @@ def capacity_fill(
     g = list(group)
     rem = F.array(*[F.greatest(F.col(c).cast("bigint"), F.lit(0)) for c in caps])
     beds = capacities.select(*on, rem.alias("_rem")).withColumn("_beds", F.aggregate("_rem", F.lit(0).cast("bigint"), lambda a, r: a + r)).where("_beds > 0")
+    beds = cut_lineage(beds, "beds")  # read for its largest number, then joined
     most = beds.agg(F.max("_beds")).first()[0] or 0
     allow_group_limit(stays.sparkSession, most)
     drawn = stays.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
