@@ -76,8 +76,16 @@ def _flips(free: tuple[int, ...], k: int) -> np.ndarray:
     return np.array([np.bitwise_or.reduce(np.array(c, np.uint64)) for n in range(1, k + 1) for c in combinations(bits, n)], np.uint64)
 
 
-def _spanning(list_: np.ndarray, flips: np.ndarray) -> list[tuple[int, int]]:
-    """Links (larger, smaller) that connect the fingerprints of one posting list as its pairs within k bits do."""
+def tally(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positional bytes that two fingerprints share, of 8."""
+    return ((a ^ b)[:, None].view(np.uint8) == 0).sum(axis=1)
+
+
+def _spanning(list_: np.ndarray, flips: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """Links (larger, smaller) that connect the fingerprints of one posting list as its pairs within k bits do.
+
+    Candidate pairs (some bits flipped) are counted, kept if they share at least ``8 - k`` bytes, and verified by their differing bits.
+    """
     fps = np.unique(list_)
     parent = np.arange(len(fps))
 
@@ -91,7 +99,9 @@ def _spanning(list_: np.ndarray, flips: np.ndarray) -> list[tuple[int, int]]:
     for m in flips:
         other = fps ^ m
         at = np.minimum(np.searchsorted(fps, other), len(fps) - 1)
-        for i in np.flatnonzero((fps[at] == other) & (other < fps)):
+        i = np.flatnonzero((fps[at] == other) & (other < fps))
+        i = i[tally(fps[i], fps[at[i]]) >= 8 - k]
+        for i in i[np.bitwise_count(fps[i] ^ fps[at[i]]) <= k]:
             a, b = root(i), root(at[i])
             if a != b:
                 parent[a] = b
@@ -116,39 +126,40 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
         for b in batches:
             found: list[tuple[int, int]] = []
             for free, list_ in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found += _spanning(list_.values.to_numpy().view(np.uint64), flips[free])
+                found += _spanning(list_.values.to_numpy().view(np.uint64), flips[free], max_bits)
             pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
     return posted.select("free", "fps").mapInArrow(verify, "a bigint, b bigint").distinct()
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """The nodes (fp, ...) with ``root``, the least fingerprint reachable through links."""
+    roots = components(links(nodes.select("fp"), max_bits))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, fp, root, component_id) of every row: the least fingerprint and the least id reachable through linked fingerprints."""
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(text, shingle).alias("fp")), "simhash-rows")
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(links(nodes.select("fp"), max_bits))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes"), max_bits)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = cut(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
     return rows.join(ids, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each component: that with its least id and, of its rows with this id, the least fingerprint (any where these agree)."""
-    found = near_duplicates(docs, shingle, max_bits, text, id_col)
-    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))
-    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")).alias("least"))
-    several = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg((F.min("fp") != F.max("fp")).alias("several"))
-    chosen = cut(least.select("root", F.col("least.doc_id").alias("id"), F.col("least.fp").alias("fp")).join(several, "id", "left"), "simhash-kept")
-    known = row.where("id is not null")
-    kept = known.join(chosen.where("not several").select("id"), "id", "left_semi").dropDuplicates(["id"]).select("row")
-    # an id of several texts, or none, does not tell the row: its fingerprint does
-    unsure = (known.join(chosen.where("several").select("id").distinct(), "id", "left_semi").select("row", "id", "text")
-              .union(row.where("id is null").select("row", "id", "text")).withColumn("fp", fingerprint_column("text", shingle)).alias("r"))
-    lone = (unsure.join(chosen.where("several is null or several").alias("c"), F.expr("r.id <=> c.id and r.fp = c.fp"))
-            .dropDuplicates(["root"]).select("row"))
-    return kept.union(lone).select("row.*")
+    """One row of each component: that with its least id and, of its rows with this id, the least fingerprint and hash of the text (any where these agree).
+
+    Rows are numbered and written with their fingerprint once; whom to keep is found by fingerprint, one row of each. Texts are exchanged once, by row number, at every
+    size (hashed against the numbers that stay, without a sort).
+    """
+    rows = cut(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), fingerprint_column(text, shingle).alias("fp"),
+                           F.xxhash64(text).alias("mark"), F.monotonically_increasing_id().alias("rid")), "simhash-rows")
+    order = F.struct(F.col("id").isNull().alias("nameless"), "id", "fp", "mark", "rid")
+    nodes = cut(rows.groupBy("fp").agg(F.min(order).alias("least")), "simhash-nodes")
+    kept = cut(_rooted(nodes, max_bits).groupBy("root").agg(F.min("least").alias("least")).select("least.rid"), "simhash-kept")
+    return rows.join(kept.hint("shuffle_hash"), "rid", "left_semi").select("row.*")
 
 
 def op7_simhash_components(spark, sf_dir: str) -> DataFrame:

@@ -58,6 +58,41 @@ def test_links_find_every_pair(lspark):
         assert len(set(zip(mine, want, strict=True))) == len(set(mine)) == len(set(want))
 
 
+def test_count_filter_equals_single_byte_postings(lspark):
+    """Posting every (position, byte), tallying the shared ones of each pair and verifying those with 6 or more links the same fingerprints."""
+    rng = np.random.default_rng(9)
+    fps = rng.integers(0, 1 << 62, 40, dtype=np.uint64).tolist()
+    for f in list(fps):
+        fps += [f ^ (1 << int(rng.integers(64))), f ^ (3 << int(rng.integers(60))), f ^ (1 << int(rng.integers(32))) ^ (1 << int(rng.integers(32, 64))), f ^ (7 << int(rng.integers(60)))]
+    fps = sorted(set(fps))
+    postings, shared = {}, {}
+    for i, f in enumerate(fps):
+        for p in range(8):
+            postings.setdefault((p, f >> 8 * p & 255), []).append(i)
+    for held in postings.values():
+        for i in held:
+            for j in held:
+                if i < j:
+                    shared[i, j] = shared.get((i, j), 0) + 1
+    pairs = {p for p, n in shared.items() if n >= 6 and bin(fps[p[0]] ^ fps[p[1]]).count("1") <= 2}
+    arr = np.array(fps, np.uint64)
+    for (i, j), n in shared.items():
+        assert H.tally(arr[i:i + 1], arr[j:j + 1])[0] == n
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, j in pairs:
+        root[find(i)] = find(j)
+    df = lspark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp bigint")
+    mine = {r.node: r.root for r in components(H.links(df, 2)).collect()}
+    ours = [mine.get(int(np.uint64(f).astype(np.int64)), i) for i, f in enumerate(fps)]
+    want = [find(i) for i in range(len(fps))]
+    assert len(set(zip(ours, want, strict=True))) == len(set(ours)) == len(set(want)) < len(fps) - 60
+
+
 def test_components_of_a_long_chain(lspark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000 - i, 1001 - i) for i in range(50)] + [(5000, j) for j in range(5001, 5100)]
     got = {r.node: r.root for r in components(lspark.createDataFrame(edges, "a bigint, b bigint")).collect()}
