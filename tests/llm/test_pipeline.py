@@ -31,7 +31,7 @@ def test_query_runs_and_agrees_with_its_sql(lspark, name):
     assert rows
     if name in ORACLE_SQL:
         con = duckdb.connect()
-        for t in ("documents", "pages", "conversations"):
+        for t in ("documents", "pages", "conversations", "labels"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         rel = con.sql(ORACLE_SQL[name])
         cols = sorted(rel.columns)
