@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 from typing import NamedTuple
 
@@ -192,7 +192,7 @@ class Known:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str | tuple[str], int] = {}
         self.n_a, self.n_b, self.n_groups, self.n_links, self.n_overlaps = self.counts = [array("q") for _ in range(5)]  # n_a -1: not given back byte by byte
         self.name: list[bytes] = []
         self.link_start, self.link_code, self.link_times = array("q", [0]), array("Q"), array("q")
@@ -202,9 +202,9 @@ class Known:
         """Aligns new pieces; one that ends in a mark after a letter is put together from its stem and the mark."""
         marks = self.tok.marks
         ended = [p for p in pieces if len(p) > 1 and p[-1] in marks and p[-2].isalpha()]
-        # a mark without a space in front is kept under a name that no piece has (pieces don't begin and end with a space)
-        bare = [m for m in sorted({p[-1] for p in ended}) if f" {m} " not in self.index]
-        self._align(bare, "", [f" {m} " for m in bare])
+        # a mark without a space in front is kept under a tuple, which no piece is
+        bare = [m for m in sorted({p[-1] for p in ended}) if (m,) not in self.index]
+        self._align(bare, "", [(m,) for m in bare])
         stems = dict.fromkeys(p for p in pieces if not (len(p) > 1 and p[-1] in marks and p[-2].isalpha()))
         stems.update(dict.fromkeys(p[:-1] for p in ended if p[:-1] not in self.index))
         stem_list = list(stems)
@@ -215,7 +215,7 @@ class Known:
 
     def _compose(self, ended: list[str]) -> None:
         at = np.array([self.index[p[:-1]] for p in ended], np.int64)
-        mark = np.array([self.index[f" {p[-1]} "] for p in ended], np.int64)
+        mark = np.array([self.index[p[-1],] for p in ended], np.int64)
         counts = [np.frombuffer(c, np.int64) for c in self.counts]
         new = [c[at] + c[mark] for c in counts]
         bad = counts[0][at] < 0
@@ -232,7 +232,7 @@ class Known:
         del start, counts  # their arrays grow now
         self._add(ended, new, names, ends, code, times)
 
-    def _add(self, pieces: list[str], counts: list[np.ndarray], names: list[bytes], link_ends: np.ndarray, code: np.ndarray, times: np.ndarray) -> None:
+    def _add(self, pieces: Sequence[str | tuple[str]], counts: list[np.ndarray], names: list[bytes], link_ends: np.ndarray, code: np.ndarray, times: np.ndarray) -> None:
         for own, new in zip(self.counts, counts, strict=True):
             own.frombytes(new.astype(np.int64).tobytes())
         self.name += names
@@ -243,7 +243,7 @@ class Known:
         self.index.update(zip(pieces, range(base, base + len(pieces)), strict=True))
         self.held += sum(map(len, names)) + 2 * sum(map(len, pieces)) + 280 * len(pieces) + 16 * len(code)
 
-    def _align(self, part: list[str], lead: str, names: list[str]) -> None:
+    def _align(self, part: list[str], lead: str, names: Sequence[str | tuple[str]]) -> None:
         tok = self.tok
         if not part:
             return

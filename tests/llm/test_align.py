@@ -101,7 +101,7 @@ def test_products_equal_dense_ones(monkeypatch):
     assert overlap == {(0, 0): 1, (0, 1): 2, (1, 1): 2, (2, 2): 1}
 
 
-ODD = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a   b   c", "word.\nNext line\n\n x", "\tx y\t z \n", "▁x plain", "plain ▁ x", "<|endoftext|> and <s> </s> <unk> [0x0A] <0x41>",
+ODD = [None, "", " ", "  ", " , ", "so, it is", ", ", " ,", ".", "U.S. a.b.", "wait... what?! no;", "a", " a", "a ", "a  b", "a   b   c", "word.\nNext line\n\n x", "\tx y\t z \n", "▁x plain", "plain ▁ x", "<|endoftext|> and <s> </s> <unk> [0x0A] <0x41>",
        "\x00 \x1c\x1d a\x1cb \x85 c\xa0 d　e  f", "é ﬁ 日本語テキスト 🙂👍🏽 ñandú", "it's we'll 'tis 12345 1,234.5 !!!??? $$$", "0" * 5000, "xyzzy" * 700 + " " + "ab " * 900, "ʼn ǆ Å Å İ"]
 
 
