@@ -248,16 +248,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, text: str
               .join(present, "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
     sample = cut(picked, "quality-sample")
-    # one row per id and text, so that copies of a labelled row do not outgrow the bound
-    texts = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id").select("doc_id", F.col(text).alias("t"), "y")
+    # one row per id, that of the least hash of its texts, so that copies of a labelled row do not outgrow the bound
+    texts = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id").select("doc_id", F.col(text).alias("t"), "y", F.xxhash64(text).alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids()
         for b in batches:
             x = [pooled(t, shared.value, ids).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.binary())], ["doc_id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.binary()), b.column(3)], ["doc_id", "y", "x", "h"])
 
-    rows = (texts.mapInArrow(run, "doc_id bigint, y double, x binary").dropDuplicates(["doc_id"]).collect())  # max_train rows at most
+    pooled_rows = texts.mapInArrow(run, "doc_id bigint, y double, x binary, h bigint")
+    rows = pooled_rows.groupBy("doc_id").agg(F.min(F.struct("h", "x", "y")).alias("r")).select("doc_id", "r.y", "r.x").collect()  # max_train rows at most
     rows.sort(key=lambda r: r["doc_id"])
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), FEATURES)
     y = np.array([float(r["y"] >= 0.5) for r in rows])

@@ -85,3 +85,11 @@ def test_few_rows_are_learned_from(lspark, make_docs, monkeypatch):
     lab = lspark.createDataFrame([*labels, *[(i, i % 2, 0) for i in range(1000, 3000)]], "doc_id bigint, quality int, toxic int")
     Q.train(make_docs(rows), lab, max_train=50)
     assert seen == [50]  # labels without a document do not use up the bound
+
+
+def test_an_id_of_several_texts_is_fitted_on_one_of_them(lspark, make_docs):
+    rows, labels = corpus(120)
+    twice = [*rows, *[(d, t.upper() + " other words") for d, t in rows]]
+    lab = lspark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    nets = [Q.train(make_docs(x).repartition(n), lab)[1] for x, n in ((twice, 3), (twice[::-1], 5))]
+    assert all(np.array_equal(getattr(nets[0], f), getattr(nets[1], f)) for f in ("mean", "scale", "w1", "b1", "w2", "b2", "temperature"))
