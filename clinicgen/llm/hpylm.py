@@ -17,6 +17,9 @@ the buckets that know the context and, but for the bucket's own share, taken as
 with totals one round old). Tables of children and parent are written after a round, and the next goes on from them. The last round sends every chunk the averaged log probabilities of its own types, and the chunk adds them up by
 document. Discounts are estimated from the counts of counts, n1 / (n1 + 2 n2).
 
+Chunks and buckets both follow the input, so a row is dealt to at most ``FAN`` cells: beyond that many buckets, slices of them are dealt first, and groups of
+chunks are merged within a slice before they are dealt to its buckets (``regroup``, ``ungroup``). The types are exchanged once (twice beyond): a bucket keeps the places of each chunk's types.
+
 Cases: null and empty texts are the end token alone; a null id is held out; repeated rows are scored each; with no
 training text every word is unknown; an empty table gives an empty result; extra columns are ignored.
 """
@@ -36,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinicgen.llm.common import read, release, unique_path
+from clinicgen.llm.common import read, release, unique_path, write
 
 CHUNK_TOKENS = 2_000_000
 BUCKET_TYPES = 1_500_000
@@ -67,10 +70,10 @@ def _from_steps(b: bytes) -> np.ndarray:
 
 
 class _Words(dict):
-    """Word -> 64-bit hash; forgets when it holds 600,000."""
+    """Word -> 64-bit hash; forgets when it holds 400,000."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) >= 600_000:
+        if len(self) >= 400_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w)
         return h
@@ -83,12 +86,14 @@ def held_out(doc_id: int | None) -> bool:
 def _chunk_row(chunk: int, pieces: list[tuple[int, int | None, np.ndarray]]) -> dict:
     """One chunk: pieces are (row id, doc id, word hashes led by the word before)."""
     sizes = np.array([len(p[2]) - 1 for p in pieces])
-    word = np.concatenate([p[2][1:] for p in pieces])
-    ctx = np.concatenate([p[2][:-1] for p in pieces])
-    doc = np.repeat(np.arange(len(pieces), dtype=np.int64), sizes)
+    words, at = np.unique(np.concatenate([p[2] for p in pieces]), return_inverse=True)  # a word that is only a context has no types
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    doc = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
     train = np.repeat(np.array([not held_out(p[1]) for p in pieces]), sizes)
-    words, at = np.unique(np.concatenate([word, ctx]), return_inverse=True)  # a word that is only a context has no types
-    key = (at[:len(word)].astype(np.int64) << 32) | at[len(word):]
+    lead, last = np.ones(len(at), bool), np.ones(len(at), bool)
+    lead[begin], last[begin + sizes] = False, False
+    key = (at[lead] << 32) | at[last]  # (word, the one before it)
+    del at, lead, last
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -130,24 +135,64 @@ def chunks(docs: DataFrame, text: str = "text", tokens: int = CHUNK_TOKENS) -> D
     return docs.select(F.col("doc_id").cast("bigint"), text).mapInArrow(run, _CHUNK_SQL)
 
 
+FAN = 1024  # cells that a row is dealt to at most, so that cells keep a size and their number follows the input
+_CELL = "bucket int, chunk bigint, words binary, per_word binary, ctxs binary, ctx binary, train binary"
+
+
+def _cells(chunk: int, words: np.ndarray, per_word: np.ndarray, names: np.ndarray, ctx: np.ndarray, train: np.ndarray, buckets: int, own: range) -> Iterator[dict]:
+    """The types (by word; contexts as places in ``names``) of each bucket in ``own``, equal slices of the hashes; buckets without any are left out."""
+    bucket = ((words.astype(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    ends, upto = np.searchsorted(bucket, np.arange(own.start, own.stop + 1)), np.r_[0, np.cumsum(per_word, dtype=np.int64)]
+    for k, i, j in zip(own, ends, ends[1:], strict=False):
+        if i < j:
+            s, e = upto[i], upto[j]
+            near, place = np.unique(ctx[s:e], return_inverse=True)
+            yield {"bucket": k, "chunk": chunk, "words": pack(words[i:j]), "per_word": pack(per_word[i:j]), "ctxs": _steps(names[near]), "ctx": pack(place), "train": pack(train[s:e])}
+
+
 def by_bucket(counted: DataFrame, buckets: int) -> DataFrame:
     """(bucket, chunk, words, per_word, ctxs, ctx, train): every chunk's types, dealt by word; ``ctx`` are places in ``ctxs``, the steps between sorted hashes."""
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), *[(c, pa.binary()) for c in ("words", "per_word", "ctxs", "ctx", "train")]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, *blobs in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 words, per_word, ctx, train = map(unpack, blobs)
-                bucket = ((words.astype(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                ends, upto = np.searchsorted(bucket, np.arange(buckets + 1)), np.r_[0, np.cumsum(per_word, dtype=np.int64)]
-                for k in range(buckets):
-                    i, j = ends[k], ends[k + 1]
-                    if i < j:
-                        s, e = upto[i], upto[j]
-                        near, place = np.unique(ctx[s:e], return_inverse=True)
-                        yield pa.RecordBatch.from_pydict({"bucket": pa.array([k], pa.int32()), "chunk": [chunk], "words": [pack(words[i:j])], "per_word": [pack(per_word[i:j])],
-                                                          "ctxs": [_steps(words[near])], "ctx": [pack(place)], "train": [pack(train[s:e])]})
+                for cell in _cells(chunk, words, per_word, words, ctx, train, buckets, range(buckets)):
+                    yield pa.RecordBatch.from_pylist([cell], schema=schema)
+
+    return counted.select("chunk", "words", "per_word", "ctx", "train").mapInArrow(run, _CELL)
+
+
+def regroup(cells: DataFrame, groups: int, per: int, buckets: int) -> DataFrame:
+    """The second level of the deal: the cells of a group of chunks in one slice of the hashes are merged and cut into the slice's ``per`` buckets.
+
+    Rows of block 0 are cells as those of ``by_bucket``, with the group as their chunk; rows of block -2 give, for each (group, slice, chunk), the places
+    of the chunk's words and types among the merged ones.
+    """
+    columns = ["block", "grp", *[c.split()[0] for c in _CELL.split(", ")]]
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        b = _Bucket(rows)
+        merged = _cells(key[0], b.words, np.bincount(b.word, minlength=len(b.words)), b.ctxs, b.ctx, b.count, buckets, range(key[1] * per, (key[1] + 1) * per))
+        out = [{"block": 0, "grp": key[0], **c} for c in merged] + [{**r, "grp": key[0], "bucket": key[1]} for r in b.placed()]
+        return pd.DataFrame({c: pd.Series([r.get(c) for r in out], dtype=None if c in ("block", "grp", "bucket", "chunk") else object) for c in columns})
+
+    grp = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("grp")
+    return cells.select(grp, "*").groupBy("grp", "bucket").applyInPandas(run, f"block int, grp bigint, {_CELL}")
 
-    return counted.select("chunk", "words", "per_word", "ctx", "train").mapInArrow(
-        run, "bucket int, chunk bigint, words binary, per_word binary, ctxs binary, ctx binary, train binary")
+
+def ungroup(answers: DataFrame, merged: DataFrame, per: int) -> DataFrame:
+    """Answers of groups (chunk, bucket, logs, known) as answers of their chunks, by slice."""
+    def run(key: tuple, placed: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        parts = parts.sort_values("bucket")
+        logs, known = (np.concatenate([unpack(x) for x in parts[c]]) for c in ("logs", "known"))
+        at = lambda c: [_from_steps(x).astype(np.int64) for x in placed[c]]
+        return pd.DataFrame({"chunk": placed["chunk"], "bucket": key[1], "logs": [pack(logs[i]) for i in at("ctx")], "known": [pack(known[i]) for i in at("words")]})
+
+    left = merged.where("block = -2").select("grp", F.col("bucket").alias("slice"), "chunk", "words", "ctx")
+    right = answers.select(F.col("chunk").alias("grp"), F.floor(F.col("bucket") / per).cast("int").alias("slice"), "bucket", "logs", "known")
+    return left.groupBy("grp", "slice").cogroup(right.groupBy("grp", "slice")).applyInPandas(run, "chunk bigint, bucket int, logs binary, known binary")
 
 
 class Totals(NamedTuple):
@@ -255,6 +300,13 @@ class _Bucket:
     def __init__(self, rows: pd.DataFrame) -> None:
         rows = rows.sort_values("chunk") if len(rows) > 1 else rows
         self.chunks = rows["chunk"].tolist()
+        if len(rows) == 1 and "ctxs" in rows:  # one cell, or the merged types of all: each word, context and type once and in order
+            row = rows.iloc[0]
+            self.words, self.ctxs = unpack(row["words"]).astype(np.uint64), _from_steps(row["ctxs"])
+            self.word, self.ctx = np.repeat(np.arange(len(self.words)), unpack(row["per_word"])), unpack(row["ctx"]).astype(np.int64)
+            self.word_of, self.type_of = [np.arange(len(self.words))], [np.arange(len(self.word))]
+            self._count(unpack(row["train"]).astype(np.int64))
+            return
         words = [unpack(x).astype(np.uint64) for x in rows["words"]]
         per_word, ctx = [unpack(x).astype(np.int64) for x in rows["per_word"]], [unpack(x) for x in rows["ctx"]]
         if "ctxs" in rows:
@@ -268,9 +320,11 @@ class _Bucket:
         self.type_of = np.split(inv, np.cumsum([len(c) for c in ctx])[:-1])
         self.word, self.ctx = types >> 32, types & 0xFFFFFFFF
         train = np.concatenate([unpack(x) for x in rows["train"]]).astype(np.float64)
-        self.count = np.bincount(inv, weights=train, minlength=len(types)).astype(np.int64)
-        self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
+        self._count(np.bincount(inv, weights=train, minlength=len(types)).astype(np.int64))
 
+    def _count(self, count: np.ndarray) -> None:
+        self.count = count
+        self.word_count = np.bincount(self.word, weights=count, minlength=len(self.words)).astype(np.int64)
 
     def placed(self) -> list[dict]:
         """Per chunk, the places of its words and types among the merged ones (both ascend)."""
@@ -336,11 +390,11 @@ def _state(bucket: int, blocks: int, b: _Bucket, s: _Sampler, more: list[dict] |
     return pd.DataFrame({c: pd.Series([(empty | r)[c] for r in rows], dtype=None if c in ("bucket", "block", "chunk") else object) for c in empty})
 
 
-def _begin(dealt: DataFrame, buckets: int, theta: float) -> DataFrame:
+def _begin(dealt: DataFrame, buckets: int, theta: float, blocks: int | None = None) -> DataFrame:
     """The state with one table per type; block -1 also holds a bucket's types, merged over the chunks, and block -2 a row per chunk with the places of its own."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         b = _Bucket(rows)
-        out = _state(key[0], buckets, b, _Sampler(b, None, buckets, theta, 0), b.placed())
+        out = _state(key[0], blocks or buckets, b, _Sampler(b, None, buckets, theta, 0), b.placed())
         types = {"words": pack(b.words), "per_word": pack(np.bincount(b.word, minlength=len(b.words))), "ctxs": _steps(b.ctxs), "ctx": pack(b.ctx), "train": pack(b.count)}
         for c, x in types.items():
             out.at[0, c] = x
@@ -371,7 +425,7 @@ def _sampler(bucket: int, rows: pd.DataFrame, shares: pd.DataFrame, scalars: lis
     return b, _Sampler(b, total, buckets, theta, seed * 1_000_003 + bucket, tables[0], customers[0])
 
 
-def _round(types: DataFrame, state: DataFrame, buckets: int, theta: float, sweeps: int, seed: int) -> DataFrame:
+def _round(types: DataFrame, state: DataFrame, buckets: int, theta: float, sweeps: int, seed: int, blocks: int | None = None) -> DataFrame:
     """The state after ``sweeps`` sweeps over the merged types."""
     scalars, shares = _shares(state)
 
@@ -379,20 +433,13 @@ def _round(types: DataFrame, state: DataFrame, buckets: int, theta: float, sweep
         b, s = _sampler(key[0], rows, old, scalars, buckets, theta, seed)
         s.sweep(sweeps)
         s.root()
-        return _state(key[0], buckets, b, s)
+        return _state(key[0], blocks or buckets, b, s)
 
     return types.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(run, _STATE)
 
 
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The table, written, and its place."""
-    spark, path = df.sparkSession, unique_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path), path
-
-
 def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2, samples: int = 3, seed: int = 1, text: str = "text",
-          chunk_tokens: int = CHUNK_TOKENS, bucket_types: int = BUCKET_TYPES) -> DataFrame:
+          chunk_tokens: int = CHUNK_TOKENS, bucket_types: int = BUCKET_TYPES, fan: int = FAN) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     ``rounds`` sampling rounds before the scoring one; in each, ``sweeps`` sweeps that draw every type's tables anew;
@@ -411,13 +458,25 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
     n_types, n_train = lists.agg(F.sum("n_types"), F.sum("n_train")).first()
     n_train = n_train or 0
     buckets = max(1, math.ceil((n_types or 0) / bucket_types))
-    first, first_place = _written(_begin(by_bucket(whole.where("kind = 'types'"), buckets), buckets, theta), "lm-types")
+    slices = min(buckets, fan)
+    per = -(-buckets // slices)
+    buckets = slices * per
+    blocks = min(buckets, max(fan, buckets // 50))  # 50 buckets know some 20 million contexts: what one task adds up
+    merged, merged_place = None, ""
+    if per == 1:
+        dealt = by_bucket(whole.where("kind = 'types'"), buckets)
+    else:
+        groups = max(1, lists.count() // per)
+        merged, merged_place = write(regroup(by_bucket(whole.where("kind = 'types'"), slices), groups, per, buckets), "lm-groups")
+        dealt = merged.where("block = 0").select(*[c.split()[0] for c in _CELL.split(", ")])
+    first, first_place = write(_begin(dealt, buckets, theta, blocks), "lm-types")
+    del dealt
     release(spark, f"{place}/kind=types")
     types = first.where("block = -1").select("bucket", "block", "chunk", "words", "per_word", "ctxs", "ctx", "train")
     placed = first.where("block = -2").select("bucket", "block", "chunk", "words", "per_word", "ctxs", "ctx", "train")
     state, state_place = first, ""
     for r in range(max(1, rounds)):
-        state, new_place = _written(_round(types, state, buckets, theta, sweeps, seed + r), "lm-round")
+        state, new_place = write(_round(types, state, buckets, theta, sweeps, seed + r, blocks), "lm-round")
         release(spark, *([state_place] if state_place else []))
         state_place = new_place
     scalars, shares = _shares(state)
@@ -435,11 +494,14 @@ def score(docs: DataFrame, theta: float = 1.0, rounds: int = 1, sweeps: int = 2,
         return pd.DataFrame({"chunk": of["chunk"], "bucket": key[0], "logs": [pack(logs[_from_steps(x).astype(np.int64)]) for x in of["ctx"]],
                              "known": [pack(b.word_count[_from_steps(x).astype(np.int64)]) for x in of["words"]]})
 
-    answers, answers_place = _written(types.union(placed).groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(
+    answers, answers_place = write(types.union(placed).groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInPandas(
         answer, "chunk bigint, bucket int, logs binary, known binary"), "lm-answers")
     vocabulary = int(scalars[2])
     del first, types, placed, state, shares
     release(spark, first_place, state_place)
+    if merged is not None:
+        answers, chunk_place = write(ungroup(answers, merged, per), "lm-answers")
+        release(spark, answers_place, merged_place)
     out = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

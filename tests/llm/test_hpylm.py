@@ -221,12 +221,38 @@ def test_several_buckets_and_chunks_score_alike(lspark, make_docs):
     assert {r.bucket for r in dealt.select("bucket").distinct().collect()} == {0, 1, 2, 3}
     many = {(r.doc_id, r.n_tokens): r for r in P.score(docs, chunk_tokens=1500, bucket_types=max(1, sum(r.n_types for r in chunked) // 4)).collect()}
     assert one.keys() == many.keys()
+    twice = {(r.doc_id, r.n_tokens): r for r in P.score(docs, chunk_tokens=700, bucket_types=max(1, sum(r.n_types for r in chunked) // 12), fan=3).collect()}  # dealt in two levels
     for k, r in one.items():
         m = many[k]
+        assert (r.held_out, r.n_known, r.train_tokens, round(r.base_score, 6)) == (twice[k].held_out, twice[k].n_known, twice[k].train_tokens, round(twice[k].base_score, 6))
         assert (r.held_out, r.n_known, r.train_tokens) == (m.held_out, m.n_known, m.train_tokens) and abs(r.base_score - m.base_score) < 1e-6 * abs(r.base_score)
     held = [k for k, r in one.items() if r.held_out]
-    a, b = (sum(x[k].score for k in held) for x in (one, many))
-    assert abs(a - b) < 0.02 * abs(a)
+    a, b, c = (sum(x[k].score for k in held) for x in (one, many, twice))
+    assert abs(a - b) < 0.02 * abs(a) and abs(a - c) < 0.02 * abs(a)
+
+
+def test_two_levels_deal_what_one_does(lspark, make_docs):
+    """Merged groups of chunks hold the same types, contexts and counts per bucket, and rows in proportion to the chunks."""
+    def types(dealt):
+        out = {}
+        for r in dealt.collect():
+            words, names, train = P.unpack(bytes(r.words)), P._from_steps(bytes(r.ctxs)), P.unpack(bytes(r.train))
+            for w, c, n in zip(np.repeat(words, P.unpack(bytes(r.per_word)).astype(int)).tolist(), names[P.unpack(bytes(r.ctx))].tolist(), train.tolist(), strict=True):
+                key = (r.bucket, w, c)
+                out[key] = out.get(key, 0) + n
+        return out
+
+    rows = corpus(80)
+    cells = []
+    for n in (1, 2):
+        docs = make_docs([(i * 10_000 + d if d is not None else None, t) for i in range(n) for d, t in rows])
+        chunked = P.write(P.chunks(docs, tokens=700), "chunks")[0]
+        slices, per = 3, 2 * n  # buckets follow the input
+        dealt = P.write(P.by_bucket(chunked, slices), "cells")[0]
+        merged = P.write(P.regroup(dealt, max(1, chunked.count() // per), per, slices * per), "groups")[0]
+        assert types(P.by_bucket(chunked, slices * per)) == types(merged.where("block = 0"))
+        cells.append(dealt.count() + merged.count())
+    assert cells[1] <= 2.3 * cells[0]  # twice the input, about twice the rows
 
 
 def test_tables_that_nothing_reads_are_deleted(lspark, make_docs):
@@ -244,10 +270,10 @@ def test_tables_that_nothing_reads_are_deleted(lspark, make_docs):
 
 
 def test_tables_of_a_round_are_where_the_next_begins(lspark, make_docs):
-    state = P._written(P._begin(P.by_bucket(P.chunks(make_docs(corpus(60))), 2), 2, 1.0), "begin")[0]
+    state = P.write(P._begin(P.by_bucket(P.chunks(make_docs(corpus(60))), 2), 2, 1.0), "begin")[0]
     types = state.where("block = -1").select("bucket", "chunk", "words", "per_word", "ctxs", "ctx", "train")
     tables = lambda s: {r.bucket: P.unpack(bytes(r.tables)).tolist() for r in s.where("block = -1").collect()}
-    state = P._written(P._round(types, state, 2, 1.0, 2, 1), "round")[0]
+    state = P.write(P._round(types, state, 2, 1.0, 2, 1), "round")[0]
     first = tables(state)
     assert any(max(t) > 1 for t in first.values())
     assert tables(P._round(types, state, 2, 1.0, 0, 2)) == first  # no sweep: the types' tables stay
