@@ -6,8 +6,8 @@ on the classpath writing avro fails loudly -- there is no silent fallback to
 another format. Callers may pass an explicit ``formats`` override.
 
 Files are sized by the data, not by the number of tasks that made it: before a write Spark merges and splits partitions by
-their measured size (an adaptive rebalance), so that a file holds the rows of about ``FILE_BYTES`` of shuffled data. Compressed parquet comes to
-between a quarter and all of that, and a table below it is one file.
+their measured size (an adaptive rebalance), so that a file holds the rows of about ``FILE_BYTES`` of shuffled data. A parquet file then has a quarter
+of that to twice as much, and a table below it is one file.
 """
 
 from __future__ import annotations
