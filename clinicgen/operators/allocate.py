@@ -12,11 +12,14 @@ dropped". While any unit has room every stay takes a bed, so only the first
 is bounded by its beds, however many stays it has. One plan at every size, with one
 look at the stays: a rank filter that Spark applies within each task before the exchange, then each group's
 first stays meet as one short array and an ``aggregate`` walks it in order.
+
+Stays that come a block of groups at a time (``within``) are tallied by the unit they would pick with every unit open, and only groups where
+a unit fills before all do are walked: a group with as many stays as beds takes them all, and one where no unit fills has its tally, whatever the order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +93,8 @@ def capacity_fill(
     label: str,
     unit_col: str = "unit_pos",
     out: str = "occupied",
+    within: Sequence[str] = (),
+    again: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Occupied beds per (group, unit) after the sequential fill (2.7.2).
 
@@ -101,6 +106,10 @@ def capacity_fill(
 
     Every task cuts its part of a group down to the largest number of beds before the exchange (a group limit on the order),
     so a group with a third of all stays sends that many per task.
+
+    ``again``, for stays far more numerous than what they are made of: gives the stays of some groups (rows of ``within`` and the group) once more. ``within``
+    are columns of the stays that follow from the group and by which, with ``on``, they are partitioned, so that no stay is exchanged; ``capacities`` are then
+    few enough for every task.
     """
     g = list(group)
     rem = F.array(*[F.greatest(F.col(c).cast("bigint"), F.lit(0)) for c in caps])
@@ -108,14 +117,41 @@ def capacity_fill(
     beds = cut_lineage(beds, "beds")  # read for its largest number, then joined
     most = beds.agg(F.max("_beds")).first()[0] or 0
     allow_group_limit(stays.sparkSession, most)
-    drawn = stays.selectExpr(*g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
-    turn = F.row_number().over(Window.partitionBy(*g).orderBy("_o", stay_id))
-    turns = drawn.withColumn("_turn", turn).where(F.col("_turn") <= F.lit(most)).groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("_turn", "_v"))).alias("_turns"))
-    # stays past the last bed change nothing
-    filled = turns.join(beds, list(on)).withColumn(
-        "_left", F.aggregate(F.slice("_turns", F.lit(1), F.col("_beds").cast("int")), F.col("_rem"), lambda r, t: _seat(r, t["_v"])))
-    taken = filled.select(*g, F.posexplode(F.zip_with("_rem", "_left", lambda a, b: a - b)).alias(unit_col, out))
-    return taken.where(F.col(out) > 0)
+
+    def walk(some: DataFrame) -> DataFrame:
+        drawn = some.selectExpr(*within, *g, stay_id, f"{D.u(seed, label, stay_id, *g, slot=0)} AS _o", f"{D.u(seed, label, stay_id, *g, slot=1)} AS _v")
+        turn = F.row_number().over(Window.partitionBy(*within, *g).orderBy("_o", stay_id))
+        turns = drawn.withColumn("_turn", turn).where(F.col("_turn") <= F.lit(most)).groupBy(*within, *g).agg(
+            F.array_sort(F.collect_list(F.struct("_turn", "_v"))).alias("_turns"))
+        # stays past the last bed change nothing
+        filled = turns.join(F.broadcast(beds) if within else beds, list(on)).withColumn(
+            "_left", F.aggregate(F.slice("_turns", F.lit(1), F.col("_beds").cast("int")), F.col("_rem"), lambda r, t: _seat(r, t["_v"])))
+        return filled.select(*g, F.zip_with("_rem", "_left", lambda a, b: a - b).alias("_taken"))
+
+    if again is None:
+        taken = walk(stays)
+    else:
+        tally = cut_lineage(_tally(stays, [*within, *g], F.broadcast(beds), on, len(caps), D.u(seed, label, stay_id, *g, slot=1)), "tally")
+        taken, undecided = tally.where("_taken IS NOT NULL").select(*g, "_taken"), tally.where("_taken IS NULL").select(*within, *g)
+        if not undecided.isEmpty():
+            taken = taken.unionByName(walk(again(undecided)))
+    return taken.select(*g, F.posexplode("_taken").alias(unit_col, out)).where(F.col(out) > 0)
+
+
+def _tally(stays: DataFrame, keys: Sequence[str], beds: DataFrame, on: Sequence[str], units: int, v: str) -> DataFrame:
+    """Beds taken per group (``_taken``, by unit) where that does not depend on the order; NULL where it does.
+
+    Stays are counted by their pick among the units with beds. With as many stays as beds all are taken; with fewer picks than beds in
+    each of these units none ever fills, so every stay has picked among the same ones.
+    """
+    free = F.size(F.filter("_rem", lambda r: r > 0))
+    pick = F.floor(D.col(v) * F.col("_free")).cast("int")
+    drawn = stays.join(beds.select(*on, free.alias("_free")), list(on)).select(*keys, pick.alias("_pick"))
+    counts = drawn.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.array(*[F.count(F.when(F.col("_pick") == i, 1)) for i in range(units)]).alias("_c"))
+    nth = F.transform("_rem", lambda r, i: F.when(r > 0, F.size(F.filter(F.slice("_rem", F.lit(1), i + 1), lambda x: x > 0)) - 1))  # a unit's number among those with beds
+    counts = counts.join(beds, list(on)).withColumn("_nth", nth).withColumn("_picked", F.transform("_nth", lambda k: F.coalesce(F.get("_c", k), F.lit(0))))
+    open_ = F.forall(F.zip_with("_picked", "_rem", lambda p, r: (r == 0) | (p < r)), lambda x: x)
+    return counts.select(*keys, F.when(F.col("_n") >= F.col("_beds"), F.col("_rem")).when(open_, F.col("_picked")).alias("_taken"))
 
 
 # ---------------------------------------------------------- availability

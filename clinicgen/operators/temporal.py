@@ -3,17 +3,21 @@
 "How many stays cover hour h" (``start <= h < end``) is answered by boundary events: two rows per stay, added up by
 (site, hour) and summed along the grid. Where the stays themselves are needed (the capacity fill), each is exploded into the
 grid hours it covers: at most (stay length in hours + 1) rows, clipped to the grid. Neither is a theta join of stays x hours.
+Where the hours of long stays are many times the stays, only the stays are exchanged, a row per block of grid hours
+(``hours_by_block``): all rows of a site's hour are then made in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinicgen.operators.ordinals import prefix_sum
-from clinicgen.session import spread
+from clinicgen.session import parallelism, spread
+
+BLOCK_HOURS = 168  # stays of days to weeks fall in two or three blocks; a site's block is a small part of its hours
 
 
 def ceil_hour(ts: Column) -> Column:
@@ -31,6 +35,13 @@ def hour_grid(spark: SparkSession, last_hour: Column | str, hours: int, idx_col:
         F.timestamp_add("HOUR", F.col("id") - F.lit(hours - 1), last).alias(ts_col))
 
 
+def _covered(stays: DataFrame, start: str, end: str, grid_start: Column, grid_end: Column) -> DataFrame:
+    """Stays that cover an hour of the grid, with the first (``_lo``) and the last (``_hi``) they cover."""
+    lo = F.greatest(ceil_hour(F.col(start)), grid_start)
+    hi = F.least(F.timestamp_add("HOUR", F.lit(-1), ceil_hour(F.col(end))), grid_end)
+    return stays.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
+
+
 def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, grid_end: Column, out: str = "hour",
                   spread_by: str | None = None) -> DataFrame:
     """One row per (stay, grid hour h) with ``start <= h < end`` and h in the grid.
@@ -39,14 +50,36 @@ def explode_hours(stays: DataFrame, start: str, end: str, grid_start: Column, gr
     raises on reversed bounds). ``spread_by`` (a unique stay key), for a caller whose input is
     narrow, spreads the surviving stays over all task slots before they fan out into hours.
     """
-    lo = F.greatest(ceil_hour(F.col(start)), grid_start)
-    hi = F.least(F.timestamp_add("HOUR", F.lit(-1), ceil_hour(F.col(end))), grid_end)
-    s = stays.withColumn("_lo", lo).withColumn("_hi", hi).filter(F.col("_lo") <= F.col("_hi"))
+    s = _covered(stays, start, end, grid_start, grid_end)
     if spread_by is not None:
         s = spread(s, spread_by)
     return s.withColumn(out, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 HOUR")))).drop("_lo", "_hi")
 
 
+def hours_by_block(stays: DataFrame, site: str, stay_id: str, start: str, end: str, grid_start: Column, grid_end: Column, out: str = "hour_idx",
+                   block: str = "block", rows_per_part: int = 2_000_000) -> Callable[[DataFrame | None], DataFrame]:
+    """The rows of ``explode_hours`` as (site, stay, block, index of the hour in the grid), all rows of a (site, block) in one task.
+
+    A stay is exchanged as one row per block of ``BLOCK_HOURS`` grid hours and becomes hours after that, so a grouping by site, block and hour needs no
+    exchange of hours. Partitions are counted by the hours they unfold to, about ``rows_per_part`` each. The result, called with None, gives all
+    rows; called with (site, block, hour index) rows, those of these hours.
+    """
+    index = lambda ts: F.timestamp_diff("HOUR", grid_start, F.col(ts))
+    covered = _covered(stays, start, end, grid_start, grid_end).select(site, stay_id, index("_lo").alias("_from"), index("_hi").alias("_to"))
+    hours = covered.agg(F.sum(F.col("_to") - F.col("_from") + 1)).first()[0] or 0
+    parts = max(parallelism(stays.sparkSession), -(-hours // rows_per_part))
+    blocks = covered.withColumn(block, F.explode(F.expr(f"sequence(_from div {BLOCK_HOURS}, _to div {BLOCK_HOURS})"))).select(
+        site, stay_id, block, F.greatest(F.col("_from"), F.col(block) * BLOCK_HOURS).alias("_from"),
+        F.least(F.col("_to"), (F.col(block) + 1) * BLOCK_HOURS - 1).alias("_to")).repartition(parts, site, block)
+
+    def unfold(only: DataFrame | None = None) -> DataFrame:
+        if only is None:
+            return blocks.select(site, stay_id, block, F.explode(F.sequence("_from", "_to")).alias(out))
+        wanted = only.repartition(parts, site, block).groupBy(site, block).agg(F.collect_list(out).alias("_hours"))  # a block's hours at most
+        return blocks.join(wanted, [site, block]).select(site, stay_id, block, F.explode(F.filter("_hours", lambda h: h.between(F.col("_from"), F.col("_to")))).alias(out))
+    return unfold
+
+
 def hourly_occupancy(stays: DataFrame, site: str, start: str, end: str, grid_start: Column, grid_end: Column,
                      out: str = "active", hour_col: str = "hour") -> DataFrame:
     """Stays active per (site, hour) over the grid; hours with none are absent (2.5.6).

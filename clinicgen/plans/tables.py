@@ -243,10 +243,10 @@ def last_grid_hour(cfg: C.Config) -> str:
     return R.at_hour(R.lit_date(cfg.as_of), 23)
 
 
-def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: DataFrame, narrow: bool = True) -> DataFrame:
+def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: DataFrame) -> DataFrame:
     """Hourly bed occupancy per site and unit (2.9.5).
 
-    Stays without a site take no bed. ``narrow``: few stays reach the grid, so they are spread before they become hours.
+    Stays without a site take no bed. Stays are exchanged as blocks of hours and become hours after that.
     """
     s, units = cfg.seed, cfg.units
     hours, n_sites = grid_hours(cfg), cfg.length("red_sedes")
@@ -254,12 +254,10 @@ def build_gcm_camas(spark: SparkSession, cfg: C.Config, sedes: DataFrame, enc: D
     first = F.expr(f"timestampadd(HOUR, {-(hours - 1)}, {last_grid_hour(cfg)})")
     caps_cols = CAP_COLS[: len(units)]
     caps = sedes.select("id_sede", *caps_cols)
-    active = T.explode_hours(enc.where("id_sede IS NOT NULL").select("id_encuentro", "id_sede", "fec_inicio_atencion", "fec_egreso"),
-                             "fec_inicio_atencion", "fec_egreso", first, last, out="hour", spread_by="id_encuentro" if narrow else None)
     # groups are keyed by the hour's index in the grid (0 = first hour): an integer, cheap to hash
-    active = active.withColumn("hour_idx", F.timestamp_diff("HOUR", first, F.col("hour"))).drop("hour")
-    occ = A.capacity_fill(active, ["hour_idx", "id_sede"], "id_encuentro", caps, ["id_sede"], caps_cols, s, "bed",
-                          unit_col="unit_pos", out="num_camas_ocupadas")
+    active = T.hours_by_block(enc.where("id_sede IS NOT NULL"), "id_sede", "id_encuentro", "fec_inicio_atencion", "fec_egreso", first, last, out="hour_idx")
+    occ = A.capacity_fill(active(None), ["hour_idx", "id_sede"], "id_encuentro", caps, ["id_sede"], caps_cols, s, "bed",
+                          unit_col="unit_pos", out="num_camas_ocupadas", within=["block"], again=active)
     grid = T.dense_grid(spark, hours, n_sites, units, last, id_col="id_registro_cama", hour_col="fec_hora_registro",
                         hour_idx_col="hour_idx")
     cells = grid.join(occ, ["hour_idx", "id_sede", "unit_pos"], "left")

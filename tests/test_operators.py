@@ -13,6 +13,8 @@ from clinicgen.operators import allocate as A
 from clinicgen.operators import eligibility as E
 from clinicgen.operators import ordinals as O
 from clinicgen.operators import temporal as T
+from clinicgen.plans import tables as TB
+from small import small_config
 
 D0 = dt.date(2020, 1, 1)
 
@@ -263,6 +265,88 @@ def test_hourly_occupancy_rows_do_not_grow_with_the_stays(spark):
     assert 0 < exchanged[1] <= 1.2 * exchanged[0] and exchanged[1] < 40_000
 
 
+def _hour_rows():
+    """Stays (site, id, start, end): clipped at both ends of the grid, over a block's border, reversed, empty, within an hour, with null times."""
+    rng, t0 = random.Random(9), dt.datetime(2024, 1, 1)
+    rows = [(i % 4, i, t0 + dt.timedelta(minutes=rng.randint(-9000, 40000)), rng.randint(-90, 20000)) for i in range(120)]
+    rows = [(s, i, a, a + dt.timedelta(minutes=m)) for s, i, a, m in rows] + [(1, 500, t0, t0), (1, 501, None, t0 + dt.timedelta(hours=3)), (2, 502, t0, None), (2, 3, t0, t0 + dt.timedelta(days=9))]
+    return rows, t0, t0 + dt.timedelta(hours=2 * T.BLOCK_HOURS + 5)
+
+
+def test_hours_by_block_gives_the_rows_of_explode_hours(spark):
+    rows, first, last = _hour_rows()
+    df = spark.createDataFrame(rows, "site long, sid long, s timestamp_ntz, e timestamp_ntz")
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (first, last))
+    want = T.explode_hours(df, "s", "e", lo, hi).select("site", "sid", F.timestamp_diff("HOUR", lo, F.col("hour")).alias("h"))
+    unfold = T.hours_by_block(df, "site", "sid", "s", "e", lo, hi, out="h", rows_per_part=500)
+    got = unfold(None)
+    assert got.where(f"block <> h div {T.BLOCK_HOURS}").isEmpty() and got.rdd.getNumPartitions() > 8
+    want, got = sorted(map(tuple, want.collect())), sorted(map(tuple, got.select("site", "sid", "h").collect()))
+    assert got == want and len(want) > 5000
+    some = [(site, h) for site in (0, 2, 9) for h in (0, 7, T.BLOCK_HOURS - 1, T.BLOCK_HOURS, 2 * T.BLOCK_HOURS + 5)]
+    groups = spark.createDataFrame([(site, h // T.BLOCK_HOURS, h) for site, h in some], "site long, block long, h long")
+    assert sorted(map(tuple, unfold(groups).select("site", "sid", "h").collect())) == [r for r in want if (r[0], r[2]) in some]
+
+
+def test_capacity_fill_of_hours_matches_sequential_loop(spark):
+    """Groups where no unit fills, one does on its last pick or before, all do, and without beds or a capacity row; the same as the fill of single rows."""
+    rows, first, last = _hour_rows()
+    caps = {0: [3, 0, 8, 2], 1: [40, 40, 40, 40], 2: [1, 1, 1, 1]}
+    df = spark.createDataFrame([r for r in rows if r[2] and r[3]], "site long, sid long, s timestamp_ntz, e timestamp_ntz")
+    beds = spark.createDataFrame([(g, *c) for g, c in caps.items()] + [(7, 0, 0, 0, 0)], "site long, c0 long, c1 long, c2 long, c3 long")
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (first, last))
+    unfold = T.hours_by_block(df, "site", "sid", "s", "e", lo, hi, out="h")
+    asked = []
+
+    def again(groups):
+        asked.append({(r["site"], r["h"]) for r in groups.collect()})
+        return unfold(groups)
+
+    args = (["h", "site"], "sid", beds, ["site"], ["c0", "c1", "c2", "c3"], 11, "t")
+    got = {((r["h"], r["site"]), r["unit_pos"]): r["occupied"] for r in A.capacity_fill(unfold(None), *args, within=["block"], again=again).collect()}
+    single = {((r["h"], r["site"]), r["unit_pos"]): r["occupied"] for r in A.capacity_fill(unfold(None).drop("block"), *args).collect()}
+    draws = unfold(None).selectExpr("h", "site", "sid", f"{D.u(11, 't', 'sid', 'h', 'site', slot=0)} AS o", f"{D.u(11, 't', 'sid', 'h', 'site', slot=1)} AS v").collect()
+    loop = [((r["h"], r["site"]), r["sid"], r["o"], r["v"]) for r in draws]
+    want = _fill_loop(loop, {g: caps.get(g[1], [0, 0, 0, 0]) for g in {r[0] for r in loop}})
+    assert got == want == single
+    sites = {s for s, _ in asked[0]}
+    assert 0 in sites and 1 not in sites and len(asked) == 1  # no unit of site 1 ever fills
+    n = {g: sum(r[0] == g for r in loop) for g in {r[0] for r in loop}}
+    assert all(n[h, s] < sum(caps[s]) for s, h in asked[0]) and any(n[g] >= sum(caps[g[1]]) for g in n if g[1] in caps)
+
+
+def _exchanged(plan):
+    """Rows written to the exchanges of an executed plan."""
+    todo, rows = [plan], 0
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(p.plan())
+        else:
+            if name == "Exchange":
+                rows += p.metrics().apply("shuffleRecordsWritten").value()
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+    return rows
+
+
+def test_bed_cells_exchange_stays_not_their_hours(spark):
+    """Stays of ten days: some 48,000 hours, of which none is exchanged, whether the order of a group matters or not."""
+    cfg = small_config(sites=2, hours=400)
+    start = "timestampadd(MINUTE, CAST(-id * 61 AS INT), TIMESTAMP_NTZ'2026-01-01 12:30:00')"
+    enc = spark.range(0, 200, 1, 4).selectExpr("id AS id_encuentro", "id % 2 + 1 AS id_sede", f"{start} AS fec_inicio_atencion",
+                                               f"timestampadd(DAY, 10, {start}) AS fec_egreso")
+    sedes = spark.createDataFrame([(1, 500, 500, 500, 500), (2, 5, 90, 90, 90)], "id_sede long, " + ", ".join(f"{c} long" for c in TB.CAP_COLS))
+    out = TB.build_gcm_camas(spark, cfg, sedes, enc)
+    assert out.agg(F.sum("num_camas_ocupadas")).first()[0] > 20_000
+    plain = T.explode_hours(enc, "fec_inicio_atencion", "fec_egreso", F.expr("TIMESTAMP_NTZ'2025-12-16 07:00:00'"), F.expr("TIMESTAMP_NTZ'2026-01-01 23:00:00'"))
+    assert out.agg(F.sum("num_camas_ocupadas")).first()[0] == plain.count()  # nobody is left without a bed
+    out.collect()
+    assert 0 < _exchanged(out._jdf.queryExecution().executedPlan()) < 15_000
+
+
 def test_bed_availability(spark):
     df = spark.createDataFrame([(i, c, o) for i, (c, o) in enumerate([(5, 5), (9, 0), (10, 0), (40, 3)])], "i long, cap long, occ long")
     out = A.bed_availability(df, F.col("cap"), F.col("occ"), D.u(1, "m", "i")).orderBy("i").collect()
